@@ -97,14 +97,14 @@ def _stack(df: DataFrame, parts, side: str, group_cols: Sequence[str]) -> DataFr
     in_l = F.lit(1 if side == "left" else 0).cast("tinyint")
     in_r = F.lit(0 if side == "left" else 1).cast("tinyint")
     structs = [
-        F.struct(F.lit(c).alias("column"), F.lit(lk if side == "left" else rk).alias("kind"),
+        F.struct(F.lit(c).alias("column_name"), F.lit(lk if side == "left" else rk).alias("kind"),
                  (lv if side == "left" else rv).alias("value"))
         for c, lv, rv, lk, rk in parts
     ]
     base = [F.col(f"`{g}`") for g in group_cols]
     if len(structs) == 1:
         s = structs[0]
-        return df.select(*base, s.getField("column").alias("column"), s.getField("kind").alias("kind"),
+        return df.select(*base, s.getField("column_name").alias("column_name"), s.getField("kind").alias("kind"),
                          s.getField("value").alias("value"), in_l.alias("in_left"), in_r.alias("in_right"))
     return (df.select(*base, F.inline(F.array(*structs)))
               .withColumn("in_left", in_l).withColumn("in_right", in_r))
@@ -114,7 +114,7 @@ def value_flags(left: DataFrame, right: DataFrame, cols: Sequence[str],
                 group_cols: Sequence[str] = ()) -> DataFrame:
     """Distinct values per (group, column) with side flags: the shared core of E2-E4, J3."""
     parts, _ = _plan_columns(cols, left, right)
-    keys = [*group_cols, "column", "kind", "value"]
+    keys = [*group_cols, "column_name", "kind", "value"]
     both = _stack(left, parts, "left", group_cols).unionByName(_stack(right, parts, "right", group_cols))
     return both.groupBy(*keys).agg(F.max("in_left").alias("in_left"), F.max("in_right").alias("in_right"))
 
@@ -130,7 +130,7 @@ def summarize_flags(flags: DataFrame, group_cols: Sequence[str] = ()) -> DataFra
     """Per (group, column): distinct counts per side, one-sided counts, relation."""
     lo = (F.col("in_left") == 1) & (F.col("in_right") == 0)
     ro = (F.col("in_right") == 1) & (F.col("in_left") == 0)
-    agg = flags.groupBy(*group_cols, "column").agg(
+    agg = flags.groupBy(*group_cols, "column_name").agg(
         F.sum(F.col("in_left").cast("long")).alias("n_left_distinct"),
         F.sum(F.col("in_right").cast("long")).alias("n_right_distinct"),
         F.count_if(lo).alias("n_left_only"),
@@ -179,7 +179,7 @@ def uncovered_values(flags: DataFrame, group_cols: Sequence[str] = ()) -> DataFr
     """
     one_sided = flags.where(F.col("in_left") != F.col("in_right"))
     return one_sided.select(
-        *group_cols, "column",
+        *group_cols, "column_name",
         F.when(F.col("in_left") == 1, F.lit("left")).otherwise(F.lit("right")).alias("side"),
         "value",
     )
@@ -233,7 +233,7 @@ def check_column_value_sets(cols: str | list[str] | tuple[str, ...], left: DataF
     """
     preflight(cols, left, right)
     names = [cols] if isinstance(cols, str) else list(cols)
-    rows = {r["column"]: r for r in value_set_summary(left, right, names).collect()}
+    rows = {r["column_name"]: r for r in value_set_summary(left, right, names).collect()}
     results = {}
     for c in names:
         r = rows[c]
