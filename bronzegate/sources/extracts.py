@@ -9,7 +9,7 @@ Mapping (one Scoring row per order, one Questions row per line item):
     Resident ID    o_custkey
     Assessment ID  o_orderkey
     Unit           o_orderpriority, missing for every 11th order
-    scores         rules over o_totalprice / keys, PAIN missing for every 17th order
+    scores         integer rules over the order keys, PAIN missing for every 17th order
 
 Orders without line items give Scoring IDs that the Questions file lacks, so
 unequal pairs appear naturally. The same derivation is written as SQL in
@@ -56,11 +56,12 @@ def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _score(i: int) -> Column:
-    """Score column i (0..13): a bounded rule over the order; one decimal place."""
+    """Score column i (0..13): an integer rule over the order keys, as tenths
+    (thousandths for the first), so the text form is exact."""
     if i == 0:
-        return F.round(F.col("o_totalprice") / F.lit(100000.0), 3)
+        return (F.col("o_orderkey") % F.lit(4000)).cast("double") / F.lit(1000.0)
     raw = ((F.col("o_orderkey") * F.lit(i + 3) + F.col("o_custkey")) % F.lit(1000)).cast("double")
-    return F.round(raw / F.lit(10.0), 1)
+    return raw / F.lit(10.0)
 
 
 def scoring_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
