@@ -7,6 +7,8 @@ over files in Python.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from functools import reduce
 from operator import and_
 from typing import Callable, Iterable, Sequence, Union
@@ -14,9 +16,9 @@ from typing import Callable, Iterable, Sequence, Union
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from .. import schemas as S
+from ..session import hadoop_fs
 from ..functions.columns import file_metadata_columns
 
 ManifestFilter = Union[Column, Callable[[DataFrame], Column]]
@@ -31,15 +33,18 @@ LISTING_SCHEMA = T.StructType([
 def list_files(spark: SparkSession, raw_dir: str, glob: str = S.DEFAULT_GLOB) -> DataFrame:
     """Non-recursive listing of ``raw_dir`` matching ``glob``: path, length, modificationTime.
 
-    Uses the binary-file source with only metadata columns selected, so file
-    contents are pruned from the scan.
+    One glob call through the Hadoop FileSystem API (what Spark's own file
+    index does on the driver). Unlike a file-source scan, this keeps zero-byte
+    files, which must be reported as unreadable rather than silently skipped.
+    Only regular files are listed.
     """
-    try:
-        df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-              .load(f"{raw_dir.rstrip('/')}/{glob}"))
-    except AnalysisException:
-        return spark.createDataFrame([], LISTING_SCHEMA)
-    return df.select("path", "length", "modificationTime")
+    fs, _ = hadoop_fs(spark, raw_dir)
+    jvm = spark.sparkContext._jvm
+    statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{raw_dir.rstrip('/')}/{glob}")) or []
+    rows = [(st.getPath().toString(), int(st.getLen()),
+             _dt.datetime.fromtimestamp(st.getModificationTime() / 1000.0))
+            for st in statuses if st.isFile()]
+    return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
 def manifest_from_names(names: DataFrame, name_col: str = "FILE_NAME") -> DataFrame:
