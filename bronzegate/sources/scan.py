@@ -52,7 +52,8 @@ def line_stats(spark: SparkSession, paths: Sequence[str], sep: str = S.SEPARATOR
         F.col("_metadata.file_block_start").alias("blk"),
         F.monotonically_increasing_id().alias("mid"))
     n_quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
-    unquoted = F.regexp_replace(v, r'"(?:[^"]|"")*"', "")
+    # The quoted-run regex only runs on lines that contain a quote at all.
+    unquoted = F.when(n_quotes > 0, F.regexp_replace(v, r'"(?:[^"]|"")*"', "")).otherwise(v)
     n_fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
     blank = v.rlike(_BLANK)
     odd = (n_quotes % 2) == 1
