@@ -17,6 +17,7 @@ from .. import schemas as S
 from ..operators.conform import conform, without_flags
 from ..operators.quality import value_diff, value_set_summary
 from ..operators.records import (
+    domain_report,
     file_rollup,
     null_report,
     pair_files,
@@ -120,6 +121,11 @@ def extract_manifest(spark, sf_dir):
     return m.withColumn("ORDER_NO", F.row_number().over(w).cast("long"))
 
 
+def manifest_domains(spark, sf_dir):
+    """P10: values of INSTANCE / PROVINCE / EXTRACT_TYPE outside their accepted domain."""
+    return domain_report(_manifest(spark, sf_dir))
+
+
 def extract_pairs(spark, sf_dir):
     """Key join of Questions and Scoring files."""
     return pair_files(_manifest(spark, sf_dir))
@@ -245,6 +251,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "value_diff_lines_without_orders": value_diff_lines_without_orders,
     "value_diff_documents_unlabelled": value_diff_documents_unlabelled,
     "extract_manifest": extract_manifest,
+    "manifest_domains": manifest_domains,
     "extract_pairs": extract_pairs,
     "composite_ids": composite_ids,
     "typed_scoring": typed_scoring,

@@ -197,6 +197,12 @@ WHERE NOT EXISTS (SELECT 1 FROM labels b WHERE b.doc_id IS NOT DISTINCT FROM d.d
 SELECT *, row_number() OVER (PARTITION BY EXTRACT_TYPE ORDER BY FILE_DATE, INSTANCE, PROVINCE, FILE_NAME)
   AS ORDER_NO FROM man"""
     q["extract_pairs"] = BASE + "SELECT * FROM pairs"
+    q["manifest_domains"] = BASE + """
+SELECT 'INSTANCE' AS column_name, count(*) FILTER (WHERE INSTANCE NOT IN ('EXT', 'REV')) AS violations FROM man
+UNION ALL
+SELECT 'PROVINCE', count(*) FILTER (WHERE PROVINCE NOT IN ('Ontario', 'Alberta')) FROM man
+UNION ALL
+SELECT 'EXTRACT_TYPE', count(*) FILTER (WHERE EXTRACT_TYPE NOT IN ('Scoring', 'Questions')) FROM man"""
     q["composite_ids"] = BASE + """
 SELECT FILE_NAME, FILE_DATE, INSTANCE, PROVINCE, EXTRACT_TYPE, "Assessment ID" AS ASSESSMENT_ID,
        UNIQUE_ASSESSMENT_ID FROM st"""
