@@ -98,9 +98,21 @@ def float_failed(c: Column) -> Column:
     return c.isNotNull() & to_float(c).isNull()
 
 
+_DATE_PARTS = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+
+
 def to_timestamp_ntz(c: Column, pattern: str = S.DATE_PATTERN) -> Column:
-    """Text in the declared date format to TIMESTAMP_NTZ (microseconds); empty -> null."""
-    return F.try_to_timestamp(c, F.lit(pattern)).cast(T.TimestampNTZType())
+    """Text in the declared date format to TIMESTAMP_NTZ (microseconds); empty -> null.
+
+    The declared format is matched by a regex and assembled with
+    ``try_make_timestamp_ntz``, so no session time zone is involved (a wall
+    clock inside a DST gap stays as written). Other patterns use the
+    parser, which reads in the session time zone.
+    """
+    if pattern != S.DATE_PATTERN:
+        return F.try_to_timestamp(c, F.lit(pattern)).cast(T.TimestampNTZType())
+    part = [F.regexp_extract(c, _DATE_PARTS, i).cast("int") for i in range(1, 7)]
+    return F.when(c.rlike(_DATE_PARTS), F.try_make_timestamp_ntz(*part))
 
 
 def timestamp_failed(c: Column, pattern: str = S.DATE_PATTERN) -> Column:

@@ -68,3 +68,12 @@ def test_plans_have_no_python_or_cartesian(spark):
             assert bad not in p, (bad, p)
     # partial aggregation before the shuffle
     assert "partial_max" in _plan(value_set_summary(left, right, "k"))
+
+
+def test_dates_ignore_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        d = spark.createDataFrame([("2024-3-10 2:30:00",)], "v string")  # inside the DST gap there
+        assert d.select(C.to_timestamp_ntz(F.col("v"))).first()[0] == dt.datetime(2024, 3, 10, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
