@@ -63,9 +63,10 @@ def _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal):
 
 def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, persist: bool = True):
     """Scan + conform both extract types. Returns (conformed by type, status, rollup)."""
-    conformed, statuses, rollups = {}, [], []
+    conformed, statuses, rollups, scans = {}, [], [], []
     for et in S.EXTRACT_TYPES:
         scan = scan_extracts(spark, manifest, et)
+        scans.append(scan)
         statuses.append(scan.status)
         if scan.rows is None:
             continue
@@ -82,7 +83,7 @@ def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, pers
         rollup = spark.createDataFrame([], "FILE_NAME string, N_ROWS bigint, N_RESIDENTS bigint, "
                                            "N_FACILITIES bigint, N_UNIQUE_ASSESSMENTS bigint, "
                                            "value_errors array<string>")
-    return conformed, status, rollup
+    return conformed, status, rollup, scans
 
 
 def _empty_rows(spark: SparkSession, et: str) -> DataFrame:
@@ -128,7 +129,7 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     to_read = manifest.join(broadcast_if_small(paired_names, MAX_BROADCAST_FILES, n_files), "FILE_NAME",
                             "left_semi")
 
-    conformed, status, rollup = prepare(spark, to_read, run_ts, persist)
+    conformed, status, rollup, scans = prepare(spark, to_read, run_ts, persist)
     read_meta = file_read_metadata(status, rollup)
     q = conformed.get(S.QUESTIONS)
     s = conformed.get(S.SCORING)
@@ -147,6 +148,8 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
         log = log.withColumn("INGEST_SUCCESS", F.col("INGEST_SUCCESS") & ~unequal)
     # The gate is computed once and its lineage cut, so both writes and the log agree.
     log = cut_lineage(log)
+    for scan in scans:
+        scan.release()
 
     passing = log.where(F.col("INGEST_SUCCESS")).select("FILE_NAME")
     passing = broadcast_if_small(passing, MAX_BROADCAST_FILES, n_files)

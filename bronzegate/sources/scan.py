@@ -165,7 +165,12 @@ class ScanResult:
     """Raw string rows of one extract type plus per-file read status."""
 
     rows: DataFrame | None          # FILE_NAME + header columns (strings), all groups unioned
-    status: DataFrame               # FILE_NAME, route, read_errors, readable, missing_columns
+    status: DataFrame               # FILE_NAME, route, read_errors, readable
+    cached: DataFrame | None = None  # per-file routing table, cached while the run needs it
+
+    def release(self) -> None:
+        if self.cached is not None:
+            self.cached.unpersist()
 
 
 def scan_extracts(spark: SparkSession, manifest: DataFrame, extract_type: str,
@@ -214,7 +219,7 @@ def scan_extracts(spark: SparkSession, manifest: DataFrame, extract_type: str,
         F.concat(F.col("read_errors"), F.coalesce(F.array_compact(F.array("missing_error")),
                                                   F.array().cast("array<string>"))).alias("read_errors"),
         ((F.col("route") != ROUTE_UNREADABLE) & F.col("missing_error").isNull()).alias("readable"))
-    return ScanResult(rows, status)
+    return ScanResult(rows, status, routed)
 
 
 def pattern_escape(sep: str) -> str:

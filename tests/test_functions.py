@@ -77,3 +77,10 @@ def test_dates_ignore_session_time_zone(spark):
         assert d.select(C.to_timestamp_ntz(F.col("v"))).first()[0] == dt.datetime(2024, 3, 10, 2, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_timestamps_to_micros(spark):
+    df = spark.sql("SELECT timestamp'2024-01-05 01:02:03.123456' AS t, 1 AS x")
+    out = C.timestamps_to_micros(df)
+    assert out.schema["t"].dataType.simpleString() == "timestamp_ntz"
+    assert out.first()["t"].microsecond == 123456
