@@ -94,8 +94,8 @@ def to_float(c: Column) -> Column:
 
 
 def float_failed(c: Column) -> Column:
-    """True when a present value is not a number."""
-    return c.isNotNull() & to_float(c).isNull()
+    """True when a present, non-blank value is not a number (blank reads as missing)."""
+    return c.isNotNull() & (F.trim(c) != F.lit("")) & to_float(c).isNull()
 
 
 _DATE_PARTS = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"

@@ -184,19 +184,45 @@ def uncovered_ids_query(spark, sf_dir):
 _LANDED: dict = {}
 
 
-def _landed(spark: SparkSession, sf_dir: str):
-    """Render the extracts, land them once per session and sf_dir; reuse afterwards."""
+def _landed(spark: SparkSession, sf_dir: str, variant: str = "clean"):
+    """Render the extracts and land them once per (session, sf_dir, variant); reuse afterwards.
+
+    ``clean``: Spark's CSV writer (quoted newlines in some Scoring values);
+    ``malformed``: hand-rendered lines with long rows in some Questions files.
+    """
     from .landing import land
 
-    key = (id(spark), sf_dir)
+    key = (id(spark), sf_dir, variant)
     if key not in _LANDED:
-        raw = render_extracts(spark, sf_dir)
+        raw = render_extracts(spark, sf_dir, malformed=(variant == "malformed"))
         bronze = shared_dir(spark, "bronze")
         res = land(spark, raw, bronze, run_ts=FIXED_TS)
         _LANDED[key] = (raw, bronze, res)
     return _LANDED[key]
 
 
+def _streamed(spark: SparkSession, sf_dir: str):
+    """S11 over the clean raw folder: several micro-batches, pairs may straddle them."""
+    from ..streaming.incremental import start_incremental_landing
+
+    key = (id(spark), sf_dir, "stream")
+    if key not in _LANDED:
+        raw, _, _ = _landed(spark, sf_dir)
+        bronze = shared_dir(spark, "bronze-stream")
+        q = start_incremental_landing(spark, raw, bronze, checkpoint_dir=shared_dir(spark, "stream-ckpt"),
+                                      max_files_per_trigger=256)
+        q.awaitTermination()
+        _LANDED[key] = (raw, bronze, None)
+    return _LANDED[key]
+
+
+def _log_view(log: DataFrame) -> DataFrame:
+    return log.select(*S.FILE_METADATA_COLUMNS, "N_ROWS", "N_RESIDENTS", "N_FACILITIES",
+                      "N_UNIQUE_ASSESSMENTS", "READ_SUCCESS", "INGEST_SUCCESS",
+                      F.array_join("READ_ERRORS", " || ").alias("READ_ERRORS"),
+                      F.array_join("INGEST_ERRORS", " || ").alias("INGEST_ERRORS"))
+
+
 def discovered_files(spark, sf_dir):
     """S1 + P1: listing of the rendered raw folder."""
     raw, _, _ = _landed(spark, sf_dir)
@@ -217,11 +243,43 @@ def landed_scoring(spark, sf_dir):
 def landed_log(spark, sf_dir):
     """E6 + S8: the ingestion log of the landing run (arrays joined as text)."""
     _, bronze, _ = _landed(spark, sf_dir)
-    log = B.read_log(spark, bronze)
-    return log.select(*S.FILE_METADATA_COLUMNS, "N_ROWS", "N_RESIDENTS", "N_FACILITIES",
-                      "N_UNIQUE_ASSESSMENTS", "READ_SUCCESS", "INGEST_SUCCESS",
-                      F.array_join("READ_ERRORS", " || ").alias("READ_ERRORS"),
-                      F.array_join("INGEST_ERRORS", " || ").alias("INGEST_ERRORS"))
+    return _log_view(B.read_log(spark, bronze))
+
+
+def landed_malformed_questions(spark, sf_dir):
+    """S3/S4 round trip: files with long rows re-parsed by the tolerant scan."""
+    _, bronze, _ = _landed(spark, sf_dir, "malformed")
+    return B.read_table(spark, B.table_path(bronze, S.QUESTIONS)).drop("INGESTION_TIMESTAMP", B.BATCH_COLUMN)
+
+
+def landed_malformed_log(spark, sf_dir):
+    _, bronze, _ = _landed(spark, sf_dir, "malformed")
+    return _log_view(B.read_log(spark, bronze))
+
+
+def streamed_questions(spark, sf_dir):
+    """Rows the incremental job landed equal the batch result."""
+    _, bronze, _ = _streamed(spark, sf_dir)
+    return B.read_table(spark, B.table_path(bronze, S.QUESTIONS)).drop("INGESTION_TIMESTAMP", B.BATCH_COLUMN)
+
+
+def streamed_log(spark, sf_dir):
+    _, bronze, _ = _streamed(spark, sf_dir)
+    return _log_view(B.read_log(spark, bronze))
+
+
+def archived_raw_files(spark, sf_dir):
+    """S9 + S10: every rendered raw file bundled into a verified archive and read back."""
+    raw, _, _ = _landed(spark, sf_dir)
+    paths = [r.path for r in detect_incoming(spark, raw).select("path").collect()]
+    dest = shared_dir(spark, "archive")
+    A.archive_files(spark, paths, dest, "zstd")
+    back = spark.read.parquet(dest)
+    text = F.decode("content", "UTF-8")
+    return back.select(F.col("name").alias("FILE_NAME"),
+                       (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).cast("long")
+                       .alias("N_NEWLINES"),
+                       (F.sha2("content", 256) == F.col("sha256")).alias("HASH_OK"))
 
 
 def archive_plan(spark, sf_dir):
@@ -264,6 +322,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_questions": landed_questions,
     "landed_scoring": landed_scoring,
     "landed_log": landed_log,
+    "landed_malformed_questions": landed_malformed_questions,
+    "landed_malformed_log": landed_malformed_log,
+    "streamed_questions": streamed_questions,
+    "streamed_log": streamed_log,
+    "archived_raw_files": archived_raw_files,
     "archive_plan": archive_plan,
     "change_feed_scoring": change_feed_scoring,
 }

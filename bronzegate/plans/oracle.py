@@ -73,7 +73,9 @@ qraw AS (
 sraw AS (
   SELECT inst || '_MDSAssessmentExtractScoring_' || prov || '_' || strftime(fdate, '%Y-%m-%d') || '.csv' AS FILE_NAME,
          fac AS "Facility ID", res AS "Resident ID", unit AS "Unit", asmt AS "Assessment ID",
-         o_orderstatus AS "RAI-MDS Status", o_orderpriority AS "Rug Group",
+         o_orderstatus AS "RAI-MDS Status",
+         CASE WHEN o_orderkey % 13 = 0 THEN o_orderpriority || chr(10) || o_orderstatus
+              ELSE o_orderpriority END AS "Rug Group",
          {_scores()},
          CAST(o_orderdate AS TIMESTAMP) AS "ARD",
          CAST(o_orderdate + INTERVAL 7 DAY AS TIMESTAMP) AS "Assessment Locked Date",
@@ -153,6 +155,10 @@ landlog AS (
   FROM rendered r
   LEFT JOIN rollup q ON q.FILE_NAME = r.q_file
   LEFT JOIN idcheck ic ON ic.PAIR_KEY = r.q_file
+),
+long_files AS (
+  SELECT DISTINCT FILE_NAME FROM qt
+  WHERE CAST("Assessment ID" AS BIGINT) % 50 = 0 AND question_key = 'Q1'
 )
 """
 
@@ -171,6 +177,24 @@ FROM ({union}) x WHERE nulls > 0
 """
 
 
+_LOG_SQL = """
+SELECT l.q_file AS FILE_NAME, l.FILE_DATE, l.INSTANCE, l.PROVINCE, 'Questions' AS EXTRACT_TYPE,
+       coalesce(r.N_ROWS, 0) AS N_ROWS, coalesce(r.N_RESIDENTS, 0) AS N_RESIDENTS,
+       coalesce(r.N_FACILITIES, 0) AS N_FACILITIES, coalesce(r.N_UNIQUE_ASSESSMENTS, 0) AS N_UNIQUE_ASSESSMENTS,
+       true AS READ_SUCCESS, l.q_rows > 0 AS INGEST_SUCCESS,
+       CASE WHEN l.q_file IN (SELECT FILE_NAME FROM long_files) THEN {read_errors} ELSE '' END AS READ_ERRORS,
+       l.errs AS INGEST_ERRORS
+FROM landlog l LEFT JOIN rollup r ON r.FILE_NAME = l.q_file
+UNION ALL
+SELECT l.s_file, l.FILE_DATE, l.INSTANCE, l.PROVINCE, 'Scoring',
+       r.N_ROWS, r.N_RESIDENTS, r.N_FACILITIES, r.N_UNIQUE_ASSESSMENTS,
+       true, l.q_rows > 0, '', l.errs
+FROM landlog l JOIN rollup r ON r.FILE_NAME = l.s_file"""
+
+# Questions files holding a row that the malformed rendering lengthens by one field.
+_MALFORMED_ERRORS = "'Error tokenizing data. C error: Expected 10 fields, saw 11'"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["value_set_orders_lineitem"] = _vs("orderkey", "o_orderkey", "orders", "l_orderkey", "lineitem")
@@ -225,17 +249,18 @@ SELECT q_file AS FILE_NAME, FILE_DATE, INSTANCE, PROVINCE, 'Questions' AS EXTRAC
     q["landed_questions"] = BASE + "SELECT * FROM qt"
     q["landed_scoring"] = BASE + """
 SELECT * FROM st WHERE replace(FILE_NAME, 'Scoring', '') IN (SELECT FILE_NAME FROM qt)"""
-    q["landed_log"] = BASE + """
-SELECT l.q_file AS FILE_NAME, l.FILE_DATE, l.INSTANCE, l.PROVINCE, 'Questions' AS EXTRACT_TYPE,
-       coalesce(r.N_ROWS, 0) AS N_ROWS, coalesce(r.N_RESIDENTS, 0) AS N_RESIDENTS,
-       coalesce(r.N_FACILITIES, 0) AS N_FACILITIES, coalesce(r.N_UNIQUE_ASSESSMENTS, 0) AS N_UNIQUE_ASSESSMENTS,
-       true AS READ_SUCCESS, l.q_rows > 0 AS INGEST_SUCCESS, '' AS READ_ERRORS, l.errs AS INGEST_ERRORS
-FROM landlog l LEFT JOIN rollup r ON r.FILE_NAME = l.q_file
+    q["landed_log"] = BASE + _LOG_SQL.format(read_errors="''")
+    q["landed_malformed_questions"] = BASE + "SELECT * FROM qt"
+    q["landed_malformed_log"] = BASE + _LOG_SQL.format(read_errors=_MALFORMED_ERRORS)
+    q["streamed_questions"] = BASE + "SELECT * FROM qt"
+    q["streamed_log"] = BASE + _LOG_SQL.format(read_errors="''")
+    q["archived_raw_files"] = BASE + """
+SELECT r.q_file AS FILE_NAME, coalesce(q.N_ROWS, 0) + 1 AS N_NEWLINES, true AS HASH_OK
+FROM rendered r LEFT JOIN rollup q ON q.FILE_NAME = r.q_file
 UNION ALL
-SELECT l.s_file, l.FILE_DATE, l.INSTANCE, l.PROVINCE, 'Scoring',
-       r.N_ROWS, r.N_RESIDENTS, r.N_FACILITIES, r.N_UNIQUE_ASSESSMENTS,
-       true, l.q_rows > 0, '', l.errs
-FROM landlog l JOIN rollup r ON r.FILE_NAME = l.s_file"""
+SELECT FILE_NAME, count(*) + 1 + sum(length("Rug Group") - length(replace("Rug Group", chr(10), ''))),
+       true
+FROM st GROUP BY FILE_NAME"""
     q["archive_plan"] = BASE + """
 SELECT f AS FILE_NAME,
        CASE WHEN q_rows = 0 THEN 'stay' WHEN errs <> '' THEN 'move' ELSE 'archive' END AS action,

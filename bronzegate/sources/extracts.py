@@ -9,6 +9,7 @@ Mapping (one Scoring row per order, one Questions row per line item):
     Resident ID    o_custkey
     Assessment ID  o_orderkey
     Unit           o_orderpriority, missing for every 11th order
+    Rug Group      o_orderpriority, two lines (priority, status) for every 13th order
     scores         integer rules over the order keys, PAIN missing for every 17th order
 
 Orders without line items give Scoring IDs that the Questions file lacks, so
@@ -78,7 +79,10 @@ def scoring_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         _file_name(S.SCORING).alias("FILE_NAME"),
         "Facility ID", "Resident ID", "Unit", "Assessment ID",
         F.col("o_orderstatus").alias("RAI-MDS Status"),
-        F.col("o_orderpriority").alias("Rug Group"),
+        # every 13th order has a two-line value: quoted newline in the raw file
+        F.when(F.col("o_orderkey") % 13 == 0,
+               F.concat(F.col("o_orderpriority"), F.lit("\n"), F.col("o_orderstatus")))
+         .otherwise(F.col("o_orderpriority")).alias("Rug Group"),
         *scores,
         ts(F.col("o_orderdate")).alias("ARD"),
         ts(F.col("o_orderdate") + F.expr("INTERVAL 7 DAYS")).alias("Assessment Locked Date"),
@@ -111,24 +115,60 @@ def extract_frame(spark: SparkSession, sf_dir: str, extract_type: str) -> DataFr
     return questions_frame(spark, sf_dir) if extract_type == S.QUESTIONS else scoring_frame(spark, sf_dir)
 
 
+def _quoted(c: Column, sep: str) -> Column:
+    """A field as it sits in a delimited file: quoted (quotes doubled) when it
+    holds the separator, a quote or a line break; missing -> empty."""
+    needs = c.contains(sep) | c.contains('"') | c.contains("\n") | c.contains("\r")
+    q = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.coalesce(F.when(needs, q).otherwise(c), F.lit(""))
+
+
+def long_row_rule(extract_type: str) -> Column | None:
+    """Rows that get one extra field in the malformed rendering: line 1 of every
+    50th order in Questions files; Scoring files stay well formed."""
+    if extract_type != S.QUESTIONS:
+        return None
+    return (F.col("`Assessment ID`").cast("long") % 50 == 0) & (F.col("question_key") == "Q1")
+
+
+def _write_csv(df: DataFrame, out: str, sep: str) -> None:
+    (df.repartition("FILE_NAME").write.partitionBy("FILE_NAME")
+       .option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
+       .option("nullValue", "").option("emptyValue", '""').mode("overwrite").csv(out))
+
+
+def _write_lines(df: DataFrame, out: str, sep: str, long_row: Column | None) -> None:
+    """Hand-rendered lines (header first in every file), so rows may be malformed."""
+    cols = df.columns[1:]
+    line = F.concat_ws(sep, *[_quoted(F.col(f"`{c}`"), sep) for c in cols])
+    if long_row is not None:
+        line = F.when(long_row, F.concat(line, F.lit(sep + "extra"))).otherwise(line)
+    data = df.select("FILE_NAME", F.lit(1).alias("_o"), line.alias("value"))
+    header = (df.select("FILE_NAME").distinct()
+              .select("FILE_NAME", F.lit(0).alias("_o"), F.lit(sep.join(cols)).alias("value")))
+    (header.unionByName(data).repartition("FILE_NAME").sortWithinPartitions("FILE_NAME", "_o")
+        .select("FILE_NAME", "value").write.partitionBy("FILE_NAME").mode("overwrite").text(out))
+
+
 def render_extracts(spark: SparkSession, sf_dir: str, raw_dir: str | None = None,
-                    sep: str = S.SEPARATOR) -> str:
+                    sep: str = S.SEPARATOR, malformed: bool = False) -> str:
     """Write the derived extracts as pipe-delimited raw files, one file per FILE_NAME.
 
     Rows of one file are written by one task (``repartition`` on FILE_NAME),
     then each part file is renamed to its extract name in ``raw_dir`` (a new
     folder under the shared checkpoint folder when not given). A Scoring file
     whose Questions file would have no rows gets a header-only Questions file,
-    so every delivery is a pair. Returns ``raw_dir``.
+    so every delivery is a pair. ``malformed=True`` renders the lines by hand
+    and gives the rows of ``long_row_rule`` one extra field. Returns ``raw_dir``.
     """
     raw_dir = raw_dir or shared_dir(spark, "raw")
     staging = shared_dir(spark, "render")
     for et in S.EXTRACT_TYPES:
         df = extract_frame(spark, sf_dir, et)
-        (df.repartition("FILE_NAME").write.partitionBy("FILE_NAME")
-           .option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
-           .option("nullValue", "").option("emptyValue", '""').mode("overwrite")
-           .csv(f"{staging}/{et}"))
+        if malformed:
+            _write_lines(df, f"{staging}/{et}", sep, long_row_rule(et))
+        else:
+            _write_csv(df, f"{staging}/{et}", sep)
     fs, _ = hadoop_fs(spark, staging)
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
