@@ -30,7 +30,8 @@ def name_tokens(file_name: Column) -> Column:
 
 def parse_date_token(token: Column) -> Column:
     """A date written as yyyy-MM-dd or yyyyMMdd; anything else is null."""
-    return F.coalesce(F.try_to_date(token, "yyyy-MM-dd"), F.try_to_date(token, "yyyyMMdd"))
+    iso = F.when(token.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), token.try_cast(T.DateType()))
+    return F.coalesce(iso, F.try_to_date(token, "yyyyMMdd"))
 
 
 def file_metadata_columns(file_name: Column) -> list[Column]:
@@ -78,45 +79,60 @@ def unique_assessment_id(instance: Column | None = None, province: Column | None
              assessment if assessment is not None else col(S.ASSESSMENT_COLUMN)]
     fd = file_date if file_date is not None else col("FILE_DATE")
     texts = [F.coalesce(p.cast("string"), F.lit(S.MISSING_ID_PART)) for p in parts]
-    return F.when(fd.isNotNull(), F.concat_ws("|", *texts, F.date_format(fd, "yyyy-MM-dd")))
+    # A DATE cast to text is ISO yyyy-MM-dd.
+    return F.when(fd.isNotNull(), F.concat_ws("|", *texts, fd.cast("date").cast("string")))
 
 
 # --- P4 / P5: typed values with failure flags -------------------------------
 
-_NUMBER = r"^\s*[+-]?((\d+\.?\d*)|(\.\d+))([eE][+-]?\d+)?\s*$"
-_SPECIAL = r"^\s*[+-]?(inf|infinity|nan)\s*$"
+# Spark's text-to-float cast (Java's parser) also takes a d/f suffix and hex
+# floats, which are not numbers in the extract contract; inf/nan words are.
+_JAVA_ONLY = r"[dDfFxXpP]"
+_FLOAT_WORDS = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan", "+nan", "-nan"]
+
+
+def _float_text_ok(t: Column) -> Column:
+    return ~t.rlike(_JAVA_ONLY) | F.lower(t).isin(_FLOAT_WORDS)
 
 
 def to_float(c: Column) -> Column:
     """Text to FLOAT; text that is not a plain decimal/scientific number becomes null."""
-    ok = c.rlike(_NUMBER) | F.lower(c).rlike(_SPECIAL)
-    return F.when(ok, F.trim(c).try_cast(T.FloatType()))
+    t = F.trim(c)
+    return F.when(_float_text_ok(t), t.try_cast(T.FloatType()))
 
 
-def float_failed(c: Column) -> Column:
-    """True when a present, non-blank value is not a number (blank reads as missing)."""
-    return c.isNotNull() & (F.trim(c) != F.lit("")) & to_float(c).isNull()
+def float_failed(c: Column, parsed: Column | None = None) -> Column:
+    """True when a present, non-blank value is not a number (blank reads as missing).
+
+    With ``parsed`` given (the plain ``try_cast`` of the trimmed text), the
+    syntax guard is evaluated here only, which keeps generated code small.
+    """
+    t = F.trim(c)
+    if parsed is None:
+        return c.isNotNull() & (t != F.lit("")) & to_float(c).isNull()
+    return c.isNotNull() & (t != F.lit("")) & (parsed.isNull() | ~_float_text_ok(t))
 
 
-_DATE_PARTS = r"^(\d{4})-(\d{1,2})-(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
+_DATE_PARTS = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
 def to_timestamp_ntz(c: Column, pattern: str = S.DATE_PATTERN) -> Column:
     """Text in the declared date format to TIMESTAMP_NTZ (microseconds); empty -> null.
 
-    The declared format is matched by a regex and assembled with
-    ``try_make_timestamp_ntz``, so no session time zone is involved (a wall
-    clock inside a DST gap stays as written). Other patterns use the
-    parser, which reads in the session time zone.
+    One regex checks the exact shape (4-digit year, 1-2 digit parts, no
+    fraction); the value is then a time-zone-free ``try_cast`` to
+    TIMESTAMP_NTZ, which rejects out-of-range parts (month 13, Feb 30, 24:00).
+    Other patterns use the parser, which reads in the session time zone.
     """
     if pattern != S.DATE_PATTERN:
         return F.try_to_timestamp(c, F.lit(pattern)).cast(T.TimestampNTZType())
-    part = [F.regexp_extract(c, _DATE_PARTS, i).cast("int") for i in range(1, 7)]
-    return F.when(c.rlike(_DATE_PARTS), F.try_make_timestamp_ntz(*part))
+    return F.when(c.rlike(_DATE_PARTS), c.try_cast(T.TimestampNTZType()))
 
 
-def timestamp_failed(c: Column, pattern: str = S.DATE_PATTERN) -> Column:
-    return c.isNotNull() & (c != F.lit("")) & to_timestamp_ntz(c, pattern).isNull()
+def timestamp_failed(c: Column, pattern: str = S.DATE_PATTERN, parsed: Column | None = None) -> Column:
+    """True when a present, non-empty text is not a timestamp in the declared format."""
+    parsed = parsed if parsed is not None else to_timestamp_ntz(c, pattern)
+    return c.isNotNull() & (c != F.lit("")) & parsed.isNull()
 
 
 def timestamps_to_micros(df: DataFrame) -> DataFrame:

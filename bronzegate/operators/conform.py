@@ -20,7 +20,6 @@ from ..functions.columns import (
     fill_empty,
     float_failed,
     timestamp_failed,
-    to_float,
     to_timestamp_ntz,
     unique_assessment_id,
 )
@@ -49,17 +48,28 @@ def conform(rows: DataFrame, extract_type: str, ingestion_ts: _dt.datetime | Col
     else:
         ts = F.lit(ingestion_ts).cast(T.TimestampNTZType())
     meta = file_metadata_columns(F.col("FILE_NAME"))
-    staged = rows.select("*", *meta[1:])
-    uid = unique_assessment_id()
+    raw = "__raw__"
+    # Step 1: every conversion is computed once; the raw text of typed columns
+    # is kept under a temporary name for the failure flags of step 2.
+    staged = rows.select(
+        *[col(c) for c in strings],
+        # Plain cast here; the syntax guard sits in the failure flag (a flagged
+        # value makes its file unreadable, so the typed value is never used).
+        *[F.trim(col(c)).try_cast(T.FloatType()).alias(c) for c in floats],
+        *[to_timestamp_ntz(col(c), pattern).alias(c) for c in dates],
+        *[col(c).alias(raw + c) for c in floats + dates],
+        *[col(c) for c in extras],
+        F.col("FILE_NAME"), *meta[1:],
+    ).withColumn(S.ID_COLUMN, unique_assessment_id())
+    # Step 2: fill, lineage order, and flags read the converted values.
     out = (
         [fill_empty(col(c)).alias(c) for c in strings]
-        + [to_float(col(c)).alias(c) for c in floats]
-        + [to_timestamp_ntz(col(c), pattern).alias(c) for c in dates]
+        + [col(c) for c in floats + dates]
         + [col(c) for c in extras]
         + [ts.alias("INGESTION_TIMESTAMP"), F.col("FILE_NAME"), F.col("FILE_DATE"), F.col("INSTANCE"),
-           F.col("PROVINCE"), F.col("EXTRACT_TYPE"), uid.alias(S.ID_COLUMN)]
-        + [float_failed(col(c)).alias(BAD_PREFIX + c) for c in floats]
-        + [timestamp_failed(col(c), pattern).alias(BAD_PREFIX + c) for c in dates]
+           F.col("PROVINCE"), F.col("EXTRACT_TYPE"), F.col(S.ID_COLUMN)]
+        + [float_failed(col(raw + c), col(c)).alias(BAD_PREFIX + c) for c in floats]
+        + [timestamp_failed(col(raw + c), pattern, col(c)).alias(BAD_PREFIX + c) for c in dates]
         + [col(c).isNull().alias(NULL_PREFIX + c) for c in strings]
     )
     return staged.select(*out)

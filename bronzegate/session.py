@@ -25,6 +25,9 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # A fused stage whose generated method exceeds the JIT's 8000-byte limit
+    # runs interpreted; fall back to per-expression compiled code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
