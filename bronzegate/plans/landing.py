@@ -35,7 +35,7 @@ from ..session import broadcast_if_small, cut_lineage
 from ..sources import archive as A
 from ..sources import bronze as B
 from ..sources.discover import detect_incoming
-from ..sources.scan import scan_extracts
+from ..sources.scan import scan_all
 
 MAX_BROADCAST_FILES = 1_000_000  # per-file tables: a row is ~100 bytes
 
@@ -63,10 +63,11 @@ def _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal):
 
 def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, persist: bool = True):
     """Scan + conform both extract types. Returns (conformed by type, status, rollup)."""
-    conformed, statuses, rollups, scans = {}, [], [], []
+    conformed, statuses, rollups = {}, [], []
+    by_type = scan_all(spark, manifest)
+    scans = list(by_type.values())
     for et in S.EXTRACT_TYPES:
-        scan = scan_extracts(spark, manifest, et)
-        scans.append(scan)
+        scan = by_type[et]
         statuses.append(scan.status)
         if scan.rows is None:
             continue

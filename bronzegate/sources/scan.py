@@ -173,53 +173,65 @@ class ScanResult:
             self.cached.unpersist()
 
 
-def scan_extracts(spark: SparkSession, manifest: DataFrame, extract_type: str,
-                  sep: str = S.SEPARATOR, keep_undeclared: bool = True) -> ScanResult:
-    """Route every file of ``extract_type`` and scan each route/header group once."""
-    m = manifest.where(F.col("EXTRACT_TYPE") == extract_type)
-    paths = [r["path"] for r in m.select("path").collect()]
-    declared = S.declared_columns(extract_type)
+def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
+             keep_undeclared: bool = True) -> dict[str, ScanResult]:
+    """S4 for every extract type at once: one line-statistics pass over all
+    files, then one scan per (extract type, route, header) group."""
+    paths = [r["path"] for r in manifest.select("path").collect()]
+    out: dict[str, ScanResult] = {}
     if not paths:
-        empty_status = spark.createDataFrame(
-            [], "FILE_NAME string, route string, read_errors array<string>, readable boolean")
-        return ScanResult(None, empty_status)
+        for et in S.EXTRACT_TYPES:
+            empty_status = spark.createDataFrame(
+                [], "FILE_NAME string, route string, read_errors array<string>, readable boolean")
+            out[et] = ScanResult(None, empty_status)
+        return out
     stats = line_stats(spark, paths, sep)
-    routed = route_files(m, stats).cache()
+    routed = route_files(manifest, stats).cache()
     groups = (routed.where(F.col("route") != ROUTE_UNREADABLE)
-              .groupBy("route", "header").agg(F.collect_list("path").alias("paths"))
+              .groupBy("EXTRACT_TYPE", "route", "header").agg(F.collect_list("path").alias("paths"))
               .collect())
-    frames = []
-    missing_rows = []
-    for g in groups:
-        route, header, gpaths = g["route"], g["header"], g["paths"]
-        names = tolerant_header_names(header, sep) if route == ROUTE_TOLERANT else strict_header_names(header, sep)
-        missing = [c for c in declared if c not in names]
-        if missing:
-            missing_rows.append((header, route, f"missing declared column(s) {missing}"))
-            continue
-        if route == ROUTE_TOLERANT:
-            blanks = routed.where((F.col("route") == ROUTE_TOLERANT) & (F.col("header") == F.lit(header))) \
-                .select("FILE_NAME", "n_blank")
-            df = scan_tolerant(spark, gpaths, header, blanks, sep)
+    for et in S.EXTRACT_TYPES:
+        declared = S.declared_columns(et)
+        r_et = routed.where(F.col("EXTRACT_TYPE") == et)
+        frames, missing_rows = [], []
+        for g in (g for g in groups if g["EXTRACT_TYPE"] == et):
+            route, header, gpaths = g["route"], g["header"], g["paths"]
+            names = (tolerant_header_names(header, sep) if route == ROUTE_TOLERANT
+                     else strict_header_names(header, sep))
+            missing = [c for c in declared if c not in names]
+            if missing:
+                missing_rows.append((header, route, f"missing declared column(s) {missing}"))
+                continue
+            if route == ROUTE_TOLERANT:
+                blanks = r_et.where((F.col("route") == ROUTE_TOLERANT) & (F.col("header") == F.lit(header))) \
+                    .select("FILE_NAME", "n_blank")
+                df = scan_tolerant(spark, gpaths, header, blanks, sep)
+            else:
+                df = scan_strict(spark, gpaths, header, route == ROUTE_MULTILINE, sep)
+            if not keep_undeclared:
+                df = df.select("FILE_NAME", *[col(c) for c in declared])
+            frames.append(df)
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+        status = r_et.select("FILE_NAME", "route", "header", "read_errors")
+        if missing_rows:
+            miss = spark.createDataFrame(missing_rows, "header string, route string, missing_error string")
+            status = status.join(F.broadcast(miss), ["header", "route"], "left")
         else:
-            df = scan_strict(spark, gpaths, header, route == ROUTE_MULTILINE, sep)
-        if not keep_undeclared:
-            df = df.select("FILE_NAME", *[col(c) for c in declared])
-        frames.append(df)
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
-
-    status = routed.select("FILE_NAME", "route", "header", "read_errors")
-    if missing_rows:
-        miss = spark.createDataFrame(missing_rows, "header string, route string, missing_error string")
-        status = status.join(F.broadcast(miss), ["header", "route"], "left")
-    else:
-        status = status.withColumn("missing_error", F.lit(None).cast("string"))
-    status = status.select(
-        "FILE_NAME", "route",
-        F.concat(F.col("read_errors"), F.coalesce(F.array_compact(F.array("missing_error")),
-                                                  F.array().cast("array<string>"))).alias("read_errors"),
-        ((F.col("route") != ROUTE_UNREADABLE) & F.col("missing_error").isNull()).alias("readable"))
-    return ScanResult(rows, status, routed)
+            status = status.withColumn("missing_error", F.lit(None).cast("string"))
+        status = status.select(
+            "FILE_NAME", "route",
+            F.concat(F.col("read_errors"), F.coalesce(F.array_compact(F.array("missing_error")),
+                                                      F.array().cast("array<string>"))).alias("read_errors"),
+            ((F.col("route") != ROUTE_UNREADABLE) & F.col("missing_error").isNull()).alias("readable"))
+        out[et] = ScanResult(rows, status, routed)
+    return out
+
+
+def scan_extracts(spark: SparkSession, manifest: DataFrame, extract_type: str,
+                  sep: str = S.SEPARATOR, keep_undeclared: bool = True) -> ScanResult:
+    """S4 for one extract type."""
+    m = manifest.where(F.col("EXTRACT_TYPE") == extract_type)
+    return scan_all(spark, m, sep, keep_undeclared)[extract_type]
 
 
 def pattern_escape(sep: str) -> str:
