@@ -232,12 +232,13 @@ def discovered_files(spark, sf_dir):
 def landed_questions(spark, sf_dir):
     """S2-S5 round trip: Questions rows read back from the bronze table."""
     _, bronze, _ = _landed(spark, sf_dir)
-    return B.read_table(spark, B.table_path(bronze, S.QUESTIONS)).drop("INGESTION_TIMESTAMP", B.BATCH_COLUMN)
+    return B.read_committed(spark, bronze, S.QUESTIONS).drop("INGESTION_TIMESTAMP", B.BATCH_COLUMN)
 
 
 def landed_scoring(spark, sf_dir):
+    """Committed Scoring rows (files the log lists as ingested in that batch)."""
     _, bronze, _ = _landed(spark, sf_dir)
-    return B.read_table(spark, B.table_path(bronze, S.SCORING)).drop("INGESTION_TIMESTAMP", B.BATCH_COLUMN)
+    return B.read_committed(spark, bronze, S.SCORING).drop("INGESTION_TIMESTAMP", B.BATCH_COLUMN)
 
 
 def landed_log(spark, sf_dir):

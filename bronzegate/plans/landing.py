@@ -13,6 +13,7 @@ collected.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -108,7 +109,8 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     """
     _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal)
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
-    batch_id = int(run_ts.timestamp() * 1000)
+    # Unique per run (microseconds at start), also when runs share a run_ts.
+    batch_id = time.time_ns() // 1000
 
     if manifest is None:
         manifest = detect_incoming(spark, raw_dir, file_glob, filters)

@@ -120,6 +120,24 @@ def export_log_csv(log: DataFrame, out_dir: str, run_ts_text: str) -> str:
     return path
 
 
+def read_committed(spark: SparkSession, bronze_dir: str, extract_type: str, fmt: str = "parquet",
+                   max_broadcast_rows: int = 1_000_000) -> DataFrame | None:
+    """Bronze rows of runs that completed: (FILE_NAME, batch) listed as ingested in the log.
+
+    The log is written last, so rows of a run that died between the two table
+    writes (or before its log) are invisible here, and a rerun that lands the
+    same files again does not double them.
+    """
+    table = read_table(spark, table_path(bronze_dir, extract_type), fmt)
+    log = read_log(spark, bronze_dir)
+    if table is None or log is None:
+        return None
+    done = log.where(F.col("INGEST_SUCCESS")).select("FILE_NAME", BATCH_COLUMN)
+    n = done.count()  # one row per landed file: a proven bound for the broadcast
+    done = F.broadcast(done) if n <= max_broadcast_rows else done
+    return table.join(done, ["FILE_NAME", BATCH_COLUMN], "left_semi")
+
+
 def ingested_files(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
     """Names of files an earlier run wrote (for idempotent appends)."""
     log = read_log(spark, bronze_dir)
@@ -130,5 +148,6 @@ def ingested_files(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
 
 __all__ = [
     "BATCH_COLUMN", "table_path", "log_path", "read_table", "write_bronze", "get_or_create_table",
-    "change_feed", "snapshot_diff", "append_log", "read_log", "export_log_csv", "ingested_files", "S",
+    "change_feed", "snapshot_diff", "append_log", "read_log", "export_log_csv", "ingested_files",
+    "read_committed", "S",
 ]

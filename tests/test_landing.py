@@ -242,3 +242,29 @@ def test_archive_after_landing(spark, dirs, tmp_path):
     assert qname("B") in moved and sname("B") in moved
     bundle = spark.read.parquet(os.path.join(arc, "ingested_2024-02-01_12-00"))
     assert sorted(r[0] for r in bundle.select("name").collect()) == sorted([qname("A"), sname("A")])
+
+
+def test_crash_between_writes_leaves_no_visible_rows(spark, dirs, monkeypatch):
+    raw, bronze = dirs
+    pair(raw, "A", [q_row(aid="1"), q_row(aid="2")], [s_row(aid="1"), s_row(aid="2")])
+    import bronzegate.plans.landing as L
+
+    real = L.B.write_bronze
+    calls = {"n": 0}
+
+    def failing(df, path, *a, **k):
+        calls["n"] += 1
+        if calls["n"] == 2:  # Questions written, Scoring write dies
+            raise RuntimeError("executor lost")
+        return real(df, path, *a, **k)
+
+    monkeypatch.setattr(L.B, "write_bronze", failing)
+    with pytest.raises(RuntimeError):
+        land(spark, raw, bronze, run_ts=RUN_TS)
+    monkeypatch.setattr(L.B, "write_bronze", real)
+    assert questions(spark, bronze).count() == 2          # orphan rows physically there
+    assert B.read_committed(spark, bronze, S.QUESTIONS) is None  # no log yet: nothing committed
+    land(spark, raw, bronze, run_ts=RUN_TS + dt.timedelta(minutes=5))
+    assert questions(spark, bronze).count() == 4          # rerun appended again
+    assert B.read_committed(spark, bronze, S.QUESTIONS).count() == 2
+    assert B.read_committed(spark, bronze, S.SCORING).count() == 2
