@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.columns import accepted, col, pair_key
 from .conform import BAD_PREFIX, NULL_PREFIX
+from ..session import broadcast_if_small
 from .quality import summarize_flags, value_flags
 
 
@@ -108,10 +109,17 @@ def pair_id_check(questions: DataFrame, scoring: DataFrame) -> DataFrame:
     return summarize_flags(pair_id_flags(questions, scoring), ["PAIR_KEY"]).drop("column_name")
 
 
-def uncovered_ids(questions: DataFrame, scoring: DataFrame, pairs: DataFrame) -> DataFrame:
-    """J3 (long form): FILE_WITH, FILE_WITHOUT, MISSING_ID for every one-sided ID."""
+def uncovered_ids(questions: DataFrame, scoring: DataFrame, pairs: DataFrame,
+                  max_broadcast_pairs: int = 1_000_000) -> DataFrame:
+    """J3 (long form): FILE_WITH, FILE_WITHOUT, MISSING_ID for every one-sided ID.
+
+    The pair table (one row per delivery) is broadcast when its counted size
+    is within the bound, so the one-sided IDs are never shuffled by pair key
+    (a pair holding a third of all IDs would otherwise meet on one reducer).
+    """
     flags = pair_id_flags(questions, scoring).where(F.col("in_left") != F.col("in_right"))
-    j = flags.join(pairs.select("PAIR_KEY", "Q_FILE", "S_FILE"), "PAIR_KEY")
+    j = flags.join(broadcast_if_small(pairs.select("PAIR_KEY", "Q_FILE", "S_FILE"), max_broadcast_pairs),
+                   "PAIR_KEY")
     q_has = F.col("in_left") == 1
     return j.select(
         "PAIR_KEY",

@@ -62,10 +62,11 @@ def _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal):
         raise ValueError("on_unequal must be 'record' or 'skip'")
 
 
-def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, persist: bool = True):
-    """Scan + conform both extract types. Returns (conformed by type, status, rollup)."""
+def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, persist: bool = True,
+            skip_blank: bool = False):
+    """Scan + conform both extract types. Returns (conformed by type, status, rollup, scans)."""
     conformed, statuses, rollups = {}, [], []
-    by_type = scan_all(spark, manifest)
+    by_type = scan_all(spark, manifest, skip_blank=skip_blank)
     scans = list(by_type.values())
     for et in S.EXTRACT_TYPES:
         scan = by_type[et]
@@ -98,7 +99,7 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
          compression: str | None = S.DEFAULT_ARCHIVE_CODEC, on_unpaired: str = "fail",
          on_unequal: str = "record", run_ts: _dt.datetime | None = None, persist: bool = True,
          fmt: str = "parquet", manifest: DataFrame | None = None, export_csv_dir: str | None = None,
-         ) -> LandingResult:
+         skip_blank: bool = False) -> LandingResult:
     """Land every paired extract in ``raw_dir`` into ``bronze_dir``.
 
     Parameters mirror the original job (``raw_dir, bronze_dir, file_glob,
@@ -106,6 +107,8 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     compression``) and are validated before anything runs. Appends are
     idempotent: files the log already records as ingested are skipped.
     ``manifest`` lets a caller (the streaming job) pass its own file set.
+    ``skip_blank`` drops the one-empty-field rows blank lines give in a
+    tolerant parse; ``on_unequal="skip"`` withholds pairs whose ID sets differ.
     """
     _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal)
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
@@ -132,7 +135,7 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     to_read = manifest.join(broadcast_if_small(paired_names, MAX_BROADCAST_FILES, n_files), "FILE_NAME",
                             "left_semi")
 
-    conformed, status, rollup, scans = prepare(spark, to_read, run_ts, persist)
+    conformed, status, rollup, scans = prepare(spark, to_read, run_ts, persist, skip_blank)
     read_meta = file_read_metadata(status, rollup)
     q = conformed.get(S.QUESTIONS)
     s = conformed.get(S.SCORING)

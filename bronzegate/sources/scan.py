@@ -23,7 +23,6 @@ Only per-file metadata (path lists per header group) reaches the driver.
 from __future__ import annotations
 
 import csv
-import re
 from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
@@ -174,9 +173,12 @@ class ScanResult:
 
 
 def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
-             keep_undeclared: bool = True) -> dict[str, ScanResult]:
+             keep_undeclared: bool = True, skip_blank: bool = False) -> dict[str, ScanResult]:
     """S4 for every extract type at once: one line-statistics pass over all
-    files, then one scan per (extract type, route, header) group."""
+    files, then one scan per (extract type, route, header) group.
+
+    ``skip_blank=True`` drops the rows that blank lines yield in a tolerant
+    parse (the strict scan always skips blank lines)."""
     paths = [r["path"] for r in manifest.select("path").collect()]
     out: dict[str, ScanResult] = {}
     if not paths:
@@ -205,7 +207,7 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
             if route == ROUTE_TOLERANT:
                 blanks = r_et.where((F.col("route") == ROUTE_TOLERANT) & (F.col("header") == F.lit(header))) \
                     .select("FILE_NAME", "n_blank")
-                df = scan_tolerant(spark, gpaths, header, blanks, sep)
+                df = scan_tolerant(spark, gpaths, header, None if skip_blank else blanks, sep)
             else:
                 df = scan_strict(spark, gpaths, header, route == ROUTE_MULTILINE, sep)
             if not keep_undeclared:
@@ -228,11 +230,7 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
 
 
 def scan_extracts(spark: SparkSession, manifest: DataFrame, extract_type: str,
-                  sep: str = S.SEPARATOR, keep_undeclared: bool = True) -> ScanResult:
+                  sep: str = S.SEPARATOR, keep_undeclared: bool = True, skip_blank: bool = False) -> ScanResult:
     """S4 for one extract type."""
     m = manifest.where(F.col("EXTRACT_TYPE") == extract_type)
-    return scan_all(spark, m, sep, keep_undeclared)[extract_type]
-
-
-def pattern_escape(sep: str) -> str:
-    return re.escape(sep)
+    return scan_all(spark, m, sep, keep_undeclared, skip_blank)[extract_type]

@@ -268,3 +268,13 @@ def test_crash_between_writes_leaves_no_visible_rows(spark, dirs, monkeypatch):
     assert questions(spark, bronze).count() == 4          # rerun appended again
     assert B.read_committed(spark, bronze, S.QUESTIONS).count() == 2
     assert B.read_committed(spark, bronze, S.SCORING).count() == 2
+
+
+def test_skip_blank_and_skip_unequal(spark, dirs):
+    raw, bronze = dirs
+    pair(raw, "L", [q_row(aid="1"), q_row(aid="2") + "|extra", ""], [s_row(aid="1"), s_row(aid="2")])
+    pair(raw, "B", [q_row(aid="1")], [s_row(aid="1"), s_row(aid="9")])
+    _, log = run(spark, raw, bronze, skip_blank=True, on_unequal="skip")
+    assert log[qname("L")]["N_ROWS"] == 2 and log[qname("L")]["INGEST_SUCCESS"]
+    assert not log[qname("B")]["INGEST_SUCCESS"] and not log[sname("B")]["INGEST_SUCCESS"]
+    assert questions(spark, bronze).count() == 2
