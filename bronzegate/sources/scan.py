@@ -58,9 +58,10 @@ def line_stats(spark: SparkSession, paths: Sequence[str], sep: str = S.SEPARATOR
     odd = (n_quotes % 2) == 1
     per_line = lines.select("FILE_NAME", "blk", "mid", v, n_quotes.alias("q"),
                             n_fields.alias("nf"), blank.alias("blank"), odd.alias("odd"))
-    # The first line of a file is the lowest id in the split starting at byte 0:
+    # The header is the first non-blank line (as the CSV reader takes it): the
+    # lowest id among non-blank lines of the split starting at byte 0, since
     # the text source emits a split's lines in order within one task.
-    first = F.min(F.when(F.col("blk") == 0, F.struct("mid", "value", "nf")))
+    first = F.min(F.when((F.col("blk") == 0) & ~F.col("blank"), F.struct("mid", "value", "nf")))
     return (per_line.groupBy("FILE_NAME").agg(
         first.alias("first"),
         F.count(F.lit(1)).alias("n_lines"),
@@ -68,7 +69,7 @@ def line_stats(spark: SparkSession, paths: Sequence[str], sep: str = S.SEPARATOR
         F.count_if("odd").alias("n_odd_lines"),
         F.sum("q").alias("n_quotes"),
         F.max(F.when(~F.col("odd") & ~F.col("blank"), F.col("nf"))).alias("max_fields"))
-        .select("FILE_NAME", F.col("first.value").alias("header"),
+        .select("FILE_NAME", F.regexp_replace(F.col("first.value"), "^\uFEFF", "").alias("header"),
                 F.col("first.nf").alias("header_fields"), "n_lines", "n_blank",
                 "n_odd_lines", "n_quotes", "max_fields"))
 

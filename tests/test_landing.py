@@ -278,3 +278,14 @@ def test_skip_blank_and_skip_unequal(spark, dirs):
     assert log[qname("L")]["N_ROWS"] == 2 and log[qname("L")]["INGEST_SUCCESS"]
     assert not log[qname("B")]["INGEST_SUCCESS"] and not log[sname("B")]["INGEST_SUCCESS"]
     assert questions(spark, bronze).count() == 2
+
+
+def test_byte_order_mark_and_leading_blank_lines(spark, dirs):
+    raw, bronze = dirs
+    write(raw, qname("M"), "﻿" + Q_HEADER + "\n" + q_row(aid="1") + "\n")
+    write(raw, sname("M"), "\n\n" + S_HEADER + "\n" + s_row(aid="1") + "\n")
+    _, log = run(spark, raw, bronze)
+    for f in (qname("M"), sname("M")):
+        assert log[f]["READ_SUCCESS"] and log[f]["INGEST_SUCCESS"] and log[f]["N_ROWS"] == 1, log[f]
+    r = questions(spark, bronze).collect()[0]
+    assert r["Facility ID"] == "F1" and r[S.ID_COLUMN] == "EXT|Ontario|F1|R1|1|2024-01-05"
