@@ -3,9 +3,9 @@
 Design: the relation of two value sets is decided by ONE aggregation over the
 union of both sides' values, each tagged with a side flag:
 
-    left  -> (group..., kind, value, in_left=1, in_right=0)
-    right -> (group..., kind, value, in_left=0, in_right=1)
-    groupBy(group..., kind, value).agg(max(in_left), max(in_right))   # partial agg map-side
+    left  -> (group..., [column], value, in_left=1, in_right=0)
+    right -> (group..., [column], value, in_left=0, in_right=1)
+    groupBy(group..., [column], value).agg(max(in_left), max(in_right))   # partial agg map-side
     groupBy(group...).agg(count_if(left only), count_if(right only))  # tiny
 
 Partial (map-side) aggregation collapses hot values before the shuffle, so a
@@ -67,56 +67,64 @@ def _field_type(df: DataFrame, col: str) -> T.DataType:
 
 
 def _plan_columns(cols: Sequence[str], left: DataFrame, right: DataFrame):
-    """Per column: (name, left expr, right expr, kinds equal?) with one common value type."""
-    plans = []
-    for c in cols:
-        lt, rt = _field_type(left, c), _field_type(right, c)
-        target = _unified_type(lt, rt)
-        plans.append((c, lt, rt, target))
-    targets = {p[3] for p in plans if p[3] is not None}
-    value_type = targets.pop() if len(targets) == 1 and all(p[3] is not None for p in plans) \
-        else T.StringType()
+    """Per column: (name, left value, right value, left kind, right kind), one value type.
+
+    ``kind`` is 0 when both sides share a comparison type; when they cannot
+    match (e.g. text vs number) the sides get kinds 1 and 2 so no value is
+    shared. Values of different columns are cast to text only when the
+    columns' comparison types differ.
+    """
+    plans = [(c, _field_type(left, c), _field_type(right, c)) for c in cols]
+    plans = [(c, lt, rt, _unified_type(lt, rt)) for c, lt, rt in plans]
+    targets = {p[3] for p in plans}
+    value_type = next(iter(targets)) if len(targets) == 1 and None not in targets else T.StringType()
     out = []
     for c, lt, rt, target in plans:
         if target is None:
-            # Different kinds: tag each side with its own kind so nothing matches.
-            lv, rv = F.col(f"`{c}`").cast(T.StringType()), F.col(f"`{c}`").cast(T.StringType())
-            lk, rk = _kind(lt), _kind(rt)
-            if lk == rk:
-                lk, rk = "left:" + lk, "right:" + rk
+            v = F.col(f"`{c}`").cast(T.StringType())
+            out.append((c, v, v, 1, 2))
         else:
-            lv = _canonical(F.col(f"`{c}`"), lt, target).cast(value_type)
-            rv = _canonical(F.col(f"`{c}`"), rt, target).cast(value_type)
-            lk = rk = _kind(target)
-        out.append((c, lv, rv, lk, rk))
+            out.append((c, _canonical(F.col(f"`{c}`"), lt, target).cast(value_type),
+                        _canonical(F.col(f"`{c}`"), rt, target).cast(value_type), 0, 0))
     return out, value_type
 
 
-def _stack(df: DataFrame, parts, side: str, group_cols: Sequence[str]) -> DataFrame:
-    """One row per (input row, checked column): group cols, column, kind, value, side flags."""
-    in_l = F.lit(1 if side == "left" else 0).cast("tinyint")
-    in_r = F.lit(0 if side == "left" else 1).cast("tinyint")
-    structs = [
-        F.struct(F.lit(c).alias("column_name"), F.lit(lk if side == "left" else rk).alias("kind"),
-                 (lv if side == "left" else rv).alias("value"))
-        for c, lv, rv, lk, rk in parts
-    ]
+def _stack(df: DataFrame, parts, side: str, group_cols: Sequence[str], multi: bool) -> DataFrame:
+    """One row per (input row, checked column): group cols, [column], kind, value, side flag."""
+    left = side == "left"
+    in_l = F.lit(1 if left else 0).cast("tinyint").alias("in_left")
+    in_r = F.lit(0 if left else 1).cast("tinyint").alias("in_right")
     base = [F.col(f"`{g}`") for g in group_cols]
-    if len(structs) == 1:
-        s = structs[0]
-        return df.select(*base, s.getField("column_name").alias("column_name"), s.getField("kind").alias("kind"),
-                         s.getField("value").alias("value"), in_l.alias("in_left"), in_r.alias("in_right"))
-    return (df.select(*base, F.inline(F.array(*structs)))
-              .withColumn("in_left", in_l).withColumn("in_right", in_r))
+    if not multi:
+        c, lv, rv, lk, rk = parts[0]
+        return df.select(*base, F.lit(lk if left else rk).cast("tinyint").alias("kind"),
+                         (lv if left else rv).alias("value"), in_l, in_r)
+    structs = [F.struct(F.lit(c).alias("column_name"), F.lit(lk if left else rk).cast("tinyint").alias("kind"),
+                        (lv if left else rv).alias("value"))
+               for c, lv, rv, lk, rk in parts]
+    return df.select(*base, F.inline(F.array(*structs)), in_l, in_r)
 
 
 def value_flags(left: DataFrame, right: DataFrame, cols: Sequence[str],
                 group_cols: Sequence[str] = ()) -> DataFrame:
-    """Distinct values per (group, column) with side flags: the shared core of E2-E4, J3."""
+    """Distinct values per (group, column) with side flags: the shared core of E2-E4, J3.
+
+    Output: group cols, column_name, kind, value, in_left, in_right. The column
+    name and kind join the grouping key only when they vary (several columns,
+    mismatched types); otherwise they are added after the aggregation.
+    """
     parts, _ = _plan_columns(cols, left, right)
-    keys = [*group_cols, "column_name", "kind", "value"]
-    both = _stack(left, parts, "left", group_cols).unionByName(_stack(right, parts, "right", group_cols))
-    return both.groupBy(*keys).agg(F.max("in_left").alias("in_left"), F.max("in_right").alias("in_right"))
+    multi = len(parts) > 1
+    mismatch = any(p[3] != p[4] for p in parts)
+    both = _stack(left, parts, "left", group_cols, multi).unionByName(
+        _stack(right, parts, "right", group_cols, multi))
+    keys = [*group_cols] + (["column_name"] if multi else []) + (["kind"] if mismatch else []) + ["value"]
+    agg = both.groupBy(*keys).agg(F.max("in_left").alias("in_left"), F.max("in_right").alias("in_right"))
+    if not multi:
+        agg = agg.withColumn("column_name", F.lit(parts[0][0]))
+    if not mismatch:
+        agg = agg.withColumn("kind", F.lit(0).cast("tinyint"))
+    return agg.select(*group_cols, "column_name", "kind", "value", "in_left", "in_right")
 
 
 def _relation_expr(n_l: Column, n_r: Column) -> Column:
