@@ -289,3 +289,25 @@ def test_byte_order_mark_and_leading_blank_lines(spark, dirs):
         assert log[f]["READ_SUCCESS"] and log[f]["INGEST_SUCCESS"] and log[f]["N_ROWS"] == 1, log[f]
     r = questions(spark, bronze).collect()[0]
     assert r["Facility ID"] == "F1" and r[S.ID_COLUMN] == "EXT|Ontario|F1|R1|1|2024-01-05"
+
+
+def test_gated_writes_do_not_shuffle_rows(spark, dirs, monkeypatch):
+    raw, bronze = dirs
+    pair(raw, "A", [q_row(aid="1")], [s_row(aid="1")])
+    import bronzegate.plans.landing as L
+
+    plans = []
+    real = L.B.write_bronze
+
+    def spy(df, path, *a, **k):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, path, *a, **k)
+
+    monkeypatch.setattr(L.B, "write_bronze", spy)
+    land(spark, raw, bronze, run_ts=RUN_TS)
+    assert len(plans) == 2
+    for p in plans:
+        assert "BroadcastHashJoin" in p and "LeftSemi" in p
+        assert "Exchange hashpartitioning" not in p
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
+            assert bad not in p
