@@ -62,13 +62,27 @@ def missing_files(requested: DataFrame, listing: DataFrame, key: str = "FILE_NAM
 
 
 def precheck(spark: SparkSession, paths: Sequence[str]) -> None:
-    """S10 before anything is touched: every path must exist and be a regular file."""
+    """S10 before anything is touched: every path must exist and be a regular file.
+
+    One directory listing per parent folder (usually one), not one call per file.
+    """
+    jvm = spark.sparkContext._jvm
+    by_dir: dict[str, list[str]] = {}
     for p in paths:
-        fs, jp = hadoop_fs(spark, p)
-        if not fs.exists(jp):
-            raise FileNotFoundError(f"attempt to archive {p}, but file does not exist.")
-        if not fs.getFileStatus(jp).isFile():
-            raise ValueError(f"attempt to archive {p}, but path does not point to a file.")
+        jp = jvm.org.apache.hadoop.fs.Path(p)
+        parent = jp.getParent()
+        by_dir.setdefault(parent.toString() if parent is not None else p, []).append(p)
+    for d, wanted in by_dir.items():
+        fs, jd = hadoop_fs(spark, d)
+        listed = {}
+        if fs.exists(jd) and fs.getFileStatus(jd).isDirectory():
+            listed = {st.getPath().getName(): st.isFile() for st in fs.listStatus(jd)}
+        for p in wanted:
+            name = jvm.org.apache.hadoop.fs.Path(p).getName()
+            if name not in listed:
+                raise FileNotFoundError(f"attempt to archive {p}, but file does not exist.")
+            if not listed[name]:
+                raise ValueError(f"attempt to archive {p}, but path does not point to a file.")
 
 
 def archive_files(spark: SparkSession, paths: Sequence[str], dest: str, compression: str | None = "gzip",
