@@ -32,7 +32,7 @@ from ..operators.records import (
     pair_id_check,
     unpaired_outcome,
 )
-from ..session import broadcast_if_small, cut_lineage
+from ..session import broadcast_if_small, cut_lineage, max_partition_bytes
 from ..sources import archive as A
 from ..sources import bronze as B
 from ..sources.discover import detect_incoming
@@ -63,10 +63,11 @@ def _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal):
 
 
 def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, persist: bool = True,
-            skip_blank: bool = False):
+            skip_blank: bool = False, split_bytes: int | None = None):
     """Scan + conform both extract types. Returns (conformed by type, status, rollup, scans)."""
     conformed, statuses, rollups = {}, [], []
-    by_type = scan_all(spark, manifest, skip_blank=skip_blank)
+    by_type = scan_all(spark, manifest, skip_blank=skip_blank,
+                       split_bytes=split_bytes if split_bytes is not None else max_partition_bytes(spark))
     scans = list(by_type.values())
     for et in S.EXTRACT_TYPES:
         scan = by_type[et]
@@ -99,7 +100,7 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
          compression: str | None = S.DEFAULT_ARCHIVE_CODEC, on_unpaired: str = "fail",
          on_unequal: str = "record", run_ts: _dt.datetime | None = None, persist: bool = True,
          fmt: str = "parquet", manifest: DataFrame | None = None, export_csv_dir: str | None = None,
-         skip_blank: bool = False) -> LandingResult:
+         skip_blank: bool = False, multiline_split_bytes: int | None = None) -> LandingResult:
     """Land every paired extract in ``raw_dir`` into ``bronze_dir``.
 
     Parameters mirror the original job (``raw_dir, bronze_dir, file_glob,
@@ -109,6 +110,8 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     ``manifest`` lets a caller (the streaming job) pass its own file set.
     ``skip_blank`` drops the one-empty-field rows blank lines give in a
     tolerant parse; ``on_unequal="skip"`` withholds pairs whose ID sets differ.
+    Files with quoted line breaks larger than ``multiline_split_bytes``
+    (default: one file split) are parsed split-parallel.
     """
     _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal)
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
@@ -121,7 +124,9 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
         done = B.ingested_files(spark, bronze_dir)
         if done is not None:
             manifest = manifest.join(done, "FILE_NAME", "left_anti")
-    manifest = cut_lineage(manifest.select(*S.FILE_METADATA_COLUMNS, "path"))
+    if "length" not in manifest.columns:
+        manifest = manifest.withColumn("length", F.lit(None).cast("long"))
+    manifest = cut_lineage(manifest.select(*S.FILE_METADATA_COLUMNS, "path", "length"))
     n_files = manifest.count()
 
     pairs = cut_lineage(pair_files(manifest))
@@ -135,7 +140,8 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     to_read = manifest.join(broadcast_if_small(paired_names, MAX_BROADCAST_FILES, n_files), "FILE_NAME",
                             "left_semi")
 
-    conformed, status, rollup, scans = prepare(spark, to_read, run_ts, persist, skip_blank)
+    conformed, status, rollup, scans = prepare(spark, to_read, run_ts, persist, skip_blank,
+                                               multiline_split_bytes)
     read_meta = file_read_metadata(status, rollup)
     q = conformed.get(S.QUESTIONS)
     s = conformed.get(S.SCORING)

@@ -86,6 +86,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int, known_rows: int | None = No
     return F.broadcast(df) if n <= max_rows else df
 
 
+def max_partition_bytes(spark: SparkSession) -> int:
+    """``spark.sql.files.maxPartitionBytes`` in bytes (the size of one file split)."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """Hadoop FileSystem and Path for ``path`` (works for local and shared stores)."""
     jvm = spark.sparkContext._jvm

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +36,8 @@ from ..functions.columns import clean_split, col, na_to_null
 
 ROUTE_UNREADABLE = "unreadable"
 ROUTE_TOLERANT = "tolerant"
-ROUTE_MULTILINE = "multiline"
+ROUTE_MULTILINE = "multiline"          # quoted newlines, file within one split: whole-file reader
+ROUTE_MULTILINE_SPLIT = "multiline_split"  # quoted newlines, larger file: split-parallel rebuild
 ROUTE_STRICT = "strict"
 
 _NO_SEP = "\u0000"  # a separator and quote that never occur: one whole line per value
@@ -74,15 +75,22 @@ def line_stats(spark: SparkSession, paths: Sequence[str], sep: str = S.SEPARATOR
                 "n_odd_lines", "n_quotes", "max_fields"))
 
 
-def route_files(manifest: DataFrame, stats: DataFrame) -> DataFrame:
-    """Per file: route and the read errors a fallback records (left join from the manifest)."""
-    m = manifest.select("FILE_NAME", "path", "EXTRACT_TYPE")
+def route_files(manifest: DataFrame, stats: DataFrame, split_bytes: int = 128 * 1024 * 1024) -> DataFrame:
+    """Per file: route and the read errors a fallback records (left join from the manifest).
+
+    A file with quoted line breaks that fits in one split (``length`` known and
+    at most ``split_bytes``) is parsed whole by one task, which costs nothing
+    in parallelism; a larger (or unsized) one is rebuilt split-parallel.
+    """
+    length = F.col("length") if "length" in manifest.columns else F.lit(None).cast("long")
+    m = manifest.select("FILE_NAME", "path", "EXTRACT_TYPE", length.alias("length"))
     j = m.join(stats, "FILE_NAME", "left")
     unclosed = (F.col("n_quotes") % 2) == 1
     long_row = F.col("max_fields") > F.col("header_fields")
     route = (F.when(F.col("n_lines").isNull(), F.lit(ROUTE_UNREADABLE))
               .when(long_row | unclosed, F.lit(ROUTE_TOLERANT))
-              .when(F.col("n_odd_lines") > 0, F.lit(ROUTE_MULTILINE))
+              .when((F.col("n_odd_lines") > 0) & (F.col("length") <= F.lit(split_bytes)), F.lit(ROUTE_MULTILINE))
+              .when(F.col("n_odd_lines") > 0, F.lit(ROUTE_MULTILINE_SPLIT))
               .otherwise(F.lit(ROUTE_STRICT)))
     err = (F.when(F.col("n_lines").isNull(), F.lit("No columns to parse from file"))
             .when(long_row, F.format_string("Error tokenizing data. C error: Expected %d fields, saw %d",
@@ -134,6 +142,64 @@ def scan_strict(spark: SparkSession, paths: Sequence[str], header: str, multilin
                      *[na_to_null(col(n)).alias(n) for n in names])
 
 
+def scan_quoted_records(spark: SparkSession, paths: Sequence[str], header: str, sep: str = S.SEPARATOR,
+                        max_broadcast_splits: int = 1_000_000) -> DataFrame:
+    """S2 for files with quoted line breaks, kept splittable.
+
+    Spark's multi-line CSV reader parses such a file in one task. Here the
+    file is read as lines (split-parallel) and records are rebuilt:
+
+    * only lines with an odd number of quotes flip the "inside quotes" state,
+      so a line's state follows from the ordinal of the last odd line at or
+      before it in its file;
+    * that ordinal = odd lines in earlier splits of the file (a tiny per-split
+      table, prefix-summed) + a running count inside the line's split (a
+      window per file split, so no group is larger than one split);
+    * an odd ordinal opens a record, the next closes it; lines in between
+      belong to it. Only the lines of such multi-line records are regrouped
+      (by record), joined with newlines, and every record is parsed with
+      ``from_csv`` by the header's names.
+    """
+    names = strict_header_names(header, sep)
+    v = F.col("value")
+    lines = spark.read.text(list(paths)).select(
+        v, F.col("_metadata.file_name").alias("FILE_NAME"),
+        F.col("_metadata.file_block_start").alias("blk"),
+        F.monotonically_increasing_id().alias("mid"))
+    n_quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
+    lines = lines.withColumn("odd", (n_quotes % 2 == 1).cast("int")).withColumn("blank", v.rlike(_BLANK))
+
+    per_split = lines.groupBy("FILE_NAME", "blk").agg(F.sum("odd").alias("n_odd"))
+    before = Window.partitionBy("FILE_NAME").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    per_split = per_split.select("FILE_NAME", "blk",
+                                 F.coalesce(F.sum("n_odd").over(before), F.lit(0)).alias("odd_before"))
+    n_splits = per_split.count()
+    per_split = F.broadcast(per_split) if n_splits <= max_broadcast_splits else per_split
+
+    in_split = Window.partitionBy("FILE_NAME", "blk").orderBy("mid")
+    running = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole_split = Window.partitionBy("FILE_NAME", "blk")
+    marked = (lines.join(per_split, ["FILE_NAME", "blk"])
+              .withColumn("k", F.col("odd_before") + F.sum("odd").over(running))
+              .withColumn("first_text", F.min(F.when(~F.col("blank"), F.col("mid"))).over(whole_split)))
+    is_header = (F.col("blk") == 0) & (F.col("mid") == F.col("first_text"))
+    inside = (F.col("k") % 2 == 1)
+    part = (F.col("odd") == 1) | inside
+    record_k = F.when(F.col("k") % 2 == 1, F.col("k")).otherwise(F.col("k") - 1)
+
+    single = marked.where(~part & ~F.col("blank") & ~is_header).select("FILE_NAME", v.alias("record"))
+    pieces = marked.where(part & ~is_header).select("FILE_NAME", record_k.alias("record_k"),
+                                                    F.struct("blk", "mid", "value").alias("line"))
+    multi = pieces.groupBy("FILE_NAME", "record_k").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: x["value"]), "\n")
+        .alias("record")).select("FILE_NAME", "record")
+    records = single.unionByName(multi)
+    opts = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
+    parsed = records.select("FILE_NAME", F.from_csv("record", ddl, opts).alias("r"))
+    return parsed.select("FILE_NAME", *[na_to_null(F.col("r").getField(n)).alias(n) for n in names])
+
+
 def scan_tolerant(spark: SparkSession, paths: Sequence[str], header: str,
                   blank_rows: DataFrame | None = None, sep: str = S.SEPARATOR) -> DataFrame:
     """S3: each line split on the raw separator with no quote awareness.
@@ -174,12 +240,17 @@ class ScanResult:
 
 
 def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
-             keep_undeclared: bool = True, skip_blank: bool = False) -> dict[str, ScanResult]:
+             keep_undeclared: bool = True, skip_blank: bool = False,
+             whole_file_multiline: bool = False,
+             split_bytes: int = 128 * 1024 * 1024) -> dict[str, ScanResult]:
     """S4 for every extract type at once: one line-statistics pass over all
     files, then one scan per (extract type, route, header) group.
 
     ``skip_blank=True`` drops the rows that blank lines yield in a tolerant
-    parse (the strict scan always skips blank lines)."""
+    parse (the strict scan always skips blank lines). Files with quoted line
+    breaks larger than ``split_bytes`` are rebuilt split-parallel
+    (``scan_quoted_records``) unless ``whole_file_multiline`` asks for Spark's
+    one-task-per-file reader; smaller ones are one task either way."""
     paths = [r["path"] for r in manifest.select("path").collect()]
     out: dict[str, ScanResult] = {}
     if not paths:
@@ -189,7 +260,7 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
             out[et] = ScanResult(None, empty_status)
         return out
     stats = line_stats(spark, paths, sep)
-    routed = route_files(manifest, stats).cache()
+    routed = route_files(manifest, stats, split_bytes).cache()
     groups = (routed.where(F.col("route") != ROUTE_UNREADABLE)
               .groupBy("EXTRACT_TYPE", "route", "header").agg(F.collect_list("path").alias("paths"))
               .collect())
@@ -209,8 +280,10 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
                 blanks = r_et.where((F.col("route") == ROUTE_TOLERANT) & (F.col("header") == F.lit(header))) \
                     .select("FILE_NAME", "n_blank")
                 df = scan_tolerant(spark, gpaths, header, None if skip_blank else blanks, sep)
+            elif route == ROUTE_MULTILINE_SPLIT and not whole_file_multiline:
+                df = scan_quoted_records(spark, gpaths, header, sep)
             else:
-                df = scan_strict(spark, gpaths, header, route == ROUTE_MULTILINE, sep)
+                df = scan_strict(spark, gpaths, header, route != ROUTE_STRICT, sep)
             if not keep_undeclared:
                 df = df.select("FILE_NAME", *[col(c) for c in declared])
             frames.append(df)

@@ -311,3 +311,21 @@ def test_gated_writes_do_not_shuffle_rows(spark, dirs, monkeypatch):
         assert "Exchange hashpartitioning" not in p
         for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
             assert bad not in p
+
+
+def test_split_parallel_multiline_route_equals_whole_file(spark, dirs, tmp_path):
+    raw, bronze = dirs
+    lines = [q_row(aid=str(i), unit=f'"u{i}\nsecond|line"' if i % 3 == 0 else f"u{i}") for i in range(30)]
+    pair(raw, "ML", lines, [s_row(aid=str(i)) for i in range(30)])
+    _, log = run(spark, raw, bronze)
+    whole = sorted(tuple(r) for r in questions(spark, bronze).select("Assessment ID", "Unit", S.ID_COLUMN).collect())
+    bronze2 = str(tmp_path / "bronze2")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")  # many splits per file
+    try:
+        land(spark, raw, bronze2, run_ts=RUN_TS, multiline_split_bytes=1)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+    split = sorted(tuple(r) for r in B.read_table(spark, B.table_path(bronze2, S.QUESTIONS))
+                   .select("Assessment ID", "Unit", S.ID_COLUMN).collect())
+    assert whole == split and len(whole) == 30
+    assert dict(whole_row[:2] for whole_row in whole)["3"] == "u3\nsecond|line"
