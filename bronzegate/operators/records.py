@@ -110,16 +110,19 @@ def pair_id_check(questions: DataFrame, scoring: DataFrame) -> DataFrame:
 
 
 def uncovered_ids(questions: DataFrame, scoring: DataFrame, pairs: DataFrame,
-                  max_broadcast_pairs: int = 1_000_000) -> DataFrame:
+                  n_pairs: int | None = None, max_broadcast_pairs: int = 1_000_000) -> DataFrame:
     """J3 (long form): FILE_WITH, FILE_WITHOUT, MISSING_ID for every one-sided ID.
 
-    The pair table (one row per delivery) is broadcast when its counted size
-    is within the bound, so the one-sided IDs are never shuffled by pair key
-    (a pair holding a third of all IDs would otherwise meet on one reducer).
+    The pair table has one row per delivery. With a known bound ``n_pairs``
+    within ``max_broadcast_pairs`` it is broadcast, so the one-sided IDs are
+    never shuffled by pair key; otherwise AQE picks the join from measured
+    sizes at runtime (converting to a broadcast or splitting a skewed pair).
     """
     flags = pair_id_flags(questions, scoring).where(F.col("in_left") != F.col("in_right"))
-    j = flags.join(broadcast_if_small(pairs.select("PAIR_KEY", "Q_FILE", "S_FILE"), max_broadcast_pairs),
-                   "PAIR_KEY")
+    p = pairs.select("PAIR_KEY", "Q_FILE", "S_FILE")
+    if n_pairs is not None:
+        p = broadcast_if_small(p, max_broadcast_pairs, known_rows=n_pairs)
+    j = flags.join(p, "PAIR_KEY")
     q_has = F.col("in_left") == 1
     return j.select(
         "PAIR_KEY",

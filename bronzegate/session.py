@@ -28,6 +28,9 @@ DEFAULT_CONF = {
     # A fused stage whose generated method exceeds the JIT's 8000-byte limit
     # runs interpreted; fall back to per-expression compiled code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Each PySpark API call would otherwise capture its Python call site and
+    # make extra JVM round trips (~1 ms per call while building a plan).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
