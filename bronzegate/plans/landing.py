@@ -77,6 +77,9 @@ def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, pers
         c = conform(scan.rows, et, run_ts)
         if persist:
             c = c.persist(StorageLevel.MEMORY_AND_DISK)
+            # Fill the cache in one pass before the rollup and ID-check stages
+            # read it concurrently (they would otherwise queue on its blocks).
+            c.count()
         conformed[et] = c
         rollups.append(file_rollup(c).select("FILE_NAME", "N_ROWS", "N_RESIDENTS", "N_FACILITIES",
                                             "N_UNIQUE_ASSESSMENTS", "value_errors"))
