@@ -8,6 +8,7 @@ columns match the DuckDB oracle in ``oracle.py``.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -182,6 +183,7 @@ def uncovered_ids_query(spark, sf_dir):
 # --- round trips through raw files and bronze tables --------------------------------
 
 _LANDED: dict = {}
+_LANDED_LOCK = threading.RLock()
 
 
 def _landed(spark: SparkSession, sf_dir: str, variant: str = "clean"):
@@ -193,12 +195,13 @@ def _landed(spark: SparkSession, sf_dir: str, variant: str = "clean"):
     from .landing import land
 
     key = (id(spark), sf_dir, variant)
-    if key not in _LANDED:
-        raw = render_extracts(spark, sf_dir, malformed=(variant == "malformed"))
-        bronze = shared_dir(spark, "bronze")
-        res = land(spark, raw, bronze, run_ts=FIXED_TS)
-        _LANDED[key] = (raw, bronze, res)
-    return _LANDED[key]
+    with _LANDED_LOCK:
+        if key not in _LANDED:
+            raw = render_extracts(spark, sf_dir, malformed=(variant == "malformed"))
+            bronze = shared_dir(spark, "bronze")
+            res = land(spark, raw, bronze, run_ts=FIXED_TS)
+            _LANDED[key] = (raw, bronze, res)
+        return _LANDED[key]
 
 
 def _streamed(spark: SparkSession, sf_dir: str):
@@ -206,14 +209,15 @@ def _streamed(spark: SparkSession, sf_dir: str):
     from ..streaming.incremental import start_incremental_landing
 
     key = (id(spark), sf_dir, "stream")
-    if key not in _LANDED:
-        raw, _, _ = _landed(spark, sf_dir)
-        bronze = shared_dir(spark, "bronze-stream")
-        q = start_incremental_landing(spark, raw, bronze, checkpoint_dir=shared_dir(spark, "stream-ckpt"),
-                                      max_files_per_trigger=256)
-        q.awaitTermination()
-        _LANDED[key] = (raw, bronze, None)
-    return _LANDED[key]
+    with _LANDED_LOCK:
+        if key not in _LANDED:
+            raw, _, _ = _landed(spark, sf_dir)
+            bronze = shared_dir(spark, "bronze-stream")
+            q = start_incremental_landing(spark, raw, bronze, checkpoint_dir=shared_dir(spark, "stream-ckpt"),
+                                          max_files_per_trigger=256)
+            q.awaitTermination()
+            _LANDED[key] = (raw, bronze, None)
+        return _LANDED[key]
 
 
 def _log_view(log: DataFrame) -> DataFrame:
