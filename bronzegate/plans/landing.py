@@ -2,7 +2,8 @@
 
     detect (S1,P1,F1) -> pair (J1) -> scan (S2-S4) -> conform (P2-P8)
       -> rollups (E1,P9) + per-pair ID check (E3) -> outcome (E6)
-      -> gate (F3) -> write Questions, then Scoring (S5) -> log (S8) -> archive (F4,S9)
+      -> gate (F3) -> write Questions, then Scoring (S5) -> log (S8) + null report (P9)
+    -> archive (F4,S9)
 
 Actions per run: listing + per-file line stats, one rollup job, one ID-check
 job, two table writes, one log write. Rows never pass through the driver;
@@ -65,7 +66,7 @@ def _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal):
 def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, persist: bool = True,
             skip_blank: bool = False, split_bytes: int | None = None):
     """Scan + conform both extract types. Returns (conformed by type, status, rollup, scans)."""
-    conformed, statuses, rollups = {}, [], []
+    conformed, statuses, rollups, full_rollups = {}, [], [], {}
     by_type = scan_all(spark, manifest, skip_blank=skip_blank,
                        split_bytes=split_bytes if split_bytes is not None else max_partition_bytes(spark))
     scans = list(by_type.values())
@@ -81,8 +82,11 @@ def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, pers
             # read it concurrently (they would otherwise queue on its blocks).
             c.count()
         conformed[et] = c
-        rollups.append(file_rollup(c).select("FILE_NAME", "N_ROWS", "N_RESIDENTS", "N_FACILITIES",
-                                            "N_UNIQUE_ASSESSMENTS", "value_errors"))
+        # One small row per file; cached so the null report reuses it.
+        full = file_rollup(c).cache()
+        full_rollups[et] = full
+        rollups.append(full.select("FILE_NAME", "N_ROWS", "N_RESIDENTS", "N_FACILITIES",
+                                   "N_UNIQUE_ASSESSMENTS", "value_errors"))
     status = statuses[0].unionByName(statuses[1])
     if rollups:
         rollup = rollups[0] if len(rollups) == 1 else rollups[0].unionByName(rollups[1])
@@ -90,7 +94,7 @@ def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, pers
         rollup = spark.createDataFrame([], "FILE_NAME string, N_ROWS bigint, N_RESIDENTS bigint, "
                                            "N_FACILITIES bigint, N_UNIQUE_ASSESSMENTS bigint, "
                                            "value_errors array<string>")
-    return conformed, status, rollup, scans
+    return conformed, status, rollup, scans, full_rollups
 
 
 def _empty_rows(spark: SparkSession, et: str) -> DataFrame:
@@ -143,8 +147,8 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     to_read = manifest.join(broadcast_if_small(paired_names, MAX_BROADCAST_FILES, n_files), "FILE_NAME",
                             "left_semi")
 
-    conformed, status, rollup, scans = prepare(spark, to_read, run_ts, persist, skip_blank,
-                                               multiline_split_bytes)
+    conformed, status, rollup, scans, full_rollups = prepare(spark, to_read, run_ts, persist, skip_blank,
+                                                             multiline_split_bytes)
     read_meta = file_read_metadata(status, rollup)
     q = conformed.get(S.QUESTIONS)
     s = conformed.get(S.SCORING)
@@ -180,17 +184,21 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     if export_csv_dir:
         B.export_log_csv(log, export_csv_dir, run_ts.strftime("%Y-%m-%d_%H-%M"))
 
+    # Per file and string column, missing values before the fill.
     nulls = None
-    for c in conformed.values():
-        nr = null_report(file_rollup(c))
+    for r in full_rollups.values():
+        nr = null_report(r)
         nulls = nr if nulls is None else nulls.unionByName(nr)
+    if nulls is not None:
+        nulls = nulls.withColumn(B.BATCH_COLUMN, F.lit(batch_id).cast("long"))
+        B.append_null_report(nulls, bronze_dir)
 
     plan = None
     if archive_behaviour is not None:
         plan = A.disposition(log, archive_behaviour, archive_err_behaviour, run_ts.strftime("%Y-%m-%d_%H-%M"))
         A.apply_disposition(spark, plan, manifest, archive_dir, compression)
 
-    for c in conformed.values():
+    for c in list(conformed.values()) + list(full_rollups.values()):
         c.unpersist()
     return LandingResult(log=log, null_report=nulls, id_check=id_check, disposition=plan,
                          batch_id=batch_id, written=written)

@@ -107,6 +107,15 @@ def append_log(log: DataFrame, bronze_dir: str) -> None:
     log.write.mode("append").parquet(log_path(bronze_dir))
 
 
+def null_report_path(bronze_dir: str) -> str:
+    return f"{bronze_dir.rstrip('/')}/_null_report"
+
+
+def append_null_report(report: DataFrame, bronze_dir: str) -> None:
+    """P9 sink: (FILE_NAME, column_name, nulls, n, severity, batch) per run."""
+    report.write.mode("append").parquet(null_report_path(bronze_dir))
+
+
 def read_log(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
     return read_table(spark, log_path(bronze_dir))
 
@@ -149,5 +158,5 @@ def ingested_files(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
 __all__ = [
     "BATCH_COLUMN", "table_path", "log_path", "read_table", "write_bronze", "get_or_create_table",
     "change_feed", "snapshot_diff", "append_log", "read_log", "export_log_csv", "ingested_files",
-    "read_committed", "S",
+    "read_committed", "null_report_path", "append_null_report", "S",
 ]

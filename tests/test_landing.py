@@ -329,3 +329,13 @@ def test_split_parallel_multiline_route_equals_whole_file(spark, dirs, tmp_path)
                    .select("Assessment ID", "Unit", S.ID_COLUMN).collect())
     assert whole == split and len(whole) == 30
     assert dict(whole_row[:2] for whole_row in whole)["3"] == "u3\nsecond|line"
+
+
+def test_null_report_is_persisted(spark, dirs):
+    raw, bronze = dirs
+    pair(raw, "N", [q_row(aid="1", unit="NA"), q_row(aid="2", unit="")], [s_row(aid="1"), s_row(aid="2")])
+    res, _ = run(spark, raw, bronze)
+    rep = {(r.FILE_NAME, r.column_name): (r.nulls, r.n, r.severity)
+           for r in spark.read.parquet(B.null_report_path(bronze)).collect()}
+    assert rep[(qname("N"), "Unit")] == (2, 2, "WARNING")
+    assert all(v[0] > 0 for v in rep.values())
