@@ -251,6 +251,12 @@ def landed_log(spark, sf_dir):
     return _log_view(B.read_log(spark, bronze))
 
 
+def landed_null_report(spark, sf_dir):
+    """P9 sink: the null report the landing run persisted next to its log."""
+    _, bronze, _ = _landed(spark, sf_dir)
+    return spark.read.parquet(B.null_report_path(bronze)).drop(B.BATCH_COLUMN)
+
+
 def landed_malformed_questions(spark, sf_dir):
     """S3/S4 round trip: files with long rows re-parsed by the tolerant scan."""
     _, bronze, _ = _landed(spark, sf_dir, "malformed")
@@ -327,6 +333,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_questions": landed_questions,
     "landed_scoring": landed_scoring,
     "landed_log": landed_log,
+    "landed_null_report": landed_null_report,
     "landed_malformed_questions": landed_malformed_questions,
     "landed_malformed_log": landed_malformed_log,
     "streamed_questions": streamed_questions,

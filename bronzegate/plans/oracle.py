@@ -250,6 +250,7 @@ SELECT q_file AS FILE_NAME, FILE_DATE, INSTANCE, PROVINCE, 'Questions' AS EXTRAC
     q["landed_scoring"] = BASE + """
 SELECT * FROM st WHERE replace(FILE_NAME, 'Scoring', '') IN (SELECT FILE_NAME FROM qt)"""
     q["landed_log"] = BASE + _LOG_SQL.format(read_errors="''")
+    q["landed_null_report"] = _null_report_sql()
     q["landed_malformed_questions"] = BASE + "SELECT * FROM qt"
     q["landed_malformed_log"] = BASE + _LOG_SQL.format(read_errors=_MALFORMED_ERRORS)
     q["streamed_questions"] = BASE + "SELECT * FROM qt"
