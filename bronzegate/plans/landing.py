@@ -64,11 +64,12 @@ def _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal):
 
 
 def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, persist: bool = True,
-            skip_blank: bool = False, split_bytes: int | None = None):
+            skip_blank: bool = False, split_bytes: int | None = None, source_glob: str | None = None):
     """Scan + conform both extract types. Returns (conformed by type, status, rollup, scans)."""
     conformed, statuses, rollups, full_rollups = {}, [], [], {}
     by_type = scan_all(spark, manifest, skip_blank=skip_blank,
-                       split_bytes=split_bytes if split_bytes is not None else max_partition_bytes(spark))
+                       split_bytes=split_bytes if split_bytes is not None else max_partition_bytes(spark),
+                       source_glob=source_glob)
     scans = list(by_type.values())
     for et in S.EXTRACT_TYPES:
         scan = by_type[et]
@@ -107,7 +108,8 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
          compression: str | None = S.DEFAULT_ARCHIVE_CODEC, on_unpaired: str = "fail",
          on_unequal: str = "record", run_ts: _dt.datetime | None = None, persist: bool = True,
          fmt: str = "parquet", manifest: DataFrame | None = None, export_csv_dir: str | None = None,
-         skip_blank: bool = False, multiline_split_bytes: int | None = None) -> LandingResult:
+         skip_blank: bool = False, multiline_split_bytes: int | None = None,
+         scan_glob: str | None = None) -> LandingResult:
     """Land every paired extract in ``raw_dir`` into ``bronze_dir``.
 
     Parameters mirror the original job (``raw_dir, bronze_dir, file_glob,
@@ -118,7 +120,9 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     ``skip_blank`` drops the one-empty-field rows blank lines give in a
     tolerant parse; ``on_unequal="skip"`` withholds pairs whose ID sets differ.
     Files with quoted line breaks larger than ``multiline_split_bytes``
-    (default: one file split) are parsed split-parallel.
+    (default: one file split) are parsed split-parallel. Scans read the folder
+    glob (``raw_dir/file_glob``, or ``scan_glob`` for a caller-given manifest)
+    and prune by file name, rather than listing every path.
     """
     _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal)
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
@@ -127,6 +131,7 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
 
     if manifest is None:
         manifest = detect_incoming(spark, raw_dir, file_glob, filters)
+        scan_glob = f"{raw_dir.rstrip('/')}/{file_glob}"
     if mode == "append":
         done = B.ingested_files(spark, bronze_dir)
         if done is not None:
@@ -148,7 +153,7 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
                             "left_semi")
 
     conformed, status, rollup, scans, full_rollups = prepare(spark, to_read, run_ts, persist, skip_blank,
-                                                             multiline_split_bytes)
+                                                             multiline_split_bytes, scan_glob)
     read_meta = file_read_metadata(status, rollup)
     q = conformed.get(S.QUESTIONS)
     s = conformed.get(S.SCORING)

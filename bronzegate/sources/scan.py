@@ -44,10 +44,35 @@ _NO_SEP = "\u0000"  # a separator and quote that never occur: one whole line per
 _BLANK = r"^[\x00-\x20]*$"  # the CSV reader skips such lines
 
 
-def line_stats(spark: SparkSession, paths: Sequence[str], sep: str = S.SEPARATOR) -> DataFrame:
+@dataclass(frozen=True)
+class FileSet:
+    """Files to scan: explicit paths, optionally all inside one folder glob.
+
+    With ``glob`` set, a scan reads the glob (one non-recursive listing on the
+    driver) and keeps the wanted files by name; the filter on
+    ``_metadata.file_name`` prunes the other files at planning time. Without
+    it, the explicit path list is read (Spark lists long lists with a
+    distributed job).
+    """
+
+    paths: tuple[str, ...]
+    glob: str | None = None
+
+    def load(self, reader) -> DataFrame:
+        if self.glob is None:
+            return reader.load(list(self.paths))
+        names = sorted({p.rsplit("/", 1)[-1] for p in self.paths})
+        return reader.load(self.glob).where(F.col("_metadata.file_name").isin(names))
+
+
+def _files(paths: "Sequence[str] | FileSet") -> FileSet:
+    return paths if isinstance(paths, FileSet) else FileSet(tuple(paths))
+
+
+def line_stats(spark: SparkSession, paths: "Sequence[str] | FileSet", sep: str = S.SEPARATOR) -> DataFrame:
     """Per-file line statistics from one text scan (FILE_NAME keyed)."""
     v = F.col("value")
-    lines = spark.read.text(list(paths)).select(
+    lines = _files(paths).load(spark.read.format("text")).select(
         v, F.col("_metadata.file_name").alias("FILE_NAME"),
         F.col("_metadata.file_block_start").alias("blk"),
         F.monotonically_increasing_id().alias("mid"))
@@ -132,17 +157,18 @@ def _csv_reader(spark: SparkSession, schema: T.StructType, multiline: bool, sep:
             .option("mode", "PERMISSIVE").option("enforceSchema", True))
 
 
-def scan_strict(spark: SparkSession, paths: Sequence[str], header: str, multiline: bool,
+def scan_strict(spark: SparkSession, paths: "Sequence[str] | FileSet", header: str, multiline: bool,
                 sep: str = S.SEPARATOR) -> DataFrame:
     """CSV scan bound by this header's names; NA tokens become null."""
     names = strict_header_names(header, sep)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = _csv_reader(spark, schema, multiline, sep).csv(list(paths))
+    df = _files(paths).load(_csv_reader(spark, schema, multiline, sep).format("csv"))
     return df.select(F.col("_metadata.file_name").alias("FILE_NAME"),
                      *[na_to_null(col(n)).alias(n) for n in names])
 
 
-def scan_quoted_records(spark: SparkSession, paths: Sequence[str], header: str, sep: str = S.SEPARATOR,
+def scan_quoted_records(spark: SparkSession, paths: "Sequence[str] | FileSet", header: str,
+                        sep: str = S.SEPARATOR,
                         max_broadcast_splits: int = 1_000_000) -> DataFrame:
     """S2 for files with quoted line breaks, kept splittable.
 
@@ -162,7 +188,7 @@ def scan_quoted_records(spark: SparkSession, paths: Sequence[str], header: str,
     """
     names = strict_header_names(header, sep)
     v = F.col("value")
-    lines = spark.read.text(list(paths)).select(
+    lines = _files(paths).load(spark.read.format("text")).select(
         v, F.col("_metadata.file_name").alias("FILE_NAME"),
         F.col("_metadata.file_block_start").alias("blk"),
         F.monotonically_increasing_id().alias("mid"))
@@ -200,7 +226,7 @@ def scan_quoted_records(spark: SparkSession, paths: Sequence[str], header: str,
     return parsed.select("FILE_NAME", *[na_to_null(F.col("r").getField(n)).alias(n) for n in names])
 
 
-def scan_tolerant(spark: SparkSession, paths: Sequence[str], header: str,
+def scan_tolerant(spark: SparkSession, paths: "Sequence[str] | FileSet", header: str,
                   blank_rows: DataFrame | None = None, sep: str = S.SEPARATOR) -> DataFrame:
     """S3: each line split on the raw separator with no quote awareness.
 
@@ -212,8 +238,9 @@ def scan_tolerant(spark: SparkSession, paths: Sequence[str], header: str,
     names = tolerant_header_names(header, sep)
     last_pos = {n: i for i, n in enumerate(names)}
     ordered = [n for n in dict.fromkeys(names)]
-    lines = (spark.read.schema("line string").option("sep", _NO_SEP).option("quote", _NO_SEP)
-             .option("header", True).csv(list(paths))
+    reader = (spark.read.schema("line string").option("sep", _NO_SEP).option("quote", _NO_SEP)
+              .option("header", True).format("csv"))
+    lines = (_files(paths).load(reader)
              .select(F.col("_metadata.file_name").alias("FILE_NAME"), clean_split(F.col("line"), sep).alias("f")))
     rows = lines.select("FILE_NAME", *[F.get(F.col("f"), last_pos[n]).alias(n) for n in ordered])
     if blank_rows is not None:
@@ -242,7 +269,8 @@ class ScanResult:
 def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
              keep_undeclared: bool = True, skip_blank: bool = False,
              whole_file_multiline: bool = False,
-             split_bytes: int = 128 * 1024 * 1024) -> dict[str, ScanResult]:
+             split_bytes: int = 128 * 1024 * 1024,
+             source_glob: str | None = None) -> dict[str, ScanResult]:
     """S4 for every extract type at once: one line-statistics pass over all
     files, then one scan per (extract type, route, header) group.
 
@@ -250,7 +278,9 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
     parse (the strict scan always skips blank lines). Files with quoted line
     breaks larger than ``split_bytes`` are rebuilt split-parallel
     (``scan_quoted_records``) unless ``whole_file_multiline`` asks for Spark's
-    one-task-per-file reader; smaller ones are one task either way."""
+    one-task-per-file reader; smaller ones are one task either way.
+    ``source_glob`` (a folder glob covering every manifest path) lets each scan
+    list that folder once and prune by file name."""
     paths = [r["path"] for r in manifest.select("path").collect()]
     out: dict[str, ScanResult] = {}
     if not paths:
@@ -259,7 +289,7 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
                 [], "FILE_NAME string, route string, read_errors array<string>, readable boolean")
             out[et] = ScanResult(None, empty_status)
         return out
-    stats = line_stats(spark, paths, sep)
+    stats = line_stats(spark, FileSet(tuple(paths), source_glob), sep)
     routed = route_files(manifest, stats, split_bytes).cache()
     groups = (routed.where(F.col("route") != ROUTE_UNREADABLE)
               .groupBy("EXTRACT_TYPE", "route", "header").agg(F.collect_list("path").alias("paths"))
@@ -269,7 +299,8 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
         r_et = routed.where(F.col("EXTRACT_TYPE") == et)
         frames, missing_rows = [], []
         for g in (g for g in groups if g["EXTRACT_TYPE"] == et):
-            route, header, gpaths = g["route"], g["header"], g["paths"]
+            route, header = g["route"], g["header"]
+            gpaths = FileSet(tuple(g["paths"]), source_glob)
             names = (tolerant_header_names(header, sep) if route == ROUTE_TOLERANT
                      else strict_header_names(header, sep))
             missing = [c for c in declared if c not in names]
