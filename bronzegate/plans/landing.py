@@ -31,6 +31,7 @@ from ..operators.records import (
     null_report,
     pair_files,
     pair_id_check,
+    uncovered_ids,
     unpaired_outcome,
 )
 from ..session import broadcast_if_small, cut_lineage, max_partition_bytes
@@ -48,6 +49,7 @@ class LandingResult:
     null_report: DataFrame | None = None
     id_check: DataFrame | None = None
     disposition: DataFrame | None = None
+    uncovered: DataFrame | None = None   # J3, lazy: IDs one file of a pair holds and the other lacks
     batch_id: int = 0
     written: dict = field(default_factory=dict)
 
@@ -157,8 +159,10 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     read_meta = file_read_metadata(status, rollup)
     q = conformed.get(S.QUESTIONS)
     s = conformed.get(S.SCORING)
+    uncovered = None
     if q is not None and s is not None:
         id_check = pair_id_check(q, s)
+        uncovered = uncovered_ids(q, s, pairs, n_pairs=n_files)
     else:
         id_check = spark.createDataFrame([], "PAIR_KEY string, relation string")
     outcome = ingest_outcome(pairs, read_meta, id_check)
@@ -205,5 +209,5 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
 
     for c in list(conformed.values()) + list(full_rollups.values()):
         c.unpersist()
-    return LandingResult(log=log, null_report=nulls, id_check=id_check, disposition=plan,
+    return LandingResult(log=log, null_report=nulls, id_check=id_check, disposition=plan, uncovered=uncovered,
                          batch_id=batch_id, written=written)
