@@ -38,17 +38,19 @@ def _file_name(kind: str) -> Column:
                     F.date_format("FILE_DATE", "yyyy-MM-dd"), F.lit(".csv"))
 
 
-def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_facts(spark: SparkSession, sf_dir: str, hot_third: bool = False) -> DataFrame:
     o = _read(spark, sf_dir, "orders")
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # A plain equi-join: the planner (with AQE) broadcasts the customer side
     # only when its runtime size is below the broadcast threshold.
     j = o.join(c, o.o_custkey == c.c_custkey, "left")
+    # hot_third: every third order belongs to one delivery (skew fixture).
+    hot = (F.col("o_orderkey") % 3 == 0) if hot_third else F.lit(False)
     return j.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
-        F.when(F.col("o_custkey") % 2 == 0, F.lit("EXT")).otherwise(F.lit("REV")).alias("INSTANCE"),
-        F.when(F.col("o_custkey") % 3 == 0, F.lit("Ontario")).otherwise(F.lit("Alberta")).alias("PROVINCE"),
-        F.trunc("o_orderdate", "month").alias("FILE_DATE"),
+        F.when(hot | (F.col("o_custkey") % 2 == 0), F.lit("EXT")).otherwise(F.lit("REV")).alias("INSTANCE"),
+        F.when(hot | (F.col("o_custkey") % 3 == 0), F.lit("Ontario")).otherwise(F.lit("Alberta")).alias("PROVINCE"),
+        F.when(hot, F.lit("2024-01-01").cast("date")).otherwise(F.trunc("o_orderdate", "month")).alias("FILE_DATE"),
         F.col("c_nationkey").cast("string").alias("Facility ID"),
         F.col("o_custkey").cast("string").alias("Resident ID"),
         F.col("o_orderkey").cast("string").alias("Assessment ID"),
@@ -65,9 +67,9 @@ def _score(i: int) -> Column:
     return raw / F.lit(10.0)
 
 
-def scoring_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scoring_frame(spark: SparkSession, sf_dir: str, hot_third: bool = False) -> DataFrame:
     """Scoring extract rows as text (the way they sit in a raw file) plus FILE_NAME."""
-    f = _order_facts(spark, sf_dir)
+    f = _order_facts(spark, sf_dir, hot_third)
     scores = []
     for i, name in enumerate(S.SCORING_FLOAT_COLUMNS):
         v = _score(i)
@@ -92,9 +94,9 @@ def scoring_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def questions_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def questions_frame(spark: SparkSession, sf_dir: str, hot_third: bool = False) -> DataFrame:
     """Questions extract rows as text plus FILE_NAME (one row per line item)."""
-    f = _order_facts(spark, sf_dir)
+    f = _order_facts(spark, sf_dir, hot_third)
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
                                                  "l_returnflag", "l_linestatus", "l_shipdate")
     j = li.join(f, li.l_orderkey == f.o_orderkey, "inner")
@@ -111,8 +113,10 @@ def questions_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def extract_frame(spark: SparkSession, sf_dir: str, extract_type: str) -> DataFrame:
-    return questions_frame(spark, sf_dir) if extract_type == S.QUESTIONS else scoring_frame(spark, sf_dir)
+def extract_frame(spark: SparkSession, sf_dir: str, extract_type: str, hot_third: bool = False) -> DataFrame:
+    if extract_type == S.QUESTIONS:
+        return questions_frame(spark, sf_dir, hot_third)
+    return scoring_frame(spark, sf_dir, hot_third)
 
 
 def _quoted(c: Column, sep: str) -> Column:
@@ -151,7 +155,7 @@ def _write_lines(df: DataFrame, out: str, sep: str, long_row: Column | None) ->
 
 
 def render_extracts(spark: SparkSession, sf_dir: str, raw_dir: str | None = None,
-                    sep: str = S.SEPARATOR, malformed: bool = False) -> str:
+                    sep: str = S.SEPARATOR, malformed: bool = False, hot_third: bool = False) -> str:
     """Write the derived extracts as pipe-delimited raw files, one file per FILE_NAME.
 
     Rows of one file are written by one task (``repartition`` on FILE_NAME),
@@ -159,12 +163,14 @@ def render_extracts(spark: SparkSession, sf_dir: str, raw_dir: str | None = None
     folder under the shared checkpoint folder when not given). A Scoring file
     whose Questions file would have no rows gets a header-only Questions file,
     so every delivery is a pair. ``malformed=True`` renders the lines by hand
-    and gives the rows of ``long_row_rule`` one extra field. Returns ``raw_dir``.
+    and gives the rows of ``long_row_rule`` one extra field; ``hot_third=True``
+    puts every third order into one delivery (a file pair holding a third of
+    all rows). Returns ``raw_dir``.
     """
     raw_dir = raw_dir or shared_dir(spark, "raw")
     staging = shared_dir(spark, "render")
     for et in S.EXTRACT_TYPES:
-        df = extract_frame(spark, sf_dir, et)
+        df = extract_frame(spark, sf_dir, et, hot_third)
         if malformed:
             _write_lines(df, f"{staging}/{et}", sep, long_row_rule(et))
         else:
