@@ -134,13 +134,23 @@ def move_files(spark: SparkSession, paths: Sequence[str], dest_dir: str) -> str:
     return dest_dir
 
 
+def _unused(spark: SparkSession, dest: str) -> str:
+    """``dest``, or ``dest_2``, ``dest_3`` ... when an earlier run (same minute) used it."""
+    fs, jp = hadoop_fs(spark, dest)
+    n, cand = 1, dest
+    while fs.exists(hadoop_fs(spark, cand)[1]):
+        n += 1
+        cand = f"{dest}_{n}"
+    return cand
+
+
 def apply_disposition(spark: SparkSession, plan: DataFrame, manifest: DataFrame, archive_dir: str,
                       compression: str | None = "gzip") -> DataFrame:
     """Carry out F4's plan: one archive or folder per destination. Returns the plan."""
     todo = (plan.where(F.col("action") != "stay").join(manifest.select("FILE_NAME", "path"), "FILE_NAME")
             .groupBy("action", "destination").agg(F.collect_list("path").alias("paths")).collect())
     for row in todo:
-        dest = f"{archive_dir.rstrip('/')}/{row['destination']}"
+        dest = _unused(spark, f"{archive_dir.rstrip('/')}/{row['destination']}")
         if row["action"] == "move":
             move_files(spark, row["paths"], dest)
         else:
