@@ -300,6 +300,17 @@ def archive_plan(spark, sf_dir):
                          S.DEFAULT_ARCHIVE_ERR_BEHAVIOUR, timestamp="")
 
 
+def created_table_roundtrip(spark, sf_dir):
+    """Create a table from a frame's schema, append the frame, reopen it
+    (the existing table wins over another schema)."""
+    orders = _t(spark, sf_dir, "orders")
+    path = shared_dir(spark, "table")
+    created = B.get_or_create_table(spark, path, for_data=orders)
+    assert created.schema == orders.schema and created.isEmpty()
+    orders.write.mode("append").parquet(path)
+    return B.get_or_create_table(spark, path, schema="other string")
+
+
 def change_feed_scoring(spark, sf_dir):
     """Rows the landing batch inserted into the Scoring table."""
     _, bronze, res = _landed(spark, sf_dir)
@@ -341,4 +352,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archived_raw_files": archived_raw_files,
     "archive_plan": archive_plan,
     "change_feed_scoring": change_feed_scoring,
+    "created_table_roundtrip": created_table_roundtrip,
 }

@@ -267,6 +267,7 @@ SELECT f AS FILE_NAME,
        CASE WHEN q_rows = 0 THEN 'stay' WHEN errs <> '' THEN 'move' ELSE 'archive' END AS action,
        CASE WHEN q_rows = 0 THEN NULL WHEN errs <> '' THEN 'ingested-review' ELSE 'ingested' END AS destination
 FROM (SELECT q_file AS f, q_rows, errs FROM landlog UNION ALL SELECT s_file, q_rows, errs FROM landlog) x"""
+    q["created_table_roundtrip"] = "SELECT * FROM orders"
     q["change_feed_scoring"] = BASE + """
 SELECT FILE_NAME, "Assessment ID" AS ASSESSMENT_ID, 'insert' AS _change_type
 FROM st WHERE replace(FILE_NAME, 'Scoring', '') IN (SELECT FILE_NAME FROM qt)"""
