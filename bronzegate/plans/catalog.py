@@ -122,6 +122,14 @@ def extract_manifest(spark, sf_dir):
     return m.withColumn("ORDER_NO", F.row_number().over(w).cast("long"))
 
 
+def manifest_filtered(spark, sf_dir):
+    """Manifest filters AND-ed (a Column and a manifest -> Column function)."""
+    from ..sources.discover import apply_filters
+
+    return apply_filters(_manifest(spark, sf_dir),
+                         [F.col("PROVINCE") == "Ontario", lambda m: m["INSTANCE"] == "EXT"])
+
+
 def manifest_domains(spark, sf_dir):
     """P10: values of INSTANCE / PROVINCE / EXTRACT_TYPE outside their accepted domain."""
     return domain_report(_manifest(spark, sf_dir))
@@ -331,6 +339,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "value_diff_lines_without_orders": value_diff_lines_without_orders,
     "value_diff_documents_unlabelled": value_diff_documents_unlabelled,
     "extract_manifest": extract_manifest,
+    "manifest_filtered": manifest_filtered,
     "manifest_domains": manifest_domains,
     "extract_pairs": extract_pairs,
     "composite_ids": composite_ids,

@@ -221,6 +221,7 @@ WHERE NOT EXISTS (SELECT 1 FROM labels b WHERE b.doc_id IS NOT DISTINCT FROM d.d
 SELECT *, row_number() OVER (PARTITION BY EXTRACT_TYPE ORDER BY FILE_DATE, INSTANCE, PROVINCE, FILE_NAME)
   AS ORDER_NO FROM man"""
     q["extract_pairs"] = BASE + "SELECT * FROM pairs"
+    q["manifest_filtered"] = BASE + "SELECT * FROM man WHERE PROVINCE = 'Ontario' AND INSTANCE = 'EXT'"
     q["manifest_domains"] = BASE + """
 SELECT 'INSTANCE' AS column_name, count(*) FILTER (WHERE INSTANCE NOT IN ('EXT', 'REV')) AS violations FROM man
 UNION ALL
