@@ -134,16 +134,30 @@ def _relation_expr(n_l: Column, n_r: Column) -> Column:
              .otherwise(F.lit("EQUAL")))
 
 
-def summarize_flags(flags: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Per (group, column): distinct counts per side, one-sided counts, relation."""
+def summarize_flags(flags: DataFrame, group_cols: Sequence[str] = (), column: str | None = None) -> DataFrame:
+    """Per (group, column): distinct counts per side, one-sided counts, relation.
+
+    With ``column`` given (a single checked column) the aggregation is keyed
+    by the group columns only (global when there are none) and the column
+    name is added afterwards, instead of grouping by a constant.
+    """
     lo = (F.col("in_left") == 1) & (F.col("in_right") == 0)
     ro = (F.col("in_right") == 1) & (F.col("in_left") == 0)
-    agg = flags.groupBy(*group_cols, "column_name").agg(
+    aggs = [
         F.sum(F.col("in_left").cast("long")).alias("n_left_distinct"),
         F.sum(F.col("in_right").cast("long")).alias("n_right_distinct"),
         F.count_if(lo).alias("n_left_only"),
         F.count_if(ro).alias("n_right_only"),
-    )
+    ]
+    if column is None:
+        agg = flags.groupBy(*group_cols, "column_name").agg(*aggs)
+    else:
+        grouped = flags.groupBy(*group_cols) if group_cols else flags.groupBy()
+        agg = grouped.agg(*aggs).select(*group_cols, F.lit(column).alias("column_name"),
+                                        "n_left_distinct", "n_right_distinct", "n_left_only", "n_right_only")
+        if not group_cols:
+            # A global aggregate always yields a row; keep "no values at all" as no row.
+            agg = agg.where(F.col("n_left_distinct").isNotNull())
     return agg.withColumn("relation", _relation_expr(F.col("n_left_only"), F.col("n_right_only")))
 
 
@@ -153,7 +167,7 @@ def value_set_summary(left: DataFrame, right: DataFrame, cols: str | Sequence[st
     Columns: column, n_left_distinct, n_right_distinct, n_left_only, n_right_only, relation.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    return summarize_flags(value_flags(left, right, cols))
+    return summarize_flags(value_flags(left, right, cols), column=cols[0] if len(cols) == 1 else None)
 
 
 def value_diff(left: DataFrame, right: DataFrame, col: str, right_col: str | None = None,

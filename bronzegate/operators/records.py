@@ -106,7 +106,7 @@ def pair_id_check(questions: DataFrame, scoring: DataFrame) -> DataFrame:
 
     Columns: PAIR_KEY, n_left_distinct, n_right_distinct, n_left_only, n_right_only, relation.
     """
-    return summarize_flags(pair_id_flags(questions, scoring), ["PAIR_KEY"]).drop("column_name")
+    return summarize_flags(pair_id_flags(questions, scoring), ["PAIR_KEY"], column=S.ID_COLUMN).drop("column_name")
 
 
 def uncovered_ids(questions: DataFrame, scoring: DataFrame, pairs: DataFrame,
