@@ -25,3 +25,19 @@ def test_routes(spark, tmp_path):
                    "E": "unreadable", "F": "strict"}
     got_split = {r.FILE_NAME[24]: r.route for r in route_files(m, stats, split_bytes=1).collect()}
     assert got_split["B"] == "multiline_split" and got_split["A"] == "strict"
+
+
+def test_glob_pruned_scan_equals_explicit_paths(spark, tmp_path):
+    from bronzegate.sources.scan import FileSet, scan_strict
+
+    d = tmp_path / "raw"
+    d.mkdir()
+    for i in range(5):
+        (d / f"EXT_MDSAssessmentExtract{i}_Ontario_2024-01-05.csv").write_text(f"a|b\n{i}|x\n{i}|y\n")
+    (d / "other.txt").write_text("a|b\nnot|me\n")
+    wanted = [str(d / f"EXT_MDSAssessmentExtract{i}_Ontario_2024-01-05.csv") for i in (1, 3)]
+    explicit = sorted(tuple(r) for r in scan_strict(spark, wanted, "a|b", False).collect())
+    pruned = sorted(tuple(r) for r in scan_strict(
+        spark, FileSet(tuple(wanted), f"{d}/*MDSAssessment*.csv"), "a|b", False).collect())
+    assert explicit == pruned and len(pruned) == 4
+    assert {r[1] for r in pruned} == {"1", "3"}
