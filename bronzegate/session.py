@@ -53,14 +53,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (unit tests, a laptop) a fresh local
-    folder is created and registered, so later calls agree on it.
+    Only a local session may leave it unset (unit tests, a laptop): then the
+    session's own checkpoint folder is used, or a fresh temporary one is set.
+    On a cluster that folder would not be shared, so an unset name is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="bronzegate-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
