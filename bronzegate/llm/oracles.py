@@ -22,9 +22,9 @@ FROM marked GROUP BY doc_id
 
 URL_FILTER = f"""
 WITH parts AS (
-  SELECT page_id, coalesce(url, '') AS u, strpos(coalesce(url, ''), '://') AS at FROM pages
+  SELECT page_id, coalesce(url, '') AS u, strpos(coalesce(url, ''), '://') AS mark FROM pages
 ), cut AS (
-  SELECT page_id, CASE WHEN at > 0 THEN substr(u, at + 3) ELSE '' END AS rest FROM parts
+  SELECT page_id, CASE WHEN mark > 0 THEN substr(u, mark + 3) ELSE '' END AS rest FROM parts
 ), named AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_UP}, {_LOW}) AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut

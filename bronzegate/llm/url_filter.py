@@ -125,15 +125,15 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, listed: DataFrame, url_col:
         F.col("word").bitwiseAND(_bits(F.col("key"))) == _bits(F.col("key"))
     )
     hits = possible.join(small(entries.drop("labels", "path_chars"), n), "key")
-    best = hits.groupBy("u").agg(F.max(F.struct("rank", "host_rank", "rule", "verdict")).alias("best"))
+    best = hits.groupBy(F.col("u").alias("hit_u")).agg(F.max(F.struct("rank", "host_rank", "rule", "verdict")).alias("best"))
     judged = stages.save(
-        urls.join(best, urls["u"].eqNullSafe(best["u"]), "left").select(
-            urls["u"].alias("__uf_u"), F.col("h").alias("__uf_h"), F.col("p").alias("__uf_p"),
+        urls.join(best, F.col("u").eqNullSafe(F.col("hit_u")), "left").select(
+            F.col("u").alias("__uf_u"), F.col("h").alias("__uf_h"), F.col("p").alias("__uf_p"),
             F.col("best.rule").alias("__uf_rule"), F.coalesce("best.verdict", F.lit("allow")).alias("__uf_verdict")),
         "judged",
     )
     keep = [pages[c] for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    return pages.join(judged, pages[url_col].eqNullSafe(judged["__uf_u"]), "left").select(
+    return pages.join(judged, F.col(url_col).eqNullSafe(F.col("__uf_u")), "left").select(
         *keep, F.col("__uf_h").alias("host"), F.col("__uf_p").alias("path"),
         F.col("__uf_rule").alias("rule"), F.col("__uf_verdict").alias("verdict"),
     )

@@ -19,7 +19,7 @@ SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = int(_rng.integers(1, 2**62)) * 8 + 5
+_BASE = int(_rng.integers(1, 2**60)) * 8 + 5
 _STEPS = _rng.integers(1, 2**63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[str, np.ndarray] = {}
 

@@ -15,6 +15,6 @@ def test_query_equals_sql(spark, name):
     want = con.execute(ORACLES[name])
     names = sorted(d[0] for d in want.description)
     order = [[d[0] for d in want.description].index(n) for n in names]
-    want = sorted(tuple(r[i] for i in order) for r in want.fetchall())
-    got = sorted(tuple(r[n] for n in names) for r in QUERIES[name](spark, SF).collect())
+    want = sorted((tuple(r[i] for i in order) for r in want.fetchall()), key=repr)
+    got = sorted((tuple(r[n] for n in names) for r in QUERIES[name](spark, SF).collect()), key=repr)
     assert got == want
