@@ -23,7 +23,6 @@ def connected_components(links: DataFrame, stages: Stages) -> DataFrame:
     """
     links = stages.save(links.where("a is not null and b is not null and a <> b").select("a", "b").distinct(), "links")
     member = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("comp"))
-    member = stages.save(member, "members")
     while not links.isEmpty():
         ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = stages.save(
@@ -33,8 +32,5 @@ def connected_components(links: DataFrame, stages: Stages) -> DataFrame:
         moved = links.join(parent, F.col("a") == F.col("child")).select(F.col("parent").alias("a"), "b")
         moved = moved.join(parent, F.col("b") == F.col("child")).select("a", F.col("parent").alias("b"))
         links = stages.save(moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-        member = stages.save(
-            member.join(parent, F.col("comp") == F.col("child"), "left").select("node", F.coalesce("parent", "comp").alias("comp")),
-            "members",
-        )
-    return member
+        member = member.join(parent, F.col("comp") == F.col("child"), "left").select("node", F.coalesce("parent", "comp").alias("comp"))
+    return stages.save(member, "members")

@@ -11,7 +11,7 @@ full shingle sets before it links.
   bucket compares all its classes with a few pivots; the pivot of the first round
   is the class that shares the most buckets, the likely original of a group of
   edited copies.  Pivots have then met every class of the bucket and leave it; the
-  buckets that still hold several components go to the next round with eight
+  buckets that still hold several components go to the next round with ``GROWTH``
   times the pivots, until none is left.  So every proposed pair is either confirmed
   or refused on the full sets, or already known to be in one component, and a
   group of copies costs a multiple of its size, not its square.
@@ -44,8 +44,8 @@ from bronzegate.llm.common import Stages
 from bronzegate.llm.components import connected_components
 
 BANDS, ROWS = 24, 6
-SMALL = 16
-GROWTH = 8
+SMALL = 64
+GROWTH = 32
 _SEED = 7
 
 
@@ -153,10 +153,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Sets of the classes that share a bucket, from one text of each.
     wanted = score.join(classes, "cls").select("cls", F.col("low").alias("id"))
     chosen = plain.join(wanted.select("id").distinct(), "id", "left_semi").select("body")
-    sets = chosen.mapInArrow(_set_rows(k), "cls binary, items array<long>").join(score.select("cls"), "cls", "left_semi")
+    sets = chosen.mapInArrow(_set_rows(k), "cls binary, items array<long>")
     sets = stages.save(sets.groupBy("cls").agg(F.first("items").alias("items")), "sets")
 
-    links, member, pivots_per_bucket, tested = None, None, 1, None
+    links, member, pivots_per_bucket = None, None, 1
     while not entries.isEmpty():
         # Every class of a small bucket is a pivot; of a large one, one per salt.
         salt = F.when(F.col("size") <= SMALL, F.xxhash64("cls")).otherwise(F.pmod(F.xxhash64("cls"), F.lit(pivots_per_bucket)))
@@ -169,11 +169,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             met = met.join(member.withColumnRenamed("node", "a").withColumnRenamed("comp", "a_comp"), "a", "left")
             met = met.where(F.coalesce("a_comp", "a") != F.col("comp"))
         pairs = met.select("a", F.col("cls").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stages.save(pairs, "pairs")
         new = stages.save(_confirm(pairs, sets, num, den), "confirmed")
-        tested = pairs if tested is None else tested.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
         member = connected_components(links, stages)
         # What is left: large buckets that hold several components, without the pivots.
