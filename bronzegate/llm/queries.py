@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bronzegate.llm import line_dedup, minhash_dedup, secret_scan, url_filter
+from bronzegate.llm import line_dedup, minhash_dedup, packing, secret_scan, url_filter
 from bronzegate.llm.common import read
 
 
@@ -12,6 +12,7 @@ def _over(table, digest):
 
 QUERIES = {
     "op1_secret_scan": _over("documents", secret_scan.digest),
+    "op9_packing": _over("documents", packing.digest),
     "op2_line_dedup": _over("documents", line_dedup.digest),
     "op5_url_filter": _over("pages", url_filter.digest),
     "op10_minhash_dedup": _over("documents", minhash_dedup.digest),
