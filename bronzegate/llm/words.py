@@ -43,9 +43,9 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def _spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _spans(data: np.ndarray, spaces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~SPACES[data]
+    inside[1:-1] = ~spaces[data]
     edge = np.diff(inside)
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
@@ -58,21 +58,24 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, hash) of the words of ``raw``; starts and ends are byte offsets."""
+def words(raw: bytes, spaces: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, hash) of the words of ``raw``; starts and ends are byte offsets.
+
+    ``spaces`` marks the bytes that part words.
+    """
     data = np.frombuffer(raw, np.uint8)
     out, at = [], 0
     while at < len(data):
         to = min(len(data), at + BLOCK)
         if to < len(data):  # back to white space, or on to the next
-            back = np.flatnonzero(SPACES[data[at:to]])
+            back = np.flatnonzero(spaces[data[at:to]])
             if len(back):
                 to = at + int(back[-1]) + 1
-            while to < len(data) and not SPACES[data[to - 1]]:
-                ahead = np.flatnonzero(SPACES[data[to : to + BLOCK]])
+            while to < len(data) and not spaces[data[to - 1]]:
+                ahead = np.flatnonzero(spaces[data[to : to + BLOCK]])
                 to = to + int(ahead[0]) + 1 if len(ahead) else min(len(data), to + BLOCK)
         part = data[at:to]
-        s, e = _spans(part)
+        s, e = _spans(part, spaces)
         out.append((s + at, e + at, _hashes(part, s, e)))
         at = to
     if not out:
