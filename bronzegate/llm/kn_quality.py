@@ -36,7 +36,7 @@ from bronzegate.llm.common import Stages, read, small
 
 ORDER = 4
 QUANTILE = 0.99
-MARGIN = 1.15
+MARGIN = 1.06
 MIN_TRUSTED = 50
 RESOLVED_ROWS = 1_000_000
 START, REPEAT = 2, "\x01"

@@ -43,7 +43,29 @@ SELECT canon.page_id, host, path, rule, coalesce(v, CASE WHEN listed.c IS NULL T
 FROM canon LEFT JOIN fit USING (page_id) LEFT JOIN listed ON canon.c = listed.c
 """
 
+_VALID = "label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+EMBEDDING_DEDUP = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm
+  FROM embeddings WHERE {_VALID}
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98
+), reach(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), low AS (
+  SELECT x, min(y) AS y FROM reach GROUP BY x
+), degree AS (
+  SELECT x, count(*) AS n FROM links GROUP BY x
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low.y, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low.y, vec_id)) AS kept
+FROM embeddings LEFT JOIN low ON low.x = vec_id LEFT JOIN degree ON degree.x = vec_id
+"""
+
 ORACLES = {
+    "op3_embedding_dedup": EMBEDDING_DEDUP,
     "op2_line_dedup": LINE_DEDUP,
     "op5_url_filter": URL_FILTER,
 }

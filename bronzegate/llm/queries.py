@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bronzegate.llm import decontaminate, kn_quality, line_dedup, minhash_dedup, packing, secret_scan, url_filter
+from bronzegate.llm import decontaminate, embedding_dedup, kn_quality, line_dedup, minhash_dedup, packing, secret_scan, substring_dedup, suffix_dedup, url_filter
 from bronzegate.llm.common import read
 
 
@@ -12,8 +12,11 @@ def _over(table, digest):
 
 QUERIES = {
     "op1_secret_scan": _over("documents", secret_scan.digest),
+    "op3_embedding_dedup": _over("embeddings", embedding_dedup.digest),
     "op4_decontaminate": lambda spark, sf_dir: decontaminate.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
     "op6_kn_quality": lambda spark, sf_dir: kn_quality.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
+    "op7_suffix_dedup": _over("documents", suffix_dedup.digest),
+    "op8_substring_dedup": _over("documents", substring_dedup.digest),
     "op9_packing": _over("documents", packing.digest),
     "op2_line_dedup": _over("documents", line_dedup.digest),
     "op5_url_filter": _over("pages", url_filter.digest),

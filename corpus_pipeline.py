@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bronzegate.llm import line_dedup, minhash_dedup
+from bronzegate.llm import decontaminate, kn_quality, line_dedup, minhash_dedup, packing
 from bronzegate.llm.common import Stages, read
 
 STAGES = [
+    ("quality", kn_quality.stage),
     ("line_dedup", line_dedup.stage),
     ("minhash_dedup", minhash_dedup.stage),
+    ("decontaminate", decontaminate.stage),
+    ("packing", packing.stage),
 ]
 
 #: The language model and the packing are not SQL; tests hold them against plain Python.
