@@ -21,6 +21,7 @@ packed once each; an empty table gives an empty result; extra columns are not lo
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,34 +42,51 @@ BUCKET_ROWS = 1000
 GAP = 0.01
 
 
+# Fixed value: the tokenizer file's own split pattern, for lower-case ASCII words.
+_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+_CONTROL = re.compile(rb"[\x00-\x20\x7f]")
+
+
 class _Ids(dict):
-    """Word to its ids as packed little-endian 32-bit integers."""
+    """Word to its ids as packed little-endian 32-bit integers.
+
+    Full tables keep what they have: frequent words come early, rare ones are worked
+    out again.  ASCII words need no normaliser but ``lower``.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {}
+        self.normalise = self.whole.normalizer.normalize_str
+        self.split = self.whole.pre_tokenizer.pre_tokenize_str
+        self.encode = self.whole.model.tokenize
+        self.parts = _Parts(self.encode)
 
     def __missing__(self, word: bytes) -> bytes:
         if b"<|" in word:  # a special token's string may be inside
             ids = self.whole.encode(word.decode(), add_special_tokens=False).ids
             out = np.array(ids, "<u4").tobytes()
+        elif word.isascii() and not _CONTROL.search(word):
+            out = b"".join(map(self.parts.__getitem__, _ASCII_PARTS.findall(word.decode().lower())))
         else:
-            clean = self.whole.normalizer.normalize_str(word.decode())
-            out = b"".join([self._part(p) for p, _ in self.whole.pre_tokenizer.pre_tokenize_str(clean)])
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = out
+            out = b"".join([self.parts[p] for p, _ in self.split(self.normalise(word.decode()))])
+        if len(self) < CACHE:
+            self[word] = out
         return out
 
-    def _part(self, part: str) -> bytes:
-        out = self.parts.get(part)
-        if out is None:
-            out = b"".join([t.id.to_bytes(4, "little") for t in self.whole.model.tokenize(part)])
-            if len(self.parts) >= CACHE:
-                self.parts.clear()
-            self.parts[part] = out
+
+class _Parts(dict):
+    """Ids of one part, the unit of the tokenizer's model."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, part: str) -> bytes:
+        out = b"".join([t.id.to_bytes(4, "little") for t in self.encode(part)])
+        if len(self) < CACHE:
+            self[part] = out
         return out
 
 
