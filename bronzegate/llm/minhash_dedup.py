@@ -18,7 +18,8 @@ full shingle sets before it links.
 * Sets are 64-bit hashes of the shingles; they move only for proposed pairs.
 
 With ``similarity`` s, ``rows`` r and ``bands`` b a pair at s is missed with probability
-``(1 - s**r) ** b``: 1.2e-5 at 0.85 with 6 x 24, 7e-5 at 0.8 with 5 x 24.
+``(1 - s**r) ** b``: 1.1e-5 at 0.85 with 10 x 52, 3.4e-5 at 0.8 with 8 x 56.  Long bands keep texts
+that only share a passage apart (at 0.5 one band in 1000 agrees).
 
 Words: A-Z lower-cased, parted by ASCII white space.  Set: distinct shingles of
 ``k`` words; with fewer words the whole sequence is the one shingle; without words
@@ -43,7 +44,7 @@ from bronzegate.llm import words as W
 from bronzegate.llm.common import Stages
 from bronzegate.llm.components import connected_components
 
-BANDS, ROWS = 24, 6
+BANDS, ROWS = 56, 8
 SMALL = 64
 GROWTH = 32
 _SEED = 7
@@ -134,7 +135,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                    num: int = 4, den: int = 5, bands: int = BANDS, rows: int = 5) -> DataFrame:
+                    num: int = 4, den: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, text hash, n_shingles, component_id, kept) per input row; similarity is ``num/den``."""
     spark = docs.sparkSession
     stages = Stages(spark, "minhash")
@@ -148,7 +149,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = stages.save(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     entries = stages.save(keyed.join(buckets, "key"), "crowded")
     score = stages.save(entries.groupBy("cls").agg(F.sum("size").alias("score")), "scores")
-    entries = stages.save(entries.join(score, "cls"), "entries")
+    entries = stages.save(entries.join(score, "cls").withColumn("comp", F.col("cls")), "entries")
 
     # Sets of the classes that share a bucket, from one text of each.
     wanted = score.join(classes, "cls").select("cls", F.col("low").alias("id"))
@@ -161,20 +162,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # Every class of a small bucket is a pivot; of a large one, one per salt.
         salt = F.when(F.col("size") <= SMALL, F.xxhash64("cls")).otherwise(F.pmod(F.xxhash64("cls"), F.lit(pivots_per_bucket)))
         pivot = stages.save(
-            entries.groupBy("key", salt.alias("salt")).agg(F.max(F.struct("score", "cls", "n")).alias("p"))
-            .select("key", F.col("p.cls").alias("a"), F.col("p.n").alias("a_n")), "pivots")
-        met = entries.join(pivot, "key").where((F.col("size") > SMALL) & (F.col("a") != F.col("cls")) | (F.col("a") < F.col("cls")))
-        met = met.where(F.least("n", "a_n") * den >= F.greatest("n", "a_n") * num)
-        if member is not None:
-            met = met.join(member.withColumnRenamed("node", "a").withColumnRenamed("comp", "a_comp"), "a", "left")
-            met = met.where(F.coalesce("a_comp", "a") != F.col("comp"))
+            entries.groupBy("key", salt.alias("salt")).agg(F.max(F.struct("score", "cls", "n", "comp")).alias("p"))
+            .select(F.col("key").alias("bucket"), F.col("p.cls").alias("a"), F.col("p.n").alias("a_n"), F.col("p.comp").alias("a_comp")), "pivots")
+        once = F.when(F.col("size") > SMALL, F.col("a") != F.col("cls")).otherwise(F.col("a") < F.col("cls"))
+        alike = F.least("n", "a_n") * den >= F.greatest("n", "a_n") * num
+        met = entries.join(pivot, (F.col("key") == F.col("bucket")) & (F.col("a_comp") != F.col("comp")) & once & alike)
         pairs = met.select("a", F.col("cls").alias("b")).distinct()
         new = stages.save(_confirm(pairs, sets, num, den), "confirmed")
         links = new if links is None else links.unionByName(new)
         member = connected_components(links, stages)
         # What is left: large buckets that hold several components, without the pivots.
         left = entries.where(F.col("size") > SMALL).drop("comp")
-        left = left.join(pivot.select("key", F.col("a").alias("cls")), ["key", "cls"], "left_anti")
+        left = left.join(pivot.select(F.col("bucket").alias("key"), F.col("a").alias("cls")), ["key", "cls"], "left_anti")
         left = left.join(member.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         left = stages.save(left, "left")
         mixed = stages.save(left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "mixed")
@@ -194,7 +193,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def digest(docs: DataFrame) -> DataFrame:
     """Contract: three-word shingles, 100 * intersection >= 85 * union."""
-    return near_duplicates(docs, k=3, num=85, den=100, bands=24, rows=6)
+    return near_duplicates(docs, k=3, num=85, den=100, bands=52, rows=10)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
