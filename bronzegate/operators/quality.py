@@ -23,8 +23,12 @@ from pyspark.sql import types as T
 
 from .errors import ColCheckOnEmptyDF, ColCheckOnMissingCol
 from .models import (
+    BOTH,
     COL_MISSING,
     DF_EMPTY,
+    LEFT_NOT_RIGHT,
+    RIGHT_NOT_LEFT,
+    ColumnDomainRelationship,
     ColumnDomainResult,
     relation_from_counts,
 )
@@ -39,26 +43,39 @@ def _kind(dt: T.DataType) -> str:
     return dt.simpleString()
 
 
+def _as_decimal(dt: T.DataType) -> T.DecimalType:
+    return dt if isinstance(dt, T.DecimalType) else T.DecimalType(19, 0)
+
+
 def _unified_type(lt: T.DataType, rt: T.DataType) -> T.DataType | None:
     """Common comparison type, or None when the two sides can never match.
 
-    Numbers compare by value across widths (1 == 1.0); any other type must be
-    the same on both sides (a number never equals its text).
+    Equal types compare as themselves; integers and decimals exactly, in a decimal
+    wide enough for both; a float or double on one side makes it DOUBLE, as do
+    decimals that no 38 digits can hold together. Any other type must be the same
+    on both sides (a number never equals its text).
     """
+    if lt == rt:
+        return lt
     if isinstance(lt, _INTEGRAL) and isinstance(rt, _INTEGRAL):
         return T.LongType()
+    exact = _INTEGRAL + (T.DecimalType,)
+    if isinstance(lt, exact) and isinstance(rt, exact):
+        a, b = _as_decimal(lt), _as_decimal(rt)
+        scale = max(a.scale, b.scale)
+        digits = max(a.precision - a.scale, b.precision - b.scale) + scale
+        if digits <= 38:
+            return T.DecimalType(digits, scale)
     if _kind(lt) == "numeric" and _kind(rt) == "numeric":
         return T.DoubleType()
-    if lt == rt:
-        return lt
     return None
 
 
 def _canonical(c: Column, dt: T.DataType, target: T.DataType) -> Column:
-    """Value cast to the comparison type; float NaN folds into null."""
+    """Value cast to the comparison type; float NaN folds into null, -0.0 into 0.0."""
     out = c.cast(target)
     if isinstance(target, (T.FloatType, T.DoubleType)):
-        out = F.when(F.isnan(out), F.lit(None).cast(target)).otherwise(out)
+        out = F.when(F.isnan(out), F.lit(None).cast(target)).when(out == 0, F.lit(0.0).cast(target)).otherwise(out)
     return out
 
 
@@ -215,33 +232,23 @@ def _is_empty(df: DataFrame) -> bool:
     return len(df.columns) == 0 or df.isEmpty()
 
 
+def _holder(faulty_left: bool, faulty_right: bool) -> ColumnDomainRelationship:
+    """Which side has what the faulty side lacks; ``BOTH`` when each is faulty."""
+    return {(True, False): RIGHT_NOT_LEFT, (False, True): LEFT_NOT_RIGHT, (True, True): BOTH}[faulty_left, faulty_right]
+
+
 def preflight(cols: str | Sequence[str], left: DataFrame, right: DataFrame) -> None:
-    """E5: raise on an empty side (tested first), then on a missing column."""
-    lempty, rempty = _is_empty(left), _is_empty(right)
-    if lempty and rempty:
-        raise ColCheckOnEmptyDF(ColumnDomainResult.both(flag=DF_EMPTY))
-    if lempty:
-        raise ColCheckOnEmptyDF(ColumnDomainResult.right_not_left(flag=DF_EMPTY))
-    if rempty:
-        raise ColCheckOnEmptyDF(ColumnDomainResult.left_not_right(flag=DF_EMPTY))
-
-    if isinstance(cols, str):
-        ml, mr = cols not in left.columns, cols not in right.columns
-        if ml and mr:
-            raise ColCheckOnMissingCol(ColumnDomainResult.both(cols, cols, COL_MISSING))
-        if ml:
-            raise ColCheckOnMissingCol(ColumnDomainResult.right_not_left(cols, COL_MISSING))
-        if mr:
-            raise ColCheckOnMissingCol(ColumnDomainResult.left_not_right(cols, COL_MISSING))
-        return
-    miss_l = [c for c in cols if c not in left.columns]
-    miss_r = [c for c in cols if c not in right.columns]
-    if miss_l and miss_r:
-        raise ColCheckOnMissingCol(ColumnDomainResult.both(miss_r, miss_l, COL_MISSING))
-    if miss_r:
-        raise ColCheckOnMissingCol(ColumnDomainResult.left_not_right(miss_r, COL_MISSING))
-    if miss_l:
-        raise ColCheckOnMissingCol(ColumnDomainResult.right_not_left(miss_l, COL_MISSING))
+    """E5: an empty side is an error, and tested first; then a column that a side lacks."""
+    empty = [_is_empty(side) for side in (left, right)]
+    if any(empty):
+        raise ColCheckOnEmptyDF(ColumnDomainResult(_holder(*empty) | DF_EMPTY))
+    wanted = [cols] if isinstance(cols, str) else list(cols)
+    lacking = [[c for c in wanted if c not in side.columns] for side in (left, right)]
+    if any(lacking):
+        # A single name is reported as such, several as lists; each under the side that has them.
+        named = [(names[0] if isinstance(cols, str) else names) if names else None for names in lacking]
+        relation = _holder(*map(bool, lacking)) | COL_MISSING
+        raise ColCheckOnMissingCol(ColumnDomainResult(relation, lnotr=named[1], rnotl=named[0]))
 
 
 def check_column_value_sets(cols: str | list[str] | tuple[str, ...], left: DataFrame,

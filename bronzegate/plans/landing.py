@@ -135,7 +135,7 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
         manifest = detect_incoming(spark, raw_dir, file_glob, filters)
         scan_glob = f"{raw_dir.rstrip('/')}/{file_glob}"
     if mode == "append":
-        done = B.ingested_files(spark, bronze_dir)
+        done = B.ingested_files(spark, bronze_dir, fmt)
         if done is not None:
             manifest = manifest.join(done, "FILE_NAME", "left_anti")
     if "length" not in manifest.columns:
@@ -182,7 +182,9 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
     passing = log.where(F.col("INGEST_SUCCESS")).select("FILE_NAME")
     passing = broadcast_if_small(passing, MAX_BROADCAST_FILES, n_files)
     written = {}
-    for et in (S.QUESTIONS, S.SCORING):  # Questions first: Scoring only follows a written Questions file
+    # An overwrite replaces the tables only by files that passed, never by nothing.
+    kept = mode == "overwrite" and log.where(F.col("INGEST_SUCCESS")).isEmpty()
+    for et in () if kept else (S.QUESTIONS, S.SCORING):  # Questions first: Scoring only follows a written Questions file
         rows = conformed.get(et)
         rows = without_flags(rows).join(passing, "FILE_NAME", "left_semi") if rows is not None \
             else _empty_rows(spark, et)

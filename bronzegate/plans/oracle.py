@@ -146,7 +146,7 @@ landlog AS (
   SELECT r.*, coalesce(q.N_ROWS, 0) AS q_rows, ic.relation,
          CASE WHEN coalesce(q.N_ROWS, 0) = 0 THEN
                 'Column value check is invalid. Left dataframe is empty [right dataframe (scoring file '
-                || r.s_file || ') has valeus and left dataframe (questions file ' || r.q_file || ') doesnt]'
+                || r.s_file || ') has values and left dataframe (questions file ' || r.q_file || ') doesn''t]'
               WHEN ic.relation <> 'EQUAL' THEN
                 'Unique Assessment ID sets not equal between left dataframe (questions file ' || r.q_file
                 || ') and right dataframe (scoring file ' || r.s_file

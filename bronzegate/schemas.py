@@ -83,8 +83,8 @@ MSG_IDS_UNEQUAL = (
 )
 MSG_LEFT_LABEL = "left dataframe (questions file {name})"
 MSG_RIGHT_LABEL = "right dataframe (scoring file {name})"
-MSG_EMPTY_RIGHT = "Column value check is invalid. Right dataframe is empty [{left} has values and {right} doesnt]"
-MSG_EMPTY_LEFT = "Column value check is invalid. Left dataframe is empty [{right} has valeus and {left} doesnt]"
+MSG_EMPTY_RIGHT = "Column value check is invalid. Right dataframe is empty [{left} has values and {right} doesn't]"
+MSG_EMPTY_LEFT = "Column value check is invalid. Left dataframe is empty [{right} has values and {left} doesn't]"
 MSG_EMPTY_BOTH = "Column value check is invalid. Both dataframes are empty [{left} and {right} are empty]"
 
 # ---------------------------------------------------------------------------

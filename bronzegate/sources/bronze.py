@@ -35,8 +35,10 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
         if fmt == "parquet":
             r = r.option("mergeSchema", True)
         return r.load(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def write_bronze(df: DataFrame, path: str, mode: str = "append", partition_by: str | list[str] = "FILE_DATE",
@@ -147,12 +149,19 @@ def read_committed(spark: SparkSession, bronze_dir: str, extract_type: str, fmt:
     return table.join(done, ["FILE_NAME", BATCH_COLUMN], "left_semi")
 
 
-def ingested_files(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
-    """Names of files an earlier run wrote (for idempotent appends)."""
+def ingested_files(spark: SparkSession, bronze_dir: str, fmt: str = "parquet") -> DataFrame | None:
+    """Names of files whose rows the table still holds (for idempotent appends).
+
+    An overwrite removes all earlier batches, and batch ids grow, so a logged file
+    counts only if its batch is not before the oldest one in the table.
+    """
     log = read_log(spark, bronze_dir)
-    if log is None:
+    table = read_table(spark, table_path(bronze_dir, S.QUESTIONS), fmt)
+    if log is None or table is None:
         return None
-    return log.where(F.col("INGEST_SUCCESS")).select("FILE_NAME").distinct()
+    oldest = table.agg(F.min(BATCH_COLUMN).alias("oldest"))  # one row
+    done = log.where(F.col("INGEST_SUCCESS")).join(F.broadcast(oldest), F.col(BATCH_COLUMN) >= F.col("oldest"))
+    return done.select("FILE_NAME").distinct()
 
 
 __all__ = [
