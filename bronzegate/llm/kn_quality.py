@@ -157,9 +157,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     good = rows.join(ids, "id", "left_semi").where("nats is not null")
     level = F.percentile_approx("nats", QUANTILE, 10000) * MARGIN
     by_lang = good.groupBy("lang").agg(level.alias("level"), F.count("*").alias("n")).where(F.col("n") >= MIN_TRUSTED).select(F.col("lang").alias("l"), "level")
-    overall = good.agg(level.alias("overall"))
-    judged = rows.join(stages.save(by_lang, "levels"), F.col("lang") == F.col("l"), "left").crossJoin(F.broadcast(stages.save(overall, "overall")))
-    limit = F.coalesce("level", "overall")
+    overall = good.agg(level.alias("overall")).first()["overall"]  # one number
+    judged = rows.join(stages.save(by_lang, "levels"), F.col("lang") == F.col("l"), "left")
+    limit = F.coalesce("level", F.lit(overall).cast("double"))
     return judged.select(
         F.col("id").alias(id_col), "row", "lang", F.exp("nats").alias("perplexity"), F.exp(limit).alias("threshold"),
         (F.col("nats").isNotNull() & F.coalesce(F.col("nats") <= limit, F.lit(True))).alias("kept"))

@@ -103,8 +103,10 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, listed: DataFrame, url_col:
     word_table, blocks = bloom(entries, n)
     word_table = stages.save(word_table, "bloom")
     # Distinct shapes, not rules: a handful of label counts times path lengths.
-    shapes = entries.where("rank >= 0").select("labels", "path_chars").distinct()
-    shape_list = F.broadcast(shapes.agg(F.collect_list(F.struct("labels", "path_chars")).alias("shapes")))
+    shapes = entries.where("rank >= 0").select("labels", "path_chars").distinct().collect()
+    shape_list = F.array(*[F.struct(F.lit(r["labels"]).alias("labels"), F.lit(r["path_chars"]).alias("path_chars")) for r in shapes])
+    if not shapes:
+        shape_list = F.array().cast("array<struct<labels:int,path_chars:int>>")
 
     urls = stages.save(
         pages.select(F.col(url_col).alias("u")).distinct().select("u", host_of(F.col("u")).alias("h"), path_of(F.col("u")).alias("p")),
@@ -112,13 +114,13 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, listed: DataFrame, url_col:
     )
     labels = F.split("h", "\\.")
     rule_candidates = F.transform(
-        F.filter("shapes", lambda s: (s["labels"] <= F.size(labels)) & (s["path_chars"] <= F.char_length("p"))),
+        F.filter(shape_list, lambda s: (s["labels"] <= F.size(labels)) & (s["path_chars"] <= F.char_length("p"))),
         lambda s: _rule_key(
             F.array_join(F.slice(labels, F.size(labels) - s["labels"] + 1, s["labels"]), "."),
             F.substring(F.col("p"), F.lit(1), s["path_chars"]),
         ),
     )
-    candidates = urls.crossJoin(shape_list).select(  # one row on the right
+    candidates = urls.select(
         "u", F.explode(F.concat(rule_candidates, F.array(_url_key(canonical(F.col("h"), F.col("p")))))).alias("key")
     ).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
     possible = candidates.join(small(word_table, min(n, blocks), FILTER_ROWS), "block").where(
