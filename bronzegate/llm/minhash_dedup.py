@@ -12,10 +12,13 @@ full shingle sets before it links.
   is the class that shares the most buckets, the likely original of a group of
   edited copies.  Pivots have then met every class of the bucket and leave it; the
   buckets that still hold several components go to the next round with ``GROWTH``
-  times the pivots, until none is left.  So every proposed pair is either confirmed
+  times the pivots.  As soon as what is open is at most ``SMALL`` pairs per entry, every
+  class outside the largest component of a bucket meets all others there, and that is the end.  So every proposed pair is either confirmed
   or refused on the full sets, or already known to be in one component, and a
   group of copies costs a multiple of its size, not its square.
-* Sets are 64-bit hashes of the shingles; they move only for proposed pairs.
+* Sets are 64-bit hashes of the shingles; they move only for proposed pairs, and only if
+  the size of their difference allows the similarity: sizes and the parities of the elements
+  over 512 places are lower bounds of it, so this loses no link.
 
 With ``similarity`` s, ``rows`` r and ``bands`` b a pair at s is missed with probability
 ``(1 - s**r) ** b``: 1.1e-5 at 0.85 with 10 x 52, 3.4e-5 at 0.8 with 8 x 56.  Long bands keep texts
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzegate.llm import words as W
@@ -47,6 +50,7 @@ from bronzegate.llm.components import connected_components
 BANDS, ROWS = 56, 8
 SMALL = 64
 GROWTH = 32
+WORDS = 8
 _SEED = 7
 
 
@@ -71,6 +75,15 @@ def _digest(sets: list[np.ndarray], at: np.ndarray, flat: np.ndarray) -> list[by
     return [x.tobytes() for x in both]
 
 
+def _sketch(at: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Parities of the elements of each set over ``64 * WORDS`` places, as rows of longs."""
+    places = 64 * WORDS
+    place = (W.mix(flat ^ np.uint64(0x165667B19E3779F9)) >> np.uint64(32)).astype(np.int64) % places
+    of = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(flat))))
+    odd = np.bincount(of * places + place, minlength=len(at) * places) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(at), places), axis=1).view(np.int64)
+
+
 def _signatures(k: int, bands: int, rows: int):
     rng = np.random.default_rng(_SEED)
     perms = (bands * rows + 1) // 2
@@ -85,7 +98,7 @@ def _signatures(k: int, bands: int, rows: int):
                 sets = _sets(raw, starts, k)
                 n = np.fromiter(map(len, sets), np.int64, len(sets))
                 full = np.flatnonzero(n)
-                keys, digests = [None] * len(sets), [None] * len(sets)
+                keys, digests, sketches = [None] * len(sets), [None] * len(sets), [None] * len(sets)
                 if len(full):
                     flat = np.concatenate([sets[i] for i in full])
                     at = np.cumsum(n[full]) - n[full]
@@ -99,11 +112,12 @@ def _signatures(k: int, bands: int, rows: int):
                     table = values[order][: bands * rows].reshape(bands, rows, len(full))
                     key = (table * band_mul[:, :, None]).sum(1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)[:, None]
                     key = W.mix(key).view(np.int64)
-                    for i, d, x in zip(full, _digest(sets, at, flat), key.T):
-                        keys[i], digests[i] = x, d
+                    for i, d, x, y in zip(full, _digest(sets, at, flat), key.T, _sketch(at, flat)):
+                        keys[i], digests[i], sketches[i] = x, d, y
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, last - first), pa.array(n), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["id", "n", "cls", "bands"],
+                    [ids.slice(first, last - first), pa.array(n), pa.array(digests, pa.binary()),
+                     pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["id", "n", "cls", "sketch", "bands"],
                 )
 
     return run
@@ -126,12 +140,35 @@ def _set_rows(k: int):
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets reach the similarity; a is the pivot side."""
+    """The ``pairs`` whose sets, of ``a`` and ``b``, reach the similarity."""
     side = lambda c: sets.select(F.col("cls").alias(c), F.col("items").alias(f"{c}_items"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
     common = F.size(F.array_intersect("a_items", "b_items")).cast("long")
     total = F.size("a_items").cast("long") + F.size("b_items") - common
-    return both.where(common * den >= total * num).select("a", "b")
+    return both.where(common * den >= total * num)
+
+
+def _moved(df: DataFrame, step: DataFrame) -> DataFrame:
+    """``df`` with its components replaced by those that they are joined to."""
+    step = step.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    return df.join(step, "comp", "left").withColumn("comp", F.coalesce("to", "comp")).drop("to")
+
+
+def _link(entries: DataFrame, pivot: DataFrame, once: Column, sets: DataFrame, member: DataFrame | None,
+          num: int, den: int, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """Components after the pivots met their buckets: of the classes, and of the components before."""
+    alike = F.least("n", "a_n") * den >= F.greatest("n", "a_n") * num
+    # Sets whose parities differ in d places differ in at least d elements.
+    apart = sum(F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("a_sketch")[i])) for i in range(WORDS)).cast("long")
+    alike = alike & (apart * (num + den) <= (F.col("n") + F.col("a_n")) * (den - num))
+    met = entries.join(pivot, (F.col("key") == F.col("bucket")) & (F.col("a_comp") != F.col("comp")) & once & alike)
+    pairs = met.select("a", F.col("cls").alias("b"), "a_comp", F.col("comp").alias("b_comp")).distinct()
+    new = _confirm(pairs, sets, num, den).select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b"))
+    step = connected_components(new, stages)
+    if member is None:
+        return step, step
+    more = step.join(member, "node", "left_anti")  # classes that were alone
+    return stages.save(_moved(member, step).select("node", "comp").unionByName(more), "member"), step
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -141,11 +178,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stages = Stages(spark, "minhash")
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
     signed = stages.save(
-        plain.mapInArrow(_signatures(k, bands, rows), "id long, n long, cls binary, bands array<long>"), "signatures")
+        plain.mapInArrow(_signatures(k, bands, rows), "id long, n long, cls binary, sketch array<long>, bands array<long>"), "signatures")
     classes = stages.save(
         signed.where("cls is not null and id is not null").groupBy("cls")
-        .agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    keyed = classes.select("cls", "n", F.explode("bands").alias("key"))
+        .agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
+    keyed = classes.select("cls", "n", "sketch", F.explode("bands").alias("key"))
     buckets = stages.save(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     entries = stages.save(keyed.join(buckets, "key"), "crowded")
     score = stages.save(entries.groupBy("cls").agg(F.sum("size").alias("score")), "scores")
@@ -157,27 +194,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = chosen.mapInArrow(_set_rows(k), "cls binary, items array<long>")
     sets = stages.save(sets.groupBy("cls").agg(F.first("items").alias("items")), "sets")
 
-    links, member, pivots_per_bucket = None, None, 1
+    rows_in, member, pivots_per_bucket = entries.count(), None, 1
     while not entries.isEmpty():
         # Every class of a small bucket is a pivot; of a large one, one per salt.
         salt = F.when(F.col("size") <= SMALL, F.xxhash64("cls")).otherwise(F.pmod(F.xxhash64("cls"), F.lit(pivots_per_bucket)))
         pivot = stages.save(
-            entries.groupBy("key", salt.alias("salt")).agg(F.max(F.struct("score", "cls", "n", "comp")).alias("p"))
-            .select(F.col("key").alias("bucket"), F.col("p.cls").alias("a"), F.col("p.n").alias("a_n"), F.col("p.comp").alias("a_comp")), "pivots")
+            entries.groupBy("key", salt.alias("salt")).agg(F.max(F.struct("score", "cls", "n", "comp", "sketch")).alias("p"))
+            .select(F.col("key").alias("bucket"), F.col("p.cls").alias("a"), F.col("p.n").alias("a_n"), F.col("p.comp").alias("a_comp"), F.col("p.sketch").alias("a_sketch")), "pivots")
         once = F.when(F.col("size") > SMALL, F.col("a") != F.col("cls")).otherwise(F.col("a") < F.col("cls"))
-        alike = F.least("n", "a_n") * den >= F.greatest("n", "a_n") * num
-        met = entries.join(pivot, (F.col("key") == F.col("bucket")) & (F.col("a_comp") != F.col("comp")) & once & alike)
-        pairs = met.select("a", F.col("cls").alias("b")).distinct()
-        new = stages.save(_confirm(pairs, sets, num, den), "confirmed")
-        links = new if links is None else links.unionByName(new)
-        member = connected_components(links, stages)
+        member, step = _link(entries, pivot, once, sets, member, num, den, stages)
         # What is left: large buckets that hold several components, without the pivots.
-        left = entries.where(F.col("size") > SMALL).drop("comp")
-        left = left.join(pivot.select(F.col("bucket").alias("key"), F.col("a").alias("cls")), ["key", "cls"], "left_anti")
-        left = left.join(member.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        left = stages.save(left, "left")
-        mixed = stages.save(left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "mixed")
-        entries = stages.save(left.join(mixed, "key", "left_semi"), "entries")
+        left = entries.where(F.col("size") > SMALL).join(pivot.select(F.col("bucket").alias("key"), F.col("a").alias("cls")), ["key", "cls"], "left_anti")
+        left = stages.save(_moved(left, step), "left")
+        shares = left.groupBy("key", "comp").agg(F.count("*").alias("rows")).groupBy("key").agg(
+            F.sum("rows").alias("total"), F.max(F.struct("rows", "comp")).alias("top")).where(F.col("total") > F.col("top.rows"))
+        mixed = stages.save(shares.select("key", F.col("top.comp").alias("major"), (F.col("total") * (F.col("total") - F.col("top.rows"))).alias("pairs")), "mixed")
+        entries = stages.save(left.join(mixed.select("key", "major"), "key"), "entries")
+        if (mixed.agg(F.sum("pairs")).first()[0] or 0) <= SMALL * rows_in:
+            # As cheap as small buckets: each class outside a bucket's largest component meets all others.
+            pivot = entries.where(F.col("comp") != F.col("major")).select(
+                F.col("key").alias("bucket"), F.col("cls").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_comp"), F.col("sketch").alias("a_sketch"))
+            member, _ = _link(entries, pivot, (F.col("comp") == F.col("major")) | (F.col("a") < F.col("cls")), sets, member, num, den, stages)
+            break
+        entries = entries.drop("major")
         pivots_per_bucket *= GROWTH
 
     if member is None:

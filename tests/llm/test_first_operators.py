@@ -116,8 +116,10 @@ def test_minhash(spark, odd, source):
         assert minhash_dedup.digest(docs.limit(0)).count() == 0
 
 
-def test_minhash_group_of_edited_copies(spark):
-    """A hub with many edited copies, of which many are not similar to each other."""
+@pytest.mark.parametrize("small", [minhash_dedup.SMALL, 3, 0])
+def test_minhash_group_of_edited_copies(spark, monkeypatch, small):
+    """A hub with many edited copies, of which many are not similar to each other; with 0 all rounds of pivots run."""
+    monkeypatch.setattr(minhash_dedup, "SMALL", small)
     rng = random.Random(11)
     vocab = [f"w{i}" for i in range(3000)]
     base = [rng.choice(vocab) for _ in range(200)]
