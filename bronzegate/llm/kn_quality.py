@@ -12,12 +12,16 @@ a space (so text that repeats words is as improbable as it should be), character
   of all orders, one row per gram; then the gram counts of every document are joined
   with the resolved log-probabilities (broadcast while they are few, else by shuffle),
   summed per document before the shuffle, to a perplexity per character.
-* Threshold per language: the ``QUANTILE`` of the trusted documents' log-perplexities times
-  ``MARGIN``; languages with fewer than ``MIN_TRUSTED`` trusted documents (or null) take that of
-  all trusted documents.  A document above its threshold is rejected.
-
-Defined cases: null or blank text has no grams, a null perplexity and is rejected; without
-any trusted document nothing can be judged and all others are kept; rows with equal id
+* Threshold per language (null is one): the ``QUANTILE`` of its own trusted documents'
+  log-perplexities times ``MARGIN``, at every number of them.  Each trusted document is
+  measured by a model of the half of the trusted texts it is not in (halves by text hash),
+  so the level is that of text the model has not seen: the fewer trusted documents a
+  language has, the less those models know it and the wider its limit.  A document above
+  its threshold is rejected.
+
+Defined cases: null or blank text has no grams, a null perplexity and is rejected; a
+language without trusted documents has no threshold (null) and keeps all others, and so
+does every language when one half of the trusted texts is empty; rows with equal id
 and text share a result; a null id is judged like any other; an empty table gives an empty
 result; other columns pass through in the pipeline stage.
 """
@@ -37,7 +41,6 @@ from bronzegate.llm.common import Stages, read, small
 ORDER = 4
 QUANTILE = 0.99
 MARGIN = 1.06
-MIN_TRUSTED = 50
 RESOLVED_ROWS = 1_000_000
 START, REPEAT = 2, "\x01"
 
@@ -133,6 +136,33 @@ def resolve(grams: DataFrame, tables: list, stages: Stages) -> DataFrame:
     return stages.save(df.select("gram", F.log(p).alias("logp")), "resolved")
 
 
+def _scores(rows: DataFrame, tables: list, stages: Stages) -> DataFrame:
+    """(id, row, nats): log-perplexity per character of all ``rows`` (id, row, text) with grams."""
+    grams = rows.select("text").mapInArrow(_batch_counts, "gram long, n long").select("gram").distinct()
+    resolved = resolve(stages.save(grams, "grams"), tables, stages)
+    counted = rows.select("id", "row", "text").mapInArrow(_document_counts, "id long, row long, gram long, n long")
+    scored = counted.join(small(resolved, limit=RESOLVED_ROWS), "gram")
+    scored = scored.groupBy("id", "row").agg((-F.sum(F.col("n") * F.col("logp")) / F.sum("n")).alias("nats"))
+    return stages.save(scored, "scored")
+
+
+def _levels(trusted: DataFrame, stages: Stages) -> DataFrame:
+    """(l, level): the limit of every language, from trusted documents scored by the other half's model."""
+    halves = [trusted.where(F.pmod("row", F.lit(2)) == h) for h in (0, 1)]
+    models = [train(half.select("text"), stages) for half in halves]
+    seen = [bool(tables[-1][0].head(1)) for tables in models]
+    scored = None
+    for half, tables in zip(halves, reversed(models)):
+        # Without text in one of the halves no document can be measured from outside.
+        part = half.where(F.lit(all(seen))).select("id", "row", "text")
+        part = _scores(part, tables, stages) if all(seen) else part.select("id", "row", F.lit(0.0).alias("nats"))
+        scored = part if scored is None else scored.unionByName(part)
+    scored = scored.select(F.col("id").alias("sid"), F.col("row").alias("srow"), "nats")
+    good = trusted.select("id", "row", "lang").join(scored, (F.col("id") == F.col("sid")) & (F.col("row") == F.col("srow")))
+    level = F.percentile_approx("nats", QUANTILE, 10000) * MARGIN
+    return stages.save(good.groupBy(F.col("lang").alias("l")).agg(level.alias("level")), "levels")
+
+
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(id, row, lang, perplexity, threshold, kept); ``row`` is the hash of the text.
 
@@ -142,27 +172,17 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     stages = Stages(spark, "kn_quality")
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(body).alias("row"), body.alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    ids = stages.save(labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct(), "trusted")
-    tables = train(plain.join(ids, "id", "left_semi").select("text"), stages)
-    grams = plain.select("text").mapInArrow(_batch_counts, "gram long, n long").select("gram").distinct()
-    resolved = resolve(stages.save(grams, "grams"), tables, stages)
-    counted = plain.select("id", "row", "text").mapInArrow(_document_counts, "id long, row long, gram long, n long")
-    scored = counted.join(small(resolved, limit=RESOLVED_ROWS), "gram")
-    scored = scored.groupBy("id", "row").agg((-F.sum(F.col("n") * F.col("logp")) / F.sum("n")).alias("nats"))
-    scored = stages.save(scored, "scored")
+    ids = stages.save(labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct(), "ids")
+    trusted = stages.save(plain.join(ids, "id", "left_semi").select("id", "row", "text", "lang"), "trusted")
+    levels = _levels(trusted, stages)
+    scored = _scores(plain, train(trusted.select("text"), stages), stages)
     rows = plain.select("id", "row", "lang").join(
         scored.select(F.col("id").alias("sid"), F.col("row").alias("srow"), "nats"),
         F.col("id").eqNullSafe(F.col("sid")) & (F.col("row") == F.col("srow")), "left").select("id", "row", "lang", "nats")
-    rows = stages.save(rows, "rows")
-    good = rows.join(ids, "id", "left_semi").where("nats is not null")
-    level = F.percentile_approx("nats", QUANTILE, 10000) * MARGIN
-    by_lang = good.groupBy("lang").agg(level.alias("level"), F.count("*").alias("n")).where(F.col("n") >= MIN_TRUSTED).select(F.col("lang").alias("l"), "level")
-    overall = good.agg(level.alias("overall")).first()["overall"]  # one number
-    judged = rows.join(stages.save(by_lang, "levels"), F.col("lang") == F.col("l"), "left")
-    limit = F.coalesce("level", F.lit(overall).cast("double"))
+    judged = rows.join(levels, F.col("lang").eqNullSafe(F.col("l")), "left")
     return judged.select(
-        F.col("id").alias(id_col), "row", "lang", F.exp("nats").alias("perplexity"), F.exp(limit).alias("threshold"),
-        (F.col("nats").isNotNull() & F.coalesce(F.col("nats") <= limit, F.lit(True))).alias("kept"))
+        F.col("id").alias(id_col), "row", "lang", F.exp("nats").alias("perplexity"), F.exp("level").alias("threshold"),
+        (F.col("nats").isNotNull() & F.coalesce(F.col("nats") <= F.col("level"), F.lit(True))).alias("kept"))
 
 
 def _trusted(labels: DataFrame) -> DataFrame:

@@ -41,3 +41,26 @@ def test_quality_odd_rows(spark):
     kept = {r["doc_id"]: r["kept"] for r in kn_quality.digest(docs, none).collect()}
     assert kept == {1: False, 2: False, 3: True, None: True}
     assert kn_quality.digest(docs.limit(0), none).count() == 0
+
+
+def test_quality_keeps_clean_languages_at_every_number_of_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    trusted = labels.where("quality = 1 and toxic = 0").join(docs.select("doc_id", "lang"), "doc_id")
+    clean = labels.where("quality = 1").select("doc_id")
+    german = sorted(r["doc_id"] for r in trusted.where("lang = 'de'").collect())
+    french = sorted(r["doc_id"] for r in trusted.where("lang = 'fr'").collect())
+    spanish = sorted(r["doc_id"] for r in trusted.where("lang = 'es'").collect())
+    drop = german + french[10:] + spanish[1:]  # none, ten and one label
+    some = labels.where(~labels["doc_id"].isin(drop))
+    rows = kn_quality.digest(docs, some).join(labels.select("doc_id", "quality"), "doc_id").collect()
+    assert all(r["threshold"] is None for r in rows if r["lang"] == "de")
+    for lang in ("de", "fr", "es"):
+        kept = [r["kept"] for r in rows if r["lang"] == lang and r["quality"] == 1]
+        assert len(kept) >= 30 and all(kept), lang
+    assert not any(r["kept"] for r in rows if r["lang"] in ("en", "fr") and r["quality"] == 0)
+    # Null is a language like any other, and sixty labels judge by their own quantile too.
+    unnamed = docs.withColumn("lang", docs["lang"].substr(9, 1)).selectExpr("doc_id", "text", "nullif(lang, '') as lang")
+    few = [r["doc_id"] for r in trusted.where("lang = 'en'").orderBy("doc_id").limit(60).collect()]
+    rows = kn_quality.digest(unnamed, labels.where(labels["doc_id"].isin(few + german + french + spanish))).join(clean, "doc_id").collect()
+    assert sum(r["kept"] for r in rows) >= 0.97 * len(rows) and all(r["threshold"] is not None for r in rows)
