@@ -25,6 +25,34 @@ def test_templates_and_slots(spark):
     assert decontaminate.digest(docs.limit(0), items).count() == decontaminate.digest(docs, items.limit(0)).count() == 0
 
 
+def test_letter_case_quotes_and_short_items(spark):
+    rng = random.Random(9)
+    fill = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "kappa", "sigma"]) + rng.choice("xyz") for _ in range(n))
+    item = "The old café in Straße nine sells fresh Brötchen to Anna and twelve élèves every day before 8 hours of school in Évreux"
+    items = [(1, item), (2, "four words it has"), (3, "Anna Berta 12 kg 7 cm Carla 9 lbs 3 ft Dora 4 mm Emil 5 ml"), (4, "a train leaves town at 9 hours and reaches the coast after 12 hours of slow travel"),
+             (5, "a buyer pays 3 for every red apple and green pear on market day while her brother later sells 4 loaves of dark bread before the shop shuts tonight")]
+    docs = [(10, fill(30) + " " + item.upper() + " " + fill(30)), (11, fill(30) + " " + item.lower() + " " + fill(9)),
+            (12, fill(30) + " “" + item + "” " + fill(9)), (13, fill(9) + ' he said: "' + item.title() + '"'),
+            (20, fill(9) + " FOUR Words, «it has» " + fill(9)), (21, fill(9) + " four words it had " + fill(9)),
+            (30, fill(9) + " " + items[2][1].upper() + " " + fill(9)), (31, fill(9) + " Bela Cora 13 kg 8 cm Dina 4 lbs 5 ft Elsa 6 mm Fritz 2 ml"),
+            (40, "SO " + items[3][1].upper().replace("12", "7").replace("9", "5") + " " + fill(9)),
+            (50, items[4][1].replace("3", "7").replace("4", "7").replace("while", "until")), (60, fill(200))]
+    items, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["exact"] for r in decontaminate.digest(docs, items).collect()}
+    assert got == {(10, 1): True, (11, 1): True, (12, 1): True, (13, 1): True, (20, 2): True, (30, 3): True, (40, 4): False, (50, 5): False}
+
+
+def test_items_held_whole_are_found(spark):
+    import re
+
+    sf = "/root/testdata/sf0.01"
+    docs, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    plain = lambda t: f" {' '.join(re.findall(r'[^\W_]+', (t or '').casefold()))} "
+    whole = [(r["item_id"], plain(r["text"])) for r in items.collect()]
+    want = {(d["doc_id"], i) for d in docs.select("doc_id", "text").collect() for body in [plain(d["text"])] for i, t in whole if t.strip() and t in body}
+    assert want <= {(r["doc_id"], r["item_id"]) for r in decontaminate.digest(docs, items).collect()}
+
+
 def test_quality_rejects_junk(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
