@@ -82,6 +82,25 @@ def test_battery_adds_random_runs_only(spark):
     assert not any(got[2000 + i] for i in range(40)) and not any(got[i] for i in range(100))
 
 
+@pytest.mark.parametrize("source", ["few", "sf"])
+def test_battery_reports_long_tokens_in_ordinary_prose(spark, source):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    alnum = letters.upper() + letters + "0123456789"
+    word = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    tokens = [word(c, n) for c in (alnum, letters, letters + letters.upper(), alnum + "+/") for n in (40, 64, 120)]
+    prose = "we walked to the station and waited for the evening train while it rained "
+    plain = ["internationalization", "donaudampfschifffahrtsgesellschaftskapitaen", "some-long-page-name-of-a-web-site", "getElementsByClassNameAndTagName",
+             "antidisestablishmentarianism", "path/to/some/other/folder/of/the/project/and/further/down/into/the/tree/until/there/is/nothing/left", "=" * 30]
+    docs = [(10**9 + i, prose + t + " " + prose) for i, t in enumerate(tokens)] + [(2 * 10**9 + i, prose + t + " " + prose) for i, t in enumerate(plain)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    docs = docs if source == "few" else docs.unionByName(table(spark, "documents").select("doc_id", "text"))
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.digest(docs).collect()}
+    missed = [t for i, t in enumerate(tokens) if got[10**9 + i] != f"random:{len(prose)}:{len(prose) + len(t)}"]
+    assert len(missed) <= 1, missed
+    assert not any(got[2 * 10**9 + i] for i in range(len(plain)))
+
+
 def test_urls(spark):
     rows = [(1, None), (2, ""), (3, "no scheme"), (4, "HTTP://WWW.Example.COM/en/a?x#y"), (5, "http://m.example.com/en/"), (6, "a://b://c/es/"),
             (7, "http://x.net/es/1"), (8, "http://net/fr/"), (9, "http://x.net"), (10, "http://xnet/es/1"), (11, "http://example.com"),
