@@ -15,7 +15,8 @@ STAGES = [
     ("packing", packing.stage),
 ]
 
-#: The language model and the packing are not SQL; tests hold them against plain Python.
+#: The language model and the packing are not SQL.  No test runs the pipeline as a whole or holds the model against plain
+#: Python: quality is held against labels, decontamination against planted rows and whole items, packing by its round trip.
 ORACLE_SQL = None
 
 
