@@ -64,7 +64,36 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low.y,
 FROM embeddings LEFT JOIN low ON low.x = vec_id LEFT JOIN degree ON degree.x = vec_id
 """
 
+LEXICAL_SEARCH = f"""
+WITH tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_UP}, {_LOW}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM documents
+), tfs AS (
+  SELECT doc_id, term, count(*) AS tf FROM tokens GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY doc_id
+), total AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_UP}, {_LOW}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+), wanted AS (
+  SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * total.docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tfs, total WHERE term IN (SELECT term FROM wanted) GROUP BY term, total.docs
+), impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * total.docs) // total.words))) AS impact
+  FROM tfs JOIN weights USING (term) JOIN lengths USING (doc_id), total
+), scored AS (
+  SELECT item_id, doc_id, sum(times * impact)::BIGINT AS score FROM wanted JOIN impacts USING (term) GROUP BY ALL HAVING sum(times * impact) > 0
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
 ORACLES = {
+    "op13_lexical_search": LEXICAL_SEARCH,
     "op3_embedding_dedup": EMBEDDING_DEDUP,
     "op2_line_dedup": LINE_DEDUP,
     "op5_url_filter": URL_FILTER,
