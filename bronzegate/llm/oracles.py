@@ -92,7 +92,22 @@ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 FROM scored QUALIFY rank <= 20
 """
 
+CHAT_FORMAT = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok')
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('### : </turn>') + 1 + length(text) + length(regexp_replace(text, '[^#<\\\\]', '', 'g')) +
+           CASE WHEN role IN ('system', 'user', 'assistant') THEN length(role) ELSE 1 + length(base64(encode(role))) END)::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
 ORACLES = {
+    "op12_chat_format": CHAT_FORMAT,
     "op13_lexical_search": LEXICAL_SEARCH,
     "op3_embedding_dedup": EMBEDDING_DEDUP,
     "op2_line_dedup": LINE_DEDUP,
