@@ -106,7 +106,86 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+
+
+def _step(way: str, cost: str, edit: str) -> str:
+    """A way is its cost in nine digits and its edits, so the least string is the cheapest, then ASCII-least way."""
+    return f"(lpad((left({way}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({way}, 10) || '{edit}')"
+
+
+def _kept(way: str, initial: str) -> str:
+    return f"CASE WHEN ini = '{initial}' AND may THEN {_step(way, 'extra', 'K')} END"
+
+
+def _reroled(way: str) -> str:
+    return f"CASE WHEN may THEN {_step(way, '2 + extra', 'R')} END"
+
+
+_CLOSED = f"""SELECT conv_id, i, z, s, least(u, {_step('z', '2', 'I')}, {_step('s', '2', 'I')}, {_step('a', '2', 'I')}) AS u, a FROM ways"""
+
+CONVERSATION_REPAIR = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+           lambda c, b: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END)) AS t
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), hashed AS (
+  SELECT *, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+              lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS way FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE way WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE way WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE way WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed WHERE way <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS ini FROM damaged
+), numbered_same AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM placed
+), faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault FROM numbered_same
+), judged AS (
+  SELECT *, fault NOT IN ('blank', 'duplicate') AS may, (fault = 'truncated')::BIGINT AS extra,
+         lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS two FROM faults
+), ways AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, '000000000' AS z, NULL::VARCHAR AS s, NULL::VARCHAR AS u, NULL::VARCHAR AS a FROM conversations
+  UNION ALL
+  SELECT w.conv_id, r.i, {_step('z', '3', 'D')}, least({_step('s', '3', 'D')}, {_kept('z', 's')}),
+         least({_step('u', '3', 'D')}, {_kept('least(z, s, a)', 'u')}, {_reroled('least(z, s, a)')}),
+         least({_step('a', '3', 'D')}, {_kept('u', 'a')}, {_reroled('u')})
+  FROM (SELECT conv_id, i, z, s, u, least(a, {_step('u', '2', 'I')}) AS a FROM ({_CLOSED})) w
+  JOIN judged r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+), ended AS (
+  SELECT conv_id, least(z, a, {_step('u', '2', 'I')}) AS way FROM ({_CLOSED}) QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), edits AS (
+  SELECT conv_id, unnest(string_split(substr(way, 10), '')) AS e, generate_subscripts(string_split(substr(way, 10), ''), 1) AS j
+  FROM ended WHERE length(way) > 9
+), numbered AS (
+  SELECT *, count(*) FILTER (e <> 'I') OVER w AS i, count(*) FILTER (e <> 'D') OVER w AS p FROM edits
+  WINDOW w AS (PARTITION BY conv_id ORDER BY j)
+), made AS (
+  SELECT n.conv_id, j, p, e, r.role, coalesce(CASE WHEN e <> 'I' THEN r.text END, '') AS text,
+         max(CASE WHEN p = 1 AND e = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY n.conv_id) AS s
+  FROM numbered n LEFT JOIN judged r ON r.conv_id IS NOT DISTINCT FROM n.conv_id AND r.i = n.i
+  WHERE e <> 'D'
+), said AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (p - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS lines
+  FROM made GROUP BY conv_id
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, left(way, 9)::BIGINT AS cost,
+       substr(way, 10) AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN said s ON s.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 ORACLES = {
+    "op11_conversation_repair": CONVERSATION_REPAIR,
     "op12_chat_format": CHAT_FORMAT,
     "op13_lexical_search": LEXICAL_SEARCH,
     "op3_embedding_dedup": EMBEDDING_DEDUP,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bronzegate.llm import chat_format, decontaminate, embedding_dedup, kn_quality, lexical_search, line_dedup, minhash_dedup, packing, secret_scan, substring_dedup, suffix_dedup, url_filter
+from bronzegate.llm import chat_format, conversation_repair, decontaminate, embedding_dedup, kn_quality, lexical_search, line_dedup, minhash_dedup, packing, secret_scan, substring_dedup, suffix_dedup, url_filter
 from bronzegate.llm.common import read
 
 
@@ -21,6 +21,7 @@ QUERIES = {
     "op2_line_dedup": _over("documents", line_dedup.digest),
     "op5_url_filter": _over("pages", url_filter.digest),
     "op10_minhash_dedup": _over("documents", minhash_dedup.digest),
+    "op11_conversation_repair": _over("conversations", conversation_repair.digest),
     "op12_chat_format": _over("conversations", chat_format.digest),
     "op13_lexical_search": lambda spark, sf_dir: lexical_search.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
 }
