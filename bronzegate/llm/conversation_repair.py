@@ -267,7 +267,8 @@ def _faults(rows: DataFrame, stages: Stages) -> DataFrame:
     known = slim.join(firsts.where("n > 1"), F.col("digest") == F.col("d"), "left")
     fault = (F.when(F.col("dropped"), None).when(F.col("blank"), "blank").when(F.col("at") > F.col("first"), "duplicate")
              .when(F.col("cut"), "truncated").otherwise(""))
-    ordered = known.select("conv_id", "at", fault.alias("fault"), "initial").repartitionByRange("at").sortWithinPartitions("at")
+    tasks = int(stages.spark.conf.get("spark.sql.shuffle.partitions"))  # named, so not merged by size: the search costs more than these bytes say
+    ordered = known.select("conv_id", "at", fault.alias("fault"), "initial").repartitionByRange(tasks, "at").sortWithinPartitions("at")
     found = stages.save(ordered.mapInArrow(_runs, _FOUND), "edits")
     open_runs = found.where("cost IS NOT NULL")
     ways = open_runs.groupBy("conv_id").applyInArrow(_join_runs, "run long, way int, end long, tail string")
