@@ -56,10 +56,9 @@ def clean_parse_line(line: Column, sep: str = S.SEPARATOR) -> Column:
 
 def manual_parse(spark: SparkSession, bad_file: str, sep: str = S.SEPARATOR) -> DataFrame:
     """Tolerant parse of one file: first line is the header, no quote rules."""
-    header = line_stats(spark, [bad_file], sep).select("header").first()
-    if header is None:
+    if line_stats(spark, [bad_file], sep).isEmpty():
         raise ValueError(f"{bad_file} is empty")
-    return scan_tolerant(spark, [bad_file], header["header"], None, sep).drop("FILE_NAME")
+    return scan_tolerant(spark, bad_file, sep)
 
 
 def divide_extract_types(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:

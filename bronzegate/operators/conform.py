@@ -40,7 +40,9 @@ def conform(rows: DataFrame, extract_type: str, ingestion_ts: _dt.datetime | Col
     strings, floats, dates = (S.string_columns(extract_type), S.float_columns(extract_type),
                               S.date_columns(extract_type))
     declared = set(strings) | set(floats) | set(dates)
-    extras = [c for c in rows.columns if c not in declared and c != "FILE_NAME"]
+    # A raw column named like a lineage or declared column (letter case aside) gives way to it.
+    taken = {c.lower() for c in declared} | {c.lower() for c in S.LINEAGE_COLUMNS}
+    extras = [c for c in rows.columns if c not in declared and c.lower() not in taken]
     if ingestion_ts is None:
         ts = F.localtimestamp()
     elif isinstance(ingestion_ts, Column):

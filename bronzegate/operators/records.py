@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -20,6 +20,10 @@ from .quality import summarize_flags, value_flags
 
 
 
+#: Groups that a pair's IDs are dealt to before their smallest are gathered.
+SALTS = 64
+
+
 def _empty_errors() -> Column:
     return F.array().cast("array<string>")
 
@@ -131,6 +135,65 @@ def uncovered_ids(questions: DataFrame, scoring: DataFrame, pairs: DataFrame,
         F.col("value").alias("MISSING_ID"))
 
 
+def uncovered_id_lists(uncovered: DataFrame, cap: int = 20) -> DataFrame:
+    """J3 (list form): FILE_WITH, FILE_WITHOUT, the ``cap`` smallest missing IDs and how many there are.
+
+    Ranks are found per task first (a pair's rows are dealt to ``SALTS`` groups by ID, each of which keeps
+    its ``cap`` smallest), so no step gathers a pair: what reaches the last one is ``cap`` rows a group.
+    """
+    by = ["FILE_WITH", "FILE_WITHOUT"]
+    salted = uncovered.withColumn("salt", F.pmod(F.xxhash64("MISSING_ID"), F.lit(SALTS)))
+    counts = uncovered.groupBy(*by).agg(F.count("*").alias("n_missing"))
+    rank = F.row_number().over(Window.partitionBy(*by, "salt").orderBy("MISSING_ID"))
+    some = salted.withColumn("r", rank).where(F.col("r") <= cap).drop("r")
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy("MISSING_ID"))
+    least = some.withColumn("r", rank).where(F.col("r") <= cap)
+    lists = least.groupBy(*by).agg(F.array_sort(F.collect_list("MISSING_ID")).alias("MISSING_IDS"))
+    return lists.join(counts, by).select(*by, "MISSING_IDS", "n_missing")
+
+
+# --- E1 state that merges over batches -----------------------------------------
+
+STATE_COLUMNS = {"N_RESIDENTS": S.RESIDENT_COLUMN, "N_FACILITIES": S.FACILITY_COLUMN, "N_UNIQUE_ASSESSMENTS": S.ID_COLUMN}
+
+
+def value_dictionary(conformed: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(kind, value, id): a dense number for every value of the counted columns, kept for the values already ``known``."""
+    pairs = conformed.select(F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), col(c).alias("value")) for k, c in STATE_COLUMNS.items()])))
+    pairs = pairs.distinct()
+    first = F.lit(0)
+    if known is not None:
+        pairs = pairs.join(known.select("kind", "value"), ["kind", "value"], "left_anti")
+        first = F.lit(known.agg(F.coalesce(F.max("id") + 1, F.lit(0))).first()[0])
+    # Dense within a group of hashes, interleaved over the groups: ids stay below groups times the largest group.
+    group = F.pmod(F.xxhash64("kind", "value"), F.lit(SALTS))
+    nth = F.row_number().over(Window.partitionBy("g").orderBy("kind", "value")) - 1
+    fresh = pairs.withColumn("g", group).select("kind", "value", (first + nth * SALTS + F.col("g")).cast("long").alias("id"))
+    return fresh if known is None else known.select("kind", "value", "id").unionByName(fresh)
+
+
+def rollup_state(conformed: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(FILE_NAME, kind, bucket, bits): per file and counted column, the bitmap of its values' numbers.
+
+    States of several batches merge by OR (``merge_states``) and count exactly (``state_counts``).
+    """
+    pairs = conformed.select("FILE_NAME", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), col(c).alias("value")) for k, c in STATE_COLUMNS.items()])))
+    ids = pairs.distinct().join(dictionary, ["kind", "value"])
+    return ids.groupBy("FILE_NAME", "kind", F.bitmap_bucket_number("id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    whole = reduce(lambda a, b: a.unionByName(b), states)
+    return whole.groupBy("FILE_NAME", "kind", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def state_counts(state: DataFrame) -> DataFrame:
+    """FILE_NAME and the exact distinct counts N_RESIDENTS, N_FACILITIES, N_UNIQUE_ASSESSMENTS."""
+    n = F.bitmap_count("bits")
+    return state.groupBy("FILE_NAME").agg(*[F.sum(F.when(F.col("kind") == k, n).otherwise(0)).alias(k) for k in STATE_COLUMNS])
+
+
 # --- E6 ------------------------------------------------------------------------
 
 def file_read_metadata(status: DataFrame, rollup: DataFrame) -> DataFrame:
@@ -150,12 +213,12 @@ def file_read_metadata(status: DataFrame, rollup: DataFrame) -> DataFrame:
                     ok.alias("READ_SUCCESS"))
 
 
-def ingest_outcome(pairs: DataFrame, read_meta: DataFrame, id_check: DataFrame) -> DataFrame:
+def ingest_outcome(pairs: DataFrame, read_meta: DataFrame, id_check: DataFrame, skip_unequal: bool = False) -> DataFrame:
     """E6 per pair -> two log rows (one per file) with INGEST_ERRORS / INGEST_SUCCESS.
 
     * either side unreadable -> both fail, error names the unreadable file(s)
     * either side without rows -> both fail, empty-side message
-    * unequal ID sets -> error text recorded, files still pass
+    * unequal ID sets -> error text recorded, files still pass (unless ``skip_unequal``)
     * INGEST_SUCCESS is whether the file is written (Scoring only with its Questions)
     """
     paired = pairs.where(F.col("PAIR_STATUS") == "PAIRED")
@@ -188,9 +251,9 @@ def ingest_outcome(pairs: DataFrame, read_meta: DataFrame, id_check: DataFrame)
              .otherwise(_empty_errors()))
     success = q_ok & s_ok & ~q_empty & ~s_empty
     per_pair = j.select("PAIR_KEY", "Q_FILE", "S_FILE", errs.alias("INGEST_ERRORS"),
-                        success.alias("INGEST_SUCCESS"))
-    return per_pair.select("INGEST_ERRORS", "INGEST_SUCCESS", F.explode(F.array("Q_FILE", "S_FILE"))
-                           .alias("FILE_NAME"))
+                        success.alias("INGEST_SUCCESS"), (success & (F.col("relation") != "EQUAL")).alias("unequal"))
+    return per_pair.select("INGEST_ERRORS", (F.col("INGEST_SUCCESS") & ~(F.lit(skip_unequal) & F.coalesce("unequal", F.lit(False)))).alias("INGEST_SUCCESS"),
+                           F.explode(F.array("Q_FILE", "S_FILE")).alias("FILE_NAME"))
 
 
 def unpaired_outcome(pairs: DataFrame) -> DataFrame:
@@ -234,5 +297,3 @@ def apply_domains(manifest: DataFrame) -> DataFrame:
                              for c in manifest.columns])
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

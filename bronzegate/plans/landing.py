@@ -1,14 +1,20 @@
 """The end-to-end landing job, composed from the operators.
 
-    detect (S1,P1,F1) -> pair (J1) -> scan (S2-S4) -> conform (P2-P8)
+    detect (S1,P1,F1) -> pair (J1) -> skip unchanged files -> scan (S2-S4) -> conform (P2-P8)
       -> rollups (E1,P9) + per-pair ID check (E3) -> outcome (E6)
       -> gate (F3) -> write Questions, then Scoring (S5) -> log (S8) + null report (P9)
     -> archive (F4,S9)
 
-Actions per run: listing + per-file line stats, one rollup job, one ID-check
-job, two table writes, one log write. Rows never pass through the driver;
-only per-file metadata (names, header groups, the log) is small enough to be
-collected.
+The checks run over a narrow projection of the parsed rows (keys and failure flags), which is kept
+while they need it; the full rows of the files that pass are parsed once more for the write, so no
+full-width copy of the input is kept anywhere. Rows never pass through the driver.
+
+A file is a version: name, length, modification time and content hash. An append leaves out pairs
+whose files are as the log knows them (``skipped`` log rows); a file delivered again with
+other content is landed as a new version, which supersedes the earlier one in committed reads.
+
+Every write of a run goes to folders of its batch id and replaces them, so a run repeated under
+the same ``batch_id`` (a replayed micro-batch) leaves each row once.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators.conform import conform, without_flags
+from ..operators.conform import conform, flag_columns, without_flags
 from ..operators.records import (
     file_read_metadata,
     file_rollup,
@@ -34,15 +40,18 @@ from ..operators.records import (
     uncovered_ids,
     unpaired_outcome,
 )
-from ..session import broadcast_if_small, cut_lineage, max_partition_bytes
+from ..session import broadcast_if_small, cut_lineage
 from ..sources import archive as A
 from ..sources import bronze as B
-from ..sources.discover import detect_incoming
+from ..sources.discover import detect_incoming, name_errors
 from ..sources.scan import scan_all
 
 MAX_BROADCAST_FILES = 1_000_000  # per-file tables: a row is ~100 bytes
 
 
+SKIPPED = "skipped: already ingested, content unchanged"
+
+
 @dataclass
 class LandingResult:
     log: DataFrame
@@ -65,28 +74,35 @@ def _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal):
         raise ValueError("on_unequal must be 'record' or 'skip'")
 
 
+def _narrow(conformed: DataFrame) -> DataFrame:
+    """What the rollup and the ID check read of the parsed rows."""
+    keys = ["FILE_NAME", S.RESIDENT_COLUMN, S.FACILITY_COLUMN, S.ID_COLUMN, *flag_columns(conformed)]
+    return conformed.select(*[F.col(f"`{c}`") for c in keys])
+
+
 def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, persist: bool = True,
-            skip_blank: bool = False, split_bytes: int | None = None, source_glob: str | None = None):
-    """Scan + conform both extract types. Returns (conformed by type, status, rollup, scans)."""
-    conformed, statuses, rollups, full_rollups = {}, [], [], {}
-    by_type = scan_all(spark, manifest, skip_blank=skip_blank,
-                       split_bytes=split_bytes if split_bytes is not None else max_partition_bytes(spark),
-                       source_glob=source_glob)
-    scans = list(by_type.values())
+            skip_blank: bool = False, source_glob: str | None = None, n_files: int | None = None):
+    """Scan + conform both extract types.
+
+    Returns (conformed by type, narrow by type, status, rollup, full rollups).
+    """
+    conformed, narrow, statuses, rollups, full_rollups = {}, {}, [], [], {}
+    by_type = scan_all(spark, manifest, skip_blank=skip_blank, source_glob=source_glob, n_files=n_files)
     for et in S.EXTRACT_TYPES:
         scan = by_type[et]
         statuses.append(scan.status)
         if scan.rows is None:
             continue
-        c = conform(scan.rows, et, run_ts)
+        conformed[et] = conform(scan.rows, et, run_ts)
+        n = _narrow(conformed[et])
         if persist:
-            c = c.persist(StorageLevel.MEMORY_AND_DISK)
+            n = n.persist(StorageLevel.MEMORY_AND_DISK)
             # Fill the cache in one pass before the rollup and ID-check stages
             # read it concurrently (they would otherwise queue on its blocks).
-            c.count()
-        conformed[et] = c
-        # One small row per file; cached so the null report reuses it.
-        full = file_rollup(c).cache()
+            n.count()
+        narrow[et] = n
+        # One small row per file.
+        full = cut_lineage(file_rollup(n))
         full_rollups[et] = full
         rollups.append(full.select("FILE_NAME", "N_ROWS", "N_RESIDENTS", "N_FACILITIES",
                                    "N_UNIQUE_ASSESSMENTS", "value_errors"))
@@ -97,7 +113,19 @@ def prepare(spark: SparkSession, manifest: DataFrame, run_ts: _dt.datetime, pers
         rollup = spark.createDataFrame([], "FILE_NAME string, N_ROWS bigint, N_RESIDENTS bigint, "
                                            "N_FACILITIES bigint, N_UNIQUE_ASSESSMENTS bigint, "
                                            "value_errors array<string>")
-    return conformed, status, rollup, scans, full_rollups
+    return conformed, narrow, status, rollup, full_rollups
+
+
+def _skipped(pairs: DataFrame, unchanged: DataFrame) -> DataFrame:
+    """Files (FILE_NAME) of the pairs whose two files are both unchanged."""
+    q = unchanged.select(F.col("FILE_NAME").alias("Q_FILE"))
+    s = unchanged.select(F.col("FILE_NAME").alias("S_FILE"))
+    both = pairs.where(F.col("PAIR_STATUS") == "PAIRED").join(q, "Q_FILE", "left_semi").join(s, "S_FILE", "left_semi")
+    return both.select(F.explode(F.array("Q_FILE", "S_FILE")).alias("FILE_NAME"))
+
+
+def _skipped_outcome(files: DataFrame) -> DataFrame:
+    return files.select(F.array(F.lit(SKIPPED)).alias("INGEST_ERRORS"), F.lit(False).alias("INGEST_SUCCESS"), "FILE_NAME")
 
 
 def _empty_rows(spark: SparkSession, et: str) -> DataFrame:
@@ -110,77 +138,92 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
          compression: str | None = S.DEFAULT_ARCHIVE_CODEC, on_unpaired: str = "fail",
          on_unequal: str = "record", run_ts: _dt.datetime | None = None, persist: bool = True,
          fmt: str = "parquet", manifest: DataFrame | None = None, export_csv_dir: str | None = None,
-         skip_blank: bool = False, multiline_split_bytes: int | None = None,
-         scan_glob: str | None = None) -> LandingResult:
+         skip_blank: bool = False, scan_glob: str | None = None, batch_id: int | None = None,
+         layout: str = "as_read") -> LandingResult:
     """Land every paired extract in ``raw_dir`` into ``bronze_dir``.
 
     Parameters mirror the original job (``raw_dir, bronze_dir, file_glob,
     filters, mode, archive_dir, archive_behaviour, archive_err_behaviour,
     compression``) and are validated before anything runs. Appends are
-    idempotent: files the log already records as ingested are skipped.
-    ``manifest`` lets a caller (the streaming job) pass its own file set.
+    idempotent: pairs the log records as ingested with the same content are skipped.
+    ``manifest`` lets a caller (the streaming job) pass its own file set, ``batch_id`` its own
+    identity of the run (a later run needs a greater one).
+    A file whose name does not give a date, an instance and a province fails, unread, with its pair.
     ``skip_blank`` drops the one-empty-field rows blank lines give in a
     tolerant parse; ``on_unequal="skip"`` withholds pairs whose ID sets differ.
-    Files with quoted line breaks larger than ``multiline_split_bytes``
-    (default: one file split) are parsed split-parallel. Scans read the folder
-    glob (``raw_dir/file_glob``, or ``scan_glob`` for a caller-given manifest)
-    and prune by file name, rather than listing every path.
+    Unpaired files fail the run (they are listed in ``<bronze_dir>/_unpaired``) or are logged.
+    ``layout`` is that of ``write_bronze``.
     """
     _validate(mode, archive_dir, archive_behaviour, on_unpaired, on_unequal)
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
     # Unique per run (microseconds at start), also when runs share a run_ts.
-    batch_id = time.time_ns() // 1000
+    batch_id = time.time_ns() // 1000 if batch_id is None else batch_id
 
     if manifest is None:
         manifest = detect_incoming(spark, raw_dir, file_glob, filters)
         scan_glob = f"{raw_dir.rstrip('/')}/{file_glob}"
-    if mode == "append":
-        done = B.ingested_files(spark, bronze_dir, fmt)
-        if done is not None:
-            manifest = manifest.join(done, "FILE_NAME", "left_anti")
-    if "length" not in manifest.columns:
-        manifest = manifest.withColumn("length", F.lit(None).cast("long"))
-    manifest = cut_lineage(manifest.select(*S.FILE_METADATA_COLUMNS, "path", "length"))
+    for c, t in (("length", "long"), ("modificationTime", "timestamp")):
+        if c not in manifest.columns:
+            manifest = manifest.withColumn(c, F.lit(None).cast(t))
+    manifest = cut_lineage(manifest.select(*S.FILE_METADATA_COLUMNS, "path", "length", "modificationTime",
+                                           name_errors().alias("name_error")))
     n_files = manifest.count()
 
+    def sized(df: DataFrame) -> DataFrame:
+        return broadcast_if_small(df, MAX_BROADCAST_FILES, n_files)
+
     pairs = cut_lineage(pair_files(manifest))
-    unpaired = pairs.where(F.col("PAIR_STATUS") == "UNPAIRED")
+    unpaired = pairs.where(F.col("PAIR_STATUS") == "UNPAIRED").select(F.coalesce("Q_FILE", "S_FILE").alias("FILE_NAME"))
     if on_unpaired == "fail":
-        bad = [r[0] for r in unpaired.select(F.coalesce("Q_FILE", "S_FILE")).limit(50).collect()]
-        if bad:
-            raise ValueError(f"Questions and Scoring files are not paired: {bad}")
+        n_bad = unpaired.count()
+        if n_bad:
+            unpaired.write.mode("overwrite").parquet(B.unpaired_path(bronze_dir))
+            some = [r[0] for r in unpaired.orderBy("FILE_NAME").limit(50).collect()]
+            raise ValueError(f"Questions and Scoring files are not paired: {n_bad} file(s), all listed in "
+                             f"{B.unpaired_path(bronze_dir)}; the first are {some}")
+    known = B.ingested_files(spark, bronze_dir, fmt) if mode == "append" else None
+    none = manifest.select("FILE_NAME").limit(0)
+    unread = none  # pairs as the log knows them by length and modification time
+    if known is not None:
+        known = cut_lineage(known)
+        same = manifest.join(known.drop(B.BATCH_COLUMN), "FILE_NAME").where(
+            (F.col("length") == F.col("FILE_LENGTH")) & (F.col("modificationTime") == F.col("FILE_MODIFIED")))
+        unread = cut_lineage(_skipped(pairs, same.select("FILE_NAME")))
     paired_names = pairs.where(F.col("PAIR_STATUS") == "PAIRED").select(
         F.explode(F.array("Q_FILE", "S_FILE")).alias("FILE_NAME"))
-    to_read = manifest.join(broadcast_if_small(paired_names, MAX_BROADCAST_FILES, n_files), "FILE_NAME",
-                            "left_semi")
+    to_read = manifest.where("name_error IS NULL").join(sized(paired_names), "FILE_NAME", "left_semi").join(
+        sized(unread), "FILE_NAME", "left_anti")
 
-    conformed, status, rollup, scans, full_rollups = prepare(spark, to_read, run_ts, persist, skip_blank,
-                                                             multiline_split_bytes, scan_glob)
+    conformed, narrow, status, rollup, full_rollups = prepare(spark, to_read, run_ts, persist, skip_blank, scan_glob)
+    bad_names = manifest.where("name_error IS NOT NULL").select(
+        "FILE_NAME", F.lit("unreadable").alias("route"), F.array("name_error").alias("read_errors"), F.lit(False).alias("readable"),
+        F.lit(None).cast("string").alias("content_hash"))
+    status = status.unionByName(bad_names)
     read_meta = file_read_metadata(status, rollup)
-    q = conformed.get(S.QUESTIONS)
-    s = conformed.get(S.SCORING)
+    q, s = narrow.get(S.QUESTIONS), narrow.get(S.SCORING)
     uncovered = None
     if q is not None and s is not None:
         id_check = pair_id_check(q, s)
         uncovered = uncovered_ids(q, s, pairs, n_pairs=n_files)
     else:
         id_check = spark.createDataFrame([], "PAIR_KEY string, relation string")
-    outcome = ingest_outcome(pairs, read_meta, id_check)
+    skipped = unread
+    if known is not None:  # read because of another time or length, yet the same content
+        hashes = status.select("FILE_NAME", F.col("content_hash").alias("now")).join(known, "FILE_NAME").where("now = CONTENT_HASH")
+        skipped = cut_lineage(_skipped(pairs, hashes.select("FILE_NAME").unionByName(unread)).unionByName(unread).distinct())
+    outcome = ingest_outcome(pairs, read_meta, id_check, on_unequal == "skip")
+    outcome = outcome.join(sized(skipped), "FILE_NAME", "left_anti").unionByName(_skipped_outcome(skipped))
     if on_unpaired == "quarantine":
         outcome = outcome.unionByName(unpaired_outcome(pairs))
     processed = F.lit(run_ts).cast("timestamp_ntz")
-    log = ingestion_log(manifest, read_meta, outcome, processed).withColumn(
-        B.BATCH_COLUMN, F.lit(batch_id).cast("long"))
-    if on_unequal == "skip":
-        unequal = F.exists("INGEST_ERRORS", lambda e: e.startswith("Unique Assessment ID sets not equal"))
-        log = log.withColumn("INGEST_SUCCESS", F.col("INGEST_SUCCESS") & ~unequal)
+    log = ingestion_log(manifest, read_meta, outcome, processed)
+    about = manifest.select("FILE_NAME", F.col("length").alias("FILE_LENGTH"), F.col("modificationTime").alias("FILE_MODIFIED"))
+    log = log.join(sized(about), "FILE_NAME").join(status.select("FILE_NAME", F.col("content_hash").alias("CONTENT_HASH")), "FILE_NAME", "left")
+    log = log.withColumn(B.BATCH_COLUMN, F.lit(batch_id).cast("long"))
     # The gate is computed once and its lineage cut, so both writes and the log agree.
     log = cut_lineage(log)
-    for scan in scans:
-        scan.release()
 
-    passing = log.where(F.col("INGEST_SUCCESS")).select("FILE_NAME")
-    passing = broadcast_if_small(passing, MAX_BROADCAST_FILES, n_files)
+    passing = sized(log.where(F.col("INGEST_SUCCESS")).select("FILE_NAME"))
     written = {}
     # An overwrite replaces the tables only by files that passed, never by nothing.
     kept = mode == "overwrite" and log.where(F.col("INGEST_SUCCESS")).isEmpty()
@@ -189,7 +232,7 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
         rows = without_flags(rows).join(passing, "FILE_NAME", "left_semi") if rows is not None \
             else _empty_rows(spark, et)
         rows = rows.withColumn(B.BATCH_COLUMN, F.lit(batch_id).cast("long"))
-        B.write_bronze(rows, B.table_path(bronze_dir, et), mode, fmt=fmt)
+        B.write_bronze(rows, B.table_path(bronze_dir, et), mode, fmt=fmt, layout=layout)
         written[et] = B.table_path(bronze_dir, et)
     B.append_log(log, bronze_dir)
     if export_csv_dir:
@@ -209,7 +252,7 @@ def land(spark: SparkSession, raw_dir: str, bronze_dir: str, file_glob: str = S.
         plan = A.disposition(log, archive_behaviour, archive_err_behaviour, run_ts.strftime("%Y-%m-%d_%H-%M"))
         A.apply_disposition(spark, plan, manifest, archive_dir, compression)
 
-    for c in list(conformed.values()) + list(full_rollups.values()):
-        c.unpersist()
+    for n in narrow.values():
+        n.unpersist()
     return LandingResult(log=log, null_report=nulls, id_check=id_check, disposition=plan, uncovered=uncovered,
                          batch_id=batch_id, written=written)

@@ -1,24 +1,35 @@
 """F4 disposition of raw files after a run, S10 pre-check and S9 cold archive.
 
-The archive is a Parquet dataset (path or base name, size, modification
-time, content, SHA-256) written by Spark with the chosen codec; it is checked
-by re-reading the hashes before any source file is removed. Moves are
+The archive is a Parquet dataset of chunks: one row per ``CHUNK_BYTES`` of a file (name, chunk number,
+offset, content, SHA-256 of the chunk) and, per file, its length and the SHA-256 over its chunk hashes.
+Chunks are read from the shared file system by the tasks that write them, so a file of any
+size is archived by many tasks and none of them holds more than a chunk at a time. It is
+checked by reading sources and archive again before any source file is removed. Moves are
 file-system renames issued through the Hadoop FileSystem API, so they work on
 shared storage.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import nonempty
-from ..session import hadoop_fs
+from ..session import cut_lineage, hadoop_fs
 
-CODECS = {"gzip": "gzip", "gz": "gzip", "zstd": "zstd", "xz": "zstd", "bz2": "gzip", "none": "none",
-          None: "none", "snappy": "snappy"}
+#: Accepted names of the Parquet codecs the archive can be written with.
+CODECS = {"gzip": "gzip", "gz": "gzip", "zstd": "zstd", "snappy": "snappy", "none": "none", None: "none"}
+CHUNK_BYTES = 32 << 20
+
+
+def codec_of(compression: str | None) -> str:
+    """The Parquet codec of a compression name; there is none for xz and bzip2, so these are errors."""
+    if compression not in CODECS:
+        raise ValueError(f"unknown compression {compression!r}; the archive can be written with {sorted(str(c) for c in CODECS)}")
+    return CODECS[compression]
 
 
 def _target(behaviour) -> tuple[Column, Column]:
@@ -61,28 +72,87 @@ def missing_files(requested: DataFrame, listing: DataFrame, key: str = "FILE_NAM
     return requested.select(key).join(listing.select(key), key, "left_anti")
 
 
+def list_parents(spark: SparkSession, requested: DataFrame, key: str = "path") -> DataFrame:
+    """(path, is_file) of everything in the folders that the requested paths are in: one listing per folder."""
+    folders = [r[0] for r in requested.select(F.regexp_replace(key, "/[^/]*$", "").alias("f")).distinct().collect()]
+    rows = []
+    for folder in folders:
+        fs, at = hadoop_fs(spark, folder)
+        if fs.exists(at) and fs.getFileStatus(at).isDirectory():
+            rows += [(st.getPath().toString(), bool(st.isFile()), int(st.getLen())) for st in fs.listStatus(at)]
+    return spark.createDataFrame(rows, "path string, is_file boolean, length long")
+
+
+def _plain(path: Column) -> Column:
+    """A path without its scheme and authority, to compare listings with what a caller wrote."""
+    return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+
+
+def precheck_report(requested: DataFrame, listing: DataFrame) -> DataFrame:
+    """(path, reason) of every requested path that is missing or not a regular file."""
+    held = listing.select(_plain(F.col("path")).alias("at"), "is_file")
+    j = requested.select("path", _plain(F.col("path")).alias("at")).distinct().join(held, "at", "left")
+    reason = (F.when(F.col("is_file").isNull(), F.lit("file does not exist."))
+              .when(~F.col("is_file"), F.lit("path does not point to a file.")))
+    return j.select("path", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def precheck(spark: SparkSession, paths: Sequence[str]) -> None:
-    """S10 before anything is touched: every path must exist and be a regular file.
+    """S10 before anything is touched: every path must exist and be a regular file."""
+    requested = spark.createDataFrame([(p,) for p in paths], "path string")
+    bad = precheck_report(requested, list_parents(spark, requested)).orderBy("path").limit(1).collect()
+    for r in bad:
+        kind = FileNotFoundError if "exist" in r["reason"] else ValueError
+        raise kind(f"attempt to archive {r['path']}, but {r['reason']}")
 
-    One directory listing per parent folder (usually one), not one call per file.
+
+def read_chunks(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(path, length, chunk, offset, content, sha256) of the files (path, length), byte for byte.
+
+    A chunk is one split of a file, cut at line feeds, of about ``CHUNK_BYTES`` (more only if a single
+    line is longer). The length tells what reading by lines leaves out: whether the last line ended
+    with a line feed and whether the file began with a byte order mark.
     """
-    jvm = spark.sparkContext._jvm
-    by_dir: dict[str, list[str]] = {}
-    for p in paths:
-        jp = jvm.org.apache.hadoop.fs.Path(p)
-        parent = jp.getParent()
-        by_dir.setdefault(parent.toString() if parent is not None else p, []).append(p)
-    for d, wanted in by_dir.items():
-        fs, jd = hadoop_fs(spark, d)
-        listed = {}
-        if fs.exists(jd) and fs.getFileStatus(jd).isDirectory():
-            listed = {st.getPath().getName(): st.isFile() for st in fs.listStatus(jd)}
-        for p in wanted:
-            name = jvm.org.apache.hadoop.fs.Path(p).getName()
-            if name not in listed:
-                raise FileNotFoundError(f"attempt to archive {p}, but file does not exist.")
-            if not listed[name]:
-                raise ValueError(f"attempt to archive {p}, but path does not point to a file.")
+    folders = [r[0] for r in files.select(F.regexp_replace("path", "/[^/]*$", "").alias("f")).distinct().collect()]
+    lines = spark.read.format("text").option("lineSep", "\n").load(folders).select(
+        _plain(F.col("_metadata.file_path")).alias("at"), F.col("_metadata.file_block_start").alias("blk"),
+        F.monotonically_increasing_id().alias("mid"), "value")
+    wanted = files.select("path", "length", _plain(F.col("path")).alias("at"))
+    chunks = lines.join(wanted, "at", "left_semi").groupBy("at", "blk").agg(
+        F.sum(F.octet_length("value") + 1).alias("bytes"),
+        F.array_sort(F.collect_list(F.struct("mid", "value"))).alias("lines"))
+    w = Window.partitionBy("at").orderBy("blk")
+    chunks = chunks.withColumns({
+        "chunk": F.row_number().over(w) - 1, "before": F.coalesce(F.sum("bytes").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "total": F.sum("bytes").over(Window.partitionBy("at"))})
+    j = wanted.join(chunks, "at", "left").withColumn("chunk", F.coalesce("chunk", F.lit(0)).cast("long"))
+    marked = F.coalesce(F.col("length") - F.col("total") >= 2, F.lit(False))
+    body = F.concat(F.array_join("lines.value", "\n"), F.lit("\n"))
+    open_end = F.coalesce((F.col("before") + F.col("bytes") == F.col("total")) & (F.col("length") - F.when(marked, 3).otherwise(0) < F.col("total")), F.lit(False))
+    body = F.when(open_end, F.array_join("lines.value", "\n")).otherwise(body).cast("binary")
+    mark = F.unhex(F.lit("EFBBBF"))
+    content = F.coalesce(F.when(marked & (F.col("chunk") == 0), F.concat(mark, body)).otherwise(body), F.lit(b""))
+    offset = F.when(F.col("chunk") == 0, F.lit(0)).otherwise(F.col("before") + F.when(marked, 3).otherwise(0))
+    return j.select("path", "length", "chunk", offset.cast("long").alias("offset"), content.alias("content")).withColumn("sha256", F.sha2("content", 256))
+
+
+def _hashes(chunks: DataFrame, key: str) -> DataFrame:
+    """Per file: how many chunks, how many bytes, and the hash over the chunk hashes in order."""
+    seen = F.array_sort(F.collect_list(F.struct("chunk", "sha256")))
+    return chunks.groupBy(key).agg(seen.alias("seen"), F.sum(F.octet_length("content")).alias("bytes")).select(
+        key, F.size("seen").alias("chunks"), "bytes", F.sha2(F.array_join("seen.sha256", ""), 256).alias("file_sha256"))
+
+
+@contextmanager
+def _chunk_splits(spark: SparkSession):
+    """While active, scans are split at ``CHUNK_BYTES``, so a chunk is the same split each time."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(CHUNK_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def archive_files(spark: SparkSession, paths: Sequence[str], dest: str, compression: str | None = "gzip",
@@ -92,33 +162,40 @@ def archive_files(spark: SparkSession, paths: Sequence[str], dest: str, compress
     ``retain_structure`` keeps the full source path, else the base name only.
     Sources are deleted only after every re-read hash matches.
     """
+    codec = codec_of(compression)
     paths = list(paths)
     precheck(spark, paths)
-    codec = CODECS.get(compression, compression)
-    raw = spark.read.format("binaryFile").load(paths)
+    requested = spark.createDataFrame([(p,) for p in paths], "path string").distinct()
+    listing = list_parents(spark, requested).select(_plain(F.col("path")).alias("at"), "length")
+    files = cut_lineage(requested.withColumn("at", _plain(F.col("path"))).join(listing, "at").select("path", "length"))
     name = F.col("path") if retain_structure else F.element_at(F.split("path", "/"), -1)
-    bundle = raw.select(name.alias("name"), "length", "modificationTime", "content",
-                        F.sha2("content", 256).alias("sha256"))
-    bundle.write.mode("errorifexists").option("compression", codec).parquet(dest)
+    with _chunk_splits(spark):
+        read_chunks(spark, files).withColumn("name", name).write.mode("errorifexists").option("compression", codec).parquet(dest)
+        verify_archive(spark, files, dest)
     if remove_sources:
-        verify_archive(spark, paths, dest, retain_structure)
         for p in paths:
             fs, jp = hadoop_fs(spark, p)
-            fs.delete(jp, False)
+            if not fs.delete(jp, False):
+                raise IOError(f"{p} is archived in {dest} but could not be removed")
     return dest
 
 
-def verify_archive(spark: SparkSession, paths: Sequence[str], dest: str, retain_structure: bool = False) -> None:
-    """Re-read the archive and compare content hashes with the sources."""
-    src = spark.read.format("binaryFile").load(list(paths))
-    name = F.col("path") if retain_structure else F.element_at(F.split("path", "/"), -1)
-    src = src.select(name.alias("name"), F.sha2("content", 256).alias("sha256"))
-    arc = spark.read.parquet(dest).select("name", F.sha2("content", 256).alias("sha256"),
-                                          F.col("sha256").alias("stored"))
-    bad = src.join(arc, ["name", "sha256"], "left_anti").count()
-    bad += arc.where(F.col("sha256") != F.col("stored")).count()
-    if bad:
-        raise IOError(f"archive {dest} does not match its sources ({bad} file(s))")
+def verify_archive(spark: SparkSession, files: DataFrame, dest: str) -> None:
+    """Read archive and sources again: the same chunks with the same content, of the files' full length."""
+    kept = spark.read.parquet(dest).withColumn("now", F.sha2("content", 256))
+    broken = kept.where("now <> sha256").count()
+    source = _hashes(read_chunks(spark, files), "path")
+    stored = _hashes(kept, "path")
+    want = files.join(source, "path").select("path", "length", "chunks", "file_sha256")
+    short = want.join(stored.withColumnRenamed("bytes", "length"), ["path", "length", "chunks", "file_sha256"], "left_anti").count()
+    if broken or short:
+        raise IOError(f"archive {dest} does not match its sources ({broken} chunk(s), {short} file(s))")
+
+
+def archived_files(spark: SparkSession, dest: str) -> DataFrame:
+    """(name, length, chunks, file_sha256) of an archive."""
+    kept = spark.read.parquet(dest)
+    return kept.select("name", "length").distinct().join(_hashes(kept, "name"), "name")
 
 
 def move_files(spark: SparkSession, paths: Sequence[str], dest_dir: str) -> str:
@@ -130,7 +207,8 @@ def move_files(spark: SparkSession, paths: Sequence[str], dest_dir: str) -> str:
     fs.mkdirs(jd)
     for p in paths:
         fsp, jp = hadoop_fs(spark, p)
-        fsp.rename(jp, jvm.org.apache.hadoop.fs.Path(f"{dest_dir.rstrip('/')}/{jp.getName()}"))
+        if not fsp.rename(jp, jvm.org.apache.hadoop.fs.Path(f"{dest_dir.rstrip('/')}/{jp.getName()}")):
+            raise IOError(f"could not move {p} to {dest_dir}")
     return dest_dir
 
 

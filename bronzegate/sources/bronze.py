@@ -8,13 +8,15 @@ by ``FILE_DATE``.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
 
 BATCH_COLUMN = "INGEST_BATCH_ID"
+#: What the log keeps of a file besides its fixed columns, to tell versions apart.
+VERSION_COLUMNS = ("FILE_LENGTH", "FILE_MODIFIED", "CONTENT_HASH")
 
 
 def table_path(bronze_dir: str, extract_type: str) -> str:
@@ -41,22 +43,44 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
         raise
 
 
+LAYOUTS = ("as_read", "rebalance")
+
+
 def write_bronze(df: DataFrame, path: str, mode: str = "append", partition_by: str | list[str] = "FILE_DATE",
-                 fmt: str = "parquet") -> None:
-    """Append or overwrite, partitioned by FILE_DATE.
+                 fmt: str = "parquet", layout: str = "as_read") -> None:
+    """Append or overwrite, partitioned by FILE_DATE (and the batch, where rows carry one).
+
+    Rows with a batch id are appended by replacing exactly the (FILE_DATE, batch) folders they
+    belong to, so writing a batch again after a crash leaves its rows once. Overwrite
+    replaces the WHOLE table (static partition-overwrite mode), matching one overwrite per batch.
 
-    Overwrite replaces the WHOLE table (static partition-overwrite mode is
-    forced for this write), matching one overwrite per batch.
+    ``layout="rebalance"`` shuffles the rows by FILE_DATE before the write, with adaptive splitting of
+    large dates and merging of small ones: files follow the size of a date, not the number
+    of tasks that held some of it. ``as_read`` writes them where they were parsed, without a shuffle.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', got {mode!r}")
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    w = df.write.format(fmt).mode(mode).partitionBy(*parts)
+    if layout == "rebalance":
+        df = df.hint("rebalance", *[F.col(c) for c in parts])
+    keyed = BATCH_COLUMN in df.columns
+    w = df.write.format(fmt).partitionBy(*parts, *([BATCH_COLUMN] if keyed else []))
     if mode == "overwrite":
-        w = w.option("partitionOverwriteMode", "static")
+        w = w.mode("overwrite").option("partitionOverwriteMode", "static")
+    elif keyed:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        w = w.mode("append")
     w.save(path)
 
 
+def _write_batch(df: DataFrame, path: str) -> None:
+    """Append a batch's rows under its own folder; the same batch again replaces them."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(path)
+
+
 def get_or_create_table(spark: SparkSession, path: str, for_data: DataFrame | None = None,
                         schema: T.StructType | None = None, name: str | None = None,
                         partition_by: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
@@ -97,16 +121,43 @@ def change_feed(table: DataFrame, from_batch: int = 0, to_batch: int | None = No
             .withColumn("_commit_version", F.col(BATCH_COLUMN)))
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """S7(b): multiset difference of two snapshots: inserts and deletes, duplicates counted."""
-    ins = new.exceptAll(old).withColumn("_change_type", F.lit("insert"))
-    dels = old.exceptAll(new).withColumn("_change_type", F.lit("delete"))
-    return ins.unionByName(dels)
+def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """S7(b): multiset difference of two snapshots, duplicates counted, in one aggregation.
+
+    Each snapshot is read once: rows count +1 in ``new`` and -1 in ``old``, and equal rows cancel
+    before the shuffle's result. Without ``keys`` the rest are inserts and deletes. With
+    ``keys`` the rest is matched per key: the n-th row that went and the n-th that came (in order
+    of their values) are the ``update_preimage`` and ``update_postimage`` of one change, and what
+    is over is ``delete`` or ``insert``. Keys compare null-safe; only changed rows reach that step.
+    """
+    columns = list(new.columns)
+    if set(old.columns) != set(columns):
+        raise ValueError("both snapshots need the same columns")
+    sided = new.withColumn("_sign", F.lit(1)).unionByName(old.withColumn("_sign", F.lit(-1)))
+    cols = [F.col(f"`{c}`") for c in columns]
+    net = sided.groupBy(*cols).agg(F.sum("_sign").alias("_net")).where("_net <> 0")
+    rows = net.withColumn("_came", F.col("_net") > 0).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.abs("_net").cast("int"))))
+    if not keys:
+        kind = F.when(F.col("_came"), F.lit("insert")).otherwise(F.lit("delete"))
+        return rows.select(*cols, kind.alias("_change_type"))
+    by = [F.col(f"`{k}`") for k in keys]
+    rest = [F.col(f"`{c}`") for c in columns if c not in keys]
+    nth = F.row_number().over(Window.partitionBy(*by, "_came").orderBy(*rest, "_copy"))
+    came = F.sum(F.when(F.col("_came"), 1).otherwise(0)).over(Window.partitionBy(*by))
+    went = F.sum(F.when(F.col("_came"), 0).otherwise(1)).over(Window.partitionBy(*by))
+    kind = (F.when(F.col("_came"), F.when(F.col("_nth") <= F.col("_went"), "update_postimage").otherwise("insert"))
+            .otherwise(F.when(F.col("_nth") <= F.col("_all_came"), "update_preimage").otherwise("delete")))
+    return rows.withColumns({"_nth": nth, "_all_came": came, "_went": went}).select(*cols, kind.alias("_change_type"))
 
 
 def append_log(log: DataFrame, bronze_dir: str) -> None:
-    """Append the run's rows to the Parquet ingestion-log table."""
-    log.write.mode("append").parquet(log_path(bronze_dir))
+    """Append the run's rows to the Parquet ingestion-log table (once per batch)."""
+    _write_batch(log, log_path(bronze_dir))
+
+
+def unpaired_path(bronze_dir: str) -> str:
+    return f"{bronze_dir.rstrip('/')}/_unpaired"
 
 
 def null_report_path(bronze_dir: str) -> str:
@@ -115,7 +166,7 @@ def null_report_path(bronze_dir: str) -> str:
 
 def append_null_report(report: DataFrame, bronze_dir: str) -> None:
     """P9 sink: (FILE_NAME, column_name, nulls, n, severity, batch) per run."""
-    report.write.mode("append").parquet(null_report_path(bronze_dir))
+    _write_batch(report, null_report_path(bronze_dir))
 
 
 def read_log(spark: SparkSession, bronze_dir: str) -> DataFrame | None:
@@ -131,26 +182,35 @@ def export_log_csv(log: DataFrame, out_dir: str, run_ts_text: str) -> str:
     return path
 
 
+def _landed(log: DataFrame) -> DataFrame:
+    """The latest successful version of each file: FILE_NAME, batch and what identifies its content."""
+    about = [c for c in VERSION_COLUMNS if c in log.columns]
+    best = log.where(F.col("INGEST_SUCCESS")).groupBy("FILE_NAME").agg(
+        F.max(F.struct(BATCH_COLUMN, *about)).alias("v"))
+    return best.select("FILE_NAME", "v.*")
+
+
 def read_committed(spark: SparkSession, bronze_dir: str, extract_type: str, fmt: str = "parquet",
                    max_broadcast_rows: int = 1_000_000) -> DataFrame | None:
-    """Bronze rows of runs that completed: (FILE_NAME, batch) listed as ingested in the log.
+    """Bronze rows of runs that completed: of each file, those of its latest batch the log lists as ingested.
 
     The log is written last, so rows of a run that died between the two table
     writes (or before its log) are invisible here, and a rerun that lands the
-    same files again does not double them.
+    same files again does not double them. A file delivered again with other
+    content supersedes its earlier version.
     """
     table = read_table(spark, table_path(bronze_dir, extract_type), fmt)
     log = read_log(spark, bronze_dir)
     if table is None or log is None:
         return None
-    done = log.where(F.col("INGEST_SUCCESS")).select("FILE_NAME", BATCH_COLUMN)
+    done = _landed(log).select("FILE_NAME", BATCH_COLUMN)
     n = done.count()  # one row per landed file: a proven bound for the broadcast
     done = F.broadcast(done) if n <= max_broadcast_rows else done
     return table.join(done, ["FILE_NAME", BATCH_COLUMN], "left_semi")
 
 
 def ingested_files(spark: SparkSession, bronze_dir: str, fmt: str = "parquet") -> DataFrame | None:
-    """Names of files whose rows the table still holds (for idempotent appends).
+    """Files whose rows the table still holds: FILE_NAME, batch, FILE_LENGTH, FILE_MODIFIED, CONTENT_HASH.
 
     An overwrite removes all earlier batches, and batch ids grow, so a logged file
     counts only if its batch is not before the oldest one in the table.
@@ -160,8 +220,8 @@ def ingested_files(spark: SparkSession, bronze_dir: str, fmt: str = "parquet") -
     if log is None or table is None:
         return None
     oldest = table.agg(F.min(BATCH_COLUMN).alias("oldest"))  # one row
-    done = log.where(F.col("INGEST_SUCCESS")).join(F.broadcast(oldest), F.col(BATCH_COLUMN) >= F.col("oldest"))
-    return done.select("FILE_NAME").distinct()
+    done = _landed(log).join(F.broadcast(oldest), F.col(BATCH_COLUMN) >= F.col("oldest"))
+    return done.drop("oldest")
 
 
 __all__ = [

@@ -53,14 +53,21 @@ def manifest_from_names(names: DataFrame, name_col: str = "FILE_NAME") -> DataFr
     return names.select(*file_metadata_columns(F.col(name_col)), *keep)
 
 
+def name_errors() -> Column:
+    """What a manifest row's file name fails to give, as one message (null if nothing)."""
+    parts = F.array_compact(F.array(*[F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), F.lit(c))
+                                      for c in ("FILE_DATE", "INSTANCE", "PROVINCE")]))
+    return F.when(F.size(parts) > 0, F.concat(F.lit("file name does not give "), F.array_join(parts, ", ")))
+
+
 def detect_incoming(spark: SparkSession, raw_dir: str, glob: str = S.DEFAULT_GLOB,
                     filters: ManifestFilter | Sequence[ManifestFilter] | None = None) -> DataFrame:
     """S1 + P1 + F1: manifest of incoming files, optionally filtered.
 
-    Columns: FILE_NAME, FILE_DATE, INSTANCE, PROVINCE, EXTRACT_TYPE, path, length.
+    Columns: FILE_NAME, FILE_DATE, INSTANCE, PROVINCE, EXTRACT_TYPE, path, length, modificationTime.
     """
     listing = list_files(spark, raw_dir, glob)
-    named = listing.select(F.element_at(F.split("path", "/"), -1).alias("FILE_NAME"), "path", "length")
+    named = listing.select(F.element_at(F.split("path", "/"), -1).alias("FILE_NAME"), "path", "length", "modificationTime")
     return apply_filters(manifest_from_names(named), filters)
 
 

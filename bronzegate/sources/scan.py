@@ -1,341 +1,240 @@
 """Strict and tolerant scans of pipe-delimited extracts, routed per file.
 
-Plan (a constant number of Spark scans, whatever the number of files):
+Plan (a constant number of text scans, whatever the number of files, their headers and sizes):
 
-1. ``line_stats`` -- one text scan over every file. Per line: quote count,
-   field count with quoted runs removed, blank flag. Per file: header line,
-   header field count, longest row, lines with an odd quote count, quote
-   total, blank lines. One small row per file.
-2. Route per file:
+1. ``file_stats``: one pass over all lines. Per file: header line, distinct row widths, lines
+   that leave a quote open, blank lines -- one small row per file.
+2. Files in which a quote stays open over a line end also get the quote state of each line
+   (``quotes.states``), which tells multi-line records and quotes that never close.
+3. Route per file:
      unreadable   no bytes at all
-     tolerant     a row with more fields than the header, or an unclosed quote
-     multiline    quoted newlines (lines with an odd quote count), balanced
-     strict       everything else (splittable, line-parallel CSV scan)
-3. One CSV scan per (route, header) group, binding columns BY NAME: files
-   whose header differs get their own all-string schema, so a reordered
-   header is read correctly. Tolerant files are read as whole lines (the CSV
-   reader drops each file's header line itself) and split on the raw
-   separator without quote rules.
-
-Only per-file metadata (path lists per header group) reaches the driver.
+     tolerant     a record with more fields than the header, or an unclosed quote
+     strict       everything else
+4. One pass binds fields BY NAME at row level: the routing table holds, per file, the position of
+   every wanted column, so files with different headers need no scan of their own. Strict
+   records are taken apart by the quote rules; tolerant lines are split on the raw separator.
+
+File names never become literals of a plan: the folders are scanned and rows are joined with
+the routing table (broadcast while its measured size is bounded). What reaches the driver
+is the distinct folders, the names of undeclared columns (they are part of the schema) and two
+counts per extract type.
 """
 
 from __future__ import annotations
 
-import csv
 from dataclasses import dataclass
-from functools import reduce
-from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..functions.columns import clean_split, col, na_to_null
+from ..functions.columns import clean_split, na_to_null
+from ..session import cut_lineage
+from . import quotes as Q
 
 ROUTE_UNREADABLE = "unreadable"
 ROUTE_TOLERANT = "tolerant"
-ROUTE_MULTILINE = "multiline"          # quoted newlines, file within one split: whole-file reader
-ROUTE_MULTILINE_SPLIT = "multiline_split"  # quoted newlines, larger file: split-parallel rebuild
 ROUTE_STRICT = "strict"
 
-_NO_SEP = "\u0000"  # a separator and quote that never occur: one whole line per value
-_BLANK = r"^[\x00-\x20]*$"  # the CSV reader skips such lines
+#: The routing table is broadcast up to this many bytes (rows times measured width).
+BROADCAST_BYTES = 64 << 20
 
+_NO_ERRORS = "array<string>"
 
-@dataclass(frozen=True)
-class FileSet:
-    """Files to scan: explicit paths, optionally all inside one folder glob.
 
-    With ``glob`` set, a scan reads the glob (one non-recursive listing on the
-    driver) and keeps the wanted files by name; the filter on
-    ``_metadata.file_name`` prunes the other files at planning time. Without
-    it, the explicit path list is read (Spark lists long lists with a
-    distributed job).
-    """
+def _folders(manifest: DataFrame) -> list[str]:
+    """The folders that hold the manifest's files."""
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return [r[0] for r in manifest.select(folder.alias("folder")).distinct().collect()]
 
-    paths: tuple[str, ...]
-    glob: str | None = None
-
-    def load(self, reader) -> DataFrame:
-        if self.glob is None:
-            return reader.load(list(self.paths))
-        names = sorted({p.rsplit("/", 1)[-1] for p in self.paths})
-        return reader.load(self.glob).where(F.col("_metadata.file_name").isin(names))
-
-
-def _files(paths: "Sequence[str] | FileSet") -> FileSet:
-    return paths if isinstance(paths, FileSet) else FileSet(tuple(paths))
-
-
-def line_stats(spark: SparkSession, paths: "Sequence[str] | FileSet", sep: str = S.SEPARATOR) -> DataFrame:
-    """Per-file line statistics from one text scan (FILE_NAME keyed)."""
-    v = F.col("value")
-    lines = _files(paths).load(spark.read.format("text")).select(
-        v, F.col("_metadata.file_name").alias("FILE_NAME"),
-        F.col("_metadata.file_block_start").alias("blk"),
-        F.monotonically_increasing_id().alias("mid"))
-    n_quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
-    # The quoted-run regex only runs on lines that contain a quote at all.
-    unquoted = F.when(n_quotes > 0, F.regexp_replace(v, r'"(?:[^"]|"")*"', "")).otherwise(v)
-    n_fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
-    blank = v.rlike(_BLANK)
-    odd = (n_quotes % 2) == 1
-    per_line = lines.select("FILE_NAME", "blk", "mid", v, n_quotes.alias("q"),
-                            n_fields.alias("nf"), blank.alias("blank"), odd.alias("odd"))
-    # The header is the first non-blank line (as the CSV reader takes it): the
-    # lowest id among non-blank lines of the split starting at byte 0, since
-    # the text source emits a split's lines in order within one task.
-    first = F.min(F.when((F.col("blk") == 0) & ~F.col("blank"), F.struct("mid", "value", "nf")))
-    return (per_line.groupBy("FILE_NAME").agg(
-        first.alias("first"),
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count_if("blank").alias("n_blank"),
-        F.count_if("odd").alias("n_odd_lines"),
-        F.sum("q").alias("n_quotes"),
-        F.max(F.when(~F.col("odd") & ~F.col("blank"), F.col("nf"))).alias("max_fields"))
-        .select("FILE_NAME", F.regexp_replace(F.col("first.value"), "^\uFEFF", "").alias("header"),
-                F.col("first.nf").alias("header_fields"), "n_lines", "n_blank",
-                "n_odd_lines", "n_quotes", "max_fields"))
-
-
-def route_files(manifest: DataFrame, stats: DataFrame, split_bytes: int = 128 * 1024 * 1024) -> DataFrame:
-    """Per file: route and the read errors a fallback records (left join from the manifest).
-
-    A file with quoted line breaks that fits in one split (``length`` known and
-    at most ``split_bytes``) is parsed whole by one task, which costs nothing
-    in parallelism; a larger (or unsized) one is rebuilt split-parallel.
-    """
-    length = F.col("length") if "length" in manifest.columns else F.lit(None).cast("long")
-    m = manifest.select("FILE_NAME", "path", "EXTRACT_TYPE", length.alias("length"))
-    j = m.join(stats, "FILE_NAME", "left")
-    unclosed = (F.col("n_quotes") % 2) == 1
-    long_row = F.col("max_fields") > F.col("header_fields")
-    route = (F.when(F.col("n_lines").isNull(), F.lit(ROUTE_UNREADABLE))
-              .when(long_row | unclosed, F.lit(ROUTE_TOLERANT))
-              .when((F.col("n_odd_lines") > 0) & (F.col("length") <= F.lit(split_bytes)), F.lit(ROUTE_MULTILINE))
-              .when(F.col("n_odd_lines") > 0, F.lit(ROUTE_MULTILINE_SPLIT))
-              .otherwise(F.lit(ROUTE_STRICT)))
-    err = (F.when(F.col("n_lines").isNull(), F.lit("No columns to parse from file"))
-            .when(long_row, F.format_string("Error tokenizing data. C error: Expected %d fields, saw %d",
-                                            F.col("header_fields"), F.col("max_fields")))
-            .when(unclosed, F.lit("Error tokenizing data. C error: EOF inside string")))
-    return j.select("FILE_NAME", "path", "EXTRACT_TYPE", "header", route.alias("route"),
-                    F.coalesce(F.array_compact(F.array(err)), F.array().cast("array<string>"))
-                    .alias("read_errors"), F.coalesce(F.col("n_blank"), F.lit(0)).alias("n_blank"))
-
-
-def strict_header_names(header: str, sep: str = S.SEPARATOR) -> list[str]:
-    """Column names from a header line with quote rules; repeated names get .1, .2 ..."""
-    names = next(csv.reader([header], delimiter=sep, quotechar='"', doublequote=True)) if header else [""]
-    seen: dict[str, int] = {}
-    out = []
-    for n in names:
-        if n in seen:
-            seen[n] += 1
-            cand = f"{n}.{seen[n]}"
-            while cand in seen:
-                seen[n] += 1
-                cand = f"{n}.{seen[n]}"
-            seen[cand] = 0
-            out.append(cand)
-        else:
-            seen[n] = 0
-            out.append(n)
-    return out
 
+def file_stats(lines: DataFrame) -> DataFrame:
+    """Per file, from lines with their effects: header and its place, row widths, blank and quote-opening lines.
 
-def tolerant_header_names(header: str, sep: str = S.SEPARATOR) -> list[str]:
-    """Header names without quote rules: trim, split, strip outer quotes."""
-    return [p.strip('"') for p in (header or "").strip().split(sep)]
+    The header is the first line that is not blank. ``widths`` holds the distinct field counts of the
+    lines that are records of their own. ``content_hash`` is the number of lines and the sum of their
+    hashes: equal for equal content, whatever the splits.
+    """
+    first = F.min(F.when((F.col("blk") == 0) & ~F.col("blank"), F.struct("mid", "value")))
+    return lines.groupBy("FILE_NAME").agg(
+        first.alias("first"), F.count(F.lit(1)).alias("n_lines"), F.count_if("blank").alias("n_blank"),
+        F.count_if("out_in").alias("n_open"),
+        F.collect_set(F.when(~F.col("blank") & ~F.col("out_in"), F.col("out_seps") + 1)).alias("widths"),
+        F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("content"),
+    ).select("FILE_NAME", F.concat_ws(":", F.col("n_lines"), F.col("content")).alias("content_hash"), F.regexp_replace("first.value", "^﻿|\r$", "").alias("header"),
+             F.col("first.mid").alias("header_mid"), "n_lines", "n_blank", "n_open", "widths")
 
 
-def _csv_reader(spark: SparkSession, schema: T.StructType, multiline: bool, sep: str):
-    return (spark.read.schema(schema).option("sep", sep).option("header", True)
-            .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-            .option("mode", "PERMISSIVE").option("enforceSchema", True))
+def line_stats(spark: SparkSession, paths: list[str], sep: str = S.SEPARATOR) -> DataFrame:
+    """``file_stats`` of some files or folders."""
+    return file_stats(Q.with_effects(Q.read_lines(spark, list(paths)), sep))
 
 
-def scan_strict(spark: SparkSession, paths: "Sequence[str] | FileSet", header: str, multiline: bool,
-                sep: str = S.SEPARATOR) -> DataFrame:
-    """CSV scan bound by this header's names; NA tokens become null."""
-    names = strict_header_names(header, sep)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = _files(paths).load(_csv_reader(spark, schema, multiline, sep).format("csv"))
-    return df.select(F.col("_metadata.file_name").alias("FILE_NAME"),
-                     *[na_to_null(col(n)).alias(n) for n in names])
+def header_names(header: Column, tolerant: Column, sep: str = S.SEPARATOR) -> Column:
+    """Column names of a header line: by the quote rules, a repeated name gets .1, .2 ...; tolerant
+    headers are trimmed, split and stripped of outer quotes."""
+    def named(names: Column) -> Column:
+        return F.transform(names, lambda x, i: Q._let(F.size(F.filter(F.slice(names, F.lit(1), i), lambda y: y == x)),
+                                                      lambda n: F.when(n == 0, x).otherwise(F.concat(x, F.lit("."), n.cast("string")))))
 
+    return F.when(tolerant, clean_split(header, sep)).otherwise(Q._let(Q.fields(header, sep), named))
 
-def scan_quoted_records(spark: SparkSession, paths: "Sequence[str] | FileSet", header: str,
-                        sep: str = S.SEPARATOR,
-                        max_broadcast_splits: int = 1_000_000) -> DataFrame:
-    """S2 for files with quoted line breaks, kept splittable.
 
-    Spark's multi-line CSV reader parses such a file in one task. Here the
-    file is read as lines (split-parallel) and records are rebuilt:
+def route_files(manifest: DataFrame, stats: DataFrame, quoted: DataFrame | None = None, sep: str = S.SEPARATOR) -> DataFrame:
+    """Per file: route, the read errors a fallback records, and the names of its header.
 
-    * only lines with an odd number of quotes flip the "inside quotes" state,
-      so a line's state follows from the ordinal of the last odd line at or
-      before it in its file;
-    * that ordinal = odd lines in earlier splits of the file (a tiny per-split
-      table, prefix-summed) + a running count inside the line's split (a
-      window per file split, so no group is larger than one split);
-    * an odd ordinal opens a record, the next closes it; lines in between
-      belong to it. Only the lines of such multi-line records are regrouped
-      (by record), joined with newlines, and every record is parsed with
-      ``from_csv`` by the header's names.
+    ``quoted`` (FILE_NAME, unclosed, widest) describes the files with open lines.
     """
-    names = strict_header_names(header, sep)
-    v = F.col("value")
-    lines = _files(paths).load(spark.read.format("text")).select(
-        v, F.col("_metadata.file_name").alias("FILE_NAME"),
-        F.col("_metadata.file_block_start").alias("blk"),
-        F.monotonically_increasing_id().alias("mid"))
-    n_quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
-    lines = lines.withColumn("odd", (n_quotes % 2 == 1).cast("int")).withColumn("blank", v.rlike(_BLANK))
-
-    per_split = lines.groupBy("FILE_NAME", "blk").agg(F.sum("odd").alias("n_odd"))
-    before = Window.partitionBy("FILE_NAME").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    per_split = per_split.select("FILE_NAME", "blk",
-                                 F.coalesce(F.sum("n_odd").over(before), F.lit(0)).alias("odd_before"))
-    n_splits = per_split.count()
-    per_split = F.broadcast(per_split) if n_splits <= max_broadcast_splits else per_split
-
-    in_split = Window.partitionBy("FILE_NAME", "blk").orderBy("mid")
-    running = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole_split = Window.partitionBy("FILE_NAME", "blk")
-    marked = (lines.join(per_split, ["FILE_NAME", "blk"])
-              .withColumn("k", F.col("odd_before") + F.sum("odd").over(running))
-              .withColumn("first_text", F.min(F.when(~F.col("blank"), F.col("mid"))).over(whole_split)))
-    is_header = (F.col("blk") == 0) & (F.col("mid") == F.col("first_text"))
-    inside = (F.col("k") % 2 == 1)
-    part = (F.col("odd") == 1) | inside
-    record_k = F.when(F.col("k") % 2 == 1, F.col("k")).otherwise(F.col("k") - 1)
-
-    single = marked.where(~part & ~F.col("blank") & ~is_header).select("FILE_NAME", v.alias("record"))
-    pieces = marked.where(part & ~is_header).select("FILE_NAME", record_k.alias("record_k"),
-                                                    F.struct("blk", "mid", "value").alias("line"))
-    multi = pieces.groupBy("FILE_NAME", "record_k").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: x["value"]), "\n")
-        .alias("record")).select("FILE_NAME", "record")
-    records = single.unionByName(multi)
-    opts = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
-    parsed = records.select("FILE_NAME", F.from_csv("record", ddl, opts).alias("r"))
-    return parsed.select("FILE_NAME", *[na_to_null(F.col("r").getField(n)).alias(n) for n in names])
-
-
-def scan_tolerant(spark: SparkSession, paths: "Sequence[str] | FileSet", header: str,
-                  blank_rows: DataFrame | None = None, sep: str = S.SEPARATOR) -> DataFrame:
-    """S3: each line split on the raw separator with no quote awareness.
-
-    Fields are trimmed and stripped of outer quotes; extra fields are dropped,
-    missing fields are null; a repeated header name keeps its last position.
-    ``blank_rows`` (FILE_NAME, n_blank) adds the one-empty-field row that
-    every blank line yields.
-    """
-    names = tolerant_header_names(header, sep)
-    last_pos = {n: i for i, n in enumerate(names)}
-    ordered = [n for n in dict.fromkeys(names)]
-    reader = (spark.read.schema("line string").option("sep", _NO_SEP).option("quote", _NO_SEP)
-              .option("header", True).format("csv"))
-    lines = (_files(paths).load(reader)
-             .select(F.col("_metadata.file_name").alias("FILE_NAME"), clean_split(F.col("line"), sep).alias("f")))
-    rows = lines.select("FILE_NAME", *[F.get(F.col("f"), last_pos[n]).alias(n) for n in ordered])
-    if blank_rows is not None:
-        first = names[0]
-        blanks = blank_rows.where(F.col("n_blank") > 0).select(
-            "FILE_NAME", F.explode(F.sequence(F.lit(1), F.col("n_blank"))).alias("_i"))
-        blanks = blanks.select("FILE_NAME", *[
-            (F.lit("") if n == first else F.lit(None).cast("string")).alias(n) for n in ordered])
-        rows = rows.unionByName(blanks)
-    return rows
+    j = manifest.select("FILE_NAME", "EXTRACT_TYPE").join(stats, "FILE_NAME", "left")
+    if quoted is None:
+        j = j.withColumns({"unclosed": F.lit(False), "widest": F.lit(None).cast("int")})
+    else:
+        j = j.join(quoted, "FILE_NAME", "left")
+    # In a file with open lines only whole records count, else every line is one.
+    widest = F.when(F.col("n_open") > 0, F.col("widest")).otherwise(F.array_max("widths"))
+    j = j.withColumn("wide", F.size(Q.fields(F.col("header"), sep)))
+    wide = F.col("wide")
+    unclosed = F.coalesce("unclosed", F.lit(False))
+    long_row = F.coalesce(widest > wide, F.lit(False))
+    route = (F.when(F.col("n_lines").isNull(), ROUTE_UNREADABLE)
+             .when(unclosed | long_row, ROUTE_TOLERANT).otherwise(ROUTE_STRICT))
+    err = (F.when(F.col("n_lines").isNull(), F.lit("No columns to parse from file"))
+           .when(unclosed, F.lit("Error tokenizing data. C error: EOF inside string"))
+           .when(long_row, F.format_string("Error tokenizing data. C error: Expected %d fields, saw %d", wide, widest)))
+    out = j.select("FILE_NAME", "EXTRACT_TYPE", "header", "header_mid", "n_open", "content_hash", route.alias("route"),
+                   F.coalesce(F.array_compact(F.array(err)), F.array().cast(_NO_ERRORS)).alias("read_errors"))
+    return out.withColumn("names", F.when(F.col("header").isNotNull(), header_names(F.col("header"), F.col("route") == ROUTE_TOLERANT, sep)))
+
+
+def _position(names: Column, route: Column, target: Column) -> Column:
+    """Index of a name (null if absent): its first place, in a tolerant header its last."""
+    first = F.array_position(names, target)
+    last = F.size(names) + 1 - F.array_position(F.reverse(names), target)
+    return F.when(first > 0, F.when(route == ROUTE_TOLERANT, last).otherwise(first) - 1).cast("int")
+
+
+def _missing(names: Column, declared: list[str]) -> Column:
+    gone = F.array_except(F.array(*[F.lit(c) for c in declared]), F.coalesce(names, F.array().cast(_NO_ERRORS)))
+    text = F.concat(F.lit("missing declared column(s) ["), F.array_join(F.transform(gone, lambda c: F.concat(F.lit("'"), c, F.lit("'"))), ", "), F.lit("]"))
+    return F.when(F.size(gone) > 0, text)
 
 
 @dataclass
 class ScanResult:
     """Raw string rows of one extract type plus per-file read status."""
 
-    rows: DataFrame | None          # FILE_NAME + header columns (strings), all groups unioned
+    rows: DataFrame | None          # FILE_NAME + declared and undeclared columns (strings)
     status: DataFrame               # FILE_NAME, route, read_errors, readable
-    cached: DataFrame | None = None  # per-file routing table, cached while the run needs it
-
-    def release(self) -> None:
-        if self.cached is not None:
-            self.cached.unpersist()
-
-
-def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR,
-             keep_undeclared: bool = True, skip_blank: bool = False,
-             whole_file_multiline: bool = False,
-             split_bytes: int = 128 * 1024 * 1024,
-             source_glob: str | None = None) -> dict[str, ScanResult]:
-    """S4 for every extract type at once: one line-statistics pass over all
-    files, then one scan per (extract type, route, header) group.
-
-    ``skip_blank=True`` drops the rows that blank lines yield in a tolerant
-    parse (the strict scan always skips blank lines). Files with quoted line
-    breaks larger than ``split_bytes`` are rebuilt split-parallel
-    (``scan_quoted_records``) unless ``whole_file_multiline`` asks for Spark's
-    one-task-per-file reader; smaller ones are one task either way.
-    ``source_glob`` (a folder glob covering every manifest path) lets each scan
-    list that folder once and prune by file name."""
-    paths = [r["path"] for r in manifest.select("path").collect()]
-    out: dict[str, ScanResult] = {}
-    if not paths:
-        for et in S.EXTRACT_TYPES:
-            empty_status = spark.createDataFrame(
-                [], "FILE_NAME string, route string, read_errors array<string>, readable boolean")
-            out[et] = ScanResult(None, empty_status)
-        return out
-    stats = line_stats(spark, FileSet(tuple(paths), source_glob), sep)
-    routed = route_files(manifest, stats, split_bytes).cache()
-    groups = (routed.where(F.col("route") != ROUTE_UNREADABLE)
-              .groupBy("EXTRACT_TYPE", "route", "header").agg(F.collect_list("path").alias("paths"))
-              .collect())
+
+
+def _quoted_files(effects: DataFrame, stats: DataFrame) -> DataFrame:
+    """(FILE_NAME, unclosed, widest) of the files with open lines."""
+    placed, ends = Q.states(effects.join(stats.where("n_open > 0").select("FILE_NAME"), "FILE_NAME", "left_semi"))
+    widths = placed.where(~((F.col("state") == 0) & F.col("blank"))).groupBy("FILE_NAME", "rec_blk", "rec_mid").agg((F.sum("seps") + 1).alias("width"))
+    widest = widths.groupBy("FILE_NAME").agg(F.max("width").cast("int").alias("widest"))
+    return ends.join(widest, "FILE_NAME", "left")
+
+
+def _sized_broadcast(routing: DataFrame, n_files: int, n_columns: int) -> DataFrame:
+    """One row a file: a name, a place and a position per column."""
+    return F.broadcast(routing) if n_files * (200 + 4 * n_columns) <= BROADCAST_BYTES else routing
+
+
+def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR, keep_undeclared: bool = True,
+             skip_blank: bool = False, source_glob: str | None = None, n_files: int | None = None) -> dict[str, ScanResult]:
+    """S4 for every extract type at once.
+
+    ``skip_blank=True`` drops the rows that blank lines yield in a tolerant parse (the strict scan
+    always skips blank lines). ``source_glob`` is a folder glob that covers the manifest; other
+    files in it are read past, not parsed. Undeclared columns are kept under their first
+    spelling; one that differs from a declared or lineage column in letter case only is dropped.
+    """
+    n_files = manifest.count() if n_files is None else n_files
+    if not n_files:
+        empty = spark.createDataFrame([], "FILE_NAME string, route string, read_errors array<string>, readable boolean, content_hash string")
+        return {et: ScanResult(None, empty) for et in S.EXTRACT_TYPES}
+    if source_glob:
+        folder, _, glob = source_glob.rpartition("/")
+        text = Q.read_lines(spark, [folder], glob)
+    else:
+        text = Q.read_lines(spark, _folders(manifest))
+    names = _sized_broadcast(manifest.select("FILE_NAME"), n_files, 0)
+    effects = Q.with_effects(text.join(names, "FILE_NAME", "left_semi"), sep)
+    # Per-file tables are written once and read back: what follows plans over a few rows, not over the scan again.
+    stats = file_stats(effects).cache()
+    any_open = not stats.where("n_open > 0").isEmpty()
+    quoted = _quoted_files(effects, stats) if any_open else None
+    routed = route_files(manifest, stats, quoted, sep)
+    declared = F.create_map(*[x for et in S.EXTRACT_TYPES for x in (F.lit(et), F.array(*[F.lit(c) for c in S.declared_columns(et)]))])
+    missing = F.coalesce(*[F.when(F.col("EXTRACT_TYPE") == et, _missing(F.col("names"), S.declared_columns(et))) for et in S.EXTRACT_TYPES])
+    routed = routed.withColumn("missing", missing).withColumn(
+        "readable", (F.col("route") != ROUTE_UNREADABLE) & F.col("missing").isNull())
+    routed = cut_lineage(routed)
+    stats.unpersist()
+    # Schema facts: undeclared names per type, in order of their first place.
+    own = F.array(*[F.lit(c.lower()) for c in S.LINEAGE_COLUMNS])
+    lower = lambda c: F.lower(c)
+    known = F.array_union(F.transform(F.element_at(declared, F.col("EXTRACT_TYPE")), lower), own)
+    found = routed.where("readable").select("EXTRACT_TYPE", known.alias("known"), F.posexplode("names").alias("at", "name"))
+    extra = (found.where(~F.array_contains(F.col("known"), F.lower("name"))).groupBy("EXTRACT_TYPE", F.lower("name").alias("low"))
+             .agg(F.min(F.struct("at", "name")).alias("first")).collect()) if keep_undeclared else []
+    held = {r[0]: r[1] for r in routed.groupBy("EXTRACT_TYPE").agg(F.count_if("readable")).collect()}
+    extras = {et: [r["first"]["name"] for r in sorted((r for r in extra if r["EXTRACT_TYPE"] == et), key=lambda r: r["first"])] for et in S.EXTRACT_TYPES}
+
+    def places(et: str) -> Column:
+        exact = F.transform(F.array(*[F.lit(c) for c in S.declared_columns(et)]), lambda c: _position(F.col("names"), F.col("route"), c))
+        if not extras[et]:
+            return exact
+        low = F.transform("names", lower)
+        return F.concat(exact, F.transform(F.array(*[F.lit(c.lower()) for c in extras[et]]), lambda c: _position(low, F.col("route"), c)))
+
+    at = F.when(F.col("EXTRACT_TYPE") == S.QUESTIONS, places(S.QUESTIONS)).otherwise(places(S.SCORING))
+    table = routed.where("readable").select("FILE_NAME", "EXTRACT_TYPE", "header_mid", (F.col("route") == ROUTE_TOLERANT).alias("tolerant"),
+                                            (F.col("n_open") > 0).alias("open"), at.alias("at"))
+    table = _sized_broadcast(table, n_files, max(len(S.declared_columns(et)) + len(extras[et]) for et in S.EXTRACT_TYPES))
+    keep = ["FILE_NAME", "EXTRACT_TYPE", "tolerant", "at"]
+    bound = text.join(table, "FILE_NAME").where("mid <> header_mid AND (tolerant OR NOT open)")
+    blank = F.col("value").rlike(Q._BLANK)
+    bound = bound.where(~blank if skip_blank else F.col("tolerant") | ~blank)
+    split = bound.select(*keep, F.when(F.col("tolerant"), clean_split(F.col("value"), sep)).otherwise(Q.fields(F.col("value"), sep)).alias("fields"))
+    if any_open:
+        open_files = _sized_broadcast(routed.where(f"readable AND n_open > 0 AND route = '{ROUTE_STRICT}'").select("FILE_NAME"), n_files, 0)
+        placed, _ = Q.states(effects.join(open_files, "FILE_NAME", "left_semi"))
+        whole = Q.records(placed).join(table, "FILE_NAME").where("rec_mid <> header_mid AND NOT tolerant")
+        split = split.unionByName(whole.select(*keep, Q.fields(F.col("value"), sep).alias("fields")))
+    out = {}
     for et in S.EXTRACT_TYPES:
-        declared = S.declared_columns(et)
-        r_et = routed.where(F.col("EXTRACT_TYPE") == et)
-        frames, missing_rows = [], []
-        for g in (g for g in groups if g["EXTRACT_TYPE"] == et):
-            route, header = g["route"], g["header"]
-            gpaths = FileSet(tuple(g["paths"]), source_glob)
-            names = (tolerant_header_names(header, sep) if route == ROUTE_TOLERANT
-                     else strict_header_names(header, sep))
-            missing = [c for c in declared if c not in names]
-            if missing:
-                missing_rows.append((header, route, f"missing declared column(s) {missing}"))
-                continue
-            if route == ROUTE_TOLERANT:
-                blanks = r_et.where((F.col("route") == ROUTE_TOLERANT) & (F.col("header") == F.lit(header))) \
-                    .select("FILE_NAME", "n_blank")
-                df = scan_tolerant(spark, gpaths, header, None if skip_blank else blanks, sep)
-            elif route == ROUTE_MULTILINE_SPLIT and not whole_file_multiline:
-                df = scan_quoted_records(spark, gpaths, header, sep)
-            else:
-                df = scan_strict(spark, gpaths, header, route != ROUTE_STRICT, sep)
-            if not keep_undeclared:
-                df = df.select("FILE_NAME", *[col(c) for c in declared])
-            frames.append(df)
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
-        status = r_et.select("FILE_NAME", "route", "header", "read_errors")
-        if missing_rows:
-            miss = spark.createDataFrame(missing_rows, "header string, route string, missing_error string")
-            status = status.join(F.broadcast(miss), ["header", "route"], "left")
-        else:
-            status = status.withColumn("missing_error", F.lit(None).cast("string"))
-        status = status.select(
-            "FILE_NAME", "route",
-            F.concat(F.col("read_errors"), F.coalesce(F.array_compact(F.array("missing_error")),
-                                                      F.array().cast("array<string>"))).alias("read_errors"),
-            ((F.col("route") != ROUTE_UNREADABLE) & F.col("missing_error").isNull()).alias("readable"))
-        out[et] = ScanResult(rows, status, routed)
+        columns = S.declared_columns(et) + extras[et]
+        values = [F.get("fields", F.get("at", i)) for i in range(len(columns))]
+        rows = split.where(F.col("EXTRACT_TYPE") == et).select(
+            "FILE_NAME", *[F.when(F.col("tolerant"), v).otherwise(na_to_null(v)).alias(c) for c, v in zip(columns, values)])
+        status = routed.where(F.col("EXTRACT_TYPE") == et).select(
+            "FILE_NAME", "route", F.concat("read_errors", F.coalesce(F.array_compact(F.array("missing")), F.array().cast(_NO_ERRORS))).alias("read_errors"),
+            "readable", "content_hash")
+        out[et] = ScanResult(rows if held.get(et) else None, status)
     return out
 
 
-def scan_extracts(spark: SparkSession, manifest: DataFrame, extract_type: str,
-                  sep: str = S.SEPARATOR, keep_undeclared: bool = True, skip_blank: bool = False) -> ScanResult:
+def scan_extracts(spark: SparkSession, manifest: DataFrame, extract_type: str, sep: str = S.SEPARATOR,
+                  keep_undeclared: bool = True, skip_blank: bool = False) -> ScanResult:
     """S4 for one extract type."""
-    m = manifest.where(F.col("EXTRACT_TYPE") == extract_type)
-    return scan_all(spark, m, sep, keep_undeclared, skip_blank)[extract_type]
+    return scan_all(spark, manifest.where(F.col("EXTRACT_TYPE") == extract_type), sep, keep_undeclared, skip_blank)[extract_type]
+
+
+def scan_strict(spark: SparkSession, path: str, sep: str = S.SEPARATOR) -> DataFrame:
+    """S2 for one file: its records by the quote rules, named by its header; NA tokens become null."""
+    effects = Q.with_effects(Q.read_lines(spark, [path]), sep)
+    head = file_stats(effects).select("header_mid", header_names(F.col("header"), F.lit(False), sep).alias("names")).first()
+    placed, _ = Q.states(effects)
+    rows = Q.records(placed).where(F.col("rec_mid") != head["header_mid"]).select(Q.fields(F.col("value"), sep).alias("f"))
+    return rows.select(*[na_to_null(F.get("f", F.lit(i))).alias(n) for i, n in enumerate(head["names"])])
+
+
+def scan_tolerant(spark: SparkSession, path: str, sep: str = S.SEPARATOR) -> DataFrame:
+    """S3 for one file: each line split on the raw separator, fields stripped of outer quotes; extra fields
+    are dropped, missing ones null, a repeated header name keeps its last place, a blank line is one empty field."""
+    lines = Q.read_lines(spark, [path])
+    head = file_stats(Q.with_effects(lines, sep)).select("header_mid", clean_split(F.col("header"), sep).alias("names")).first()
+    at = {n: i for i, n in enumerate(head["names"])}
+    rows = lines.where(F.col("mid") != head["header_mid"]).select(clean_split(F.col("value"), sep).alias("f"))
+    return rows.select(*[F.get("f", F.lit(at[n])).alias(n) for n in dict.fromkeys(head["names"])])
