@@ -149,7 +149,8 @@ def uncovered_id_lists(uncovered: DataFrame, cap: int = 20) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*by).orderBy("MISSING_ID"))
     least = some.withColumn("r", rank).where(F.col("r") <= cap)
     lists = least.groupBy(*by).agg(F.array_sort(F.collect_list("MISSING_ID")).alias("MISSING_IDS"))
-    return lists.join(counts, by).select(*by, "MISSING_IDS", "n_missing")
+    same = F.col("l.FILE_WITH").eqNullSafe(F.col("c.FILE_WITH")) & F.col("l.FILE_WITHOUT").eqNullSafe(F.col("c.FILE_WITHOUT"))
+    return lists.alias("l").join(counts.alias("c"), same).select("l.FILE_WITH", "l.FILE_WITHOUT", "MISSING_IDS", "n_missing")
 
 
 # --- E1 state that merges over batches -----------------------------------------

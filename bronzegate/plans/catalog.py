@@ -287,18 +287,24 @@ def streamed_log(spark, sf_dir):
     return _log_view(B.read_log(spark, bronze))
 
 
-def archived_raw_files(spark, sf_dir):
-    """S9 + S10: every rendered raw file bundled into a verified archive and read back."""
+def _archived(spark, sf_dir, chunk_bytes=None):
     raw, _, _ = _landed(spark, sf_dir)
     paths = [r.path for r in detect_incoming(spark, raw).select("path").collect()]
     dest = shared_dir(spark, "archive")
-    A.archive_files(spark, paths, dest, "zstd")
-    back = spark.read.parquet(dest)
-    text = F.decode("content", "UTF-8")
-    return back.select(F.col("name").alias("FILE_NAME"),
-                       (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).cast("long")
-                       .alias("N_NEWLINES"),
-                       (F.sha2("content", 256) == F.col("sha256")).alias("HASH_OK"))
+    A.archive_files(spark, paths, dest, "zstd", chunk_bytes=chunk_bytes)
+    breaks = F.octet_length("content") - F.octet_length(F.replace(F.decode("content", "ISO-8859-1"), F.lit("\n"), F.lit("")))
+    return spark.read.parquet(dest).groupBy(F.col("name").alias("FILE_NAME")).agg(
+        F.sum(breaks).alias("N_NEWLINES"), F.bool_and(F.sha2("content", 256) == F.col("sha256")).alias("HASH_OK"))
+
+
+def archived_raw_files(spark, sf_dir):
+    """S9 + S10: every rendered raw file bundled into a verified archive and read back."""
+    return _archived(spark, sf_dir)
+
+
+def archived_chunks(spark, sf_dir):
+    """S9 with small chunks: files of several chunks come back whole."""
+    return _archived(spark, sf_dir, 16 << 10)
 
 
 def archive_plan(spark, sf_dir):
@@ -327,6 +333,160 @@ def change_feed_scoring(spark, sf_dir):
         "FILE_NAME", F.col("`Assessment ID`").alias("ASSESSMENT_ID"), "_change_type")
 
 
+# --- S2 / S4: one parse rule, at ordinary and at tiny splits ------------------------
+
+def _quoted_rows(spark, sf_dir):
+    from ..sources.extracts import render_quoted
+    from ..sources.scan import scan_all
+
+    key = (id(spark), sf_dir, "quoted")
+    with _LANDED_LOCK:
+        if key not in _LANDED:
+            _LANDED[key] = render_quoted(spark, sf_dir)
+        raw = _LANDED[key]
+    rows = scan_all(spark, detect_incoming(spark, raw), source_glob=f"{raw}/{S.DEFAULT_GLOB}")[S.QUESTIONS].rows
+    return rows.select("FILE_NAME", F.col("`Assessment ID`").alias("ASSESSMENT_ID"), "question_key", "Unit", "ARD")
+
+
+def quoted_questions(spark, sf_dir):
+    """Stray quotes, line breaks in quotes, CR LF and two header orders, read in one pass."""
+    return _quoted_rows(spark, sf_dir)
+
+
+def quoted_questions_tiny_splits(spark, sf_dir):
+    """The same from splits of 16 KiB, so records, quotes and files lie over split borders."""
+    conf = {"spark.sql.files.maxPartitionBytes": str(16 << 10), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in conf}
+    out = shared_dir(spark, "quoted-rows")
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        _quoted_rows(spark, sf_dir).write.parquet(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.read.parquet(out)
+
+
+# --- rows that fail, change or repeat --------------------------------------------------
+
+def misnamed_log(spark, sf_dir):
+    """P1 + E3: deliveries whose name gives no date fail unread, with their pair; the log says why."""
+    from .landing import land
+
+    raw, _, _ = _landed(spark, sf_dir)
+    m = detect_incoming(spark, raw)
+    bad = (F.col("INSTANCE") == "REV") & (F.col("PROVINCE") == "Alberta")
+    name = F.when(bad, F.regexp_replace("FILE_NAME", r"_(\d{4}-\d{2})-\d{2}[.]csv$", "_m$1.csv")).otherwise(F.col("FILE_NAME"))
+    # Only the names differ; the files of such names are never opened.
+    manifest = manifest_from_names(m.select(name.alias("FILE_NAME"), "path", "length"))
+    res = land(spark, "", shared_dir(spark, "bronze-misnamed"), manifest=manifest, scan_glob=f"{raw}/{S.DEFAULT_GLOB}", run_ts=FIXED_TS)
+    return _log_view(res.log)
+
+
+def relanded_log(spark, sf_dir):
+    """The same deliveries again: pairs that were ingested are skipped, the others are tried again."""
+    from .landing import land
+
+    raw, _, _ = _landed(spark, sf_dir)
+    again = shared_dir(spark, "bronze-again")
+    for _ in range(2):
+        res = land(spark, raw, again, run_ts=FIXED_TS)
+    return _log_view(res.log).select("FILE_NAME", "INGEST_SUCCESS", "INGEST_ERRORS")
+
+
+def snapshot_changes(spark, sf_dir):
+    """S7(b): keyed difference of two snapshots of the orders: inserts, deletes, updates with both images, duplicates."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    old = o.where("o_orderkey % 7 <> 0").unionByName(o.where("o_orderkey % 13 = 0"))
+    new = o.where("o_orderkey % 11 <> 0").withColumn("o_custkey", F.when(F.col("o_orderkey") % 5 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")))
+    return B.snapshot_diff(old, new, ["o_orderkey"])
+
+
+def uncovered_id_lists_query(spark, sf_dir):
+    """J3 as lists: per pair the 20 smallest missing IDs and how many there are."""
+    from ..operators.records import uncovered_id_lists
+
+    lists = uncovered_id_lists(uncovered_ids_query(spark, sf_dir), 20)
+    return lists.withColumn("MISSING_IDS", F.array_join("MISSING_IDS", ","))
+
+
+def merged_rollup(spark, sf_dir):
+    """E1 state: bitmaps of two batches (by order parity), merged, count like one batch."""
+    from ..operators.records import merge_states, rollup_state, state_counts, value_dictionary
+
+    stage = lambda df, name: _stored(spark, df, name)
+    c = _conformed(spark, sf_dir, S.SCORING).select("FILE_NAME", F.col(f"`{S.RESIDENT_COLUMN}`"), F.col(f"`{S.FACILITY_COLUMN}`"), F.col(f"`{S.ASSESSMENT_COLUMN}`"), S.ID_COLUMN)
+    batches = [c.where(F.col(f"`{S.ASSESSMENT_COLUMN}`").cast("long") % 2 == i) for i in range(2)]
+    dictionary, states = None, []
+    for batch in batches:
+        dictionary = stage(value_dictionary(batch, dictionary), "dictionary")
+        states.append(rollup_state(batch, dictionary))
+    return state_counts(merge_states(*states))
+
+
+def _stored(spark, df, name):
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def na_tokens(spark, sf_dir):
+    """Every NA token, and near misses, among the values of a column."""
+    from ..functions.columns import na_to_null
+
+    words = [*S.NA_TOKENS, "Na", " NA", "0", "none", "x"]
+    word = F.element_at(F.array(*[F.lit(w) for w in words]), (F.col("l_orderkey") % len(words) + 1).cast("int"))
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", word.alias("word"))
+    return li.select("l_orderkey", "l_linenumber", na_to_null(F.col("word")).alias("value"))
+
+
+def manifest_out_of_domain(spark, sf_dir):
+    """P10 over names that leave the accepted values."""
+    odd = F.replace(F.replace("FILE_NAME", F.lit("EXT_"), F.lit("QA_")), F.lit("_Alberta_"), F.lit("_Quebec_"))
+    return domain_report(manifest_from_names(_manifest(spark, sf_dir).select(odd.alias("FILE_NAME"))))
+
+
+def extract_type_sizes(spark, sf_dir):
+    """how many files the manifest splits into."""
+    from ..sources.discover import split_extract_types
+
+    q, s = split_extract_types(_manifest(spark, sf_dir))
+    return q.agg(F.count("*").alias("n")).withColumn("part", F.lit("questions")).unionByName(s.agg(F.count("*").alias("n")).withColumn("part", F.lit("scoring")))
+
+
+def archive_precheck(spark, sf_dir):
+    """What keeps requested paths from being archived: missing files and a folder."""
+    raw, _, _ = _landed(spark, sf_dir)
+    held = detect_incoming(spark, raw)
+    asked = held.select(F.when(F.col("INSTANCE") == "REV", F.concat("path", F.lit(".gone"))).otherwise(F.col("path")).alias("path"))
+    asked = asked.unionByName(spark.createDataFrame([(raw,)], "path string"))
+    report = A.precheck_report(asked, A.list_parents(spark, asked))
+    name = F.element_at(F.split("path", "/"), -1)
+    return report.select(F.when(name.contains(".csv"), name).otherwise(F.lit("the folder")).alias("name"), "reason")
+
+
+def archive_plan_include(spark, sf_dir):
+    """F4 with ``include``: files with errors go the way of the clean ones."""
+    _, bronze, _ = _landed(spark, sf_dir)
+    return A.disposition(B.read_log(spark, bronze), ("move", "ingested"), "include", timestamp="T")
+
+
+def archive_plan_stay(spark, sf_dir):
+    """F4 without a place for files with errors: they stay."""
+    _, bronze, _ = _landed(spark, sf_dir)
+    return A.disposition(B.read_log(spark, bronze), ("tarball", "ingested"), None)
+
+
+def overwritten_scoring(spark, sf_dir):
+    """S5 overwrite: all of a table gives way to the rows of one batch, in the rebalanced layout."""
+    rows = without_flags(_conformed(spark, sf_dir, S.SCORING)).drop("INGESTION_TIMESTAMP")
+    path = shared_dir(spark, "overwritten")
+    B.write_bronze(rows.where("INSTANCE = 'EXT'"), path, "append")
+    B.write_bronze(rows.where("INSTANCE = 'REV'"), path, "overwrite", layout="rebalance")
+    return spark.read.parquet(path).select(*rows.columns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "value_set_orders_lineitem": value_set_orders_lineitem,
     "value_set_customer_orders": value_set_customer_orders,
@@ -362,4 +522,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_plan": archive_plan,
     "change_feed_scoring": change_feed_scoring,
     "created_table_roundtrip": created_table_roundtrip,
+    "quoted_questions": quoted_questions,
+    "quoted_questions_tiny_splits": quoted_questions_tiny_splits,
+    "misnamed_log": misnamed_log,
+    "relanded_log": relanded_log,
+    "snapshot_changes": snapshot_changes,
+    "uncovered_id_lists": uncovered_id_lists_query,
+    "merged_rollup": merged_rollup,
+    "na_tokens": na_tokens,
+    "manifest_out_of_domain": manifest_out_of_domain,
+    "extract_type_sizes": extract_type_sizes,
+    "archive_precheck": archive_precheck,
+    "archive_plan_include": archive_plan_include,
+    "archive_plan_stay": archive_plan_stay,
+    "overwritten_scoring": overwritten_scoring,
+    "archived_chunks": archived_chunks,
 }

@@ -268,6 +268,81 @@ SELECT f AS FILE_NAME,
        CASE WHEN q_rows = 0 THEN 'stay' WHEN errs <> '' THEN 'move' ELSE 'archive' END AS action,
        CASE WHEN q_rows = 0 THEN NULL WHEN errs <> '' THEN 'ingested-review' ELSE 'ingested' END AS destination
 FROM (SELECT q_file AS f, q_rows, errs FROM landlog UNION ALL SELECT s_file, q_rows, errs FROM landlog) x"""
+    q["archived_chunks"] = q["archived_raw_files"]
+    q["quoted_questions"] = q["quoted_questions_tiny_splits"] = BASE + """
+SELECT FILE_NAME, "Assessment ID" AS ASSESSMENT_ID, question_key, strftime("ARD", '%Y-%m-%d %H:%M:%S') AS "ARD",
+       nullif(CASE CAST("Assessment ID" AS BIGINT) % 5 WHEN 0 THEN '5" ' || coalesce("Unit", '')
+                   WHEN 1 THEN coalesce("Unit", '') || chr(13) || chr(10) || 'over' || chr(10) || 'lines'
+                   WHEN 2 THEN coalesce("Unit", '') || '|"' || coalesce("Unit", '')
+                   ELSE coalesce("Unit", '') END, '') AS "Unit"
+FROM qraw"""
+    q["misnamed_log"] = BASE + """
+, named AS (
+  SELECT *, (INSTANCE = 'REV' AND PROVINCE = 'Alberta') AS bad FROM (""" + _LOG_SQL.format(read_errors="''") + """)
+), kept AS (
+  SELECT *, CASE WHEN bad THEN regexp_replace(FILE_NAME, '_([0-9]{4}-[0-9]{2})-[0-9]{2}[.]csv$', '_m\\1.csv') ELSE FILE_NAME END AS name
+  FROM named
+)
+SELECT name AS FILE_NAME, CASE WHEN NOT bad THEN FILE_DATE END AS FILE_DATE, INSTANCE, PROVINCE, EXTRACT_TYPE,
+       CASE WHEN bad THEN -1 ELSE N_ROWS END AS N_ROWS, CASE WHEN bad THEN -1 ELSE N_RESIDENTS END AS N_RESIDENTS,
+       CASE WHEN bad THEN -1 ELSE N_FACILITIES END AS N_FACILITIES,
+       CASE WHEN bad THEN -1 ELSE N_UNIQUE_ASSESSMENTS END AS N_UNIQUE_ASSESSMENTS,
+       NOT bad AS READ_SUCCESS, NOT bad AND INGEST_SUCCESS AS INGEST_SUCCESS,
+       CASE WHEN bad THEN 'file name does not give FILE_DATE' ELSE READ_ERRORS END AS READ_ERRORS,
+       CASE WHEN bad THEN 'unreadable: ' || replace(name, 'Scoring', '') || ' || unreadable: '
+                          || replace(replace(name, 'Scoring', ''), 'Extract_', 'ExtractScoring_')
+            ELSE INGEST_ERRORS END AS INGEST_ERRORS
+FROM kept"""
+    q["relanded_log"] = BASE + """
+SELECT FILE_NAME, false AS INGEST_SUCCESS,
+       CASE WHEN INGEST_SUCCESS THEN 'skipped: already ingested, content unchanged' ELSE INGEST_ERRORS END AS INGEST_ERRORS
+FROM (""" + _LOG_SQL.format(read_errors="''") + """)"""
+    q["snapshot_changes"] = """
+WITH old_rows AS (
+  SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 7 <> 0
+  UNION ALL SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 13 = 0
+), new_rows AS (
+  SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey
+  FROM orders WHERE o_orderkey % 11 <> 0
+), gone AS (SELECT * FROM old_rows EXCEPT ALL SELECT * FROM new_rows),
+came AS (SELECT * FROM new_rows EXCEPT ALL SELECT * FROM old_rows),
+gone_n AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderstatus, o_custkey) AS n FROM gone),
+came_n AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderstatus, o_custkey) AS n FROM came)
+SELECT o_orderkey, o_orderstatus, o_custkey,
+       CASE WHEN EXISTS (SELECT 1 FROM came_n c WHERE c.o_orderkey = g.o_orderkey AND c.n = g.n) THEN 'update_preimage' ELSE 'delete' END AS _change_type
+FROM gone_n g
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_custkey,
+       CASE WHEN EXISTS (SELECT 1 FROM gone_n g WHERE c.o_orderkey = g.o_orderkey AND c.n = g.n) THEN 'update_postimage' ELSE 'insert' END
+FROM came_n c"""
+    q["uncovered_id_lists"] = "SELECT FILE_WITH, FILE_WITHOUT, array_to_string(list(MISSING_ID ORDER BY MISSING_ID)[1:20], ',') AS MISSING_IDS, " \
+        "count(*) AS n_missing FROM (" + q["uncovered_ids"] + ") GROUP BY FILE_WITH, FILE_WITHOUT"
+    q["merged_rollup"] = BASE + """
+SELECT FILE_NAME, N_RESIDENTS, N_FACILITIES, N_UNIQUE_ASSESSMENTS FROM rollup WHERE FILE_NAME LIKE '%Scoring%'"""
+    words = ", ".join("'" + w + "'" for w in [*S.NA_TOKENS, "Na", " NA", "0", "none", "x"])
+    tokens = ", ".join("'" + w + "'" for w in S.NA_TOKENS)
+    q["na_tokens"] = f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN word NOT IN ({tokens}) THEN word END AS value
+FROM (SELECT l_orderkey, l_linenumber, ([{words}])[l_orderkey % {len(S.NA_TOKENS) + 5} + 1] AS word FROM lineitem)"""
+    q["manifest_out_of_domain"] = BASE + """
+SELECT 'INSTANCE' AS column_name, count(*) FILTER (WHERE INSTANCE = 'EXT') AS violations FROM man
+UNION ALL SELECT 'PROVINCE', count(*) FILTER (WHERE PROVINCE = 'Alberta') FROM man
+UNION ALL SELECT 'EXTRACT_TYPE', count(*) FILTER (WHERE EXTRACT_TYPE NOT IN ('Scoring', 'Questions')) FROM man"""
+    q["extract_type_sizes"] = BASE + """
+SELECT CASE EXTRACT_TYPE WHEN 'Questions' THEN 'questions' ELSE 'scoring' END AS part, count(*) AS n FROM man GROUP BY 1"""
+    q["archive_precheck"] = BASE + """
+SELECT f || '.gone' AS name, 'file does not exist.' AS reason
+FROM (SELECT q_file AS f, INSTANCE FROM rendered UNION ALL SELECT s_file, INSTANCE FROM rendered) WHERE INSTANCE = 'REV'
+UNION ALL SELECT 'the folder', 'path does not point to a file.'"""
+    q["archive_plan_include"] = BASE + """
+SELECT f AS FILE_NAME, CASE WHEN q_rows = 0 THEN 'stay' ELSE 'move' END AS action,
+       CASE WHEN q_rows = 0 THEN NULL ELSE 'ingested_T' END AS destination
+FROM (SELECT q_file AS f, q_rows FROM landlog UNION ALL SELECT s_file, q_rows FROM landlog) x"""
+    q["archive_plan_stay"] = BASE + """
+SELECT f AS FILE_NAME, CASE WHEN q_rows = 0 OR errs <> '' THEN 'stay' ELSE 'archive' END AS action,
+       CASE WHEN q_rows = 0 OR errs <> '' THEN NULL ELSE 'ingested' END AS destination
+FROM (SELECT q_file AS f, q_rows, errs FROM landlog UNION ALL SELECT s_file, q_rows, errs FROM landlog) x"""
+    q["overwritten_scoring"] = BASE + "SELECT * FROM st WHERE INSTANCE = 'REV'"
     q["created_table_roundtrip"] = "SELECT * FROM orders"
     q["change_feed_scoring"] = BASE + """
 SELECT FILE_NAME, "Assessment ID" AS ASSESSMENT_ID, 'insert' AS _change_type

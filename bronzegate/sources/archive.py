@@ -131,7 +131,8 @@ def read_chunks(spark: SparkSession, files: DataFrame) -> DataFrame:
     open_end = F.coalesce((F.col("before") + F.col("bytes") == F.col("total")) & (F.col("length") - F.when(marked, 3).otherwise(0) < F.col("total")), F.lit(False))
     body = F.when(open_end, F.array_join("lines.value", "\n")).otherwise(body).cast("binary")
     mark = F.unhex(F.lit("EFBBBF"))
-    content = F.coalesce(F.when(marked & (F.col("chunk") == 0), F.concat(mark, body)).otherwise(body), F.lit(b""))
+    content = F.coalesce(F.when(marked & (F.col("chunk") == 0), F.concat(mark, body)).otherwise(body),
+                         F.when(F.col("length") == 3, mark).otherwise(F.lit(b"")))  # no line at all: empty, or only a mark
     offset = F.when(F.col("chunk") == 0, F.lit(0)).otherwise(F.col("before") + F.when(marked, 3).otherwise(0))
     return j.select("path", "length", "chunk", offset.cast("long").alias("offset"), content.alias("content")).withColumn("sha256", F.sha2("content", 256))
 
@@ -144,11 +145,11 @@ def _hashes(chunks: DataFrame, key: str) -> DataFrame:
 
 
 @contextmanager
-def _chunk_splits(spark: SparkSession):
-    """While active, scans are split at ``CHUNK_BYTES``, so a chunk is the same split each time."""
+def _chunk_splits(spark: SparkSession, chunk_bytes: int):
+    """While active, scans are split at ``chunk_bytes``, so a chunk is the same split each time."""
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(CHUNK_BYTES))
+    spark.conf.set(key, str(chunk_bytes))
     try:
         yield
     finally:
@@ -156,10 +157,10 @@ def _chunk_splits(spark: SparkSession):
 
 
 def archive_files(spark: SparkSession, paths: Sequence[str], dest: str, compression: str | None = "gzip",
-                  retain_structure: bool = False, remove_sources: bool = False) -> str:
+                  retain_structure: bool = False, remove_sources: bool = False, chunk_bytes: int | None = None) -> str:
     """Bundle ``paths`` into a Parquet archive at ``dest`` and verify it.
 
-    ``retain_structure`` keeps the full source path, else the base name only.
+    Chunks are of about ``chunk_bytes`` (``CHUNK_BYTES``). ``retain_structure`` keeps the full source path, else the base name only.
     Sources are deleted only after every re-read hash matches.
     """
     codec = codec_of(compression)
@@ -169,7 +170,7 @@ def archive_files(spark: SparkSession, paths: Sequence[str], dest: str, compress
     listing = list_parents(spark, requested).select(_plain(F.col("path")).alias("at"), "length")
     files = cut_lineage(requested.withColumn("at", _plain(F.col("path"))).join(listing, "at").select("path", "length"))
     name = F.col("path") if retain_structure else F.element_at(F.split("path", "/"), -1)
-    with _chunk_splits(spark):
+    with _chunk_splits(spark, chunk_bytes or CHUNK_BYTES):
         read_chunks(spark, files).withColumn("name", name).write.mode("errorifexists").option("compression", codec).parquet(dest)
         verify_archive(spark, files, dest)
     if remove_sources:

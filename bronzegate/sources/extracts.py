@@ -154,6 +154,39 @@ def _write_lines(df: DataFrame, out: str, sep: str, long_row: Column | None) ->
         .select("FILE_NAME", "value").write.partitionBy("FILE_NAME").mode("overwrite").text(out))
 
 
+def quoted_unit() -> Column:
+    """``Unit`` of the quoted rendering: stray quotes, line breaks of either kind, separators, doubled quotes."""
+    key, unit = F.col("`Assessment ID`").cast("long"), F.coalesce("Unit", F.lit(""))
+    return (F.when(key % 5 == 0, F.concat(F.lit('5" '), unit)).when(key % 5 == 1, F.concat(unit, F.lit("\r\nover\nlines")))
+            .when(key % 5 == 2, F.concat(unit, F.lit('|"'), unit)).otherwise(unit))
+
+
+def render_quoted(spark: SparkSession, sf_dir: str, raw_dir: str | None = None, sep: str = S.SEPARATOR) -> str:
+    """Questions files that need every quote rule, with two header orders and two kinds of line end.
+
+    Ontario files have their columns in reverse and lines ending in CR LF. A value with a quote but
+    neither separator nor line break stands unquoted, so its quote is text. Returns ``raw_dir``.
+    """
+    raw_dir = raw_dir or shared_dir(spark, "raw-quoted")
+    df = questions_frame(spark, sf_dir).withColumn("Unit", quoted_unit())
+    staging = shared_dir(spark, "render")
+    names = df.columns[1:]
+    for province, columns, end in (("Ontario", names[::-1], "\r\n"), ("Alberta", names, "\n")):
+        part = df.where(F.col("FILE_NAME").contains(f"_{province}_"))
+        text = [F.when(F.col(f"`{c}`").startswith('5"'), F.col(f"`{c}`")).otherwise(_quoted(F.col(f"`{c}`"), sep)) for c in columns]
+        lines = part.select("FILE_NAME", F.lit(1).alias("_o"), F.concat_ws(sep, *text).alias("value"))
+        head = part.select("FILE_NAME").distinct().select("FILE_NAME", F.lit(0).alias("_o"), F.lit(sep.join(columns)).alias("value"))
+        (head.unionByName(lines).repartition("FILE_NAME").sortWithinPartitions("FILE_NAME", "_o").select("FILE_NAME", "value")
+             .write.partitionBy("FILE_NAME").option("lineSep", end).text(f"{staging}/{province}"))
+    fs, _ = hadoop_fs(spark, staging)
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(Path(raw_dir))
+    for st in fs.globStatus(Path(f"{staging}/*/FILE_NAME=*/part-*")):
+        fs.rename(st.getPath(), Path(f"{raw_dir}/{st.getPath().getParent().getName()[len('FILE_NAME='):]}"))
+    return raw_dir
+
+
 def render_extracts(spark: SparkSession, sf_dir: str, raw_dir: str | None = None,
                     sep: str = S.SEPARATOR, malformed: bool = False, hot_third: bool = False) -> str:
     """Write the derived extracts as pipe-delimited raw files, one file per FILE_NAME.
