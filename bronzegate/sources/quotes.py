@@ -29,12 +29,18 @@ _TEXT, _INSIDE, _CLOSING, _BEGINS = 0, 1, 2, 3
 _BLANK = r"^[\x00-\x20]*$"
 
 
-def read_lines(spark: SparkSession, paths: list[str], glob: str | None = None) -> DataFrame:
-    """FILE_NAME, blk (byte offset of the split), mid (order of lines), value."""
+def read_lines(spark: SparkSession, paths: list[str], glob: str | None = None, names=None) -> DataFrame:
+    """FILE_NAME, blk (byte offset of the split), mid (order of lines), value.
+
+    ``names`` (file name column -> condition) leaves files out before any is opened.
+    """
     reader = spark.read.format("text").option("lineSep", "\n")
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(paths).select(
+    files = reader.load(paths)
+    if names is not None:
+        files = files.where(names(F.col("_metadata.file_name")))
+    return files.select(
         F.col("_metadata.file_name").alias("FILE_NAME"), F.col("_metadata.file_block_start").alias("blk"),
         F.monotonically_increasing_id().alias("mid"), "value")
 

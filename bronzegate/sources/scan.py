@@ -23,6 +23,7 @@ counts per extract type.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,17 +154,18 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR, k
     if not n_files:
         empty = spark.createDataFrame([], "FILE_NAME string, route string, read_errors array<string>, readable boolean, content_hash string")
         return {et: ScanResult(None, empty) for et in S.EXTRACT_TYPES}
-    if source_glob:
-        folder, _, glob = source_glob.rpartition("/")
-        text = Q.read_lines(spark, [folder], glob)
-    else:
-        text = Q.read_lines(spark, _folders(manifest))
+    folder, _, glob = source_glob.rpartition("/") if source_glob else ("", "", None)
+    folders = [folder] if source_glob else _folders(manifest)
+    # The extract type is in the file name, so the scan of one type opens no file of the other.
+    kind = {S.SCORING: lambda n: n.contains(S.SCORING), S.QUESTIONS: lambda n: ~n.contains(S.SCORING)}
+    text = {et: Q.read_lines(spark, folders, glob, kind[et]) for et in S.EXTRACT_TYPES}
     names = _sized_broadcast(manifest.select("FILE_NAME"), n_files, 0)
-    effects = Q.with_effects(text.join(names, "FILE_NAME", "left_semi"), sep)
+    effects = {et: Q.with_effects(t.join(names, "FILE_NAME", "left_semi"), sep) for et, t in text.items()}
     # Per-file tables are written once and read back: what follows plans over a few rows, not over the scan again.
-    stats = file_stats(effects).cache()
-    any_open = not stats.where("n_open > 0").isEmpty()
-    quoted = _quoted_files(effects, stats) if any_open else None
+    stats = reduce(DataFrame.unionByName, [file_stats(e) for e in effects.values()]).cache()
+    is_scoring = F.col("FILE_NAME").contains(S.SCORING)
+    opened = [r[0] for r in stats.where("n_open > 0").select(F.when(is_scoring, S.SCORING).otherwise(S.QUESTIONS)).distinct().collect()]
+    quoted = reduce(DataFrame.unionByName, [_quoted_files(effects[et], stats) for et in opened]) if opened else None
     routed = route_files(manifest, stats, quoted, sep)
     declared = F.create_map(*[x for et in S.EXTRACT_TYPES for x in (F.lit(et), F.array(*[F.lit(c) for c in S.declared_columns(et)]))])
     missing = F.coalesce(*[F.when(F.col("EXTRACT_TYPE") == et, _missing(F.col("names"), S.declared_columns(et))) for et in S.EXTRACT_TYPES])
@@ -192,22 +194,21 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR, k
     table = routed.where("readable").select("FILE_NAME", "EXTRACT_TYPE", "header_mid", (F.col("route") == ROUTE_TOLERANT).alias("tolerant"),
                                             (F.col("n_open") > 0).alias("open"), at.alias("at"))
     table = _sized_broadcast(table, n_files, max(len(S.declared_columns(et)) + len(extras[et]) for et in S.EXTRACT_TYPES))
-    keep = ["FILE_NAME", "EXTRACT_TYPE", "tolerant", "at"]
-    bound = text.join(table, "FILE_NAME").where("mid <> header_mid AND (tolerant OR NOT open)")
+    keep = ["FILE_NAME", "tolerant", "at"]
     blank = F.col("value").rlike(Q._BLANK)
-    bound = bound.where(~blank if skip_blank else F.col("tolerant") | ~blank)
-    split = bound.select(*keep, F.when(F.col("tolerant"), clean_split(F.col("value"), sep)).otherwise(Q.fields(F.col("value"), sep)).alias("fields"))
-    if any_open:
-        open_files = _sized_broadcast(routed.where(f"readable AND n_open > 0 AND route = '{ROUTE_STRICT}'").select("FILE_NAME"), n_files, 0)
-        placed, _ = Q.states(effects.join(open_files, "FILE_NAME", "left_semi"))
-        whole = Q.records(placed).join(table, "FILE_NAME").where("rec_mid <> header_mid AND NOT tolerant")
-        split = split.unionByName(whole.select(*keep, Q.fields(F.col("value"), sep).alias("fields")))
+    open_files = routed.where(f"readable AND n_open > 0 AND route = '{ROUTE_STRICT}'").select("FILE_NAME")
     out = {}
     for et in S.EXTRACT_TYPES:
+        bound = text[et].join(table, "FILE_NAME").where("mid <> header_mid AND (tolerant OR NOT open)")
+        bound = bound.where(~blank if skip_blank else F.col("tolerant") | ~blank)
+        split = bound.select(*keep, F.when(F.col("tolerant"), clean_split(F.col("value"), sep)).otherwise(Q.fields(F.col("value"), sep)).alias("fields"))
+        if et in opened:
+            placed, _ = Q.states(effects[et].join(_sized_broadcast(open_files, n_files, 0), "FILE_NAME", "left_semi"))
+            whole = Q.records(placed).join(table, "FILE_NAME").where("rec_mid <> header_mid AND NOT tolerant")
+            split = split.unionByName(whole.select(*keep, Q.fields(F.col("value"), sep).alias("fields")))
         columns = S.declared_columns(et) + extras[et]
         values = [F.get("fields", F.get("at", i)) for i in range(len(columns))]
-        rows = split.where(F.col("EXTRACT_TYPE") == et).select(
-            "FILE_NAME", *[F.when(F.col("tolerant"), v).otherwise(na_to_null(v)).alias(c) for c, v in zip(columns, values)])
+        rows = split.select("FILE_NAME", *[F.when(F.col("tolerant"), v).otherwise(na_to_null(v)).alias(c) for c, v in zip(columns, values)])
         status = routed.where(F.col("EXTRACT_TYPE") == et).select(
             "FILE_NAME", "route", F.concat("read_errors", F.coalesce(F.array_compact(F.array("missing")), F.array().cast(_NO_ERRORS))).alias("read_errors"),
             "readable", "content_hash")
