@@ -184,7 +184,54 @@ SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN said s ON s.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+SUBSTRING_DEDUP = f"""
+WITH w AS (
+  SELECT doc_id, {_WORDS} AS ws FROM documents
+), places AS (
+  SELECT doc_id, ws, unnest(range(len(ws) - 49)) AS i FROM w WHERE len(ws) >= 50
+), windows AS (
+  SELECT doc_id, i, array_to_string(ws[i + 1 : i + 50], ' ') AS t FROM places
+), firsts AS (
+  SELECT t, min(doc_id) AS lo FROM windows GROUP BY t
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM windows JOIN firsts USING (t) WHERE doc_id > lo
+), each AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM w
+), kept AS (
+  SELECT e.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY e.pos) AS text
+  FROM each e ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.pos = e.pos GROUP BY e.doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+MINHASH_DEDUP = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UP}, {_LOW}), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(len(ws) - 2), lambda i: array_to_string(ws[i + 1 : i + 3], ' '))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reach(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), low AS (
+  SELECT x, min(y) AS y FROM reach GROUP BY x
+)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(low.y, w.doc_id)) AS component_id,
+       w.doc_id = least(w.doc_id, coalesce(low.y, w.doc_id)) AS kept
+FROM w LEFT JOIN sizes USING (doc_id) LEFT JOIN low ON low.x = w.doc_id
+"""
+
 ORACLES = {
+    "op8_substring_dedup": SUBSTRING_DEDUP,
+    "op10_minhash_dedup": MINHASH_DEDUP,
     "op11_conversation_repair": CONVERSATION_REPAIR,
     "op12_chat_format": CHAT_FORMAT,
     "op13_lexical_search": LEXICAL_SEARCH,

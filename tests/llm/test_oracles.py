@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "benchmark", "labels"):
+    for t in ("documents", "pages", "embeddings", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(ORACLES[name])
     names = sorted(d[0] for d in want.description)
