@@ -4,16 +4,18 @@
   word's ids do not depend on its neighbours; each worker keeps the ids of words
   it has met (at most ``CACHE`` of them).  Ids come from the tokenizer's own normaliser,
   pre-tokenizer and model; id 1 ends a document.
-* Cutting: pieces of ``capacity`` ids, and what remains.  A piece's class is its length in
-  units of ``GRID`` ids, rounded up, so there are ``capacity / GRID`` classes at any scale.
+* Cutting: pieces of ``capacity`` ids, and what remains.  Pieces of one length under
+  ``capacity / 32`` ids go in bundles, at most ``4 * GRID`` pieces that lose little to rounding.  An item is a bundle or one longer
+  piece.  Its class is its length in units, rounded up, so there are ``capacity / GRID`` classes at any scale.
 * Cutting stock over the histogram of classes (the only thing the driver sees): a linear
   program over patterns, solved by revised simplex; a knapsack by dynamic programming
   prices the next pattern; what rounding down leaves goes first-fit-decreasing.
-* Pieces are ranked within their class (longest first) and a rank gives the pattern's copy
-  and the slot.  Ranks come from counts by (class, hash bucket), so a class that holds
-  a third of all pieces is never in one task.  Offsets are running sums per sequence.
+* Pieces are ranked within their kind (a class, or a length of short ones); a rank gives the item, the
+  pattern's copy and the slot.  Ranks come from counts by (kind, hash bucket) of about ``BUCKET_ROWS`` pieces, so
+  a kind that holds a third of all pieces is never in one task.  Offsets are running sums per sequence.
 
-Loss: half a unit of ``GRID`` per piece and a few sequences of the rounding.
+Loss: half a unit of ``GRID`` per piece of ``capacity / 32`` ids or more and per short length, at most ``GAP`` of
+all sequences above the program's bound, and a few sequences of the rounding.
 
 Defined cases: null or empty text is the one id 1; a null id stays null; equal rows are
 packed once each; an empty table gives an empty result; extra columns are not looked at.
@@ -23,10 +25,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +41,7 @@ CAPACITY = 2048
 GRID = 8
 END = 1
 CACHE = 400_000
-BUCKET_ROWS = 1000
+BUCKET_ROWS = 20_000
 #: The linear program ends this close (relative) to its lower bound.
 GAP = 0.01
 
@@ -47,6 +51,21 @@ _ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 _CONTROL = re.compile(rb"[\x00-\x20\x7f]")
 
+# The same pattern for words of letters below U+0250, which are in composed form and have no
+# lower case that depends on neighbours; words with other characters go through the tokenizer's own steps.
+_LATIN = re.compile("[\x21-\x7e\xa1-\u024f]+")
+_LATIN_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-in of every byte that byte-level models use."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
 
 class _Ids(dict):
     """Word to its ids as packed little-endian 32-bit integers.
@@ -63,6 +82,7 @@ class _Ids(dict):
         self.split = self.whole.pre_tokenizer.pre_tokenize_str
         self.encode = self.whole.model.tokenize
         self.parts = _Parts(self.encode)
+        self.latin = _LatinParts(self.parts)
 
     def __missing__(self, word: bytes) -> bytes:
         if b"<|" in word:  # a special token's string may be inside
@@ -70,8 +90,10 @@ class _Ids(dict):
             out = np.array(ids, "<u4").tobytes()
         elif word.isascii() and not _CONTROL.search(word):
             out = b"".join(map(self.parts.__getitem__, _ASCII_PARTS.findall(word.decode().lower())))
+        elif _LATIN.fullmatch(text := word.decode()):
+            out = b"".join(map(self.latin.__getitem__, _LATIN_PARTS.findall(text.lower())))
         else:
-            out = b"".join([self.parts[p] for p, _ in self.split(self.normalise(word.decode()))])
+            out = b"".join([self.parts[p] for p, _ in self.split(self.normalise(text))])
         if len(self) < CACHE:
             self[word] = out
         return out
@@ -84,7 +106,22 @@ class _Parts(dict):
         self.encode = encode
 
     def __missing__(self, part: str) -> bytes:
-        out = b"".join([t.id.to_bytes(4, "little") for t in self.encode(part)])
+        out = array("I", [t.id for t in self.encode(part)]).tobytes()
+        if len(self) < CACHE:
+            self[part] = out
+        return out
+
+
+class _LatinParts(dict):
+    """Ids of one part as written, before its bytes get their stand-ins."""
+
+    def __init__(self, parts: _Parts):
+        self.parts = parts
+
+    def __missing__(self, part: str) -> bytes:
+        if part.isascii():
+            return self.parts[part]
+        out = self.parts.__missing__("".join([_BYTE_LETTERS[b] for b in part.encode()]))
         if len(self) < CACHE:
             self[part] = out
         return out
@@ -197,6 +234,31 @@ def _places(patterns: list[tuple[int, dict[int, int]]]) -> list[tuple]:
     return out
 
 
+def _bundle(length: int, grid: int, units: int) -> int:
+    """Pieces of ``length`` ids in a bundle: as many as fill sequences of ``units`` alone best, then lose least to rounding."""
+    size = lambda g: -(-g * length // grid)
+    return max(range(1, 4 * grid + 1), key=lambda g: (g * (units // size(g)), g * length / size(g), -g))
+
+
+def _items(kinds: dict[int, int], grid: int, units: int) -> tuple[dict[int, int], list[tuple]]:
+    """Demand by class, and (kind, first rank, end rank, pieces an item, class, first item) of every kind.
+
+    A kind above 0 is a class of single pieces, one below 0 the length of short pieces.
+    """
+    demand, rows = {}, []
+    for kind, n in sorted(kinds.items(), reverse=True):
+        parts = [(0, n, 1, kind)]
+        if kind < 0:
+            per = _bundle(-kind, grid, units)
+            whole = n - n % per
+            parts = [(0, whole, per, -(kind * per // grid)), (whole, n, n - whole, -(kind * (n - whole) // grid))]
+        for lo, hi, per, size in parts:
+            if hi > lo:
+                rows.append((kind, lo, hi, per, size, demand.get(size, 0)))
+                demand[size] = demand.get(size, 0) + (hi - lo) // per
+    return demand, rows
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                    capacity: int = CAPACITY, grid: int = GRID, with_ids: bool = False) -> DataFrame:
     """One row per piece: where it lies in its document and in which sequence it lies.
@@ -209,27 +271,34 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     pieces = plain.mapInArrow(
         _pieces(tokenizer, capacity, with_ids),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
-    pieces = pieces.withColumn("class", F.ceil(F.col("length") / grid).cast("int"))
-    pieces = stages.save(pieces if with_ids else pieces.drop("ids"), "pieces")
-    # At most capacity / grid rows, whatever the input.
-    demand = {r["class"]: r["n"] for r in pieces.groupBy("class").agg(F.count("*").alias("n")).collect()}
+    kind = F.when(F.col("length") < capacity // 32, -F.col("length")).otherwise(F.ceil(F.col("length") / grid)).cast("int")
+    pieces = stages.save((pieces if with_ids else pieces.drop("ids")).withColumn("kind", kind), "pieces")
+    # At most capacity / grid + capacity / 32 rows, whatever the input; so are the tables made of them.
+    kinds = {r["kind"]: r["n"] for r in pieces.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    demand, items = _items(kinds, grid, capacity // grid)
+    items = spark.createDataFrame(items, "ikind int, ilo long, ihi long, iper long, class int, item long")
     places = spark.createDataFrame(
         _places(cutting_stock(demand, capacity // grid)),
         "place int, lo long, hi long, per long, first long, slot long")
-    buckets = max(1, -(-sum(demand.values()) // BUCKET_ROWS))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
-    counts = dealt.groupBy("class", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = stages.save(counts.select("class", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "counts")
-    order = Window.partitionBy("class", "bucket").orderBy(F.desc("length"), "doc_id", "start")
-    ranked = dealt.withColumn("rank", F.row_number().over(order)).join(counts, ["class", "bucket"])
+    spread = spark.createDataFrame([(k, -(-n // BUCKET_ROWS)) for k, n in kinds.items()], "kind int, buckets long")
+    dealt = pieces.join(F.broadcast(spread), "kind")
+    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.col("buckets"))).drop("buckets")
+    counts = dealt.groupBy("kind", "bucket").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("kind").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stages.save(counts.select("kind", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "counts")
+    order = Window.partitionBy("kind", "bucket").orderBy(F.desc("length"), "doc_id", "start")
+    ranked = dealt.withColumn("rank", F.row_number().over(order)).join(counts, ["kind", "bucket"])
     ranked = ranked.withColumn("rank", F.col("rank") - 1 + F.col("before"))
-    fits = (F.col("class") == F.col("place")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
+    within = (F.col("kind") == F.col("ikind")) & (F.col("rank") >= F.col("ilo")) & (F.col("rank") < F.col("ihi"))
+    at = F.col("rank") - F.col("ilo")
+    ranked = ranked.join(F.broadcast(items), within).withColumn("part", at % F.col("iper"))
+    ranked = ranked.withColumn("item", F.col("item") + F.floor(at / F.col("iper")).cast("long"))
+    fits = (F.col("class") == F.col("place")) & (F.col("item") >= F.col("lo")) & (F.col("item") < F.col("hi"))
     placed = ranked.join(F.broadcast(places), fits)  # rows: patterns times their classes
-    at = F.col("rank") - F.col("lo")
+    at = F.col("item") - F.col("lo")
     placed = placed.withColumn("sequence_id", F.col("first") + F.floor(at / F.col("per")).cast("long"))
     placed = placed.withColumn("slot", F.col("slot") + at % F.col("per"))
-    so_far = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("sequence_id").orderBy("slot", "part").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
         F.coalesce(F.sum("length").over(so_far), F.lit(0)).alias("offset"), *(["ids"] if with_ids else []))

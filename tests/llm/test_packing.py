@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from bronzegate.llm import packing
@@ -66,3 +67,21 @@ def test_pieces_are_whole_and_gapless(spark, source):
     if source == "sf":
         tokens = sum(map(len, ids.values()))
         assert tokens / (2048 * len(by_seq)) > 0.985
+
+
+@pytest.mark.parametrize("text,ids", [("a b c d e f g h", 9), (None, 1), ("x " * 42, 43)])
+def test_short_documents_fill_their_sequences(spark, text, ids):
+    docs = spark.range(4000).selectExpr("id AS doc_id").withColumn("text", F.lit(text).cast("string"))
+    got = packing.digest(docs).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
+    assert {r["t"] for r in got} == {ids}
+    assert sum(r["n"] for r in got) == 4000 * ids and max(r["n"] for r in got) <= 2048
+    assert 4000 * ids / (2048 * (len(got) - 1 or 1)) > 0.95
+
+
+def test_latin_words_equal_the_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids, tok, rng = packing._Ids(path), Tokenizer.from_file(path), random.Random(5)
+    words = ["".join(chr(rng.randrange(33, 0x260)) for _ in range(rng.randint(1, 9))) for _ in range(4000)]
+    words = [w for w in (x.strip() for x in words) if w and not any(c.isspace() for c in w)]
+    for w, e in zip(words, tok.encode_batch(words, add_special_tokens=False)):
+        assert np.frombuffer(ids[w.encode()], "<u4").tolist() == e.ids, w
