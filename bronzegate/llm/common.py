@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzegate.session import shared_dir
+from bronzegate.session import hadoop_fs, shared_dir
 
 #: A word is a run of characters other than these six ASCII white-space ones.
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -28,7 +28,8 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
+def setting(spark: SparkSession, key: str, value: str):
+    """``key`` set to ``value`` within the block."""
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
@@ -47,15 +48,36 @@ class Stages:
         self.spark = spark
         self.root = shared_dir(spark, operator)
         self._n = 0
+        self._tables: list[tuple[str, str]] = []
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return the table as read back."""
         self._n += 1
         path = f"{self.root}/{self._n:02d}-{name}"
-        with _setting(self.spark, _CLEANUP, "true"):
+        with setting(self.spark, _CLEANUP, "true"):
             df.write.parquet(path)
+        self._tables.append((name, path))
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str, older: bool = False) -> None:
+        """Delete the tables of these names (``older``: all but the newest of each) when nothing will read them again."""
+        newest = {name: path for name, path in self._tables}
+        gone = [(n, p) for n, p in self._tables if n in names and not (older and p == newest[n])]
+        for _, path in gone:
+            fs, jpath = hadoop_fs(self.spark, path)
+            fs.delete(jpath, True)
+        self._tables = [t for t in self._tables if t not in gone]
+
+    def finish(self, df: DataFrame, name: str = "result") -> DataFrame:
+        """Write the operator's result and delete the tables it was made of.
+
+        The result is complete on shared storage by then, so a lost executor needs none of them.
+        """
+        made_of = [n for n, _ in self._tables]
+        out = self.save(df, name)
+        self.drop(*made_of)
+        return out
+
 
 def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``limit`` rows, else ``df`` unmarked.

@@ -219,8 +219,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         F.max(F.coalesce("changed", F.lit(0))).alias("changed"))
     per_form = per_form.where(F.col("n_windows") >= F.col("item_windows") * F.lit(coverage))
     best = F.max(F.struct((F.col("n_windows") / F.col("item_windows")).alias("share"), -F.col("form"), "n_windows", "item_windows"))
-    return per_form.groupBy("id", "item").agg(best.alias("best"), (F.max("changed") == 0).alias("exact")).select(
-        F.col("id").alias(id_col), F.col("item").alias(item_id), "best.n_windows", "best.item_windows", "exact")
+    return stages.finish(per_form.groupBy("id", "item").agg(best.alias("best"), (F.max("changed") == 0).alias("exact")).select(
+        F.col("id").alias(id_col), F.col("item").alias(item_id), "best.n_windows", "best.item_windows", "exact"))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -228,6 +228,10 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
-    out = digest(docs, read(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__dc_id")).distinct()
-    return docs.join(out, docs["doc_id"] == F.col("__dc_id"), "left_anti")
+    """Pipeline stage: documents that hold a benchmark item go.
+
+    A document is its id and text, so another text under the same id stays; a null id is judged like any other.
+    """
+    key = F.xxhash64("doc_id", "text")
+    found = contaminated(docs.select(key.alias("__dc_key"), "text"), read(spark, sf_dir, "benchmark").select("item_id", "text"), id_col="__dc_key")
+    return docs.join(small(found.select("__dc_key").distinct()), key == F.col("__dc_key"), "left_anti")

@@ -8,8 +8,9 @@ a space (so text that repeats words is as improbable as it should be), character
 * Training: gram counts of all trusted documents (label quality 1, not toxic), summed
   in the task before the shuffle.  Lower orders are continuation counts.  Discounts come
   from the counts of counts, three per order.
-* Scoring: the distinct grams of the whole corpus are joined with the sharded count tables
-  of all orders, one row per gram; then the gram counts of every document are joined
+* Scoring: the distinct grams of the whole corpus are resolved from the shortest up, each once:
+  the grams of an order are joined with its sharded count tables and with the resolved
+  suffixes, so rows stay narrow and only the highest order is large; then the gram counts of every document are joined
   with the resolved log-probabilities (broadcast while they are few, else by shuffle),
   summed per document before the shuffle, to a perplexity per character.
 * Threshold per language (null is one): the ``QUANTILE`` of its own trusted documents'
@@ -36,12 +37,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzegate.llm import words as W
-from bronzegate.llm.common import Stages, read, small
+from bronzegate.llm.common import Stages, read, setting, small
 
 ORDER = 4
 QUANTILE = 0.99
 MARGIN = 1.06
 RESOLVED_ROWS = 1_000_000
+#: Count tables of up to so many bytes as stored are broadcast (by the planner, from the files' sizes).
+TABLE_BYTES = 24 << 20
 START, REPEAT = 2, "\x01"
 
 
@@ -122,18 +125,25 @@ def train(trusted: DataFrame, stages: Stages) -> list:
 
 def resolve(grams: DataFrame, tables: list, stages: Stages) -> DataFrame:
     """(gram, logp): the interpolated probability of the last code of every gram."""
-    df = grams.select("gram")
-    for k, (counts, contexts, _) in zip(range(ORDER, 0, -1), tables):
-        key = F.col("gram") if k == ORDER else _suffix(F.col("gram"), k)
-        df = df.withColumn(f"gram{k}", key).withColumn(f"ctx{k}", F.shiftrightunsigned(key, 16))
-        df = df.join(counts, f"gram{k}", "left").join(contexts, f"ctx{k}", "left")
+    wanted = [grams.select("gram")]
+    for k in range(ORDER - 1, 0, -1):
+        wanted.append(stages.save(wanted[-1].select(_suffix(F.col("gram"), k).alias("gram")).distinct(), f"grams{k}"))
     kinds = tables[-1][0].count() + 1  # characters, and one for all unknown ones
-    p = F.lit(1.0 / kinds)
-    for k, (_, _, d) in zip(range(1, ORDER + 1), reversed(tables)):
-        n = F.coalesce(F.col(f"n{k}"), F.lit(0)).cast("double")
-        less = F.when(n == 0, 0.0).when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
-        p = F.when(F.col(f"all{k}").isNull(), p).otherwise((n - less + F.col(f"free{k}") * p) / F.col(f"all{k}"))
-    return stages.save(df.select("gram", F.log(p).alias("logp")), "resolved")
+    lower = None
+    with setting(grams.sparkSession, "spark.sql.autoBroadcastJoinThreshold", str(TABLE_BYTES)):
+        for k, own, (counts, contexts, d) in zip(range(1, ORDER + 1), reversed(wanted), reversed(tables)):
+            df = own.withColumn(f"ctx{k}", F.shiftrightunsigned("gram", 16))
+            df = df.join(counts, F.col("gram") == F.col(f"gram{k}"), "left").join(contexts, f"ctx{k}", "left")
+            below = F.lit(1.0 / kinds)
+            if lower is not None:
+                df = df.join(lower, _suffix(F.col("gram"), k - 1) == F.col("tail"))
+                below = F.col("lower")
+            n = F.coalesce(F.col(f"n{k}"), F.lit(0)).cast("double")
+            less = F.when(n == 0, 0.0).when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
+            p = F.when(F.col(f"all{k}").isNull(), below).otherwise((n - less + F.col(f"free{k}") * below) / F.col(f"all{k}"))
+            if k == ORDER:
+                return stages.save(df.select("gram", F.log(p).alias("logp")), "resolved")
+            lower = stages.save(df.select(F.col("gram").alias("tail"), p.alias("lower")), f"lower{k}")
 
 
 def _scores(rows: DataFrame, tables: list, stages: Stages) -> DataFrame:
@@ -180,9 +190,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         scored.select(F.col("id").alias("sid"), F.col("row").alias("srow"), "nats"),
         F.col("id").eqNullSafe(F.col("sid")) & (F.col("row") == F.col("srow")), "left").select("id", "row", "lang", "nats")
     judged = rows.join(levels, F.col("lang").eqNullSafe(F.col("l")), "left")
-    return judged.select(
+    return stages.finish(judged.select(
         F.col("id").alias(id_col), "row", "lang", F.exp("nats").alias("perplexity"), F.exp("level").alias("threshold"),
-        (F.col("nats").isNotNull() & F.coalesce(F.col("nats") <= F.col("level"), F.lit(True))).alias("kept"))
+        (F.col("nats").isNotNull() & F.coalesce(F.col("nats") <= F.col("level"), F.lit(True))).alias("kept")))
 
 
 def _trusted(labels: DataFrame) -> DataFrame:
@@ -198,4 +208,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = classify(docs.select("doc_id", "text", "lang"), _trusted(read(spark, sf_dir, "labels")))
     out = judged.where("not kept").select(F.col("doc_id").alias("__kn_id"), F.col("row").alias("__kn_row")).distinct()
     row = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(out, docs["doc_id"].eqNullSafe(F.col("__kn_id")) & (row == F.col("__kn_row")), "left_anti")
+    return docs.join(small(out), docs["doc_id"].eqNullSafe(F.col("__kn_id")) & (row == F.col("__kn_row")), "left_anti")

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzegate.llm import words as W
-from bronzegate.llm.common import Stages
+from bronzegate.llm.common import Stages, small
 from bronzegate.llm.components import connected_components
 
 BANDS, ROWS = 56, 8
@@ -93,7 +93,7 @@ def _signatures(k: int, bands: int, rows: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, parts = batch.column(0), [t.lower() for t in W.texts(batch.column(1))]
+            ids, hashes, parts = batch.column(0), batch.column(2), [t.lower() for t in W.texts(batch.column(1))]
             for first, last, raw, starts in W.joined(parts):
                 sets = _sets(raw, starts, k)
                 n = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -115,9 +115,9 @@ def _signatures(k: int, bands: int, rows: int):
                     for i, d, x, y in zip(full, _digest(sets, at, flat), key.T, _sketch(at, flat)):
                         keys[i], digests[i], sketches[i] = x, d, y
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, last - first), pa.array(n), pa.array(digests, pa.binary()),
+                    [ids.slice(first, last - first), hashes.slice(first, last - first), pa.array(n), pa.array(digests, pa.binary()),
                      pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["id", "n", "cls", "sketch", "bands"],
+                    names=["id", "row", "n", "cls", "sketch", "bands"],
                 )
 
     return run
@@ -173,12 +173,16 @@ def _link(entries: DataFrame, pivot: DataFrame, once: Column, sets: DataFrame, m
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                     num: int = 4, den: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, text hash, n_shingles, component_id, kept) per input row; similarity is ``num/den``."""
+    """(id, row, n_shingles, component_id, kept, grp) per input row; similarity is ``num/den``.
+
+    ``row`` is the hash of the text, ``grp`` names the group itself: two groups may have the same smallest id.
+    """
     spark = docs.sparkSession
     stages = Stages(spark, "minhash")
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
     signed = stages.save(
-        plain.mapInArrow(_signatures(k, bands, rows), "id long, n long, cls binary, sketch array<long>, bands array<long>"), "signatures")
+        plain.withColumn("row", F.xxhash64(F.coalesce("body", F.lit("")))).mapInArrow(
+            _signatures(k, bands, rows), "id long, row long, n long, cls binary, sketch array<long>, bands array<long>"), "signatures")
     classes = stages.save(
         signed.where("cls is not null and id is not null").groupBy("cls")
         .agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
@@ -187,6 +191,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     entries = stages.save(keyed.join(buckets, "key"), "crowded")
     score = stages.save(entries.groupBy("cls").agg(F.sum("size").alias("score")), "scores")
     entries = stages.save(entries.join(score, "cls").withColumn("comp", F.col("cls")), "entries")
+    stages.drop("buckets", "crowded")
 
     # Sets of the classes that share a bucket, from one text of each.
     wanted = score.join(classes, "cls").select("cls", F.col("low").alias("id"))
@@ -194,6 +199,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = chosen.mapInArrow(_set_rows(k), "cls binary, items array<long>")
     sets = stages.save(sets.groupBy("cls").agg(F.first("items").alias("items")), "sets")
 
+    stages.drop("scores")
+
     rows_in, member, pivots_per_bucket = entries.count(), None, 1
     while not entries.isEmpty():
         # Every class of a small bucket is a pivot; of a large one, one per salt.
@@ -210,6 +217,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.sum("rows").alias("total"), F.max(F.struct("rows", "comp")).alias("top")).where(F.col("total") > F.col("top.rows"))
         mixed = stages.save(shares.select("key", F.col("top.comp").alias("major"), (F.col("total") * (F.col("total") - F.col("top.rows"))).alias("pairs")), "mixed")
         entries = stages.save(left.join(mixed.select("key", "major"), "key"), "entries")
+        stages.drop("pivots", "left", "links", "parents")
+        stages.drop("entries", "member", "members", older=True)
         if (mixed.agg(F.sum("pairs")).first()[0] or 0) <= SMALL * rows_in:
             # As cheap as small buckets: each class outside a bucket's largest component meets all others.
             pivot = entries.where(F.col("comp") != F.col("major")).select(
@@ -224,19 +233,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = stages.save(classes.select("cls", "low").join(member.withColumnRenamed("node", "cls"), "cls", "left")
                           .select("cls", "low", F.coalesce("comp", "cls").alias("comp")), "grouped")
     lowest = stages.save(grouped.groupBy("comp").agg(F.min("low").alias("component")), "lowest")
-    named = stages.save(grouped.join(lowest, "comp").select("cls", "component"), "named")
-    return signed.select("id", "n", "cls").join(named, "cls", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
-        F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"))
+    named = stages.save(grouped.join(lowest, "comp").select("cls", "component", F.col("comp").alias("grp")), "named")
+    return stages.finish(signed.select("id", "row", "n", "cls").join(named, "cls", "left").select(
+        F.col("id").alias(id_col), "row", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
+        F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"), "grp"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """Contract: three-word shingles, 100 * intersection >= 85 * union."""
-    return near_duplicates(docs, k=3, num=85, den=100, bands=52, rows=10)
+    return near_duplicates(docs, k=3, num=85, den=100, bands=52, rows=10).drop("row", "grp")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group the document with the smallest id stays (five words, 0.8)."""
+    """Pipeline stage: one document of each group stays (five words, 0.8): the one with the smallest id.
+
+    A document is its id and text.  Of several texts of a group under that id the one with the least hash
+    stays; of rows with equal id and text any one stays, whatever their other columns.
+    """
     found = near_duplicates(docs)
-    out = found.where("not kept").select(F.col("doc_id").alias("__mh_id")).distinct()
-    return docs.join(out, docs["doc_id"] == F.col("__mh_id"), "left_anti")
+    least = found.where("kept and grp is not null").groupBy("grp").agg(F.min("row").alias("least"))
+    judged = found.join(least, "grp", "left")
+    out = judged.where("not kept or row <> least").select(F.col("doc_id").alias("__mh_id"), F.col("row").alias("__mh_row")).distinct()
+    row = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    mine = lambda row: docs["doc_id"].eqNullSafe(F.col("__mh_id")) & (row == F.col("__mh_row"))
+    kept = docs.join(small(out), mine(row), "left_anti")
+    again = found.groupBy(F.col("doc_id").alias("__mh_id"), F.col("row").alias("__mh_row")).agg(F.count("*").alias("n")).where("n > 1").select("__mh_id", "__mh_row")
+    if again.isEmpty():
+        return kept
+    again = small(again)
+    return kept.join(again, mine(row), "left_anti").unionByName(kept.join(again, mine(row), "left_semi").dropDuplicates(["doc_id", "text"]))
