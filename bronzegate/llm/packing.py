@@ -2,7 +2,7 @@
 
 * Tokenising: one pass over the whole texts.  The tokenizer drops white space, so a
   word's ids do not depend on its neighbours; each worker keeps the ids of words
-  it has met (at most ``CACHE`` of them).  Ids come from the tokenizer's own normaliser,
+  it has met lately (at most twice ``CACHE`` of them).  Ids come from the tokenizer's own normaliser,
   pre-tokenizer and model; id 1 ends a document.
 * Cutting: pieces of ``capacity`` ids, and what remains.  Pieces of one length under
   ``capacity / 32`` ids go in bundles, at most ``4 * GRID`` pieces that lose little to rounding.  An item is a bundle or one longer
@@ -11,8 +11,8 @@
   program over patterns, solved by revised simplex; a knapsack by dynamic programming
   prices the next pattern; what rounding down leaves goes first-fit-decreasing.
 * Pieces are ranked within their kind (a class, or a length of short ones); a rank gives the item, the
-  pattern's copy and the slot.  Ranks come from counts by (kind, hash bucket) of about ``BUCKET_ROWS`` pieces, so
-  a kind that holds a third of all pieces is never in one task.  Offsets are running sums per sequence.
+  pattern's copy and the slot.  Ranks come from counts by (kind, hash bucket) of about ``BUCKET_ROWS`` pieces, summed
+  within blocks of buckets and over blocks, so a kind that holds a third of all pieces is never in one task.  Offsets are running sums per sequence.
 
 Loss: half a unit of ``GRID`` per piece of ``capacity / 32`` ids or more and per short length, at most ``GAP`` of
 all sequences above the program's bound, and a few sequences of the rounding.
@@ -24,9 +24,11 @@ packed once each; an empty table gives an empty result; extra columns are not lo
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,10 @@ from bronzegate.llm.common import Stages
 CAPACITY = 2048
 GRID = 8
 END = 1
-CACHE = 400_000
-BUCKET_ROWS = 20_000
+CACHE = 600_000
+BUCKET_ROWS = 2_000
+#: Buckets whose counts are summed up together first.
+BLOCK = 1024
 #: The linear program ends this close (relative) to its lower bound.
 GAP = 0.01
 
@@ -49,6 +53,8 @@ GAP = 0.01
 # Fixed value: the tokenizer file's own split pattern, for lower-case ASCII words.
 _ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
+_ASCII_MARKS = string.punctuation.encode()
+_ID = attrgetter("id")
 _CONTROL = re.compile(rb"[\x00-\x20\x7f]")
 
 # The same pattern for words of letters below U+0250, which are in composed form and have no
@@ -67,11 +73,29 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
-class _Ids(dict):
-    """Word to its ids as packed little-endian 32-bit integers.
+class _Recent(dict):
+    """A bounded table that works out what it lacks; the half used longest ago is forgotten when it is full."""
 
-    Full tables keep what they have: frequent words come early, rare ones are worked
-    out again.  ASCII words need no normaliser but ``lower``.
+    def __init__(self, work):
+        self.work = work
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        out = self.older.get(key)
+        if out is None:
+            out = self.work(key)
+        if len(self) >= CACHE:
+            self.older = dict(self)
+            self.clear()
+        self[key] = out
+        return out
+
+
+class _Words:
+    """Words to their ids as packed little-endian 32-bit integers.
+
+    Words of ASCII and of Latin letters need no normaliser but ``lower``; letters alone are
+    one part, the unit of the tokenizer's model, and so are the marks after them.
     """
 
     def __init__(self, path: str):
@@ -81,53 +105,34 @@ class _Ids(dict):
         self.normalise = self.whole.normalizer.normalize_str
         self.split = self.whole.pre_tokenizer.pre_tokenize_str
         self.encode = self.whole.model.tokenize
-        self.parts = _Parts(self.encode)
-        self.latin = _LatinParts(self.parts)
-
-    def __missing__(self, word: bytes) -> bytes:
-        if b"<|" in word:  # a special token's string may be inside
-            ids = self.whole.encode(word.decode(), add_special_tokens=False).ids
-            out = np.array(ids, "<u4").tobytes()
-        elif word.isascii() and not _CONTROL.search(word):
-            out = b"".join(map(self.parts.__getitem__, _ASCII_PARTS.findall(word.decode().lower())))
-        elif _LATIN.fullmatch(text := word.decode()):
-            out = b"".join(map(self.latin.__getitem__, _LATIN_PARTS.findall(text.lower())))
-        else:
-            out = b"".join([self.parts[p] for p, _ in self.split(self.normalise(text))])
-        if len(self) < CACHE:
-            self[word] = out
-        return out
+        self.ids = _Recent(self.word)
+        self.marks = _Recent(self.part)
 
+    def part(self, part: str) -> bytes:
+        return array("I", map(_ID, self.encode(part))).tobytes()
 
-class _Parts(dict):
-    """Ids of one part, the unit of the tokenizer's model."""
+    def latin(self, part: str) -> bytes:
+        """A part as written: its bytes get their stand-ins first."""
+        return self.part(part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LETTERS))
 
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, part: str) -> bytes:
-        out = array("I", [t.id for t in self.encode(part)]).tobytes()
-        if len(self) < CACHE:
-            self[part] = out
-        return out
-
-
-class _LatinParts(dict):
-    """Ids of one part as written, before its bytes get their stand-ins."""
-
-    def __init__(self, parts: _Parts):
-        self.parts = parts
-
-    def __missing__(self, part: str) -> bytes:
-        if part.isascii():
-            return self.parts[part]
-        out = self.parts.__missing__("".join([_BYTE_LETTERS[b] for b in part.encode()]))
-        if len(self) < CACHE:
-            self[part] = out
-        return out
+    def word(self, word: bytes) -> bytes:
+        letters = word.rstrip(_ASCII_MARKS)
+        if letters.isalpha():
+            ids = self.part(letters.decode().lower())
+            return ids + self.marks[word[len(letters) :].decode()] if len(letters) < len(word) else ids
+        if b"<|" in word:  # a special token's string may be inside
+            ids = self.whole.encode(word.decode(), add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes()
+        if word.isascii() and not _CONTROL.search(word):
+            return b"".join(map(self.part, _ASCII_PARTS.findall(word.decode().lower())))
+        text = word.decode()
+        if _LATIN.fullmatch(text):
+            text = text.lower()
+            return self.latin(text) if text.isalpha() else b"".join(map(self.latin, _LATIN_PARTS.findall(text)))
+        return b"".join([self.part(p) for p, _ in self.split(self.normalise(text))])
 
 
-_tokenizers: dict[str, _Ids] = {}
+_tokenizers: dict[str, _Words] = {}
 
 
 def _pieces(path: str, capacity: int, with_ids: bool):
@@ -135,8 +140,8 @@ def _pieces(path: str, capacity: int, with_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _tokenizers:
-            _tokenizers[path] = _Ids(path)
-        ids_of = _tokenizers[path]
+            _tokenizers[path] = _Words(path)
+        ids_of = _tokenizers[path].ids
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), W.texts(batch.column(1))):
@@ -284,8 +289,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     dealt = pieces.join(F.broadcast(spread), "kind")
     dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.col("buckets"))).drop("buckets")
     counts = dealt.groupBy("kind", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("kind").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = stages.save(counts.select("kind", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "counts")
+    counts = stages.save(counts.withColumn("block", F.floor(F.col("bucket") / BLOCK)), "counts")
+    sums = lambda key, *by: F.coalesce(F.sum("n").over(
+        Window.partitionBy(*by).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = counts.groupBy("kind", "block").agg(F.sum("n").alias("n")).select("kind", "block", sums("block", "kind").alias("base"))
+    counts = counts.withColumn("within", sums("bucket", "kind", "block")).join(blocks, ["kind", "block"])
+    counts = counts.select("kind", "bucket", (F.col("base") + F.col("within")).alias("before"))
     order = Window.partitionBy("kind", "bucket").orderBy(F.desc("length"), "doc_id", "start")
     ranked = dealt.withColumn("rank", F.row_number().over(order)).join(counts, ["kind", "bucket"])
     ranked = ranked.withColumn("rank", F.col("rank") - 1 + F.col("before"))

@@ -80,7 +80,7 @@ def test_short_documents_fill_their_sequences(spark, text, ids):
 
 def test_latin_words_equal_the_tokenizer():
     path = public_tokenizers.path("word_bpe_49k.json")
-    ids, tok, rng = packing._Ids(path), Tokenizer.from_file(path), random.Random(5)
+    ids, tok, rng = packing._Words(path).ids, Tokenizer.from_file(path), random.Random(5)
     words = ["".join(chr(rng.randrange(33, 0x260)) for _ in range(rng.randint(1, 9))) for _ in range(4000)]
     words = [w for w in (x.strip() for x in words) if w and not any(c.isspace() for c in w)]
     for w, e in zip(words, tok.encode_batch(words, add_special_tokens=False)):
