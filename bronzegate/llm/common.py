@@ -50,12 +50,12 @@ class Stages:
         self._n = 0
         self._tables: list[tuple[str, str]] = []
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         """Write ``df`` and return the table as read back."""
         self._n += 1
         path = f"{self.root}/{self._n:02d}-{name}"
         with setting(self.spark, _CLEANUP, "true"):
-            df.write.parquet(path)
+            df.write.parquet(path, compression=compression)
         self._tables.append((name, path))
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -1,4 +1,4 @@
-"""Steps that both passage operators share: shared minimisers, attached texts, split buckets.
+"""Steps that both passage operators share: named surroundings, attached words, split buckets.
 
 A passage of ``size`` words that two documents share holds the same minimiser, the least
 hash of ``m`` consecutive words, in both.  So only places whose minimiser occurs in two
@@ -37,75 +37,95 @@ def minimisers(hashes: np.ndarray, size: int, m: int) -> tuple[np.ndarray, np.nd
     return np.lib.stride_tricks.sliding_window_view(keys, span).argmin(1) + np.arange(n), keys
 
 
-def places(rows: DataFrame, cut) -> DataFrame:
-    """(id, row, key, start, count) by ``cut(word hashes)`` -> (keys, starts, counts) of every text."""
+def _names(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, anchor: np.ndarray) -> list[np.ndarray]:
+    """128 bits that stand for the words from ``a`` to ``b`` and the anchor in them, as two arrays."""
+    up, down = W.powers(len(hashes) + 1)
+    out = []
+    for h in (hashes, W.mix(hashes ^ np.uint64(0xA5A5A5A5))):
+        sums = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h * up[: len(h)], out=sums[1:])
+        out.append(W.mix(W.mix((sums[b] - sums[a]) * down[a]) + ((b - a) << 32 | anchor).astype(np.uint64)).view(np.int64))
+    return out
+
+
+def places(rows: DataFrame, cut, extent) -> DataFrame:
+    """(id, row, key, from, n, anchor, p1, p2) per place: its text is ``n`` words from ``from``, named by p1 and p2.
+
+    ``cut(word hashes)`` gives keys, starts and counts of a document, ``extent(starts, counts, words)``
+    the ranges of their texts, as arrays.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = W.texts(batch.column(2))
             for first, last, raw, starts in W.joined(parts):
                 begin, _, hashes = W.words(raw)
-                found = [cut(h) for h in np.split(hashes, np.searchsorted(begin, starts)[1:])]
-                at = pa.array(np.repeat(np.arange(first, last), [len(f[0]) for f in found]))
+                heads = np.searchsorted(begin, starts)
+                found = [cut(h) for h in np.split(hashes, heads[1:])]
+                sizes = [len(f[0]) for f in found]
+                at = pa.array(np.repeat(np.arange(first, last), sizes))
                 keys, froms, counts = (np.concatenate([f[i] for f in found]) for i in range(3))
+                a, b = extent(froms, counts, np.repeat(np.diff(heads, append=len(hashes)), sizes))
+                head = np.repeat(heads, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(keys.astype(np.uint64).view(np.int64)),
-                     pa.array(froms, pa.int64()), pa.array(counts, pa.int64())],
-                    names=["id", "row", "key", "start", "count"])
+                     *[pa.array(c, pa.int32()) for c in (a, b - a, froms - a)],
+                     *map(pa.array, _names(hashes, head + a, head + b, froms - a))],
+                    names=["id", "row", "key", "from", "n", "anchor", "p1", "p2"])
+
+    return rows.where("id is not null").mapInArrow(run, "id long, row long, key long, from int, n int, anchor int, p1 long, p2 long")
+
 
-    return rows.where("id is not null").mapInArrow(run, "id long, row long, key long, start long, count long")
+def texts_of(found: DataFrame, stages: Stages) -> DataFrame:
+    """Different texts of places: (p1, p2, key, lo, hi, id, row, from, n, anchor), the last five those of one place."""
+    firsts = [F.first(c).alias(c) for c in ("key", "id", "row", "from", "n", "anchor")]
+    return stages.save(found.groupBy("p1", "p2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), *firsts), "texts")
 
 
-def attach(found: DataFrame, rows: DataFrame, extent, stages: Stages) -> DataFrame:
-    """``found`` with the words of each place whose key occurs in two documents.
+def with_words(texts: DataFrame, rows: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """(p1, p2, key, lo, hi, anchor, words) of texts that share their key with another text, cold and hot ones apart.
 
-    ``extent(start, count, words)`` gives the range of words that travel.
+    Every such text takes its words from one document.  Keys of one document, and keys that have one text
+    only, need no words.  A text comes repeatedly where its document has equal rows.
     """
-    found = stages.save(found, "places")
-    shared = stages.save(found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "shared")
-    lists = found.join(shared, "key").groupBy(F.col("id").alias("i"), F.col("row").alias("r")).agg(
-        F.collect_list("key").alias("keys"), F.collect_list("start").alias("starts"), F.collect_list("count").alias("counts"))
+    keys = texts.groupBy("key").agg(F.min("lo").alias("least"), F.max("hi").alias("most"), F.count("*").alias("many"))
+    keys = stages.save(keys.where("least < most and many > 1").select("key", (F.col("many") > HOT).alias("hot")), "shared")
+    inner = ("p1", "p2", "key", "lo", "hi", "anchor", "hot", "from", "n")
+    lists = texts.join(keys, "key").groupBy(F.col("id").alias("i"), F.col("row").alias("r")).agg(F.collect_list(F.struct(*inner)).alias("texts"))
     lists = stages.save(lists, "lists")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = W.texts(batch.column(2))
-            for k, text in enumerate(parts):
-                keys, starts, counts = (batch.column(c)[k].as_py() for c in (3, 4, 5))
-                ws = text.split()
-                ranges = [extent(s, c, len(ws)) for s, c in zip(starts, counts)]
-                n = len(keys)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column(0)[k].as_py()] * n, pa.int64()), pa.array([batch.column(1)[k].as_py()] * n, pa.int64()),
-                     pa.array(keys, pa.int64()), pa.array([a for a, _ in ranges], pa.int64()),
-                     pa.array([s - a for s, (a, _) in zip(starts, ranges)], pa.int64()),
-                     pa.array([b" ".join(ws[a:b]).decode() for a, b in ranges], pa.string())],
-                    names=["id", "row", "key", "from", "anchor", "words"])
-
-    texts = rows.join(lists, (F.col("id") == F.col("i")) & (F.col("row") == F.col("r"))).select("id", "row", "text", "keys", "starts", "counts")
-    packed = texts.mapInArrow(run, "id long, row long, key long, from long, anchor long, words string")
-    return stages.save(packed.withColumn("p1", F.xxhash64("anchor", "words")).withColumn("p2", F.xxhash64(F.lit(1), "words", "anchor")), "packed")
-
-
-def texts_of(packed: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Different texts with their least and greatest document, cold and hot ones apart."""
-    texts = stages.save(
-        packed.groupBy("p1", "p2").agg(
-            F.min("id").alias("lo"), F.max("id").alias("hi"), F.first("key").alias("key"),
-            F.first("anchor").alias("anchor"), F.first("words").alias("words")), "texts")
-    hot = stages.save(texts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("key"), "hot_keys")
-    return texts, texts.join(hot, "key", "left_anti"), texts.join(hot, "key", "left_semi")
+            parts, lists = W.texts(batch.column(0)), batch.column(1)
+            for first, last, _, _ in W.joined(parts):
+                some = lists.slice(first, last - first)
+                fields = some.flatten().flatten()
+                froms, sizes = fields[7].to_pylist(), fields[8].to_pylist()
+                words, at = [], 0
+                for text, k in zip(parts[first:last], some.value_lengths().to_pylist()):
+                    ws = text.split()
+                    words += [b" ".join(ws[a : a + n]) for a, n in zip(froms[at : at + k], sizes[at : at + k])]
+                    at += k
+                yield pa.RecordBatch.from_arrays([*fields[:7], pa.array(words, pa.binary()).cast(pa.string())], names=[*inner[:7], "words"])
+
+    worded = rows.join(lists, (F.col("id") == F.col("i")) & (F.col("row") == F.col("r"))).select("text", "texts")
+    worded = worded.mapInArrow(run, "p1 long, p2 long, key long, lo long, hi long, anchor int, hot boolean, words string")
+    # Texts of one document overlap and lie side by side: this codec stores most words once.
+    worded = stages.save(worded, "words", compression="zstd")
+    stages.drop("lists", "shared")
+    return worded.where("not hot"), worded.where("hot")
 
 
 def groups(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[tuple]]:
-    """Rows of equal first column; they arrive one after the other."""
+    """Rows of equal first column, each of its texts (columns two and three) once; they arrive in this order."""
     held: list[tuple] = []
     for batch in batches:
         for row in zip(*[batch.column(i).to_pylist() for i in range(columns)]):
             if held and held[0][0] != row[0]:
                 yield held
                 held = []
-            held.append(row)
+            if not held or held[-1][1:3] != row[1:3]:
+                held.append(row)
     if held:
         yield held
 

@@ -6,7 +6,7 @@ to its bucket, where sorting brings equal windows together and gives each its fi
 document, exactly (strings are compared, not hashes).
 
 * Super-k-mers whose minimiser occurs in one document only stay behind (see ``passages``).
-* Equal strings are merged before the bucket (partial aggregate), so a group of copies
+* Equal strings are merged before the bucket (partial aggregate, by name), so a group of copies
   is one row a super-k-mer.  A bucket that still holds more than ``HOT`` different strings
   is not gathered: its windows are counted one by one under a 128-bit hash.
 
@@ -96,20 +96,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, n_words, n_removed, kept_text) per input row."""
     stages = Stages(docs.sparkSession, "substring_dedup")
     rows = P.plain_rows(docs, id_col, text_col)
-    packed = P.attach(P.places(rows, _super_kmers(size, m)), rows, lambda s, c, n: (s, s + c + size - 1), stages)
-    texts, cold, hot = P.texts_of(packed, stages)
-    ordered = cold.select("key", "p1", "p2", "lo", "words").repartition("key").sortWithinPartitions("key")
+    found = stages.save(P.places(rows, _super_kmers(size, m), lambda s, c, n: (s, s + c + size - 1)), "places")
+    texts = P.texts_of(found, stages)
+    cold, hot = P.with_words(texts, rows, stages)
+    order = ["key", "p1", "p2"]
+    ordered = cold.select(*order, "lo", "words").repartition("key").sortWithinPartitions(*order)
     earlier = ordered.mapInArrow(_earlier(size), "p1 long, p2 long, earlier array<long>")
-    late = P.hot_windows(hot, size, stages).where("first < lo").groupBy("p1", "p2").agg(F.collect_list("at").alias("earlier"))
+    late = P.hot_windows(hot, size, stages).where("first < lo").groupBy("p1", "p2").agg(F.collect_set("at").alias("earlier"))
     earlier = stages.save(earlier.unionByName(late), "earlier")
-    judged = stages.save(texts.select("p1", "p2", "lo").join(earlier, ["p1", "p2"], "left"), "judged")
-    member = packed.select("id", "row", "from", F.size(F.split("words", " ")).alias("n"), "p1", "p2").join(judged, ["p1", "p2"])
-    whole = F.array(F.struct(F.col("from").alias("a"), (F.col("from") + F.col("n")).alias("b")))
+    stages.drop("words", "hot_windows", "hot_firsts")
+    judged = texts.select("p1", "p2", "lo", "hi").join(earlier, ["p1", "p2"], "left")
+    judged = stages.save(judged.where("lo < hi or earlier is not null").drop("hi"), "judged")
+    stages.drop("texts", "earlier")
+    member = found.select("id", "row", "from", "n", "p1", "p2").join(judged, ["p1", "p2"])
+    whole = F.array(F.struct(F.col("from").cast("long").alias("a"), (F.col("from") + F.col("n")).cast("long").alias("b")))
     parts = F.transform(F.coalesce("earlier", F.array().cast("array<bigint>")),
                         lambda i: F.struct((F.col("from") + i).alias("a"), (F.col("from") + i + size).alias("b")))
     spans = member.select("id", "row", F.explode(F.when(F.col("id") > F.col("lo"), whole).otherwise(parts)).alias("s"))
     spans = spans.groupBy(F.col("id").alias("i"), F.col("row").alias("r")).agg(F.collect_set("s").alias("spans"))
     spans = stages.save(spans, "spans")
+    stages.drop("places", "judged")
     joined = rows.join(spans, (F.col("id") == F.col("i")) & (F.col("row") == F.col("r")), "left").select("id", "text", "spans")
     return joined.mapInArrow(_drop(size), "id long, n_words long, n_removed long, kept_text string").withColumnRenamed("id", id_col)
 

@@ -11,7 +11,7 @@ documents has a kept suffix at the same place in both.  Suffixes with the same f
   neighbours in the order of the reversed left sides the longest to the left.  If the
   two together are shorter than ``SIZE`` nothing matches; if both neighbours match over ``SIZE``
   words their union is the whole answer; else (rare) the windows are compared.
-* Equal surroundings are merged first (partial aggregate); a place shared by more than
+* Equal surroundings are merged first (partial aggregate, by name) and wholly covered; a place shared by more than
   ``HOT`` different surroundings is resolved window by window under 128-bit hashes.
 
 Result: one row per maximal run of words of a document that lies in windows which another
@@ -75,9 +75,7 @@ def _matches(size: int):
         by_right, by_left = _nearest(right), _nearest(left)
         windows: dict[tuple, tuple[int, int]] = {}
         for k, (_, _, _, lo, hi, anchor, _) in enumerate(rows):
-            other = hi
-            if lo < hi:  # the whole surroundings are in two documents
-                yield k, 0, len(texts[k]), lo, hi
+            if lo < hi:  # the whole surroundings are in two documents: all covered
                 continue
             (r, i), (n, j) = by_right[k], by_left[k]
             if i < 0 or r + n < size:
@@ -130,15 +128,19 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(id, start, n_words, other_<id>) per repeated run of words; rows that share a text share spans."""
     stages = Stages(docs.sparkSession, "suffix_dedup")
     rows = P.plain_rows(docs, id_col, text_col)
-    reach = lambda s, c, n: (max(0, s - (size - m)), min(n, s + size))
-    packed = P.attach(P.places(rows, _selected(size, m)), rows, reach, stages)
-    _, cold, hot = P.texts_of(packed, stages)
-    ordered = cold.select("key", "p1", "p2", "lo", "hi", "anchor", "words").repartition("key").sortWithinPartitions("key")
-    found = ordered.mapInArrow(_matches(size), "p1 long, p2 long, a long, b long, one long, two long")
+    reach = lambda s, c, n: (np.maximum(0, s - (size - m)), np.minimum(n, s + size))
+    found = stages.save(P.places(rows, _selected(size, m), reach), "places")
+    texts = P.texts_of(found, stages)
+    cold, hot = P.with_words(texts, rows, stages)
+    order = ["key", "p1", "p2"]
+    ordered = cold.select(*order, "lo", "hi", "anchor", "words").repartition("key").sortWithinPartitions(*order)
+    spans = "p1 long, p2 long, a long, b long, one long, two long"
+    whole = texts.where("lo < hi").selectExpr("p1", "p2", "0L AS a", "CAST(n AS BIGINT) AS b", "lo AS one", "hi AS two")
     late = P.hot_windows(hot, size, stages).select(
         "p1", "p2", F.col("at").alias("a"), (F.col("at") + size).alias("b"), F.col("first").alias("one"), F.col("last").alias("two"))
-    found = stages.save(found.unionByName(late), "matches")
-    member = packed.select("id", "row", "from", "p1", "p2").join(found, ["p1", "p2"])
+    matches = stages.save(ordered.mapInArrow(_matches(size), spans).unionByName(late).unionByName(whole), "matches")
+    stages.drop("words", "texts", "hot_windows", "hot_firsts")
+    member = found.select("id", "row", "from", "p1", "p2").join(matches, ["p1", "p2"])
     other = F.when(F.col("one") != F.col("id"), F.col("one")).otherwise(F.col("two"))
     spans = member.select("id", "row", F.struct((F.col("from") + F.col("a")).alias("a"), (F.col("from") + F.col("b")).alias("b"), other.alias("other")).alias("s"))
     spans = spans.groupBy("id", "row").agg(F.array_sort(F.collect_set("s")).alias("spans")).select("id", "spans")

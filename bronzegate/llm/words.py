@@ -33,7 +33,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the hash base and of its inverse."""
     if not _powers or len(_powers["up"]) < n:
         size = max(n, BLOCK + 4096)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
@@ -51,7 +52,7 @@ def _spans(data: np.ndarray, spaces: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _power_tables(len(data) + 1)
+    up, down = powers(len(data) + 1)
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
     np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
