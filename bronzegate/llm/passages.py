@@ -1,8 +1,10 @@
 """Steps that both passage operators share: named surroundings, attached words, split buckets.
 
 A passage of ``size`` words that two documents share holds the same minimiser, the least
-hash of ``m`` consecutive words, in both.  So only places whose minimiser occurs in two
-documents or more need their words; the rest end as a count.
+hash of ``m`` consecutive words, in both.  So do half of the rest of the passage
+before or after it.  Only places that share such a half with another document need their words.
+A place's surroundings are named by 128 bits of the hashes of their words (equal names are
+taken for equal words), and equal ones merge before any word moves.
 """
 
 from __future__ import annotations
@@ -27,34 +29,35 @@ def plain_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(body).alias("row"), body.alias("text"))
 
 
-def minimisers(hashes: np.ndarray, size: int, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place of the minimiser of each window of ``size`` words, and the hashes of all places."""
+def minimisers(hashes: np.ndarray, size: int, m: int) -> np.ndarray:
+    """Place of the minimiser of each window of ``size`` words."""
     keys = W.windows(hashes, m)
     span = size - m + 1
     n = len(keys) - span + 1
     if n <= 0:
-        return np.zeros(0, np.int64), keys
-    return np.lib.stride_tricks.sliding_window_view(keys, span).argmin(1) + np.arange(n), keys
+        return np.zeros(0, np.int64)
+    return np.lib.stride_tricks.sliding_window_view(keys, span).argmin(1) + np.arange(n)
 
 
-def _names(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, anchor: np.ndarray) -> list[np.ndarray]:
-    """128 bits that stand for the words from ``a`` to ``b`` and the anchor in them, as two arrays."""
+def _ranges(hashes: np.ndarray):
+    """A function that hashes the words of ranges of ``hashes``."""
     up, down = W.powers(len(hashes) + 1)
-    out = []
-    for h in (hashes, W.mix(hashes ^ np.uint64(0xA5A5A5A5))):
-        sums = np.zeros(len(h) + 1, np.uint64)
-        np.cumsum(h * up[: len(h)], out=sums[1:])
-        out.append(W.mix(W.mix((sums[b] - sums[a]) * down[a]) + ((b - a) << 32 | anchor).astype(np.uint64)).view(np.int64))
-    return out
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
+    return lambda a, b: W.mix((sums[b] - sums[a]) * down[a])
 
 
-def places(rows: DataFrame, cut, extent) -> DataFrame:
-    """(id, row, key, from, n, anchor, p1, p2) per place: its text is ``n`` words from ``from``, named by p1 and p2.
+def places(rows: DataFrame, cut, extent, size: int, m: int) -> DataFrame:
+    """(id, row, from, n, anchor, left, right, p1, p2) per place: its text is ``n`` words from ``from``, named by p1 and p2.
 
-    ``cut(word hashes)`` gives keys, starts and counts of a document, ``extent(starts, counts, words)``
-    the ranges of their texts, as arrays.
+    ``cut(word hashes)`` gives minimiser places, starts and counts of a document, ``extent(starts, counts, words)``
+    the ranges of their texts, as arrays.  ``left`` and ``right`` are hashes of the minimiser with half of the
+    rest of a window before or after it, null where the text does not reach so far.  A window has at
+    least half of its rest on one side, so two texts that share one have equal lefts or equal rights.
     """
 
+    half = (size - m) // 2
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = W.texts(batch.column(2))
@@ -64,30 +67,37 @@ def places(rows: DataFrame, cut, extent) -> DataFrame:
                 found = [cut(h) for h in np.split(hashes, heads[1:])]
                 sizes = [len(f[0]) for f in found]
                 at = pa.array(np.repeat(np.arange(first, last), sizes))
-                keys, froms, counts = (np.concatenate([f[i] for f in found]) for i in range(3))
+                spots, froms, counts = (np.concatenate([f[i] for f in found]) for i in range(3))
                 a, b = extent(froms, counts, np.repeat(np.diff(heads, append=len(hashes)), sizes))
                 head = np.repeat(heads, sizes)
+                one, two = _ranges(hashes), _ranges(W.mix(hashes ^ np.uint64(0xA5A5A5A5)))
+                shape = ((b - a) << 32 | (spots - a)).astype(np.uint64)
+                names = [W.mix(h(head + a, head + b) + shape) for h in (one, two)]
+                short = [spots - half < a, spots + m + half > b]
+                ends = [(np.where(short[0], spots, spots - half), spots + m), (spots, np.where(short[1], spots, spots + m + half))]
+                sides = [W.mix(one(head + x, head + y) + np.uint64(k)) for k, (x, y) in enumerate(ends)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(keys.astype(np.uint64).view(np.int64)),
-                     *[pa.array(c, pa.int32()) for c in (a, b - a, froms - a)],
-                     *map(pa.array, _names(hashes, head + a, head + b, froms - a))],
-                    names=["id", "row", "key", "from", "n", "anchor", "p1", "p2"])
+                    [batch.column(0).take(at), batch.column(1).take(at), *[pa.array(c, pa.int32()) for c in (a, b - a, spots - a)],
+                     *[pa.array(h.view(np.int64), mask=none) for h, none in zip(sides, short)],
+                     *[pa.array(h.view(np.int64)) for h in names]],
+                    names=["id", "row", "from", "n", "anchor", "left", "right", "p1", "p2"])
 
-    return rows.where("id is not null").mapInArrow(run, "id long, row long, key long, from int, n int, anchor int, p1 long, p2 long")
+    return rows.where("id is not null").mapInArrow(run, "id long, row long, from int, n int, anchor int, left long, right long, p1 long, p2 long")
 
 
 def texts_of(found: DataFrame, stages: Stages) -> DataFrame:
-    """Different texts of places: (p1, p2, key, lo, hi, id, row, from, n, anchor), the last five those of one place."""
-    firsts = [F.first(c).alias(c) for c in ("key", "id", "row", "from", "n", "anchor")]
+    """Different texts of places: (p1, p2, lo, hi, id, row, from, n, anchor, left, right), from id on those of one place."""
+    firsts = [F.first(c).alias(c) for c in ("id", "row", "from", "n", "anchor", "left", "right")]
     return stages.save(found.groupBy("p1", "p2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), *firsts), "texts")
 
 
 def with_words(texts: DataFrame, rows: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
-    """(p1, p2, key, lo, hi, anchor, words) of texts that share their key with another text, cold and hot ones apart.
+    """(p1, p2, key, lo, hi, anchor, words) of texts that share a key, left or right, with another, cold and hot ones apart.
 
     Every such text takes its words from one document.  Keys of one document, and keys that have one text
-    only, need no words.  A text comes repeatedly where its document has equal rows.
+    only, need no words.  A text comes once per key, repeatedly where its document has equal rows.
     """
+    texts = texts.withColumn("key", F.explode(F.array("left", "right"))).where("key is not null")
     keys = texts.groupBy("key").agg(F.min("lo").alias("least"), F.max("hi").alias("most"), F.count("*").alias("many"))
     keys = stages.save(keys.where("least < most and many > 1").select("key", (F.col("many") > HOT).alias("hot")), "shared")
     inner = ("p1", "p2", "key", "lo", "hi", "anchor", "hot", "from", "n")

@@ -5,7 +5,7 @@ consecutive words; consecutive windows with the same one travel as one packed st
 to its bucket, where sorting brings equal windows together and gives each its first
 document, exactly (strings are compared, not hashes).
 
-* Super-k-mers whose minimiser occurs in one document only stay behind (see ``passages``).
+* Super-k-mers that share no half window around the minimiser stay behind; the bucket is that half (see ``passages``).
 * Equal strings are merged before the bucket (partial aggregate, by name), so a group of copies
   is one row a super-k-mer.  A bucket that still holds more than ``HOT`` different strings
   is not gathered: its windows are counted one by one under a 128-bit hash.
@@ -35,11 +35,11 @@ SIZE, M = 50, 10
 
 def _super_kmers(size: int, m: int):
     def cut(hashes: np.ndarray):
-        at, keys = P.minimisers(hashes, size, m)
+        at = P.minimisers(hashes, size, m)
         if not len(at):
-            return np.zeros(0, np.uint64), at, at
+            return at, at, at
         starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        return keys[at[starts]], starts, np.diff(np.append(starts, len(at)))
+        return at[starts], starts, np.diff(np.append(starts, len(at)))
 
     return cut
 
@@ -96,7 +96,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, n_words, n_removed, kept_text) per input row."""
     stages = Stages(docs.sparkSession, "substring_dedup")
     rows = P.plain_rows(docs, id_col, text_col)
-    found = stages.save(P.places(rows, _super_kmers(size, m), lambda s, c, n: (s, s + c + size - 1)), "places")
+    found = stages.save(P.places(rows, _super_kmers(size, m), lambda s, c, n: (s, s + c + size - 1), size, m), "places")
     texts = P.texts_of(found, stages)
     cold, hot = P.with_words(texts, rows, stages)
     order = ["key", "p1", "p2"]

@@ -6,7 +6,7 @@ documents has a kept suffix at the same place in both.  Suffixes with the same f
 ``M`` words are sorted together and neighbours compared; a match is then extended left.
 
 * A suffix travels with ``SIZE`` words to the right and ``SIZE - M`` to the left: any window that
-  holds the place lies within.  Places whose minimiser is in one document only stay.
+  holds the place lies within.  Places that share no half window around the minimiser stay.
 * Of a suffix the sorted neighbours have the longest match to the right, and the
   neighbours in the order of the reversed left sides the longest to the left.  If the
   two together are shorter than ``SIZE`` nothing matches; if both neighbours match over ``SIZE``
@@ -40,9 +40,9 @@ SIZE, M = 50, 8
 
 def _selected(size: int, m: int):
     def cut(hashes: np.ndarray):
-        at, keys = P.minimisers(hashes, size, m)
+        at = P.minimisers(hashes, size, m)
         at = np.unique(at)
-        return keys[at], at, np.ones(len(at), np.int64)
+        return at, at, np.ones(len(at), np.int64)
 
     return cut
 
@@ -129,7 +129,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     stages = Stages(docs.sparkSession, "suffix_dedup")
     rows = P.plain_rows(docs, id_col, text_col)
     reach = lambda s, c, n: (np.maximum(0, s - (size - m)), np.minimum(n, s + size))
-    found = stages.save(P.places(rows, _selected(size, m), reach), "places")
+    found = stages.save(P.places(rows, _selected(size, m), reach, size, m), "places")
     texts = P.texts_of(found, stages)
     cold, hot = P.with_words(texts, rows, stages)
     order = ["key", "p1", "p2"]
