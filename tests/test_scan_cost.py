@@ -83,3 +83,25 @@ def test_lines_are_dealt_to_as_many_groups_as_their_size_asks_for(spark, raw):
     effects = Q.with_effects(Q.read_lines(spark, [str(raw)]))
     want = sorted(Q.states(effects)[0].select("FILE_NAME", "mid", "state", "rec_mid").collect())
     assert sorted(Q.states(effects, 37)[0].select("FILE_NAME", "mid", "state", "rec_mid").collect()) == want
+
+
+def test_lines_of_files_with_open_quotes_are_placed_once(spark, raw):
+    """The parse reads the placed lines, not the raw files, and no pass looks for lines that are records of their own."""
+    scans = scan_all(spark, detect_incoming(spark, str(raw)), source_glob=f"{raw}/*", keep_lines=True)
+    for et in S.EXTRACT_TYPES:
+        assert "Scan text" not in scans[et].stored._jdf.queryExecution().executedPlan().toString()
+    want = {et: sorted(map(str, scans[et].rows.collect())) for et in S.EXTRACT_TYPES}
+    for f in raw.iterdir():
+        f.write_text("")
+    for et in S.EXTRACT_TYPES:
+        assert scans[et].stored.count() == 9
+        assert sorted(map(str, scans[et].stored.collect())) == want[et]
+
+
+def test_content_hash_is_the_exact_sum(spark, tmp_path):
+    from bronzegate.sources.scan import line_stats
+
+    (tmp_path / "a.csv").write_text("".join(f"line {i}|x\n" for i in range(2000)))
+    lines = Q.read_lines(spark, [str(tmp_path)])
+    want = lines.agg(F.concat_ws(":", F.count(F.lit(1)), F.sum(F.xxhash64("value").cast("decimal(38,0)")))).first()[0]
+    assert line_stats(spark, [str(tmp_path)]).first()["content_hash"] == want
