@@ -1,7 +1,7 @@
 """Secret scan: pattern matches, and a battery of randomness tests for the rest.
 
 Patterns (kinds ``assign``, ``access``, ``hex``) are the base; the battery adds
-spans of kind ``random``.  All of it is DataFrame functions.
+spans of kind ``random``.  All but the scores of the references (numpy in Arrow batches) is DataFrame functions.
 
 Positions: ``split`` gives the text between the matches of a pattern and
 ``regexp_extract_all`` the matches; their lengths, summed in order, are the code
@@ -20,10 +20,12 @@ references that score at least as high, and Benjamini-Hochberg at ``ALPHA`` with
 stratum decides.  References are consecutive words of the corpus' prose (runs of under 20
 letters with no digit or sign at either end), lower-cased, joined and cut to the
 stratum's least length, where prose looks most random; they score over the alphabets
-of the candidates they stand against.  They start at words dealt by hash, as many as
-``DEALT`` times the stratum's candidates (at least ``REFERENCES``) or all words there are,
-so one secret among all candidates can still be reported; the words of ``PROSE`` are
-always among them, so a corpus with little or no prose has references too.
+of the candidates they stand against.  One starts at every word of the corpus, so nothing is
+drawn.  Those of the words of ``PROSE`` are always among them, so a corpus with little or no prose
+has references too; each weighs as many of the corpus' as make those ``REFERENCES``, or
+``DEALT`` times the stratum's candidates if that is more (one at least), so ``PROSE`` counts however large the corpus.
+References are scored where they stand, by running sums over the letters of a text
+(``_histogram``), and only their counts by bin leave the tasks.
 Short prose often looks random, so short candidates need more.  Scores are compared in
 1000 bins, so the control needs one small table (stratum x bin), whatever the size of the
 corpus.  A candidate that overlaps a base span is not added.
@@ -35,6 +37,11 @@ a null id is an id like any other; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +61,8 @@ STRATA = [20, 24, 32, 48, 96]
 REFERENCES = 5000
 DEALT = 2 / ALPHA
 WORD = "(?<![A-Za-z0-9+/_=-])[A-Za-z]{1,19}(?![A-Za-z0-9+/_=-])"
-WORD_CHARS = 8  # characters of text per word, rather more than there are
+STARTS = 4096  # references scored at a time
+TEXT_BYTES = 1 << 20  # text looked at together, at least one document
 PROSE = """
 The old road left the village by the mill and followed the river for some miles before it turned towards the hills.
 In spring the water often stood in the fields on both sides, and people who wanted to reach the market had to take the
@@ -154,23 +162,103 @@ def _bin() -> Column:
     return F.floor(F.least(F.lit(0.999999), "score") * BINS).cast("int").alias("bin")
 
 
-def _references(rows: DataFrame, wanted: dict[tuple[bool, int], int]) -> DataFrame:
-    """(hit, letters, stratum): joined prose for every stratum of ``wanted``, by its number of candidates."""
-    words = rows.agg(F.sum(F.char_length("body"))).first()[0] / WORD_CHARS  # one number
-    share = {k: min(1.0, max(REFERENCES, DEALT * n) / max(words, 1.0)) for k, n in wanted.items()}
-    plain = rows.select(F.xxhash64("doc", "row").alias("seed"), F.lit(max(share.values())).alias("share"), "body")
-    own = rows.sparkSession.range(1).select(F.lit(0).cast("long").alias("seed"), F.lit(1.0).alias("share"), F.lit(PROSE).alias("body"))
-    dealt = lambda i: F.pmod(F.xxhash64(F.col("seed"), i), F.lit(1 << 30)) / float(1 << 30)
-    longest = max(STRATA[s] for _, s in wanted)
-    df = plain.unionByName(own).withColumn("words", F.regexp_extract_all("body", F.lit(WORD), F.lit(0))).where(F.size("words") > 0)
-    starts = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: dealt(i) < F.col("share"))
-    run = lambda i: F.substring(F.lower(F.array_join(F.slice("words", i, F.lit(longest)), "")), 1, longest)
-    df = df.select("seed", F.explode(F.transform(starts, lambda i: F.struct(dealt(i).alias("at"), run(i).alias("run")))).alias("r"))
-    strata = F.array(*[F.struct(F.lit(letters).alias("letters"), F.lit(s).alias("stratum"), F.lit(STRATA[s]).alias("length"), F.lit(x).alias("share"))
-                       for (letters, s), x in share.items()])
-    df = df.select("seed", "r.*", F.explode(strata).alias("s")).where(
-        (F.char_length("run") >= F.col("s.length")) & ((F.col("at") < F.col("s.share")) | (F.col("seed") == 0)))
-    return df.select(F.expr("substring(run, 1, s.length)").alias("hit"), "s.letters", "s.stratum")
+#: Alphabets that lower-case letters are scored over: size and place of "a" (``LETTERS``; ``ALPHABETS`` with digits, hex).
+_PLAIN, _DIGITS, _HEX = (26, 1), (36, 11), (16, 11)
+
+
+def _scores(length: int, size: int, squares, high, turns, lag, power):
+    """``randomness`` from the sums of runs of one length."""
+    def cdf(z):
+        z = np.clip(z, -12.0, 12.0)
+        return 1 / (1 + np.exp(-(1.5976 * z + 0.07056 * z * z * z)))
+
+    n, low = float(length), length - high
+    chi = size / n * squares - n
+    mean = 2 * high * low / n
+    var = np.maximum(1e-9, mean * (mean - 1) / (n - 1))
+    p_chi = 1 - cdf((chi - (size - 1)) / math.sqrt(2 * (size - 1)))
+    p_runs = np.where((high == 0) | (low == 0), 0.0, 2 * (1 - cdf(np.abs((turns - mean) / np.sqrt(var)))))
+    p_serial = np.where(power == 0, 0.0, 2 * (1 - cdf(np.abs(lag / np.maximum(power, 1e-9) * math.sqrt(n)))))
+    half = -sum(np.log(np.maximum(p, 1e-12)) for p in (p_chi, p_runs, p_serial))
+    return np.exp(-half) * (1 + half + half * half / 2)
+
+
+def _sums(codes, alphabet):
+    """Running sums over letters (0 to 25) of what the tests need; ranks are doubled, so all are whole numbers."""
+    ranks = 2 * (codes + alphabet[1]) - alphabet[0] - 1
+    high = ranks > 0
+    run = lambda x: np.concatenate([[0], np.cumsum(x, dtype=np.int64)])
+    return run(high), run(high[1:] != high[:-1]), run(ranks[1:] * ranks[:-1]), run(ranks * ranks)
+
+
+def _over(sums, at, length: int):
+    """high, turns, lag, power of the runs that begin ``at``."""
+    high, turns, lag, power = sums
+    last = at + length - 1
+    return high[last + 1] - high[at], turns[last] - turns[at], (lag[last] - lag[at]) / 4, (power[last + 1] - power[at]) / 4
+
+
+def _histogram(texts: list[str], wanted: list[tuple[bool, int]], counts) -> None:
+    """Adds to ``counts`` (letters, stratum, bin) the references of texts, each its words joined by spaces."""
+    raw = np.frombuffer("\n".join(texts).encode() + b"\n", dtype=np.uint8)
+    letter = raw >= 97
+    if not letter.any():
+        return
+    codes = raw[letter].astype(np.int64) - 97
+    before = np.cumsum(letter) - letter  # letters before each byte
+    starts = before[letter & np.concatenate([[True], ~letter[:-1]])]
+    bounds = before[raw == 10]
+    room = bounds[np.searchsorted(bounds, starts, side="right")] - starts  # letters up to the end of the text
+    for first in range(0, len(starts), STARTS):
+        some, left = starts[first:first + STARTS], room[first:first + STARTS]
+        here = codes[some[0]:some[-1] + max(STRATA)]
+        some = some - some[0]
+        held = np.zeros((len(here) + 1, 26), dtype=np.int32)
+        held[np.arange(1, len(here) + 1), here] = 1
+        np.cumsum(held, axis=0, out=held)
+        plain, digits = _sums(here, _PLAIN), _sums(here, _DIGITS)
+        for s in {s for _, s in wanted}:
+            length = STRATA[s]
+            at = some[left >= length]
+            if not len(at):
+                continue
+            each = held[at + length] - held[at]
+            squares = np.einsum("ij,ij->i", each, each)
+            for letters in (True, False):
+                if (letters, s) not in wanted:
+                    continue
+                alphabet, sums = (_PLAIN, plain) if letters else (_DIGITS, digits)
+                score = _scores(length, alphabet[0], squares, *_over(sums, at, length))
+                if not letters:
+                    hexes = each[:, :6].sum(axis=1) == length
+                    if hexes.any():
+                        score[hexes] = _scores(length, _HEX[0], squares[hexes], *_over(_sums(here, _HEX), at[hexes], length))
+                bins = np.floor(np.minimum(0.999999, score) * BINS).astype(np.int64)
+                counts[int(letters), s] += np.bincount(bins, minlength=BINS)
+
+
+def _references(rows: DataFrame, wanted: list[tuple[bool, int]]) -> DataFrame:
+    """(letters, stratum, bin, refs): how many references, one at every word of the rows, fall in each bin."""
+    words = rows.select(F.regexp_extract_all("body", F.lit(WORD), F.lit(0)).alias("words")).where(F.size("words") > 0)
+    texts = words.select(F.lower(F.array_join("words", " ")).alias("text"))
+
+    def count(batches):
+        counts = np.zeros((2, len(STRATA), BINS), dtype=np.int64)
+        some, held = [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                some.append(value.as_py())
+                held += len(some[-1])
+                if held >= TEXT_BYTES:
+                    _histogram(some, wanted, counts)
+                    some, held = [], 0
+        _histogram(some, wanted, counts)
+        letters, stratum, bins = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(letters == 1), pa.array(stratum.astype(np.int32)), pa.array(bins.astype(np.int32)), pa.array(counts[letters, stratum, bins])],
+            names=["letters", "stratum", "bin", "refs"])
+
+    return texts.mapInArrow(count, "letters boolean, stratum int, bin int, refs long")
 
 
 def random_spans(rows: DataFrame, stages: Stages) -> DataFrame:
@@ -182,19 +270,21 @@ def random_spans(rows: DataFrame, stages: Stages) -> DataFrame:
     scored = stages.save(randomness(tokens).select("doc", "row", "start", "end", "letters", "stratum", _bin()), "tokens")
     # One row per stratum and bin: at most two times len(STRATA) times BINS.
     group = ["letters", "stratum"]
-    wanted = {(r["letters"], r["stratum"]): r["count"] for r in scored.groupBy(*group).count().collect()}
+    wanted = [(r["letters"], r["stratum"]) for r in scored.select(*group).distinct().collect()]
     span = [F.col(c) for c in ("doc", "row", "start", "end")] + [F.lit(KINDS.index("random")).alias("kind")]
     if not wanted:
         return scored.select(*span)
-    refs = randomness(_references(rows, wanted)).select(*group, _bin(), F.lit(1).alias("ref"))
-    table = scored.select(*group, "bin", F.lit(0).alias("ref")).unionByName(refs).groupBy(*group, "bin").agg(
-        F.sum("ref").alias("refs"), F.sum(1 - F.col("ref")).alias("cands"))
+    prose = _references(rows.sparkSession.range(1).select(F.lit(PROSE).alias("body")), wanted).withColumnRenamed("refs", "own")
+    parts = [_references(rows, wanted), prose, scored.select(*group, "bin", F.lit(1).cast("long").alias("cands"))]
+    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).groupBy(*group, "bin").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("refs", "own", "cands")])
     down = Window.partitionBy(*group).orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(*group)
     table = table.select(
-        *group, "bin", F.sum("refs").over(down).alias("above"), F.sum("cands").over(down).alias("found"),
-        F.sum("refs").over(whole).alias("all_refs"), F.sum("cands").over(whole).alias("all_cands"))
-    p_value = (1 + F.col("above")) / (1 + F.col("all_refs"))
+        *group, "bin", F.sum("cands").over(down).alias("found"), F.sum("cands").over(whole).alias("all_cands"),
+        *[F.sum(c).over(w).alias(f"{name}_{c}") for c in ("refs", "own") for w, name in ((down, "above"), (whole, "all"))])
+    weight = F.greatest(F.lit(1.0), F.col("all_refs") / F.greatest(F.lit(REFERENCES), DEALT * F.col("all_cands")))
+    p_value = (1 + F.col("above_refs") + weight * F.col("above_own")) / (1 + F.col("all_refs") + weight * F.col("all_own"))
     floors = (
         table.where((F.col("found") > 0) & (p_value <= F.lit(ALPHA) * F.col("found") / F.col("all_cands")))
         .groupBy(*group).agg(F.min("bin").alias("floor"))

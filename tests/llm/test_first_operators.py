@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,3 +153,27 @@ def test_minhash_group_of_edited_copies(spark, monkeypatch, small):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r[0]: (r["n_shingles"], r["component_id"]) for r in minhash_dedup.digest(frame).collect()}
     assert got == brute.near(docs, 3, 85, 100)
+
+
+def test_a_reference_starts_at_every_word(spark):
+    """Not at some dealt by hash: as many as there are words with letters enough, scored as ``randomness`` scores them."""
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("etaoinshrdlu" if i % 5 else "abcdef") for _ in range(rng.randint(1, 9))) for _ in range(900)) for i in range(10)]
+    texts += ["one 2two three-four.", "", "Short text here"]
+    wanted = [(letters, s) for letters in (True, False) for s in range(len(secret_scan.STRATA))]
+    rows = spark.createDataFrame([(t,) for t in texts], "body string")
+    got = {}
+    for r in secret_scan._references(rows, wanted).collect():
+        key = (r["letters"], r["stratum"], r["bin"])
+        got[key] = got.get(key, 0) + r["refs"]
+    word = re.compile(secret_scan.WORD)
+    runs = []
+    for text in texts:
+        words = [w.lower() for w in word.findall(text)]
+        for i in range(len(words)):
+            joined = "".join(words[i:i + 96])
+            runs += [(joined[:n], letters, s) for s, n in enumerate(secret_scan.STRATA) if len(joined) >= n for letters in (True, False)]
+    assert sum(got.values()) == len(runs) > 80_000
+    scored = secret_scan.randomness(spark.createDataFrame(runs, "hit string, letters boolean, stratum int"))
+    want = {tuple(r)[:3]: r["n"] for r in scored.groupBy("letters", "stratum", secret_scan._bin()).agg(F.count("*").alias("n")).collect()}
+    assert sum(abs(got.get(k, 0) - want.get(k, 0)) for k in got.keys() | want.keys()) <= 4  # rounding at a bin's edge
