@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzegate.llm import words as W
+from bronzegate.llm.bloom import having
 from bronzegate.llm.common import Stages, read, setting, small
 
 ORDER = 4
@@ -183,7 +184,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(body).alias("row"), body.alias("text"), F.col(lang_col).cast("string").alias("lang"))
     ids = stages.save(labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id")).distinct(), "ids")
-    trusted = stages.save(plain.join(ids, "id", "left_semi").select("id", "row", "text", "lang"), "trusted")
+    trusted = stages.save(having(plain, ids, "id", stages).select("id", "row", "text", "lang"), "trusted")
     levels = _levels(trusted, stages)
     scored = _scores(plain, train(trusted.select("text"), stages), stages)
     rows = plain.select("id", "row", "lang").join(

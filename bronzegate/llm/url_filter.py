@@ -32,11 +32,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bronzegate.llm.bloom import FILTER_ROWS, bits, bloom
 from bronzegate.llm.common import LOWER, UPPER, Stages, small
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-KEYS_PER_WORD = 5
-FILTER_ROWS = 1_000_000
 
 
 def host_of(url: Column) -> Column:
@@ -59,25 +58,6 @@ def _url_key(canon: Column) -> Column:
     return F.concat(F.lit("url "), canon)
 
 
-def _bits(key: Column) -> Column:
-    """The key's bits in its word: five six-bit slices of a second hash."""
-    h = F.xxhash64(F.lit(7), key)
-    out = F.lit(0).cast("long")
-    for i in range(5):
-        slot = F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")
-        out = out.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), slot))
-    return out
-
-
-def bloom(keys: DataFrame, n_keys: int) -> tuple[DataFrame, int]:
-    """Blocked Bloom filter of the column ``key``: (block, word), and its block count."""
-    blocks = max(1, -(-n_keys // KEYS_PER_WORD))
-    return (
-        keys.groupBy(F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block")).agg(F.bit_or(_bits(F.col("key"))).alias("word")),
-        blocks,
-    )
-
-
 def url_verdicts(pages: DataFrame, rules: DataFrame, listed: DataFrame, url_col: str = "url") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` added (replacing such columns).
 
@@ -124,7 +104,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, listed: DataFrame, url_col:
         "u", F.explode(F.concat(rule_candidates, F.array(_url_key(canonical(F.col("h"), F.col("p")))))).alias("key")
     ).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
     possible = candidates.join(small(word_table, min(n, blocks), FILTER_ROWS), "block").where(
-        F.col("word").bitwiseAND(_bits(F.col("key"))) == _bits(F.col("key"))
+        F.col("word").bitwiseAND(bits(F.col("key"))) == bits(F.col("key"))
     )
     hits = possible.join(small(entries.drop("labels", "path_chars"), n), "key")
     best = hits.groupBy(F.col("u").alias("hit_u")).agg(F.max(F.struct("rank", "host_rank", "rule", "verdict")).alias("best"))
