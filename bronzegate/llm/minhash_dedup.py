@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzegate.llm import words as W
+from bronzegate.llm.bloom import having
 from bronzegate.llm.common import Stages, small
 from bronzegate.llm.components import connected_components
 
@@ -194,8 +195,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stages.drop("buckets", "crowded")
 
     # Sets of the classes that share a bucket, from one text of each.
-    wanted = score.join(classes, "cls").select("cls", F.col("low").alias("id"))
-    chosen = plain.join(wanted.select("id").distinct(), "id", "left_semi").select("body")
+    wanted = stages.save(score.join(classes, "cls").select(F.col("low").alias("id")).distinct(), "wanted")
+    chosen = having(plain, wanted, "id", stages).select("body")
     sets = chosen.mapInArrow(_set_rows(k), "cls binary, items array<long>")
     sets = stages.save(sets.groupBy("cls").agg(F.first("items").alias("items")), "sets")
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from bronzegate.llm import bloom, kn_quality
+from bronzegate.llm import bloom, kn_quality, minhash_dedup
 from bronzegate.llm.common import Stages, setting
 
 SF = "/root/testdata/sf0.001"
@@ -41,6 +41,7 @@ def test_texts_of_other_ids_do_not_move(spark, monkeypatch, plans):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     monkeypatch.setattr(bloom, "BROADCAST_ROWS", 0)  # as if the ids were too many to broadcast
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
-        kn_quality.digest(docs, labels)
-    # The upper join of the plan is the exact one, below it stands the filter.
-    assert plans["trusted"].index("SortMergeJoin [id") < plans["trusted"].index("BroadcastHashJoin [pmod")
+        kn_quality.digest(docs, labels), minhash_dedup.digest(docs)
+    for name in ("trusted", "sets"):
+        # The upper join of the plan is the exact one, below it stands the filter.
+        assert plans[name].index("SortMergeJoin [id") < plans[name].index("BroadcastHashJoin [pmod")
