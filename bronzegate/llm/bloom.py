@@ -1,4 +1,4 @@
-"""A blocked Bloom filter as a table, and the semi join that asks it first.
+"""A blocked Bloom filter as a table, and the joins that ask it first.
 
 The filter is a table (block, 64-bit word): one block per key, five bits in its word.  All of
 it is DataFrame functions.
@@ -35,6 +35,15 @@ def bloom(keys: DataFrame, n_keys: int, most: int | None = None) -> tuple[DataFr
     )
 
 
+def _possible(rows: DataFrame, ids: DataFrame, n: int, column: str, stages: Stages) -> DataFrame:
+    """The ``rows`` whose ``column`` passes the filter of the ``n`` ids, with the filter's columns."""
+    key = F.col(column)
+    words, blocks = bloom(ids.select(key.alias("key")), n, FILTER_ROWS)
+    words = stages.save(words.select(F.col("block").alias("__block"), F.col("word").alias("__word")), "bloom")
+    possible = rows.join(F.broadcast(words), F.pmod(F.xxhash64(key), F.lit(blocks)) == F.col("__block"))
+    return possible.where(F.col("__word").bitwiseAND(bits(key)) == bits(key))
+
+
 def having(rows: DataFrame, ids: DataFrame, column: str, stages: Stages) -> DataFrame:
     """The ``rows`` whose ``column`` is in ``ids`` (of that one column, without repeats).
 
@@ -44,10 +53,14 @@ def having(rows: DataFrame, ids: DataFrame, column: str, stages: Stages) -> Data
     """
     n = ids.count()
     if n > BROADCAST_ROWS:
-        key = F.col(column)
-        words, blocks = bloom(ids.select(key.alias("key")), n, FILTER_ROWS)
-        words = stages.save(words.select(F.col("block").alias("__block"), F.col("word").alias("__word")), "bloom")
-        possible = rows.join(F.broadcast(words), F.pmod(F.xxhash64(key), F.lit(blocks)) == F.col("__block"))
         # An inner join follows: a semi join would be moved to before the filter.
-        return possible.where(F.col("__word").bitwiseAND(bits(key)) == bits(key)).join(ids, column).select(*rows.columns)
+        return _possible(rows, ids, n, column, stages).join(ids, column).select(*rows.columns)
     return rows.join(small(ids, n), column, "left_semi")
+
+
+def meeting(rows: DataFrame, facts: DataFrame, column: str, stages: Stages) -> DataFrame:
+    """The ``rows`` joined with ``facts``, a stored table of one row per value of ``column``; rows move as in ``having``."""
+    n = facts.count()
+    if n > BROADCAST_ROWS:
+        return _possible(rows, facts, n, column, stages).drop("__block", "__word").join(facts, column)
+    return rows.join(small(facts, n), column)

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzegate.llm import words as W
-from bronzegate.llm.bloom import having
+from bronzegate.llm.bloom import having, meeting
 from bronzegate.llm.common import Stages, small
 from bronzegate.llm.components import connected_components
 
@@ -52,6 +52,7 @@ BANDS, ROWS = 56, 8
 SMALL = 64
 GROWTH = 32
 WORDS = 8
+BATCH = 1000  # texts handed to Python at a time
 _SEED = 7
 
 
@@ -183,22 +184,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("body"))
     signed = stages.save(
         plain.withColumn("row", F.xxhash64(F.coalesce("body", F.lit("")))).mapInArrow(
-            _signatures(k, bands, rows), "id long, row long, n long, cls binary, sketch array<long>, bands array<long>"), "signatures")
+            _signatures(k, bands, rows), "id long, row long, n long, cls binary, sketch array<long>, bands array<long>"), "signatures", batch=BATCH)
     classes = stages.save(
         signed.where("cls is not null and id is not null").groupBy("cls")
         .agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "classes")
     keyed = classes.select("cls", "n", "sketch", F.explode("bands").alias("key"))
     buckets = stages.save(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-    entries = stages.save(keyed.join(buckets, "key"), "crowded")
+    entries = stages.save(meeting(keyed, buckets, "key", stages), "crowded")
     score = stages.save(entries.groupBy("cls").agg(F.sum("size").alias("score")), "scores")
     entries = stages.save(entries.join(score, "cls").withColumn("comp", F.col("cls")), "entries")
-    stages.drop("buckets", "crowded")
+    stages.drop("buckets", "crowded", "bloom")
 
     # Sets of the classes that share a bucket, from one text of each.
     wanted = stages.save(score.join(classes, "cls").select(F.col("low").alias("id")).distinct(), "wanted")
     chosen = having(plain, wanted, "id", stages).select("body")
     sets = chosen.mapInArrow(_set_rows(k), "cls binary, items array<long>")
-    sets = stages.save(sets.groupBy("cls").agg(F.first("items").alias("items")), "sets")
+    sets = stages.save(sets.groupBy("cls").agg(F.first("items").alias("items")), "sets", batch=BATCH)
 
     stages.drop("scores")
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from bronzegate.llm import bloom, kn_quality, minhash_dedup
+from bronzegate.llm import bloom, kn_quality, minhash_dedup, suffix_dedup
 from bronzegate.llm.common import Stages, setting
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +45,20 @@ def test_texts_of_other_ids_do_not_move(spark, monkeypatch, plans):
     for name in ("trusted", "sets"):
         # The upper join of the plan is the exact one, below it stands the filter.
         assert plans[name].index("SortMergeJoin [id") < plans[name].index("BroadcastHashJoin [pmod")
+
+
+def test_join_with_facts_keeps_what_the_exact_join_keeps(spark, monkeypatch):
+    rows = spark.createDataFrame([(i % 7000 if i % 50 else None, f"t{i}") for i in range(9000)], "id long, text string")
+    facts = spark.range(0, 30000, 10).selectExpr("id", "id * 3 AS size")
+    want = _rows(rows.join(facts, "id"))
+    assert _rows(bloom.meeting(rows, facts, "id", Stages(spark, "probe"))) == want
+    monkeypatch.setattr(bloom, "BROADCAST_ROWS", 100)
+    assert _rows(bloom.meeting(rows, facts, "id", Stages(spark, "probe"))) == want
+
+
+def test_bands_outside_shared_buckets_do_not_move(spark, monkeypatch, plans):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(bloom, "BROADCAST_ROWS", 0)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        minhash_dedup.digest(docs)
+    assert plans["crowded"].index("SortMergeJoin [key") < plans["crowded"].index("BroadcastHashJoin [pmod")
