@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bronzegate.llm import words as W
+from bronzegate.llm.bloom import meeting
 from bronzegate.llm.common import Stages
 
 #: A bucket with more different texts than this is resolved window by window instead.
@@ -82,16 +83,16 @@ def texts_of(found: DataFrame, stages: Stages) -> DataFrame:
     return stages.save(found.groupBy("p1", "p2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), *firsts), "texts")
 
 
-def with_words(texts: DataFrame, rows: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
+def with_words(texts: DataFrame, rows: DataFrame, stages: Stages, times: int = 1) -> tuple[DataFrame, DataFrame]:
     """(p1, p2, key, lo, hi, anchor, words) of texts that share their key with another text, cold and hot ones apart.
 
     Every such text takes its words from one document.  Keys of one document, and keys that have one text
-    only, need no words.  A text comes repeatedly where its document has equal rows.
+    only, need no words.  A text comes repeatedly where its document has equal rows.  A key is hot beyond ``times * HOT`` texts.
     """
     keys = texts.groupBy("key").agg(F.min("lo").alias("least"), F.max("hi").alias("most"), F.count("*").alias("many"))
-    keys = stages.save(keys.where("least < most and many > 1").select("key", (F.col("many") > HOT).alias("hot")), "shared")
+    keys = stages.save(keys.where("least < most and many > 1").select("key", (F.col("many") > times * HOT).alias("hot")), "shared")
     inner = ("p1", "p2", "key", "lo", "hi", "anchor", "hot", "from", "n")
-    lists = texts.join(keys, "key").groupBy(F.col("id").alias("i"), F.col("row").alias("r")).agg(F.collect_list(F.struct(*inner)).alias("texts"))
+    lists = meeting(texts, keys, "key", stages).groupBy(F.col("id").alias("i"), F.col("row").alias("r")).agg(F.collect_list(F.struct(*inner)).alias("texts"))
     lists = stages.save(lists, "lists")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +113,7 @@ def with_words(texts: DataFrame, rows: DataFrame, stages: Stages) -> tuple[DataF
     worded = worded.mapInArrow(run, "p1 long, p2 long, key long, lo long, hi long, anchor int, hot boolean, words string")
     # Texts of one document overlap and lie side by side: this codec stores most words once.
     worded = stages.save(worded, "words", compression="zstd")
-    stages.drop("lists", "shared")
+    stages.drop("lists", "shared", "bloom")
     return worded.where("not hot"), worded.where("hot")
 
 

@@ -12,7 +12,7 @@ documents has a kept suffix at the same place in both.  Suffixes with the same f
   two together are shorter than ``SIZE`` nothing matches; if both neighbours match over ``SIZE``
   words their union is the whole answer; else (rare) the windows are compared.
 * Equal surroundings are merged first (partial aggregate, by name) and wholly covered; a place shared by more than
-  ``HOT`` different surroundings is resolved window by window under 128-bit hashes.
+  ``GATHERED * HOT`` different surroundings is resolved window by window under 128-bit hashes.
 
 Result: one row per maximal run of words of a document that lies in windows which another
 document holds too: (doc id, start, n_words, other), ``other`` being one such document.
@@ -29,13 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzegate.llm import passages as P
 from bronzegate.llm.common import Stages
 
 SIZE, M = 50, 8
+#: Sorting costs little more a text in larger buckets, so they are gathered up to this many times ``passages.HOT`` texts.
+GATHERED = 16
 
 
 def _selected(size: int, m: int):
@@ -91,10 +93,18 @@ def _matches(size: int):
                         key = tuple(t[s : s + size])
                         a, b = windows.get(key, (row[3], row[4]))
                         windows[key] = min(a, row[3]), max(b, row[4])
+            # Windows side by side that the same document holds are one span.
+            at, to, held = 0, -1, None
             for s in range(len(texts[k]) - size + 1):
                 a, b = windows[tuple(texts[k][s : s + size])]
-                if a < b:
-                    yield k, s, s + size, lo, a if a != lo else b
+                other = (a if a != lo else b) if a < b else None
+                if other != held:
+                    if held is not None:
+                        yield k, at, to, lo, held
+                    at, held = s, other
+                to = s + size
+            if held is not None:
+                yield k, at, to, lo, held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in P.groups(batches, 7):
@@ -108,6 +118,20 @@ def _matches(size: int):
     return run
 
 
+def _spans(windows: DataFrame, size: int) -> DataFrame:
+    """(p1, p2, a, b, one, two): the windows of a text that lie side by side and have the same two documents are one span."""
+    some = windows.groupBy("p1", "p2").agg(F.array_sort(F.collect_set(F.struct("first", "last", "at"))).alias("w"))
+
+    def ends(step: int) -> Column:
+        """The windows without one like them ``step`` further on; starts and ends come in the same order."""
+        beside = lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"), (x["at"] + step).alias("at"))
+        return F.filter("w", lambda x: ~F.array_contains("w", beside(x)))
+
+    runs = some.select("p1", "p2", F.inline(F.arrays_zip(ends(-1).alias("start"), ends(1).alias("end"))))
+    return runs.select("p1", "p2", F.col("start.at").alias("a"), (F.col("end.at") + size).alias("b"),
+                       F.col("start.first").alias("one"), F.col("start.last").alias("two"))
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -131,13 +155,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     reach = lambda s, c, n: (np.maximum(0, s - (size - m)), np.minimum(n, s + size))
     found = stages.save(P.places(rows, _selected(size, m), reach), "places")
     texts = P.texts_of(found, stages)
-    cold, hot = P.with_words(texts, rows, stages)
+    cold, hot = P.with_words(texts, rows, stages, GATHERED)
     order = ["key", "p1", "p2"]
     ordered = cold.select(*order, "lo", "hi", "anchor", "words").repartition("key").sortWithinPartitions(*order)
     spans = "p1 long, p2 long, a long, b long, one long, two long"
     whole = texts.where("lo < hi").selectExpr("p1", "p2", "0L AS a", "CAST(n AS BIGINT) AS b", "lo AS one", "hi AS two")
-    late = P.hot_windows(hot, size, stages).select(
-        "p1", "p2", F.col("at").alias("a"), (F.col("at") + size).alias("b"), F.col("first").alias("one"), F.col("last").alias("two"))
+    late = _spans(P.hot_windows(hot, size, stages), size)
     matches = stages.save(ordered.mapInArrow(_matches(size), spans).unionByName(late).unionByName(whole), "matches")
     stages.drop("words", "texts", "hot_windows", "hot_firsts")
     member = found.select("id", "row", "from", "p1", "p2").join(matches, ["p1", "p2"])

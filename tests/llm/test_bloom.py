@@ -62,3 +62,11 @@ def test_bands_outside_shared_buckets_do_not_move(spark, monkeypatch, plans):
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         minhash_dedup.digest(docs)
     assert plans["crowded"].index("SortMergeJoin [key") < plans["crowded"].index("BroadcastHashJoin [pmod")
+
+
+def test_surroundings_outside_shared_keys_do_not_move(spark, monkeypatch, plans):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(bloom, "BROADCAST_ROWS", 0)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        suffix_dedup.digest(docs)
+    assert plans["lists"].index("SortMergeJoin [key") < plans["lists"].index("BroadcastHashJoin [pmod")

@@ -71,3 +71,10 @@ def test_whole_table(spark, check):
 def test_empty(spark, planted):
     assert substring_dedup.digest(planted[0].limit(0)).count() == 0
     assert suffix_dedup.digest(planted[0].limit(0)).count() == 0
+
+
+def test_windows_side_by_side_are_one_span(spark):
+    rows = [(1, 1, at, 3, 9) for at in (4, 5, 6, 8)] + [(1, 1, 7, 3, 8), (1, 1, 5, 3, 9), (2, 1, 0, 3, 9)]
+    windows = spark.createDataFrame(rows, "p1 long, p2 long, at long, first long, last long")
+    got = sorted(map(tuple, suffix_dedup._spans(windows, 50).collect()))
+    assert got == [(1, 1, 4, 56, 3, 9), (1, 1, 7, 57, 3, 8), (1, 1, 8, 58, 3, 9), (2, 1, 0, 50, 3, 9)]
