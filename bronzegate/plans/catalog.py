@@ -335,16 +335,22 @@ def change_feed_scoring(spark, sf_dir):
 
 # --- S2 / S4: one parse rule, at ordinary and at tiny splits ------------------------
 
-def _quoted_rows(spark, sf_dir):
+def _quoted_files(spark, sf_dir):
     from ..sources.extracts import render_quoted
-    from ..sources.scan import scan_all
 
     key = (id(spark), sf_dir, "quoted")
     with _LANDED_LOCK:
         if key not in _LANDED:
             _LANDED[key] = render_quoted(spark, sf_dir)
-        raw = _LANDED[key]
-    rows = scan_all(spark, detect_incoming(spark, raw), source_glob=f"{raw}/{S.DEFAULT_GLOB}")[S.QUESTIONS].rows
+        return _LANDED[key]
+
+
+def _quoted_rows(spark, sf_dir):
+    from ..sources.scan import scan_all
+
+    raw = _quoted_files(spark, sf_dir)
+    scan = scan_all(spark, detect_incoming(spark, raw), source_glob=f"{raw}/{S.DEFAULT_GLOB}", keep_lines=True)[S.QUESTIONS]
+    rows = scan.rows if scan.stored is None else scan.stored  # the lines stay with the raw files
     return rows.select("FILE_NAME", F.col("`Assessment ID`").alias("ASSESSMENT_ID"), "question_key", "Unit", "ARD")
 
 
@@ -358,6 +364,7 @@ def quoted_questions_tiny_splits(spark, sf_dir):
     conf = {"spark.sql.files.maxPartitionBytes": str(16 << 10), "spark.sql.files.openCostInBytes": "0"}
     before = {k: spark.conf.get(k) for k in conf}
     out = shared_dir(spark, "quoted-rows")
+    _quoted_files(spark, sf_dir)  # the tables are read in ordinary splits, the files in tiny ones
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..session import compiled_methods, hadoop_fs, shared_dir
+from ..session import compiled_methods, dropped_shuffles, hadoop_fs, shared_dir
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -171,18 +171,24 @@ def render_quoted(spark: SparkSession, sf_dir: str, raw_dir: str | None = None,
     df = questions_frame(spark, sf_dir).withColumn("Unit", quoted_unit())
     staging = shared_dir(spark, "render")
     names = df.columns[1:]
-    for province, columns, end in (("Ontario", names[::-1], "\r\n"), ("Alberta", names, "\n")):
-        part = df.where(F.col("FILE_NAME").contains(f"_{province}_"))
-        text = [F.when(F.col(f"`{c}`").startswith('5"'), F.col(f"`{c}`")).otherwise(_quoted(F.col(f"`{c}`"), sep)) for c in columns]
-        lines = part.select("FILE_NAME", F.lit(1).alias("_o"), F.concat_ws(sep, *text).alias("value"))
-        head = part.select("FILE_NAME").distinct().select("FILE_NAME", F.lit(0).alias("_o"), F.lit(sep.join(columns)).alias("value"))
+    ontario = F.col("FILE_NAME").contains("_Ontario_")
+    text = {c: F.when(F.col(f"`{c}`").startswith('5"'), F.col(f"`{c}`")).otherwise(_quoted(F.col(f"`{c}`"), sep)) for c in names}
+
+    def line(of) -> Column:
+        """A line of either kind; the CR of a CR LF is its last character."""
+        return F.when(ontario, F.concat(of(names[::-1]), F.lit("\r"))).otherwise(of(names))
+
+    part = df.where(ontario | F.col("FILE_NAME").contains("_Alberta_"))
+    lines = part.select("FILE_NAME", F.lit(1).alias("_o"), line(lambda columns: F.concat_ws(sep, *[text[c] for c in columns])).alias("value"))
+    head = part.select("FILE_NAME").distinct().select("FILE_NAME", F.lit(0).alias("_o"), line(lambda columns: F.lit(sep.join(columns))).alias("value"))
+    with dropped_shuffles(spark):
         (head.unionByName(lines).repartition("FILE_NAME").sortWithinPartitions("FILE_NAME", "_o").select("FILE_NAME", "value")
-             .write.partitionBy("FILE_NAME").option("lineSep", end).text(f"{staging}/{province}"))
+             .write.partitionBy("FILE_NAME").text(staging))
     fs, _ = hadoop_fs(spark, staging)
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(Path(raw_dir))
-    for st in fs.globStatus(Path(f"{staging}/*/FILE_NAME=*/part-*")):
+    for st in fs.globStatus(Path(f"{staging}/FILE_NAME=*/part-*")):
         fs.rename(st.getPath(), Path(f"{raw_dir}/{st.getPath().getParent().getName()[len('FILE_NAME='):]}"))
     return raw_dir
 
@@ -204,7 +210,7 @@ def render_extracts(spark: SparkSession, sf_dir: str, raw_dir: str | None = None
     staging = shared_dir(spark, "render")
     for et in S.EXTRACT_TYPES:
         df = extract_frame(spark, sf_dir, et, hot_third)
-        with compiled_methods(spark):
+        with compiled_methods(spark), dropped_shuffles(spark):
             if malformed:
                 _write_lines(df, f"{staging}/{et}", sep, long_row_rule(et))
             else:

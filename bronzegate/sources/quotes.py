@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..session import together
+from ..session import SCRATCH, dropped_shuffles, together
 
 # What a field is at while its line is read.
 _TEXT, _INSIDE, _CLOSING, _BEGINS = 0, 1, 2, 3
@@ -137,14 +137,15 @@ def _per_line(effects: DataFrame, parts: int | None = None) -> DataFrame:
 
 
 def store_lines(effects: DataFrame, path: str, parts: int | None = None) -> DataFrame:
-    """The lines as ``placed`` takes them, written to ``path`` and read back."""
+    """The lines as ``placed`` takes them, written to ``path`` and read back, small splits together."""
     rows = _per_line(effects, parts)
-    rows.write.parquet(path)
-    return effects.sparkSession.read.schema(rows.schema).parquet(path)
+    with dropped_shuffles(effects.sparkSession):
+        rows.write.options(**SCRATCH).parquet(path)
+    return together(effects.sparkSession.read.schema(rows.schema).parquet(path))
 
 
-def placed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``states`` from lines of ``_per_line``."""
+def split_states(rows: DataFrame) -> DataFrame:
+    """(FILE_NAME, blk, begins, carried, unclosed): one row a split, from lines of ``_per_line``."""
     split = ["FILE_NAME", "blk"]
     per_split = rows.groupBy(*split).agg(
         F.max(F.struct("mid", "e0", "e1")).alias("end"), F.max("m0").alias("start0"), F.max("m1").alias("start1"))
@@ -153,8 +154,14 @@ def placed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = F.when(F.col("begins") == 0, F.col("start0")).otherwise(F.col("start1"))
     earlier = Window.partitionBy("FILE_NAME").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.max(F.when(own.isNotNull(), F.struct(F.col("blk").alias("b"), own.alias("m")))).over(earlier)
-    per_split = per_split.select(*split, "begins", carried.alias("carried"),
-                                 F.when(F.col("begins") == 0, F.col("end.e0")).otherwise(F.col("end.e1")).alias("unclosed"))
+    return per_split.select(*split, "begins", carried.alias("carried"),
+                            F.when(F.col("begins") == 0, F.col("end.e0")).otherwise(F.col("end.e1")).alias("unclosed"))
+
+
+def placed(rows: DataFrame, per_split: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``states`` from lines of ``_per_line``, and their ``split_states`` where the caller has them."""
+    split = ["FILE_NAME", "blk"]
+    per_split = split_states(rows) if per_split is None else per_split
     files = per_split.groupBy("FILE_NAME").agg(F.max(F.struct("blk", "unclosed")).alias("end")).select("FILE_NAME", F.col("end.unclosed").alias("unclosed"))
 
     def of(name: str) -> Column:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import clean_split, file_metadata_columns, na_to_null
-from ..session import TASK_BYTES, cut_lineage, hadoop_fs, shared_dir
+from ..session import TASK_BYTES, broadcast_if_small, cut_lineage, delete_dir, hadoop_fs, shared_dir
 from . import quotes as Q
 
 ROUTE_UNREADABLE = "unreadable"
@@ -44,6 +44,8 @@ BROADCAST_BYTES = 64 << 20
 
 #: Where the folders hold more than this share of other bytes, up to ``MAX_NAMED_FILES`` files are named to the scan, so it opens no other.
 OTHERS = 0.25
+#: Splits (a row of about 100 bytes each) whose quote states are broadcast to their lines.
+MAX_BROADCAST_SPLITS = 250_000
 MAX_NAMED_FILES = 4096
 
 _NO_ERRORS = "array<string>"
@@ -180,11 +182,6 @@ def _widest(placed: DataFrame, ends: DataFrame) -> DataFrame:
     return ends.join(widest, "FILE_NAME", "left")
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    fs, at = hadoop_fs(spark, folder)
-    fs.delete(at, True)
-
-
 def _sized_broadcast(routing: DataFrame, n_files: int, n_columns: int) -> DataFrame:
     """One row a file: a name, a place and a position per column."""
     return F.broadcast(routing) if n_files * (200 + 4 * n_columns) <= BROADCAST_BYTES else routing
@@ -227,7 +224,10 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR, k
     folders = {et: shared_dir(spark, "lines") for et in opened}
     with_open = _sized_broadcast(stats.where("n_open > 0").select("FILE_NAME"), n_files, 0)
     lines = {et: Q.store_lines(effects[et].join(with_open, "FILE_NAME"), folders[et], parts) for et in opened}
-    quoted = reduce(DataFrame.unionByName, [_widest(*Q.placed(lines[et])) for et in opened]) if opened else None
+    # One row a split, worked out once: the lines meet it where they are and are not dealt again.
+    splits = {et: cut_lineage(Q.split_states(lines[et])) for et in opened}
+    splits = {et: broadcast_if_small(s, MAX_BROADCAST_SPLITS) for et, s in splits.items()}
+    quoted = reduce(DataFrame.unionByName, [_widest(*Q.placed(lines[et], splits[et])) for et in opened]) if opened else None
     routed = route_files(manifest, stats, quoted, sep)
     declared = F.create_map(*[x for et in S.EXTRACT_TYPES for x in (F.lit(et), F.array(*[F.lit(c) for c in S.declared_columns(et)]))])
     missing = F.coalesce(*[F.when(F.col("EXTRACT_TYPE") == et, _missing(F.col("names"), S.declared_columns(et))) for et in S.EXTRACT_TYPES])
@@ -236,7 +236,7 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR, k
     routed = cut_lineage(routed)
     stats.unpersist()
     for at in () if keep_lines else folders.values():
-        _delete(spark, at)
+        delete_dir(spark, at)
     # Schema facts: undeclared names per type, in order of their first place.
     own = F.array(*[F.lit(c.lower()) for c in S.LINEAGE_COLUMNS])
     lower = lambda c: F.lower(c)
@@ -292,7 +292,7 @@ def scan_all(spark: SparkSession, manifest: DataFrame, sep: str = S.SEPARATOR, k
             only = _sized_broadcast(open_files, n_files, 0)
             out[et].rows = rows_of(Q.states(effects[et].join(only, "FILE_NAME"), parts)[0] if et in opened else None)
             if keep_lines and et in opened:
-                out[et].stored = rows_of(Q.placed(lines[et].join(only, "FILE_NAME"))[0])
+                out[et].stored = rows_of(Q.placed(lines[et].join(only, "FILE_NAME"), splits[et])[0])
     return out
 
 

@@ -105,3 +105,25 @@ def test_content_hash_is_the_exact_sum(spark, tmp_path):
     lines = Q.read_lines(spark, [str(tmp_path)])
     want = lines.agg(F.concat_ws(":", F.count(F.lit(1)), F.sum(F.xxhash64("value").cast("decimal(38,0)")))).first()[0]
     assert line_stats(spark, [str(tmp_path)]).first()["content_hash"] == want
+
+
+def test_stored_lines_are_read_by_few_tasks_and_stay_where_they_are(spark, tmp_path):
+    """However small the splits: stored lines share tasks, and meet the states of their splits without being dealt again."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    _file(folder / Q_NAME, S.QUESTIONS, 2000)
+    _file(folder / S_NAME, S.SCORING, 20)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "128")
+    try:
+        lines = Q.store_lines(Q.with_effects(Q.read_lines(spark, [str(folder / Q_NAME)])), str(tmp_path / "lines"))
+        size = sum(f.stat().st_size for f in (tmp_path / "lines").glob("*.parquet"))
+        most = 4 * spark.sparkContext.defaultParallelism
+        assert size / 128 > 2 * most and lines.rdd.getNumPartitions() <= most
+        scan = scan_all(spark, detect_incoming(spark, str(folder)), source_glob=f"{folder}/*", keep_lines=True)[S.QUESTIONS]
+        plan = scan.stored._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert scan.stored.count() == 2000
+    finally:
+        spark.conf.set(key, before)
