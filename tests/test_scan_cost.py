@@ -127,3 +127,36 @@ def test_stored_lines_are_read_by_few_tasks_and_stay_where_they_are(spark, tmp_p
         assert scan.stored.count() == 2000
     finally:
         spark.conf.set(key, before)
+
+
+def _shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(1 for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_"))
+
+
+def test_writes_drop_their_shuffle_files(spark, tmp_path):
+    from bronzegate.session import stored
+
+    rows = spark.range(0, 1000, 1, 4).selectExpr("id % 7 AS k", "date'2024-01-01' AS FILE_DATE")
+    before = _shuffle_files(spark)
+    assert stored(rows.groupBy("k").count(), "counts").count() == 7
+    B.write_bronze(rows, str(tmp_path / "b"), layout="rebalance")
+    assert _shuffle_files(spark) <= before + 8  # the count's own single row
+
+
+def test_copies_go_when_they_were_read(spark, raw, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from bronzegate.session import checkpoint_root
+
+    root = Path(checkpoint_root(spark).removeprefix("file:")) / "bronzegate"
+    held = lambda kind: {p.name for p in root.glob(f"{kind}-*")}
+    old, seen, write = held("parsed") | held("lines"), [], B.write_bronze
+
+    def counted(*args, **kwargs):
+        seen.append((len(held("parsed") - old), len(held("lines") - old)))
+        write(*args, **kwargs)
+
+    monkeypatch.setattr(landing.B, "write_bronze", counted)
+    landing.land(spark, str(raw), str(tmp_path / "bronze"), run_ts=dt.datetime(2024, 1, 1))
+    assert seen == [(2, 0), (1, 0)] and not (held("parsed") | held("lines")) - old
